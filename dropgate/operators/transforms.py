@@ -44,6 +44,7 @@ class TransformContext:
     catalog: Any = None
     key: str = "_source_file"
     name: str = ""
+    run_id: str | None = None
     report: CheckContext | None = None
     actions: list[Callable[[DataFrame], Any]] = field(default_factory=list)
     _seq: int = 0
@@ -272,7 +273,7 @@ def save_inventory_snapshot(df: DataFrame, ctx: TransformContext, snapshot_file:
     from dropgate.operators.snapshot import append_new_ids
 
     def action(out_df: DataFrame):
-        return append_new_ids(ctx.catalog, snapshot_file, out_df, product_id_column)
+        return append_new_ids(ctx.catalog, snapshot_file, out_df, product_id_column, version=ctx.run_id)
 
     ctx.after(action)
     return df

@@ -75,6 +75,19 @@ def _pattern_column(files: DataFrame, patterns: list[str], case_sensitive: bool)
     return files.withColumn("__pattern", F.when(n == 1, pat) if pat is not None else F.lit(None).cast("int"))
 
 
+def own_columns(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Keep only the columns the files in ``keys`` actually have.
+
+    The rows of a step are one union over files of several layouts; before
+    a pattern's rules run, its rows are narrowed back to its files' columns
+    (plus ``_source_file`` and hidden report columns). The distinct column
+    names are schema metadata, bounded by the width of the layouts.
+    """
+    names = {r[0] for r in keys.select(F.explode(COLUMNS)).distinct().collect()}
+    keep = [c for c in df.columns if c in names or c == SOURCE or c.startswith("__")]
+    return df.select(*keep)
+
+
 def _safe(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9_.-]+", "_", name).strip("_") or "x"
 
@@ -98,6 +111,9 @@ class Preboarding:
     def __init__(self, spark: SparkSession, root: str, catalog: Catalog | None = None,
                  run_id: str | None = None, case_sensitive: bool = False, sep: str = ";"):
         self.spark = spark
+        # see session.DEFAULT_CONF: constraint inference over registry plans
+        # grows combinatorially and is not needed by them
+        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
         self.root = root.rstrip("/")
         self.catalog = catalog or Catalog(spark)
         self.run_id = run_id or new_run_id()
@@ -140,7 +156,7 @@ class Preboarding:
         for i, p in enumerate(patterns):
             rules = registry.rules(p)
             keys = files.filter(F.col("__pattern") == i)
-            rows = ds.df.filter(glob_match(SOURCE, p, self.case_sensitive))
+            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
             f = C.run_checks(rows, rules.get("validators", {}), key=SOURCE, keys_df=keys, catalog=self.catalog)
             frames.append(f)
             outputs.append((p, rows, rules.get("schema")))
@@ -161,8 +177,10 @@ class Preboarding:
                            self.run_id, step, key=SOURCE)
         findings = self._persist_findings(findings, step)
         v = verdicts(findings)
-        for p, target in mapping.items():
-            rows = ds.df.filter(glob_match(SOURCE, p, self.case_sensitive))
+        files = _pattern_column(ds.files, patterns, self.case_sensitive)
+        for i, (p, target) in enumerate(mapping.items()):
+            keys = files.filter(F.col("__pattern") == i)
+            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
             # flatten: target folder + file name (the relative path is kept in _source_path)
             base = F.regexp_extract(SOURCE, r"([^/]+)$", 1)
             rows = _passing(rows, v).withColumn(SOURCE, F.concat(F.lit(target.rstrip("/") + "/"), base))
@@ -176,11 +194,11 @@ class Preboarding:
         pending = []
         for i, p in enumerate(patterns):
             spec = registry.rules(p).get("transforms", [])
-            rows = ds.df.filter(glob_match(SOURCE, p, self.case_sensitive))
+            keys = files.filter(F.col("__pattern") == i)
+            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
             report = C.CheckContext(df=rows, key=SOURCE, catalog=self.catalog)
-            ctx = TransformContext(catalog=self.catalog, key=SOURCE, report=report)
+            ctx = TransformContext(catalog=self.catalog, key=SOURCE, run_id=self.run_id, report=report)
             out, log = apply_chain(rows, spec, ctx)
-            keys = files.filter(F.col("__pattern") == i)
             # chain status per file: one finding per transform
             status = keys.select(SOURCE, F.inline(F.array(*[
                 F.struct(F.lit(n).alias("check"), F.lit(None).cast("string").alias("column"),

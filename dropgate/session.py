@@ -21,6 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Registry plans carry many aliased expressions over the same columns
+    # (glob matches, per-check aggregates); inferring constraints over all of
+    # them grows combinatorially in the optimizer. Filters are pushed
+    # explicitly by the library, so this inference is not needed.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

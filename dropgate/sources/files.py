@@ -60,17 +60,41 @@ def relative_path(col: Column, root: str) -> Column:
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None,
                recursive: bool = True) -> DataFrame:
-    """``_source_file, path, size, modified, format`` for every file under root."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root).select("path", "length", "modificationTime")
+    """``_source_file, path, size, modified, format`` for every file under root.
+
+    Listed through the Hadoop FileSystem API, as Spark's own file index
+    does, so zero-length files are included (file sources make no split for
+    them, so they would never show up as rows). Hidden files (``_*``, ``.*``)
+    are skipped like Spark does. The listing is metadata, one row per file.
+    """
+    import fnmatch as _fn
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    rows = []
+    if fs.exists(base):
+        it = fs.listFiles(base, recursive)
+        while it.hasNext():
+            st = it.next()
+            p = st.getPath()
+            name = p.getName()
+            rel_parts = str(p.toUri().getPath())
+            if name.startswith(("_", ".")) or "/_" in rel_parts.split(_strip_scheme(root), 1)[-1] \
+                    or "/." in rel_parts.split(_strip_scheme(root), 1)[-1]:
+                continue
+            if glob and not _fn.fnmatch(name, glob):
+                continue
+            rows.append((str(p.toString()), int(st.getLen()), int(st.getModificationTime())))
+    df = spark.createDataFrame(rows, "path string, length long, modificationTime long")
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     fmt = F.lit(None).cast("string")
     for suffix, name in FORMATS.items():
         fmt = F.when(ext == suffix, F.lit(name)).otherwise(fmt)
     return df.select(relative_path(F.col("path"), root).alias(SOURCE), "path",
-                     F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
+                     F.col("length").alias("size"),
+                     F.timestamp_millis("modificationTime").alias("modified"),
                      fmt.alias("format"))
 
 
