@@ -92,8 +92,8 @@ def left_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key
     l2 = left.withColumn("__salt", F.when(_key_in(left_keys, hot), F.pmod(row_hash, F.lit(SALT_BUCKETS)))
                          .otherwise(F.lit(0)).cast("long"))
     r_hot = _key_in(rk, hot)
-    r2 = r.withColumn("__rsalt", F.explode(F.when(r_hot, F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1)))
-                                           .otherwise(F.array(F.lit(0)))).cast("long"))
+    salts = F.when(r_hot, F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))).otherwise(F.array(F.lit(0)))
+    r2 = r.withColumn("__rsalt", F.explode(salts.cast("array<long>")))
     cond = [l2[lk] == r2[a] for lk, a in zip(left_keys, rk)] + [l2["__salt"] == r2["__rsalt"]]
     return l2.join(r2, cond, "left").drop(*rk, "__salt", "__rsalt")
 

@@ -144,7 +144,9 @@ class Preboarding:
         files = union_all_by_name(file_parts)
         return Dataset(df=df, files=files)
 
-    def _write_group(self, step: str, group: str, df: DataFrame) -> None:
+    def _write_group(self, step: str, group: str, df: DataFrame, keep_hidden: bool = False) -> None:
+        if not keep_hidden:
+            df = df.drop(*[c for c in df.columns if c.startswith("__")])
         df.write.mode("overwrite").parquet(f"{self.staging(step)}/group={_safe(group)}")
 
     # steps
@@ -157,7 +159,10 @@ class Preboarding:
             rules = registry.rules(p)
             keys = files.filter(F.col("__pattern") == i)
             rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
-            f = C.run_checks(rows, rules.get("validators", {}), key=SOURCE, keys_df=keys, catalog=self.catalog)
+            spec = dict(rules.get("validators") or {})
+            if "__corrupt" in rows.columns and "malformed_rows" not in spec:
+                spec["malformed_rows"] = None  # CSV rows that did not parse fail their file
+            f = C.run_checks(rows, spec, key=SOURCE, keys_df=keys, catalog=self.catalog)
             frames.append(f)
             outputs.append((p, rows, rules.get("schema")))
         findings = conform(union_all([f.select(SOURCE, *[c for c in f.columns if c != SOURCE]) for f in frames]),
@@ -215,7 +220,7 @@ class Preboarding:
         # write transformed rows first (hidden report columns included), then
         # evaluate the transform reports on the written table
         for p, out, ctx, report, keys in pending:
-            self._write_group(step, p, out)
+            self._write_group(step, p, out, keep_hidden=True)
         written = {}
         for p, out, ctx, report, keys in pending:
             staged = self.spark.read.parquet(f"{self.staging(step)}/group={_safe(p)}")
