@@ -415,6 +415,19 @@ def aggregate_by_registry(spark, sf):
                      {"l_quantity": "sum", "l_extendedprice": "mean", "l_tax": "count"}, round_to=2)
 
 
+def stream_validate(spark, sf):
+    """lineitem arriving as a file stream, validated per micro-batch."""
+    from dropgate.streaming.incremental import validate_stream
+    out = scratch_path(spark, "stream")
+    schema = _t(spark, sf, "lineitem").schema
+    q = validate_stream(spark, sf, schema, {"value_range": {"l_quantity": {"min": 5, "max": 45}},
+                                            "check_null_values": ["l_shipdate"]},
+                        out_dir=out, checkpoint=f"{out}/_checkpoint", options={"pathGlobFilter": "lineitem.parquet"})
+    q.awaitTermination()
+    return (spark.read.parquet(f"{out}/findings")
+            .select("source_file", "check", "column", "passed", "n_bad"))
+
+
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_csv_roundtrip": scan_csv_roundtrip,
@@ -466,6 +479,7 @@ QUERIES = {
     "run_summary": run_summary_query,
     "findings_report": findings_report,
     "aggregate_by_registry": aggregate_by_registry,
+    "stream_validate": stream_validate,
 }
 
 
@@ -627,6 +641,14 @@ ORACLE_SQL = {
           SELECT count(*) FILTER (WHERE l_quantity < 1 OR l_quantity > 50 OR l_discount > 0.09
                                   OR l_shipdate IS NULL) = 0 AS passed
           FROM lineitem GROUP BY l_returnflag, l_linestatus)""",
+    "stream_validate": """
+        SELECT 'lineitem.parquet' AS source_file, 'value_range.min' AS "check", 'l_quantity' AS "column",
+               count(*) FILTER (WHERE l_quantity < 5) = 0 AS passed, count(*) FILTER (WHERE l_quantity < 5) AS n_bad
+        FROM lineitem
+        UNION ALL SELECT 'lineitem.parquet', 'value_range.max', 'l_quantity',
+               count(*) FILTER (WHERE l_quantity > 45) = 0, count(*) FILTER (WHERE l_quantity > 45) FROM lineitem
+        UNION ALL SELECT 'lineitem.parquet', 'check_null_values', 'l_shipdate',
+               count(*) FILTER (WHERE l_shipdate IS NULL) = 0, count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem""",
     "aggregate_by_registry": """
         SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS l_quantity,
                round(avg(l_extendedprice), 2) AS l_extendedprice, count(l_tax) AS l_tax
