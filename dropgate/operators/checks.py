@@ -324,12 +324,23 @@ def column_types(ctx: CheckContext, params):
 
 @check
 def malformed_rows(ctx: CheckContext, params=None):
-    """(S5) CSV rows that did not parse (kept whole in the corrupt-record column)."""
+    """(S5) CSV rows that did not parse (kept whole in the corrupt-record column).
+
+    Needs ``spark.sql.csv.parser.columnPruning.enabled=false`` (set by
+    ``get_spark`` and the runner): with parser-level pruning a row with the
+    wrong number of fields is not flagged.
+    """
     if "__corrupt" not in ctx.df.columns:
         ctx.static(None, True, None)
         return
     n = F.coalesce(ctx.agg(F.count_if(F.col("__corrupt").isNotNull())), F.lit(0))
-    ctx.finding(None, passed=n == 0, n_bad=n, message=F.when(n > 0, F.format_string("%d malformed rows", n)))
+    data_cols = [c for c in ctx.columns if not c.startswith("_")]
+    # Spark refuses scans that reference only the corrupt-record column; the
+    # parsed-value count of a data column keeps the scan a real one
+    parsed = F.coalesce(ctx.agg(F.count(F.col(data_cols[0]))), F.lit(0)) if data_cols else F.lit(0)
+    ctx.finding(None, passed=n == 0, n_bad=n,
+                message=F.when(n > 0, F.format_string("%d malformed rows (%d values parsed in %s)", n, parsed,
+                                                      F.lit(data_cols[0] if data_cols else ""))))
 
 
 # --------------------------------------------------------------------------

@@ -5,6 +5,7 @@ Three kinds, as in the shipped configuration:
 * ``validate``:  ``{pattern: {validators: {name: params}, schema: {col: type}}}``
 * ``transform``: ``{pattern: {transforms: [{name, function, params, order}]}}``
 * ``dispatch``:  ``{pattern: target_folder}``
+* ``aggregate``: ``{pattern: {group_by: [cols], aggregations: {col: sum|mean|count|min|max}}}``
 
 ``Registry`` compiles on construction: every function name is looked up and
 all missing ones are reported together, before any file is read (X3).
@@ -19,7 +20,7 @@ import yaml
 
 from dropgate.errors import RegistryError
 
-KINDS = ("validate", "transform", "dispatch")
+KINDS = ("validate", "transform", "dispatch", "aggregate")
 
 
 def load_yaml(path: str) -> dict:
@@ -64,6 +65,12 @@ class Registry:
                     raise RegistryError(f"dispatch target for '{pattern}' must be a folder name")
                 continue
             rules = rules or {}
+            if self.kind == "aggregate":
+                from dropgate.operators.aggregate import AGGREGATIONS
+                if not rules.get("group_by") or not isinstance(rules.get("aggregations"), dict):
+                    raise RegistryError(f"aggregate rules of '{pattern}' need group_by and aggregations")
+                missing += [f for f in rules["aggregations"].values() if f not in AGGREGATIONS]
+                continue
             if self.kind == "validate":
                 vals = rules.get("validators") or {}
                 if not isinstance(vals, dict):

@@ -21,6 +21,7 @@ from dropgate.errors import AllFilesFailedError, NoInputFilesError, RegistryErro
 from dropgate.functions.globs import glob_match, match_count
 from dropgate.operators import checks as C
 from dropgate.operators import joins
+from dropgate.operators.aggregate import aggregate
 from dropgate.operators.routing import routing_findings
 from dropgate.operators.transforms import TransformContext, apply_chain, compile_chain
 from dropgate.plans.findings import FINDINGS_SCHEMA, conform, union_all, verdicts
@@ -114,12 +115,15 @@ class Preboarding:
         # see session.DEFAULT_CONF: constraint inference over registry plans
         # grows combinatorially and is not needed by them
         spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+        # malformed CSV rows are only detected when every token is parsed
+        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
         self.root = root.rstrip("/")
         self.catalog = catalog or Catalog(spark)
         self.run_id = run_id or new_run_id()
         self.case_sensitive = case_sensitive
         self.sep = sep
         self.outputs: list[StepOutput] = []
+        self._input_paths: list[str] = []
 
     # paths
     def staging(self, step: str) -> str:
@@ -261,15 +265,68 @@ class Preboarding:
         return self.spark.read.parquet(f"{self.root}/findings/run_id={self.run_id}") \
             .withColumn("run_id", F.lit(self.run_id))
 
-    def deliver(self, ds: Dataset, mapping: dict[str, str], step: str = "5_dispatcher") -> StepOutput:
-        out = self.dispatch(ds, mapping, step)
-        return out
+    def aggregate(self, ds: Dataset, registry: Registry, step: str) -> StepOutput:
+        """(X6) per pattern: ``groupBy(group_by).agg(...)`` over the pattern's files.
+
+        The aggregate of a pattern keeps one output per source file when
+        ``_source_file`` is in ``group_by``; otherwise all files of the pattern
+        are combined (partial aggregation runs map-side either way).
+        """
+        patterns = registry.patterns
+        files = _pattern_column(ds.files, patterns, self.case_sensitive)
+        frames = [routing_findings(ds.files, patterns, SOURCE, self.case_sensitive)]
+        outs = []
+        for i, p in enumerate(patterns):
+            rules = registry.rules(p)
+            keys = files.filter(F.col("__pattern") == i)
+            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
+            try:
+                out = aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"]))
+                ok, err = True, None
+                outs.append((p, out))
+            except RegistryError as e:
+                ok, err = False, str(e)
+            frames.append(keys.select(SOURCE, F.lit("aggregate").alias("check"), F.lit(None).cast("string").alias("column"),
+                                      F.lit("fail").alias("severity"), F.lit(ok).alias("passed"),
+                                      F.lit(0 if ok else 1).cast("long").alias("n_bad"),
+                                      F.lit(err).cast("string").alias("message"),
+                                      F.lit(None).cast("array<string>").alias("samples")))
+        findings = conform(union_all(frames), self.run_id, step, key=SOURCE)
+        findings = self._persist_findings(findings, step)
+        v = verdicts(findings)
+        for p, out in outs:
+            if SOURCE in out.columns:
+                out = _passing(out, v)
+            self._write_group(step, p, out)
+        return self._finish(step, findings, v)
 
-    def run(self, input_root: str, steps: list[tuple[str, str, object]], backup_root: str | None = None) -> list[StepOutput]:
-        """Run ``steps`` = [(step name, kind, registry)] over the files in ``input_root``."""
+    def clear_input(self, input_root: str) -> int:
+        """(R4, R7) remove the input files once the run is delivered; returns count.
+
+        Only files of the listing taken at the start of the run are removed,
+        so files that arrived during the run stay for the next one.
+        """
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        n = 0
+        for path in self._input_paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            if p.getFileSystem(conf).delete(p, False):
+                n += 1
+        return n
+
+    def run(self, input_root: str, steps: list[tuple[str, str, object]], backup_root: str | None = None,
+            clear_input: bool = False) -> list[StepOutput]:
+        """Run ``steps`` = [(step name, kind, registry)] over the files in ``input_root``.
+
+        ``clear_input`` removes the input files after the last step
+        delivered (not when a step failed for all files).
+        """
         ds = read_drop(self.spark, input_root, sep=self.sep)
+        self._input_paths = [r["path"] for r in ds.files.select("path").collect()]
         if backup_root:
             backup(ds.df, backup_root, self.run_id)
+        completed = True
         for name, kind, reg in steps:
             reg = reg if isinstance(reg, Registry) else Registry(reg, kind=kind)
             try:
@@ -279,11 +336,16 @@ class Preboarding:
                     self.transform(ds, reg, name)
                 elif kind == "dispatch":
                     self.dispatch(ds, reg.targets, name)
+                elif kind == "aggregate":
+                    self.aggregate(ds, reg, name)
                 else:
                     raise RegistryError(f"unknown step kind '{kind}'")
             except AllFilesFailedError:
+                completed = False
                 break
             ds = self.read_step(name)
+        if clear_input and completed:
+            self.clear_input(input_root)
         return self.outputs
 
 
