@@ -83,7 +83,8 @@ def _numeric(df: DataFrame, cols: list[str]) -> None:
 
 def enrich(df: DataFrame, mapping: DataFrame, df_join_column, mapping_key_column,
            columns_to_add: list[str], hit_column: str | None = None,
-           max_broadcast_rows: int = joins.BROADCAST_MAX_ROWS) -> DataFrame:
+           max_broadcast_rows: int = joins.BROADCAST_MAX_ROWS,
+           mapping_ops: list[tuple[str, dict]] | None = None) -> DataFrame:
     """Left join ``df`` to a mapping, adding ``columns_to_add``.
 
     Only the key and listed columns of the mapping are read (column pruning
@@ -91,6 +92,8 @@ def enrich(df: DataFrame, mapping: DataFrame, df_join_column, mapping_key_column
     small; otherwise a sort-merge join with hot-key salting is used. An added
     column whose name already exists in ``df`` gets a ``_right`` suffix.
     ``hit_column`` (optional) is true on matched rows, null otherwise.
+    ``mapping_ops`` are row-wise transforms ``(function, params)`` applied to
+    the (small) mapping side before the join instead of to every joined row.
     """
     lk, rk = _as_list(df_join_column), _as_list(mapping_key_column)
     if len(lk) != len(rk) or not lk:
@@ -104,17 +107,21 @@ def enrich(df: DataFrame, mapping: DataFrame, df_join_column, mapping_key_column
     if hit_column:
         sel.append(F.lit(True).alias(hit_column))
     right = mapping.select(*sel)
+    for fn, params in mapping_ops or []:
+        right = TRANSFORMS[fn](right, TransformContext(), **params)
     return joins.left_join(df, right, lk, rk, max_broadcast_rows=max_broadcast_rows)
 
 
 @transform
 def enrich_with_mapping(df: DataFrame, ctx: TransformContext, mapping_file: str, df_join_column,
-                        mapping_key_column, columns_to_add: list[str]) -> DataFrame:
+                        mapping_key_column, columns_to_add: list[str],
+                        _mapping_ops: list | None = None) -> DataFrame:
     if ctx.catalog is None or not ctx.catalog.exists(mapping_file):
         raise TransformError(f"Mapping file not found: {mapping_file}")
     mapping = ctx.catalog.read(mapping_file)
     hit = ctx.hidden("hit")
-    out = enrich(df, mapping, df_join_column, mapping_key_column, list(columns_to_add), hit_column=hit)
+    out = enrich(df, mapping, df_join_column, mapping_key_column, list(columns_to_add), hit_column=hit,
+                 mapping_ops=_mapping_ops)
     if ctx.report is not None:
         r = ctx.report
         first = columns_to_add[0] if columns_to_add[0] not in df.columns else f"{columns_to_add[0]}_right"
@@ -299,6 +306,61 @@ def compile_chain(spec: list[dict]) -> list[dict]:
     return [dict(t, name=t.get("name", t["function"]), params=t.get("params") or {}) for _, t in indexed]
 
 
+# Row-wise, null-preserving string transforms that may run on the mapping side.
+_PUSHABLE = ("strings_strip_whitespace", "case_transform")
+_ARITHMETIC_IO = {
+    "multiply_columns": (("columns_to_multiply",), "output_column"),
+    "sum_columns": (("columns_to_sum",), "output_column"),
+    "subtract_columns": (("minuend_column", "subtrahend_columns"), "output_column"),
+    "divide_columns": (("numerator_column", "denominator_column"), "output_column"),
+}
+
+
+def _valid_pushable(t: dict) -> bool:
+    p = t["params"]
+    if t["function"] == "case_transform":
+        return bool(p.get("to_uppercase")) != bool(p.get("to_lowercase"))
+    return bool(p.get("strip_whitespace", True))
+
+
+def _mapping_cleaning(columns: list[str], steps: list[dict], i: int) -> tuple[list, dict]:
+    """Later strip / case transforms on columns that only the mapping of the
+    enrich at ``i`` provides: run them on the mapping side instead.
+
+    Scans forward while the transforms in between provably commute with them
+    (they neither read nor write those columns); stops at any other kind of
+    transform. Returns (mapping ops in chain order, {index: reduced params}).
+    """
+    p = steps[i]["params"]
+    keys = set(_as_list(p.get("mapping_key_column")))
+    added = {(c if c not in columns else f"{c}_right") for c in p.get("columns_to_add", []) if c not in keys}
+    ops, rewrites = [], {}
+    for j in range(i + 1, len(steps)):
+        t, fn = steps[j], steps[j]["function"]
+        tp = t["params"]
+        if fn in _PUSHABLE and _valid_pushable(t):
+            cols = _as_list(tp.get("columns"))
+            push = [c for c in cols if c in added]
+            if push:
+                ops.append((fn, dict(tp, columns=push)))
+                rewrites[j] = dict(tp, columns=[c for c in cols if c not in push])
+        elif fn == "blank":
+            continue
+        elif fn in _ARITHMETIC_IO:
+            ins, out = _ARITHMETIC_IO[fn]
+            touched = {tp.get(out)} | {c for k in ins for c in _as_list(tp.get(k))}
+            added -= touched
+        elif fn == "filter_rows":
+            added.discard(tp.get("column"))
+        elif fn == "save_inventory_snapshot":
+            added.discard(tp.get("product_id_column"))
+        else:
+            break
+        if not added:
+            break
+    return ops, rewrites
+
+
 def apply_chain(df: DataFrame, spec: list[dict], ctx: TransformContext) -> tuple[DataFrame, list[tuple]]:
     """Apply transforms in order. Returns (df, [(name, ok, error)]).
 
@@ -307,10 +369,19 @@ def apply_chain(df: DataFrame, spec: list[dict], ctx: TransformContext) -> tuple
     for this dataset (all transforms must succeed).
     """
     log = []
-    for t in compile_chain(spec):
+    steps = compile_chain(spec)
+    rewritten: dict[int, dict] = {}
+    for i, t in enumerate(steps):
         ctx.name = t["name"]
+        params = rewritten.get(i, t["params"])
+        pending = {}
+        if t["function"] == "enrich_with_mapping":
+            ops, pending = _mapping_cleaning(df.columns, steps, i)
+            if ops:
+                params = dict(params, _mapping_ops=ops)
         try:
-            df = TRANSFORMS[t["function"]](df, ctx, **t["params"])
+            df = TRANSFORMS[t["function"]](df, ctx, **params)
+            rewritten.update(pending)
             log.append((t["name"], True, None))
         except (TransformError, TypeError, ValueError) as e:
             log.append((t["name"], False, f"ERROR in transform '{t['name']}': {e}"))

@@ -5,7 +5,7 @@
   are listed too (they have no rows to show up anywhere else).
 * CSV files may have different headers (or the same columns in a different
   order). Reading them in one ``spark.read.csv`` would misalign columns by
-  position, so the header line of every file is read first (one small job),
+  position, so the header line of every file is read first (first line only),
   files are grouped by header, each group is read with an explicit all-string
   schema and the groups are combined with ``unionByName``.
 * Raw CSV values stay strings; typing is an explicit, checked step
@@ -98,23 +98,44 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None,
                      fmt.alias("format"))
 
 
+# Bytes read at most to find a file's header line; a longer first line is an
+# error for that file (reported as a file without columns).
+HEADER_MAX_BYTES = 1 << 20
+HEADER_THREADS = 16
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 65536)
+        line = reader.readLine()
+        if line is not None and len(line) > HEADER_MAX_BYTES:
+            return None
+        return line
+    finally:
+        stream.close()
+
+
 def csv_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> DataFrame:
     """``path, header`` (array<string>) per non-empty CSV file.
 
-    Only the split that starts at byte 0 of each file can hold its first
-    line; ``min_by(value, monotonically_increasing_id())`` picks that line
-    (ids grow with position inside a split), aggregated map-side.
+    Only the first line of each file is read, through the Hadoop FileSystem
+    API (a few KB per file, in a bounded thread pool) - the same kind of
+    metadata access as the file listing. Reading the header through a file
+    source instead would schedule every split of every file.
     """
-    lines = (spark.read.text(paths)
-             .select("value", F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("start"))
-             .filter(F.col("start") == 0)
-             .withColumn("__pos", F.monotonically_increasing_id()))
-    first = lines.groupBy("path").agg(F.min_by("value", "__pos").alias("line"))
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
+    df = spark.createDataFrame(list(zip(paths, lines)), "path string, line string")
     # a UTF-8 BOM on the first line is not part of the first column name
     line = F.regexp_replace(F.col("line"), "^\ufeff", "")
     names = F.transform(F.split(line, re.escape(sep)), lambda x: F.regexp_replace(x, r'^"|"$', ""))
-    return first.select("path", names.alias("header"))
+    return df.filter(F.col("line").isNotNull()).select("path", names.alias("header"))
 
 
 def _file_frame(files: DataFrame, headers: DataFrame | None, default_columns: list[str] | None) -> DataFrame:

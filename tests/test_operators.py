@@ -225,3 +225,42 @@ def test_partition_count_independent(spark):
     a = sorted(map(tuple, C.run_checks(df, spec).select("_source_file", "check", "n_bad").collect()))
     b = sorted(map(tuple, C.run_checks(df.repartition(17), spec).select("_source_file", "check", "n_bad").collect()))
     assert a == b
+
+
+def test_mapping_cleaning_pushed_before_join(spark):
+    from dropgate.operators.transforms import _mapping_cleaning
+    from dropgate.sources.catalog import Catalog
+
+    facts = spark.createDataFrame([(1, 2.0), (2, 3.0), (3, 4.0), (None, 1.0)], "k long, q double")
+    m = spark.createDataFrame([(1, "  ab ", " x"), (2, "cd\u00a0", "y ")], "mk long, name string, brand string")
+    enrich_t = {"name": "e", "function": "enrich_with_mapping", "order": 1,
+                "params": {"mapping_file": "m", "df_join_column": ["k"], "mapping_key_column": ["mk"],
+                           "columns_to_add": ["name", "brand"]}}
+    strip_t = {"name": "s", "function": "strings_strip_whitespace", "order": 2,
+               "params": {"columns": ["name", "brand", "other"]}}
+    upper_t = {"name": "u", "function": "case_transform", "order": 4,
+               "params": {"columns": ["name"], "to_uppercase": True}}
+    filt_t = {"name": "f", "function": "filter_rows", "order": 3,
+              "params": {"column": "name", "operator": "!=", "value": "AB"}}
+    steps = compile_chain([enrich_t, strip_t, upper_t])
+    ops, rw = _mapping_cleaning(facts.columns, steps, 0)
+    assert [o[0] for o in ops] == ["strings_strip_whitespace", "case_transform"]
+    assert rw[1]["columns"] == ["other"] and rw[2]["columns"] == []
+    # a filter on `name` between the two blocks pushing the later upper-case
+    steps2 = compile_chain([enrich_t, strip_t, filt_t, upper_t])
+    ops2, _ = _mapping_cleaning(facts.columns, steps2, 0)
+    assert [o[0] for o in ops2] == ["strings_strip_whitespace"]
+
+    class Cat(Catalog):
+        def exists(self, name):
+            return True
+
+        def read(self, name, version=None):
+            return m
+
+    for spec, expect in (([enrich_t, strip_t, upper_t], {1: ("AB", "x"), 2: ("CD", "y"), 3: (None, None)}),
+                         ([enrich_t, strip_t, filt_t, upper_t], {1: ("AB", "x"), 2: ("CD", "y")})):
+        out, log = apply_chain(facts, spec, TransformContext(catalog=Cat(spark)))
+        assert all(ok for _, ok, _ in log)
+        got = {r["k"]: (r["name"], r["brand"]) for r in out.collect() if r["k"] is not None}
+        assert got == expect
