@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The custom null markers used by the shipped cross-validation
 # registry for sales files.
@@ -20,11 +23,38 @@ def strip_whitespace(col: Column | str) -> Column:
     return F.regexp_replace(c, _EDGE_WS, "")
 
 
-def is_null_or_marker(col: Column | str, markers: list[str] | None) -> Column:
-    """True where the value is null or its string form is one of ``markers``."""
+_DIGIT = re.compile(r"[0-9]")
+# Non-digit string forms Spark gives to special numbers.
+_SPECIAL_NUMBERS = {"NaN", "Infinity", "-Infinity"}
+
+
+def possible_markers(dtype: T.DataType | None, markers: list[str] | None) -> list[str]:
+    """The markers the string form of a ``dtype`` value can equal at all.
+
+    Numbers, dates and timestamps always print with a digit (or as NaN /
+    Infinity), so text markers such as "" or "NA" can never match them and
+    the per-row string cast is skipped for those columns.
+    """
+    markers = list(markers or [])
+    if dtype is None or isinstance(dtype, T.StringType):
+        return markers
+    if isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return [m for m in markers if _DIGIT.search(m) or m in _SPECIAL_NUMBERS]
+    if isinstance(dtype, T.BooleanType):
+        return [m for m in markers if m in ("true", "false")]
+    return markers
+
+
+def is_null_or_marker(col: Column | str, markers: list[str] | None, dtype: T.DataType | None = None) -> Column:
+    """True where the value is null or its string form is one of ``markers``.
+
+    Pass the column's ``dtype`` to drop markers its values cannot print as.
+    """
     c = F.col(col) if isinstance(col, str) else col
     cond = c.isNull()
+    markers = possible_markers(dtype, markers)
     if markers:
-        cond = cond | c.cast("string").isin(list(markers))
+        str_form = c if isinstance(dtype, T.StringType) else c.cast("string")
+        cond = cond | str_form.isin(markers)
     # comparisons against null give null; a null result means "not a marker"
     return F.coalesce(cond, F.lit(False))

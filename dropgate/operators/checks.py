@@ -297,7 +297,7 @@ def check_null_values(ctx: CheckContext, params):
         if col not in ctx.columns:
             ctx.static(col, False, f"Column {col} not found in dataframe. Impossible verify null values.")
             continue
-        mask = is_null_or_marker(col, markers)
+        mask = is_null_or_marker(col, markers, ctx.df.schema[col].dataType)
         n = F.coalesce(ctx.agg(F.count_if(mask)), F.lit(0))
         here = ctx.present(col)
         ctx.finding(col, passed=here & (n == 0), n_bad=n,

@@ -76,6 +76,15 @@ def _pattern_column(files: DataFrame, patterns: list[str], case_sensitive: bool)
     return files.withColumn("__pattern", F.when(n == 1, pat) if pat is not None else F.lit(None).cast("int"))
 
 
+def pattern_rows(ds: Dataset, keys: DataFrame) -> DataFrame:
+    """Rows of the files listed in ``keys``, narrowed to their own columns.
+
+    The file names are metadata (one per file); only those files are read.
+    """
+    sources = [r[SOURCE] for r in keys.select(SOURCE).collect()]
+    return own_columns(ds.rows_of(sources), keys)
+
+
 def own_columns(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Keep only the columns the files in ``keys`` actually have.
 
@@ -130,23 +139,40 @@ class Preboarding:
         return f"{self.root}/staging/run_id={self.run_id}/{step}"
 
     def read_step(self, step: str) -> Dataset:
-        """A written step as a Dataset: one part per schema group, unioned."""
+        """A written step as a Dataset: one part per group folder, unioned.
+
+        ``rows_of`` reads only the group folders that hold the requested files.
+        """
         base = self.staging(step)
-        groups = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                  .load(base).select(F.regexp_extract("path", r"/group=([^/]+)/", 1).alias("g"))
-                  .distinct().collect())
-        parts, file_parts = [], []
-        for r in sorted(groups, key=lambda r: r["g"]):
-            df = self.spark.read.parquet(f"{base}/group={r['g']}")
+        found = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(base).select(F.regexp_extract("path", r"/group=([^/]+)/", 1).alias("g"))
+                 .distinct().collect())
+        groups = sorted(r["g"] for r in found)
+        if not groups:
+            raise NoInputFilesError(step, base)
+        tables = {g: self.spark.read.parquet(f"{base}/group={g}") for g in groups}
+        file_parts, members = [], {}
+        for g, df in tables.items():
             cols = [c for c in df.columns if not c.startswith("__") and c != SOURCE]
-            parts.append(df)
             file_parts.append(df.select(SOURCE).distinct().withColumn(
-                COLUMNS, F.array(*[F.lit(c) for c in cols]).cast("array<string>")))
-        if not parts:
-            raise NoInputFilesError(step, base)
-        df = union_all_by_name(parts)
+                COLUMNS, F.array(*[F.lit(c) for c in cols]).cast("array<string>")).withColumn("__group", F.lit(g)))
         files = union_all_by_name(file_parts)
-        return Dataset(df=df, files=files)
+        for r in files.select(SOURCE, "__group").collect():
+            members[r[SOURCE]] = r["__group"]
+        spark = self.spark
+
+        def rows_of(sources: list[str]) -> DataFrame:
+            wanted = [s_ for s_ in sources if s_ in members]
+            gs = sorted({members[s_] for s_ in wanted})
+            if not gs:
+                return self.spark.createDataFrame([], f"{SOURCE} string")
+            df = union_all_by_name([tables[g] for g in gs])
+            if len(wanted) == sum(1 for v in members.values() if v in gs):
+                return df  # the groups hold exactly the wanted files
+            keys = spark.createDataFrame([(s_,) for s_ in wanted], f"{SOURCE} string")
+            return joins.semi_join_small(df, keys, [SOURCE], max_broadcast_rows=MAX_BROADCAST_FILES)
+
+        return Dataset(df=union_all_by_name(list(tables.values())), files=files.drop("__group"), reader=rows_of)
 
     def _write_group(self, step: str, group: str, df: DataFrame, keep_hidden: bool = False) -> None:
         if not keep_hidden:
@@ -162,7 +188,7 @@ class Preboarding:
         for i, p in enumerate(patterns):
             rules = registry.rules(p)
             keys = files.filter(F.col("__pattern") == i)
-            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
+            rows = pattern_rows(ds, keys)
             spec = dict(rules.get("validators") or {})
             if "__corrupt" in rows.columns and "malformed_rows" not in spec:
                 spec["malformed_rows"] = None  # CSV rows that did not parse fail their file
@@ -189,7 +215,7 @@ class Preboarding:
         files = _pattern_column(ds.files, patterns, self.case_sensitive)
         for i, (p, target) in enumerate(mapping.items()):
             keys = files.filter(F.col("__pattern") == i)
-            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
+            rows = pattern_rows(ds, keys)
             # flatten: target folder + file name (the relative path is kept in _source_path)
             base = F.regexp_extract(SOURCE, r"([^/]+)$", 1)
             rows = _passing(rows, v).withColumn(SOURCE, F.concat(F.lit(target.rstrip("/") + "/"), base))
@@ -204,7 +230,7 @@ class Preboarding:
         for i, p in enumerate(patterns):
             spec = registry.rules(p).get("transforms", [])
             keys = files.filter(F.col("__pattern") == i)
-            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
+            rows = pattern_rows(ds, keys)
             report = C.CheckContext(df=rows, key=SOURCE, catalog=self.catalog)
             ctx = TransformContext(catalog=self.catalog, key=SOURCE, run_id=self.run_id, report=report)
             out, log = apply_chain(rows, spec, ctx)
@@ -279,7 +305,7 @@ class Preboarding:
         for i, p in enumerate(patterns):
             rules = registry.rules(p)
             keys = files.filter(F.col("__pattern") == i)
-            rows = own_columns(ds.df.filter(glob_match(SOURCE, p, self.case_sensitive)), keys)
+            rows = pattern_rows(ds, keys)
             try:
                 out = aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"]))
                 ok, err = True, None

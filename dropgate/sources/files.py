@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,25 @@ class Dataset:
     files: DataFrame
     name: str = ""
     key: str = SOURCE
+    # rows of the given source files only, reading nothing else
+    reader: Callable[[list[str]], DataFrame] | None = None
+
+    def rows_of(self, sources: list[str]) -> DataFrame:
+        """Rows of ``sources`` only. With a reader only their files are scanned."""
+        if self.reader is not None:
+            return self.reader(sources)
+        return self.df.filter(F.col(self.key).isin(list(sources)))
+
+
+def _empty_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], T.StructType([T.StructField(SOURCE, T.StringType())]))
+
+
+def union_by_name(frames: list[DataFrame], spark: SparkSession) -> DataFrame:
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out if out is not None else _empty_rows(spark)
 
 
 def _strip_scheme(path: str) -> str:
@@ -52,10 +72,20 @@ def _strip_scheme(path: str) -> str:
     return p.rstrip("/")
 
 
+def _rel_regex(root: str) -> str:
+    r = re.escape(_strip_scheme(root))
+    return rf"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?/*{r.lstrip('/')}/(.*)$"
+
+
+def relative_name(path: str, root: str) -> str:
+    """Driver-side twin of ``relative_path`` for one path string."""
+    m = re.match(_rel_regex(root), path)
+    return m.group(1) if m else ""
+
+
 def relative_path(col: Column, root: str) -> Column:
     """Path of ``col`` relative to ``root`` (scheme and leading slashes ignored)."""
-    r = re.escape(_strip_scheme(root))
-    return F.regexp_extract(col, rf"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?/*{r.lstrip('/')}/(.*)$", 1)
+    return F.regexp_extract(col, _rel_regex(root), 1)
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None,
@@ -153,6 +183,7 @@ def read_csv_files(spark: SparkSession, root: str, files: DataFrame, sep: str =
 
     The file list and the distinct headers are driver-side metadata (one
     entry per file / per header variant), like Spark's own file index.
+    ``Dataset.rows_of`` re-reads only the requested files.
     """
     csv_files = files.filter(F.col("format") == "csv")
     meta = csv_files.select("path", "size").collect()
@@ -162,36 +193,48 @@ def read_csv_files(spark: SparkSession, root: str, files: DataFrame, sep: str =
     if headers is not None:
         for r in headers.collect():
             groups.setdefault(tuple(r["header"]), []).append(r["path"])
-    parts = []
-    for header, paths in groups.items():
-        cols = list(header)
-        fields = [T.StructField(c, T.StringType()) for c in cols]
+
+    def read_group(header: tuple, paths: list[str]) -> DataFrame:
+        fields = [T.StructField(c, T.StringType()) for c in header]
         if keep_corrupt:
             fields.append(T.StructField(CORRUPT, T.StringType()))
         reader = (spark.read.schema(T.StructType(fields)).option("header", "true").option("sep", sep)
                   .option("mode", "PERMISSIVE").option("enforceSchema", "true"))
         if keep_corrupt:
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        part = reader.csv(paths)
-        parts.append(part.withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root)))
-    df = None
-    for p in parts:
-        df = p if df is None else df.unionByName(p, allowMissingColumns=True)
-    if df is None:
-        df = spark.createDataFrame([], T.StructType([T.StructField(SOURCE, T.StringType())]))
-    return Dataset(df=df, files=_file_frame(csv_files, headers, None))
+        return reader.csv(paths).withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root))
+
+    def rows_of(sources: list[str]) -> DataFrame:
+        wanted = set(sources)
+        parts = []
+        for header, paths in groups.items():
+            mine = [p for p in paths if relative_name(p, root) in wanted]
+            if mine:
+                parts.append(read_group(header, mine))
+        return union_by_name(parts, spark)
+
+    df = union_by_name([read_group(h, p) for h, p in groups.items()], spark)
+    return Dataset(df=df, files=_file_frame(csv_files, headers, None), reader=rows_of)
 
 
 def read_parquet_files(spark: SparkSession, root: str, files: DataFrame) -> Dataset:
     pq = files.filter(F.col("format") == "parquet")
     paths = [r["path"] for r in pq.select("path").collect()]
     if not paths:
-        df = spark.createDataFrame([], T.StructType([T.StructField(SOURCE, T.StringType())]))
-        return Dataset(df=df, files=_file_frame(pq, None, []))
-    df = spark.read.option("mergeSchema", "true").parquet(*paths)
-    cols = list(df.columns)
-    df = df.withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root))
-    return Dataset(df=df, files=_file_frame(pq, None, cols))
+        return Dataset(df=_empty_rows(spark), files=_file_frame(pq, None, []), reader=lambda s: _empty_rows(spark))
+
+    def read(ps: list[str]) -> DataFrame:
+        df = spark.read.option("mergeSchema", "true").parquet(*ps)
+        return df.withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root))
+
+    def rows_of(sources: list[str]) -> DataFrame:
+        wanted = set(sources)
+        mine = [p for p in paths if relative_name(p, root) in wanted]
+        return read(mine) if mine else _empty_rows(spark)
+
+    df = read(paths)
+    cols = [c for c in df.columns if c != SOURCE]
+    return Dataset(df=df, files=_file_frame(pq, None, cols), reader=rows_of)
 
 
 def read_drop(spark: SparkSession, root: str, glob: str | None = None, sep: str = ";",
@@ -203,7 +246,11 @@ def read_drop(spark: SparkSession, root: str, glob: str | None = None, sep: str
     unknown = files.filter(F.col("format").isNull()).select(
         SOURCE, "path", "size", F.array().cast("array<string>").alias(COLUMNS))
     f = parts[0].files.unionByName(parts[1].files).unionByName(unknown)
-    return Dataset(df=df, files=f)
+
+    def rows_of(sources: list[str]) -> DataFrame:
+        return union_by_name([p.rows_of(sources) for p in parts], spark)
+
+    return Dataset(df=df, files=f, reader=rows_of)
 
 
 def typed(df: DataFrame, schema: dict[str, str]) -> DataFrame:

@@ -264,3 +264,13 @@ def test_mapping_cleaning_pushed_before_join(spark):
         assert all(ok for _, ok, _ in log)
         got = {r["k"]: (r["name"], r["brand"]) for r in out.collect() if r["k"] is not None}
         assert got == expect
+
+
+def test_markers_by_type(spark):
+    from pyspark.sql import types as T
+    from dropgate.functions.strings import is_null_or_marker, possible_markers
+    assert possible_markers(T.DoubleType(), ["", "NA", "0", "NaN"]) == ["0", "NaN"]
+    assert possible_markers(T.StringType(), ["", "NA"]) == ["", "NA"]
+    df = spark.createDataFrame([(0.0,), (float("nan"),), (None,), (1.5,)], "x double")
+    got = [r[0] for r in df.select(is_null_or_marker("x", ["", "NA", "NaN"], T.DoubleType())).collect()]
+    assert got == [False, True, True, False]
