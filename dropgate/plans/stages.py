@@ -1,35 +1,44 @@
 """The preboarding run: backup → validate → dispatch → transform → validate →
 cross-validate → deliver, all files of a step in one Spark plan per pattern.
 
-Every step reads the previous step's written output (a table in shared
-storage), so lineage is cut at each step and a lost executor only re-runs
-tasks of the current step. Only rows of files that passed every rule of a
-step go on; every outcome lands in the ``findings`` table.
+Data work is Spark: every rule of a pattern runs over the rows of all its
+files at once (one fused aggregation for row-level checks, distinct-first
+plans for key-level checks, broadcast or salted joins for enrichment).
+
+File-level bookkeeping (which file matches which pattern, which columns a
+file has, which files passed) is a few bytes per file and is kept on the
+driver, like Spark's own file index; Spark only sees it as small local
+relations in joins, so no job is spent scanning one-row-per-file tables.
+
+Every step writes its output (and its findings) to shared storage and the
+next step reads that table, so lineage is cut at each step and a lost
+executor only re-runs tasks of the current step. Every write replaces a
+path owned by (run, step, group), so a re-run step is idempotent.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import re
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dropgate.errors import AllFilesFailedError, NoInputFilesError, RegistryError
-from dropgate.functions.globs import glob_match, match_count
+from dropgate.functions.globs import glob_regex
 from dropgate.operators import checks as C
-from dropgate.operators import joins
 from dropgate.operators.aggregate import aggregate
 from dropgate.operators.routing import routing_findings
-from dropgate.operators.transforms import TransformContext, apply_chain, compile_chain
-from dropgate.plans.findings import FINDINGS_SCHEMA, conform, union_all, verdicts
+from dropgate.operators.transforms import TransformContext, apply_chain
+from dropgate.plans.findings import FINDINGS_SCHEMA, conform, union_all
 from dropgate.plans.registry import Registry
 from dropgate.sources.catalog import Catalog
-from dropgate.sources.files import COLUMNS, SOURCE, Dataset, read_drop, typed
+from dropgate.sources.files import SOURCE, Dataset, FileInfo, files_frame, read_drop, typed
 
-# Files with at most this many entries are broadcast in the verdict semi-join.
+# Passing-file lists up to this size are broadcast in the delivery semi-join
+# (the size is known exactly on the driver).
 MAX_BROADCAST_FILES = 200_000
 
 
@@ -51,7 +60,7 @@ def restore(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     from dropgate.sources.catalog import list_runs
     path = f"{root.rstrip('/')}/run_id={run_id}"
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(path).drop("__p")
     except Exception as e:  # noqa: BLE001 - reported with the available runs
         try:
             runs = [r["run_id"] for r in list_runs(spark, root).collect()]
@@ -62,40 +71,29 @@ def restore(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 
 # ---------------------------------------------------------------- helpers
 
-def _passing(df: DataFrame, v: DataFrame) -> DataFrame:
-    ok = v.filter(F.col("passed")).select(F.col("source_file").alias(SOURCE))
-    return joins.semi_join_small(df, ok, [SOURCE], max_broadcast_rows=MAX_BROADCAST_FILES)
+def keep_sources(spark: SparkSession, df: DataFrame, sources: list[str], all_sources: int | None = None) -> DataFrame:
+    """Rows of ``df`` whose ``_source_file`` is in ``sources``.
 
-
-def _pattern_column(files: DataFrame, patterns: list[str], case_sensitive: bool) -> DataFrame:
-    n = match_count(SOURCE, patterns, case_sensitive)
-    pat = None
-    for i, p in enumerate(patterns):
-        cond = glob_match(SOURCE, p, case_sensitive)
-        pat = F.when(cond, F.lit(i)) if pat is None else pat.when(cond, F.lit(i))
-    return files.withColumn("__pattern", F.when(n == 1, pat) if pat is not None else F.lit(None).cast("int"))
-
-
-def pattern_rows(ds: Dataset, keys: DataFrame) -> DataFrame:
-    """Rows of the files listed in ``keys``, narrowed to their own columns.
-
-    The file names are metadata (one per file); only those files are read.
+    The list's size is known exactly, so it is broadcast when it is at most
+    MAX_BROADCAST_FILES entries; larger lists use a shuffled semi-join.
     """
-    sources = [r[SOURCE] for r in keys.select(SOURCE).collect()]
-    return own_columns(ds.rows_of(sources), keys)
+    if all_sources is not None and len(sources) == all_sources:
+        return df
+    keys = spark.createDataFrame([(s,) for s in sources], f"{SOURCE} string")
+    if len(sources) <= MAX_BROADCAST_FILES:
+        keys = F.broadcast(keys)
+    return df.join(keys, SOURCE, "left_semi")
 
 
-def own_columns(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """Keep only the columns the files in ``keys`` actually have.
+def own_columns(df: DataFrame, infos: list[FileInfo]) -> DataFrame:
+    """Keep only the columns the files in ``infos`` actually have.
 
     The rows of a step are one union over files of several layouts; before
     a pattern's rules run, its rows are narrowed back to its files' columns
-    (plus ``_source_file`` and hidden report columns). The distinct column
-    names are schema metadata, bounded by the width of the layouts.
+    (plus ``_source_file`` and hidden report columns).
     """
-    names = {r[0] for r in keys.select(F.explode(COLUMNS)).distinct().collect()}
-    keep = [c for c in df.columns if c in names or c == SOURCE or c.startswith("__")]
-    return df.select(*keep)
+    names = {c for f in infos for c in (f.columns or [])}
+    return df.select(*[c for c in df.columns if c in names or c == SOURCE or c.startswith("__")])
 
 
 def _safe(name: str) -> str:
@@ -108,15 +106,11 @@ class StepOutput:
     findings: DataFrame
     path: str | None = None
     summary: dict = field(default_factory=dict)
+    passed: list[str] = field(default_factory=list)
 
 
 class Preboarding:
-    """Runs registries over a drop of files.
-
-    ``registries`` maps step name → Registry (or its dict form). Step kinds:
-    ``validate`` (validators), ``dispatch`` (pattern → target folder) and
-    ``transform`` (ordered transforms); see ``plans.registry``.
-    """
+    """Runs registries over a drop of files (see ``plans.registry`` for kinds)."""
 
     def __init__(self, spark: SparkSession, root: str, catalog: Catalog | None = None,
                  run_id: str | None = None, case_sensitive: bool = False, sep: str = ";"):
@@ -132,199 +126,256 @@ class Preboarding:
         self.case_sensitive = case_sensitive
         self.sep = sep
         self.outputs: list[StepOutput] = []
+        self.timings: dict[str, float] = {}
         self._input_paths: list[str] = []
+        self._written: dict[str, dict[str, tuple[list[str], list[str]]]] = {}
 
-    # paths
+    # ------------------------------------------------------------ paths / io
     def staging(self, step: str) -> str:
         return f"{self.root}/staging/run_id={self.run_id}/{step}"
 
-    def read_step(self, step: str) -> Dataset:
-        """A written step as a Dataset: one part per group folder, unioned.
+    def _group_path(self, step: str, group: str) -> str:
+        return f"{self.staging(step)}/group={_safe(group)}"
+
+    def _write_group(self, step: str, group: str, df: DataFrame, sources: list[str],
+                     keep_hidden: bool = False) -> None:
+        if not keep_hidden:
+            df = df.drop(*[c for c in df.columns if c.startswith("__")])
+        df.write.mode("overwrite").parquet(self._group_path(step, group))
+        cols = [c for c in df.columns if c != SOURCE and not c.startswith("__")]
+        self._written.setdefault(step, {})[_safe(group)] = (sorted(sources), cols)
+
+    def read_step(self, step: str, only: list[str] | None = None) -> Dataset:
+        """The written output of ``step`` (restricted to ``only`` files) as a Dataset.
 
         ``rows_of`` reads only the group folders that hold the requested files.
         """
-        base = self.staging(step)
-        found = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(base).select(F.regexp_extract("path", r"/group=([^/]+)/", 1).alias("g"))
-                 .distinct().collect())
-        groups = sorted(r["g"] for r in found)
-        if not groups:
-            raise NoInputFilesError(step, base)
-        tables = {g: self.spark.read.parquet(f"{base}/group={g}") for g in groups}
-        file_parts, members = [], {}
-        for g, df in tables.items():
-            cols = [c for c in df.columns if not c.startswith("__") and c != SOURCE]
-            file_parts.append(df.select(SOURCE).distinct().withColumn(
-                COLUMNS, F.array(*[F.lit(c) for c in cols]).cast("array<string>")).withColumn("__group", F.lit(g)))
-        files = union_all_by_name(file_parts)
-        for r in files.select(SOURCE, "__group").collect():
-            members[r[SOURCE]] = r["__group"]
+        groups = self._written.get(step, {})
+        wanted = set(only) if only is not None else None
+        members: dict[str, str] = {}
+        infos: list[FileInfo] = []
+        for g, (sources, cols) in sorted(groups.items()):
+            for s in sources:
+                if wanted is None or s in wanted:
+                    members[s] = g
+                    infos.append(FileInfo(source=s, columns=cols, format="parquet"))
+        if not infos:
+            raise NoInputFilesError(step, self.staging(step))
+        tables = {g: self.spark.read.parquet(f"{self.staging(step)}/group={g}") for g in sorted(set(members.values()))}
         spark = self.spark
 
         def rows_of(sources: list[str]) -> DataFrame:
-            wanted = [s_ for s_ in sources if s_ in members]
-            gs = sorted({members[s_] for s_ in wanted})
+            mine = [s for s in sources if s in members]
+            gs = sorted({members[s] for s in mine})
             if not gs:
-                return self.spark.createDataFrame([], f"{SOURCE} string")
+                return spark.createDataFrame([], f"{SOURCE} string")
             df = union_all_by_name([tables[g] for g in gs])
-            if len(wanted) == sum(1 for v in members.values() if v in gs):
-                return df  # the groups hold exactly the wanted files
-            keys = spark.createDataFrame([(s_,) for s_ in wanted], f"{SOURCE} string")
-            return joins.semi_join_small(df, keys, [SOURCE], max_broadcast_rows=MAX_BROADCAST_FILES)
+            held = sum(len(groups[g][0]) for g in gs)
+            return keep_sources(spark, df, mine, held)
+
+        all_rows = rows_of([f.source for f in infos])
+        return Dataset(df=all_rows, files=files_frame(spark, infos), reader=rows_of, infos=infos)
+
+    # ------------------------------------------------------------ matching
+    def _match(self, infos: list[FileInfo], patterns: list[str]) -> dict[str, int]:
+        """source -> index of its single matching pattern (-1: none or several)."""
+        regs = [re.compile(glob_regex(p, self.case_sensitive)) for p in patterns]
+        out = {}
+        for f in infos:
+            hits = [i for i, rx in enumerate(regs) if rx.match(f.source)]
+            out[f.source] = hits[0] if len(hits) == 1 else -1
+        return out
 
-        return Dataset(df=union_all_by_name(list(tables.values())), files=files.drop("__group"), reader=rows_of)
+    def _routing(self, ds: Dataset, patterns: list[str]) -> DataFrame:
+        return routing_findings(ds.files.select(SOURCE), patterns, SOURCE, self.case_sensitive)
 
-    def _write_group(self, step: str, group: str, df: DataFrame, keep_hidden: bool = False) -> None:
-        if not keep_hidden:
-            df = df.drop(*[c for c in df.columns if c.startswith("__")])
-        df.write.mode("overwrite").parquet(f"{self.staging(step)}/group={_safe(group)}")
+    def _pattern_files(self, ds: Dataset, match: dict[str, int], i: int) -> list[FileInfo]:
+        return [f for f in ds.infos if match[f.source] == i]
 
-    # steps
+    # ------------------------------------------------------------ steps
     def validate(self, ds: Dataset, registry: Registry, step: str) -> StepOutput:
         patterns = registry.patterns
-        files = _pattern_column(ds.files, patterns, self.case_sensitive)
-        frames = [routing_findings(ds.files, patterns, SOURCE, self.case_sensitive)]
+        match = self._match(ds.infos, patterns)
+        frames = [self._routing(ds, patterns)]
         outputs = []
         for i, p in enumerate(patterns):
+            infos = self._pattern_files(ds, match, i)
+            if not infos:
+                continue
             rules = registry.rules(p)
-            keys = files.filter(F.col("__pattern") == i)
-            rows = pattern_rows(ds, keys)
+            rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
             spec = dict(rules.get("validators") or {})
             if "__corrupt" in rows.columns and "malformed_rows" not in spec:
                 spec["malformed_rows"] = None  # CSV rows that did not parse fail their file
-            f = C.run_checks(rows, spec, key=SOURCE, keys_df=keys, catalog=self.catalog)
-            frames.append(f)
-            outputs.append((p, rows, rules.get("schema")))
-        findings = conform(union_all([f.select(SOURCE, *[c for c in f.columns if c != SOURCE]) for f in frames]),
-                           self.run_id, step, key=SOURCE)
-        findings = self._persist_findings(findings, step)
-        v = verdicts(findings)
-        for p, rows, schema in outputs:
-            good = _passing(rows, v)
-            if schema:
-                good = typed(good, schema)
-            self._write_group(step, p, good)
-        return self._finish(step, findings, v)
+            keys = files_frame(self.spark, infos)
+            frames.append(C.run_checks(rows, spec, key=SOURCE, keys_df=keys, catalog=self.catalog))
+            outputs.append((p, rows, rules.get("schema"), infos))
+        findings, passed = self._record(frames, step)
+        for p, rows, schema, infos in outputs:
+            ok = [f.source for f in infos if f.source in passed]
+            if ok:
+                good = keep_sources(self.spark, rows, ok, len(infos))
+                self._write_group(step, p, typed(good, schema) if schema else good, ok)
+        return self._finish(step, findings, ds, passed)
 
     def dispatch(self, ds: Dataset, mapping: dict[str, str], step: str) -> StepOutput:
         patterns = list(mapping)
-        findings = conform(routing_findings(ds.files, patterns, SOURCE, self.case_sensitive),
-                           self.run_id, step, key=SOURCE)
-        findings = self._persist_findings(findings, step)
-        v = verdicts(findings)
-        files = _pattern_column(ds.files, patterns, self.case_sensitive)
+        match = self._match(ds.infos, patterns)
+        findings, passed = self._record([self._routing(ds, patterns)], step)
         for i, (p, target) in enumerate(mapping.items()):
-            keys = files.filter(F.col("__pattern") == i)
-            rows = pattern_rows(ds, keys)
-            # flatten: target folder + file name (the relative path is kept in _source_path)
+            infos = [f for f in self._pattern_files(ds, match, i) if f.source in passed]
+            if not infos:
+                continue
+            rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
+            # flatten: target folder + file name
             base = F.regexp_extract(SOURCE, r"([^/]+)$", 1)
-            rows = _passing(rows, v).withColumn(SOURCE, F.concat(F.lit(target.rstrip("/") + "/"), base))
-            self._write_group(step, target, rows)
-        return self._finish(step, findings, v)
+            rows = rows.withColumn(SOURCE, F.concat(F.lit(target.rstrip("/") + "/"), base))
+            new = [f"{target.rstrip('/')}/{f.source.rsplit('/', 1)[-1]}" for f in infos]
+            self._write_group(step, target, rows, new)
+        return self._finish(step, findings, ds, passed)
 
     def transform(self, ds: Dataset, registry: Registry, step: str) -> StepOutput:
         patterns = registry.patterns
-        files = _pattern_column(ds.files, patterns, self.case_sensitive)
-        frames = [routing_findings(ds.files, patterns, SOURCE, self.case_sensitive)]
+        match = self._match(ds.infos, patterns)
+        frames = [self._routing(ds, patterns)]
         pending = []
         for i, p in enumerate(patterns):
+            infos = self._pattern_files(ds, match, i)
+            if not infos:
+                continue
             spec = registry.rules(p).get("transforms", [])
-            keys = files.filter(F.col("__pattern") == i)
-            rows = pattern_rows(ds, keys)
+            rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
             report = C.CheckContext(df=rows, key=SOURCE, catalog=self.catalog)
             ctx = TransformContext(catalog=self.catalog, key=SOURCE, run_id=self.run_id, report=report)
             out, log = apply_chain(rows, spec, ctx)
-            # chain status per file: one finding per transform
-            status = keys.select(SOURCE, F.inline(F.array(*[
-                F.struct(F.lit(n).alias("check"), F.lit(None).cast("string").alias("column"),
-                         F.lit("fail" if not ok else "info").alias("severity"), F.lit(ok).alias("passed"),
-                         F.lit(0 if ok else 1).cast("long").alias("n_bad"), F.lit(err).cast("string").alias("message"),
-                         F.lit(None).cast("array<string>").alias("samples"))
-                for n, ok, err in log] or [F.struct(
-                    F.lit("transforms").alias("check"), F.lit(None).cast("string").alias("column"),
-                    F.lit("info").alias("severity"), F.lit(True).alias("passed"), F.lit(0).cast("long").alias("n_bad"),
-                    F.lit(None).cast("string").alias("message"), F.lit(None).cast("array<string>").alias("samples"))])))
-            frames.append(status)
+            keys = files_frame(self.spark, infos)
+            # chain status: one finding per transform and file
+            status = [F.struct(F.lit(n).alias("check"), F.lit(None).cast("string").alias("column"),
+                               F.lit("info" if ok else "fail").alias("severity"), F.lit(ok).alias("passed"),
+                               F.lit(0 if ok else 1).cast("long").alias("n_bad"),
+                               F.lit(err).cast("string").alias("message"),
+                               F.lit(None).cast("array<string>").alias("samples"))
+                      for n, ok, err in log] or [F.struct(
+                          F.lit("transforms").alias("check"), F.lit(None).cast("string").alias("column"),
+                          F.lit("info").alias("severity"), F.lit(True).alias("passed"),
+                          F.lit(0).cast("long").alias("n_bad"), F.lit(None).cast("string").alias("message"),
+                          F.lit(None).cast("array<string>").alias("samples"))]
+            frames.append(keys.select(SOURCE, F.inline(F.array(*status))))
             if all(ok for _, ok, _ in log):
-                pending.append((p, out, ctx, report, keys))
+                pending.append((p, out, ctx, report, keys, infos))
         # write transformed rows first (hidden report columns included), then
         # evaluate the transform reports on the written table
-        for p, out, ctx, report, keys in pending:
-            self._write_group(step, p, out, keep_hidden=True)
-        written = {}
-        for p, out, ctx, report, keys in pending:
-            staged = self.spark.read.parquet(f"{self.staging(step)}/group={_safe(p)}")
-            written[p] = staged
+        staged = {}
+        for p, out, ctx, report, keys, infos in pending:
+            self._write_group(step, p, out, [f.source for f in infos], keep_hidden=True)
+            staged[p] = self.spark.read.parquet(self._group_path(step, p))
             if report._findings or report._samples:
-                report.df = staged
+                report.df = staged[p]
                 frames.append(C.evaluate(report, keys_df=keys))
-        findings = conform(union_all([f.select(SOURCE, "check", "column", "severity", "passed", "n_bad",
-                                               "message", "samples") for f in frames]),
-                           self.run_id, step, key=SOURCE)
-        findings = self._persist_findings(findings, step)
-        v = verdicts(findings)
-        for p, out, ctx, report, keys in pending:
+        findings, passed = self._record(frames, step)
+        for p, out, ctx, report, keys, infos in pending:
+            ok = [f.source for f in infos if f.source in passed]
             for action in ctx.actions:
-                action(_passing(written[p], v))
-        return self._finish(step, findings, v)
-
-    # bookkeeping
-    def _persist_findings(self, findings: DataFrame, step: str) -> DataFrame:
-        path = f"{self.root}/findings/run_id={self.run_id}/step={step}"
-        findings.drop("run_id", "step").write.mode("overwrite").parquet(path)
-        return (self.spark.read.parquet(path)
-                .select(F.lit(self.run_id).alias("run_id"), F.lit(step).alias("step"), "*")
-                .select(*[f.name for f in FINDINGS_SCHEMA.fields]))
-
-    def _finish(self, step: str, findings: DataFrame, v: DataFrame) -> StepOutput:
-        row = v.agg(F.count(F.lit(1)).alias("n"), F.count_if("passed").alias("ok")).first()
-        summary = {"files": row["n"], "passed": row["ok"], "failed": row["n"] - row["ok"]}
-        out = StepOutput(step=step, findings=findings, path=self.staging(step), summary=summary)
-        self.outputs.append(out)
-        if row["n"] == 0:
-            raise NoInputFilesError(step, self.staging(step))
-        if row["ok"] == 0:
-            raise AllFilesFailedError(f"[{step}] all {row['n']} file(s) failed")
-        return out
-
-    def findings(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/findings/run_id={self.run_id}") \
-            .withColumn("run_id", F.lit(self.run_id))
+                action(keep_sources(self.spark, staged[p], ok, len(infos)))
+        return self._finish(step, findings, ds, passed)
 
     def aggregate(self, ds: Dataset, registry: Registry, step: str) -> StepOutput:
         """(X6) per pattern: ``groupBy(group_by).agg(...)`` over the pattern's files.
 
-        The aggregate of a pattern keeps one output per source file when
-        ``_source_file`` is in ``group_by``; otherwise all files of the pattern
-        are combined (partial aggregation runs map-side either way).
+        With ``_source_file`` in ``group_by`` there is one result per file;
+        otherwise all files of the pattern are combined (partial aggregation
+        runs map-side either way).
         """
         patterns = registry.patterns
-        files = _pattern_column(ds.files, patterns, self.case_sensitive)
-        frames = [routing_findings(ds.files, patterns, SOURCE, self.case_sensitive)]
+        match = self._match(ds.infos, patterns)
+        frames = [self._routing(ds, patterns)]
         outs = []
         for i, p in enumerate(patterns):
+            infos = self._pattern_files(ds, match, i)
+            if not infos:
+                continue
             rules = registry.rules(p)
-            keys = files.filter(F.col("__pattern") == i)
-            rows = pattern_rows(ds, keys)
+            rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
             try:
-                out = aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"]))
+                outs.append((p, aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"])), infos))
                 ok, err = True, None
-                outs.append((p, out))
             except RegistryError as e:
                 ok, err = False, str(e)
-            frames.append(keys.select(SOURCE, F.lit("aggregate").alias("check"), F.lit(None).cast("string").alias("column"),
-                                      F.lit("fail").alias("severity"), F.lit(ok).alias("passed"),
-                                      F.lit(0 if ok else 1).cast("long").alias("n_bad"),
-                                      F.lit(err).cast("string").alias("message"),
-                                      F.lit(None).cast("array<string>").alias("samples")))
-        findings = conform(union_all(frames), self.run_id, step, key=SOURCE)
-        findings = self._persist_findings(findings, step)
-        v = verdicts(findings)
-        for p, out in outs:
+            frames.append(files_frame(self.spark, infos).select(
+                SOURCE, F.lit("aggregate").alias("check"), F.lit(None).cast("string").alias("column"),
+                F.lit("fail").alias("severity"), F.lit(ok).alias("passed"),
+                F.lit(0 if ok else 1).cast("long").alias("n_bad"), F.lit(err).cast("string").alias("message"),
+                F.lit(None).cast("array<string>").alias("samples")))
+        findings, passed = self._record(frames, step)
+        for p, out, infos in outs:
+            ok = [f.source for f in infos if f.source in passed]
             if SOURCE in out.columns:
-                out = _passing(out, v)
-            self._write_group(step, p, out)
-        return self._finish(step, findings, v)
+                out = keep_sources(self.spark, out, ok, len(infos))
+                self._write_group(step, p, out, ok)
+            elif ok:
+                self._write_group(step, p, out.withColumn(SOURCE, F.lit(_safe(p))), [_safe(p)])
+        return self._finish(step, findings, ds, passed)
+
+    # ------------------------------------------------------------ bookkeeping
+    def _record(self, frames: list[DataFrame], step: str) -> tuple[DataFrame, set[str]]:
+        """Write the step's findings; return them and the set of passing files.
+
+        The verdicts (one row per file) are the only thing collected.
+        """
+        cols = [SOURCE, "check", "column", "severity", "passed", "n_bad", "message", "samples"]
+        findings = conform(union_all([f.select(*cols) for f in frames]), self.run_id, step, key=SOURCE)
+        path = f"{self.root}/findings/run_id={self.run_id}/step={step}"
+        findings.drop("run_id", "step").write.mode("overwrite").parquet(path)
+        stored = (self.spark.read.parquet(path)
+                  .select(F.lit(self.run_id).alias("run_id"), F.lit(step).alias("step"), "*")
+                  .select(*[f.name for f in FINDINGS_SCHEMA.fields]))
+        verdict = (stored.groupBy("source_file")
+                   .agg(F.bool_and(F.coalesce(F.col("passed"), F.lit(False))).alias("ok")).collect())
+        return stored, {r["source_file"] for r in verdict if r["ok"]}
+
+    def _finish(self, step: str, findings: DataFrame, ds: Dataset, passed: set[str]) -> StepOutput:
+        n = len(ds.infos)
+        ok = sorted(f.source for f in ds.infos if f.source in passed)
+        out = StepOutput(step=step, findings=findings, path=self.staging(step),
+                         summary={"files": n, "passed": len(ok), "failed": n - len(ok)}, passed=ok)
+        self.outputs.append(out)
+        if n == 0:
+            raise NoInputFilesError(step, self.staging(step))
+        if not ok:
+            raise AllFilesFailedError(f"[{step}] all {n} file(s) failed")
+        return out
+
+    def findings(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/findings/run_id={self.run_id}") \
+            .withColumn("run_id", F.lit(self.run_id))
+
+    def land(self, ds: Dataset, patterns: list[str], path: str) -> Dataset:
+        """Write the raw rows once as Parquet, partitioned by first-step pattern.
+
+        CSV text is parsed exactly once here; every later check of the first
+        step reads the columnar copy (only the columns it needs, only the
+        partition of its pattern). The landing doubles as the run's backup.
+        """
+        match = self._match(ds.infos, patterns)
+        keymap = self.spark.createDataFrame(sorted(match.items()), f"{SOURCE} string, __p int")
+        if len(match) <= MAX_BROADCAST_FILES:
+            keymap = F.broadcast(keymap)
+        ds.df.join(keymap, SOURCE, "left").write.mode("overwrite").partitionBy("__p").parquet(path)
+        landed = self.spark.read.parquet(path)
+        count_p: dict[int, int] = {}
+        for i in match.values():
+            count_p[i] = count_p.get(i, 0) + 1
+        spark = self.spark
+
+        def rows_of(sources: list[str]) -> DataFrame:
+            mine = [s for s in sources if s in match]
+            parts = sorted({match[s] for s in mine})
+            if not parts:
+                return spark.createDataFrame([], f"{SOURCE} string")
+            df = landed.filter(F.col("__p").isin(parts))  # partition pruning
+            return keep_sources(spark, df, mine, sum(count_p[i] for i in parts)).drop("__p")
+
+        return Dataset(df=landed.drop("__p"), files=ds.files, reader=rows_of, infos=ds.infos)
 
     def clear_input(self, input_root: str) -> int:
         """(R4, R7) remove the input files once the run is delivered; returns count.
@@ -348,28 +399,37 @@ class Preboarding:
         ``clear_input`` removes the input files after the last step
         delivered (not when a step failed for all files).
         """
+        regs = [(name, kind, reg if isinstance(reg, Registry) else Registry(reg, kind=kind))
+                for name, kind, reg in steps]  # every registry compiles before any read
         ds = read_drop(self.spark, input_root, sep=self.sep)
-        self._input_paths = [r["path"] for r in ds.files.select("path").collect()]
-        if backup_root:
-            backup(ds.df, backup_root, self.run_id)
+        self._input_paths = [f.path for f in ds.infos if f.path]
+        has_csv = any(f.format == "csv" for f in ds.infos)
+        if (has_csv or backup_root) and regs:
+            # land once: CSV is parsed a single time; the landing is the backup
+            path = (f"{backup_root.rstrip('/')}/run_id={self.run_id}" if backup_root
+                    else f"{self.root}/staging/run_id={self.run_id}/_landing")
+            ds = self.land(ds, regs[0][2].patterns, path)
         completed = True
-        for name, kind, reg in steps:
-            reg = reg if isinstance(reg, Registry) else Registry(reg, kind=kind)
+        for name, kind, reg in regs:
+            t0 = time.perf_counter()
             try:
                 if kind == "validate":
-                    self.validate(ds, reg, name)
+                    out = self.validate(ds, reg, name)
                 elif kind == "transform":
-                    self.transform(ds, reg, name)
+                    out = self.transform(ds, reg, name)
                 elif kind == "dispatch":
-                    self.dispatch(ds, reg.targets, name)
+                    out = self.dispatch(ds, reg.targets, name)
                 elif kind == "aggregate":
-                    self.aggregate(ds, reg, name)
+                    out = self.aggregate(ds, reg, name)
                 else:
                     raise RegistryError(f"unknown step kind '{kind}'")
             except AllFilesFailedError:
                 completed = False
                 break
-            ds = self.read_step(name)
+            finally:
+                self.timings[name] = round(time.perf_counter() - t0, 3)
+            # transformed rows of failing files were written for their report
+            ds = self.read_step(name, only=out.passed if kind == "transform" else None)
         if clear_input and completed:
             self.clear_input(input_root)
         return self.outputs

@@ -415,6 +415,13 @@ def aggregate_by_registry(spark, sf):
                      {"l_quantity": "sum", "l_extendedprice": "mean", "l_tax": "count"}, round_to=2)
 
 
+def preboarding_run(spark, sf):
+    """The full run (land → validate → route → enrich → validate → deliver) over
+    lineitem written as a CSV drop; returns the delivered rows."""
+    from dropgate.plans import lineitem_run
+    return lineitem_run.preboarding_run(spark, sf)
+
+
 def stream_validate(spark, sf):
     """lineitem arriving as a file stream, validated per micro-batch."""
     from dropgate.streaming.incremental import validate_stream
@@ -480,6 +487,7 @@ QUERIES = {
     "findings_report": findings_report,
     "aggregate_by_registry": aggregate_by_registry,
     "stream_validate": stream_validate,
+    "preboarding_run": preboarding_run,
 }
 
 
@@ -649,6 +657,13 @@ ORACLE_SQL = {
                count(*) FILTER (WHERE l_quantity > 45) = 0, count(*) FILTER (WHERE l_quantity > 45) FROM lineitem
         UNION ALL SELECT 'lineitem.parquet', 'check_null_values', 'l_shipdate',
                count(*) FILTER (WHERE l_shipdate IS NULL) = 0, count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem""",
+    "preboarding_run": """
+        SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, l.l_extendedprice,
+               l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus,
+               upper(trim(p.p_name)) AS p_name, upper(p.p_brand) AS p_brand,
+               l.l_extendedprice * l.l_quantity AS total_sales, 'DELIVERY/' || l.l_returnflag AS target
+        FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
+        WHERE l.l_returnflag IN ('A', 'N')""",
     "aggregate_by_registry": """
         SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS l_quantity,
                round(avg(l_extendedprice), 2) AS l_extendedprice, count(l_tax) AS l_tax

@@ -33,6 +33,24 @@ CORRUPT = "__corrupt"
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
 
 
+@dataclass
+class FileInfo:
+    """Driver-side metadata of one input file (bytes per file, like Spark's file index)."""
+
+    source: str
+    path: str | None = None
+    size: int | None = None
+    columns: list[str] | None = None
+    format: str | None = None
+
+
+def files_frame(spark: SparkSession, infos: list[FileInfo]) -> DataFrame:
+    """The file table as a local relation: ``_source_file, path, size, __columns``."""
+    return spark.createDataFrame(
+        [(f.source, f.path, f.size, list(f.columns or [])) for f in infos],
+        f"{SOURCE} string, path string, size long, {COLUMNS} array<string>")
+
+
 @dataclass
 class Dataset:
     """Rows of all files of one dataset + one row per file.
@@ -47,6 +65,8 @@ class Dataset:
     key: str = SOURCE
     # rows of the given source files only, reading nothing else
     reader: Callable[[list[str]], DataFrame] | None = None
+    # the same file table on the driver (one entry per file)
+    infos: list[FileInfo] | None = None
 
     def rows_of(self, sources: list[str]) -> DataFrame:
         """Rows of ``sources`` only. With a reader only their files are scanned."""
@@ -88,14 +108,14 @@ def relative_path(col: Column, root: str) -> Column:
     return F.regexp_extract(col, _rel_regex(root), 1)
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = None,
-               recursive: bool = True) -> DataFrame:
-    """``_source_file, path, size, modified, format`` for every file under root.
+def list_file_infos(spark: SparkSession, root: str, glob: str | None = None,
+                    recursive: bool = True) -> list[FileInfo]:
+    """Every file under ``root`` with its relative name, size and format.
 
     Listed through the Hadoop FileSystem API, as Spark's own file index
     does, so zero-length files are included (file sources make no split for
-    them, so they would never show up as rows). Hidden files (``_*``, ``.*``)
-    are skipped like Spark does. The listing is metadata, one row per file.
+    them, so they would never show up as rows). Hidden files and folders
+    (``_*``, ``.*``) are skipped like Spark does.
     """
     import fnmatch as _fn
 
@@ -103,29 +123,31 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None,
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(conf)
-    rows = []
-    if fs.exists(base):
-        it = fs.listFiles(base, recursive)
-        while it.hasNext():
-            st = it.next()
-            p = st.getPath()
-            name = p.getName()
-            rel_parts = str(p.toUri().getPath())
-            if name.startswith(("_", ".")) or "/_" in rel_parts.split(_strip_scheme(root), 1)[-1] \
-                    or "/." in rel_parts.split(_strip_scheme(root), 1)[-1]:
-                continue
-            if glob and not _fn.fnmatch(name, glob):
-                continue
-            rows.append((str(p.toString()), int(st.getLen()), int(st.getModificationTime())))
-    df = spark.createDataFrame(rows, "path string, length long, modificationTime long")
-    ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
-    fmt = F.lit(None).cast("string")
-    for suffix, name in FORMATS.items():
-        fmt = F.when(ext == suffix, F.lit(name)).otherwise(fmt)
-    return df.select(relative_path(F.col("path"), root).alias(SOURCE), "path",
-                     F.col("length").alias("size"),
-                     F.timestamp_millis("modificationTime").alias("modified"),
-                     fmt.alias("format"))
+    out: list[FileInfo] = []
+    if not fs.exists(base):
+        return out
+    it = fs.listFiles(base, recursive)
+    while it.hasNext():
+        st = it.next()
+        path = str(st.getPath().toString())
+        rel = relative_name(path, root)
+        # Spark's rule: hidden unless a "_" name is a partition folder (k=v)
+        if any(part.startswith(".") or (part.startswith("_") and "=" not in part) for part in rel.split("/")):
+            continue
+        if glob and not _fn.fnmatch(rel.rsplit("/", 1)[-1], glob):
+            continue
+        m = re.search(r"(\.[^./]+)$", path)
+        fmt = FORMATS.get(m.group(1).lower()) if m else None
+        out.append(FileInfo(source=rel, path=path, size=int(st.getLen()), format=fmt))
+    return sorted(out, key=lambda f: f.source)
+
+
+def list_files(spark: SparkSession, root: str, glob: str | None = None,
+               recursive: bool = True) -> DataFrame:
+    """``_source_file, path, size, format`` for every file under root (local relation)."""
+    infos = list_file_infos(spark, root, glob, recursive)
+    return spark.createDataFrame([(f.source, f.path, f.size, f.format) for f in infos],
+                                 f"{SOURCE} string, path string, size long, format string")
 
 
 # Bytes read at most to find a file's header line; a longer first line is an
@@ -149,6 +171,23 @@ def _first_line(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def header_names(line: str | None, sep: str) -> list[str] | None:
+    """Column names of a CSV header line (BOM and surrounding quotes removed)."""
+    if line is None:
+        return None
+    line = line.lstrip("\ufeff")
+    return [re.sub(r'^"|"$', "", x) for x in line.split(sep)]
+
+
+def read_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> dict[str, list[str] | None]:
+    """path -> header names, reading only the first line of each file."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
+    return {p: header_names(line, sep) for p, line in zip(paths, lines)}
+
+
 def csv_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> DataFrame:
     """``path, header`` (array<string>) per non-empty CSV file.
 
@@ -168,31 +207,25 @@ def csv_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> DataFr
     return df.filter(F.col("line").isNotNull()).select("path", names.alias("header"))
 
 
-def _file_frame(files: DataFrame, headers: DataFrame | None, default_columns: list[str] | None) -> DataFrame:
-    if headers is not None:
-        f = files.join(headers, "path", "left").withColumn(
-            COLUMNS, F.coalesce(F.col("header"), F.array().cast("array<string>"))).drop("header")
-    else:
-        f = files.withColumn(COLUMNS, F.array(*[F.lit(c) for c in (default_columns or [])]).cast("array<string>"))
-    return f.select(SOURCE, "path", "size", COLUMNS)
-
-
-def read_csv_files(spark: SparkSession, root: str, files: DataFrame, sep: str = ";",
+def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: str = ";",
                    keep_corrupt: bool = True) -> Dataset:
-    """Read the CSV files listed in ``files`` (see ``list_files``) as one Dataset.
+    """Read the CSV files of ``infos`` as one Dataset.
 
-    The file list and the distinct headers are driver-side metadata (one
-    entry per file / per header variant), like Spark's own file index.
-    ``Dataset.rows_of`` re-reads only the requested files.
+    Files are grouped by header (read from each file's first line) and every
+    group is read with its own all-string schema, so columns are matched by
+    name, never by position. ``Dataset.rows_of`` re-reads only the requested
+    files.
     """
-    csv_files = files.filter(F.col("format") == "csv")
-    meta = csv_files.select("path", "size").collect()
-    non_empty = [r["path"] for r in meta if r["size"] > 0]
-    headers = csv_headers(spark, non_empty, sep) if non_empty else None
+    csv = [f for f in infos if f.format == "csv"]
+    heads = read_headers(spark, [f.path for f in csv if (f.size or 0) > 0], sep)
     groups: dict[tuple, list[str]] = {}
-    if headers is not None:
-        for r in headers.collect():
-            groups.setdefault(tuple(r["header"]), []).append(r["path"])
+    out_infos = []
+    for f in csv:
+        cols = heads.get(f.path)
+        out_infos.append(FileInfo(f.source, f.path, f.size, list(cols or []), f.format))
+        if cols:
+            groups.setdefault(tuple(cols), []).append(f.path)
+    src_of = {f.path: f.source for f in csv}
 
     def read_group(header: tuple, paths: list[str]) -> DataFrame:
         fields = [T.StructField(c, T.StringType()) for c in header]
@@ -206,22 +239,20 @@ def read_csv_files(spark: SparkSession, root: str, files: DataFrame, sep: str =
 
     def rows_of(sources: list[str]) -> DataFrame:
         wanted = set(sources)
-        parts = []
-        for header, paths in groups.items():
-            mine = [p for p in paths if relative_name(p, root) in wanted]
-            if mine:
-                parts.append(read_group(header, mine))
+        parts = [read_group(h, mine) for h, ps in groups.items()
+                 if (mine := [p for p in ps if src_of[p] in wanted])]
         return union_by_name(parts, spark)
 
     df = union_by_name([read_group(h, p) for h, p in groups.items()], spark)
-    return Dataset(df=df, files=_file_frame(csv_files, headers, None), reader=rows_of)
+    return Dataset(df=df, files=files_frame(spark, out_infos), reader=rows_of, infos=out_infos)
 
 
-def read_parquet_files(spark: SparkSession, root: str, files: DataFrame) -> Dataset:
-    pq = files.filter(F.col("format") == "parquet")
-    paths = [r["path"] for r in pq.select("path").collect()]
-    if not paths:
-        return Dataset(df=_empty_rows(spark), files=_file_frame(pq, None, []), reader=lambda s: _empty_rows(spark))
+def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) -> Dataset:
+    pq = [f for f in infos if f.format == "parquet"]
+    if not pq:
+        return Dataset(df=_empty_rows(spark), files=files_frame(spark, []), reader=lambda s: _empty_rows(spark),
+                       infos=[])
+    src_of = {f.path: f.source for f in pq}
 
     def read(ps: list[str]) -> DataFrame:
         df = spark.read.option("mergeSchema", "true").parquet(*ps)
@@ -229,28 +260,32 @@ def read_parquet_files(spark: SparkSession, root: str, files: DataFrame) -> Data
 
     def rows_of(sources: list[str]) -> DataFrame:
         wanted = set(sources)
-        mine = [p for p in paths if relative_name(p, root) in wanted]
+        mine = [p for p in src_of if src_of[p] in wanted]
         return read(mine) if mine else _empty_rows(spark)
 
-    df = read(paths)
+    df = read(list(src_of))
     cols = [c for c in df.columns if c != SOURCE]
-    return Dataset(df=df, files=_file_frame(pq, None, cols), reader=rows_of)
+    out_infos = [FileInfo(f.source, f.path, f.size, cols, f.format) for f in pq]
+    return Dataset(df=df, files=files_frame(spark, out_infos), reader=rows_of, infos=out_infos)
 
 
 def read_drop(spark: SparkSession, root: str, glob: str | None = None, sep: str = ";",
               recursive: bool = True) -> Dataset:
-    """All CSV and Parquet files under ``root`` as one Dataset."""
-    files = list_files(spark, root, glob, recursive)
-    parts = [read_csv_files(spark, root, files, sep), read_parquet_files(spark, root, files)]
+    """All CSV and Parquet files under ``root`` as one Dataset.
+
+    Files of other formats are kept in the file table (with no columns), so
+    they get a verdict too.
+    """
+    infos = list_file_infos(spark, root, glob, recursive)
+    parts = [read_csv_files(spark, root, infos, sep), read_parquet_files(spark, root, infos)]
     df = parts[0].df.unionByName(parts[1].df, allowMissingColumns=True)
-    unknown = files.filter(F.col("format").isNull()).select(
-        SOURCE, "path", "size", F.array().cast("array<string>").alias(COLUMNS))
-    f = parts[0].files.unionByName(parts[1].files).unionByName(unknown)
+    other = [FileInfo(f.source, f.path, f.size, [], f.format) for f in infos if f.format is None]
+    all_infos = sorted(parts[0].infos + parts[1].infos + other, key=lambda f: f.source)
 
     def rows_of(sources: list[str]) -> DataFrame:
         return union_by_name([p.rows_of(sources) for p in parts], spark)
 
-    return Dataset(df=df, files=f, reader=rows_of)
+    return Dataset(df=df, files=files_frame(spark, all_infos), reader=rows_of, infos=all_infos)
 
 
 def typed(df: DataFrame, schema: dict[str, str]) -> DataFrame:
