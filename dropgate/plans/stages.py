@@ -10,9 +10,12 @@ file has, which files passed) is a few bytes per file and is kept on the
 driver, like Spark's own file index; Spark only sees it as small local
 relations in joins, so no job is spent scanning one-row-per-file tables.
 
-Every step writes its output (and its findings) to shared storage and the
-next step reads that table, so lineage is cut at each step and a lost
-executor only re-runs tasks of the current step. Every write replaces a
+Data is written where it changes: once at landing (CSV parsed once), after
+transforms (values change; also cuts lineage before re-validation) and at
+delivery. Validation and intermediate routing change no values, so their
+outputs are lazy views (a filter / rename over the last written table):
+no copy of the data, and a short narrow lineage to recompute after an
+executor loss. Findings of every step are written. Every write replaces a
 path owned by (run, step, group), so a re-run step is idempotent.
 """
 
@@ -129,6 +132,7 @@ class Preboarding:
         self.timings: dict[str, float] = {}
         self._input_paths: list[str] = []
         self._written: dict[str, dict[str, tuple[list[str], list[str]]]] = {}
+        self._views: dict[str, Dataset] = {}
 
     # ------------------------------------------------------------ paths / io
     def staging(self, step: str) -> str:
@@ -150,6 +154,14 @@ class Preboarding:
 
         ``rows_of`` reads only the group folders that hold the requested files.
         """
+        if step in self._views:
+            view = self._views[step]
+            if only is None:
+                return view
+            keep = set(only)
+            infos = [f for f in view.infos if f.source in keep]
+            return Dataset(df=view.rows_of([f.source for f in infos]), files=files_frame(self.spark, infos),
+                           reader=view.reader, infos=infos)
         groups = self._written.get(step, {})
         wanted = set(only) if only is not None else None
         members: dict[str, str] = {}
@@ -193,7 +205,13 @@ class Preboarding:
         return [f for f in ds.infos if match[f.source] == i]
 
     # ------------------------------------------------------------ steps
-    def validate(self, ds: Dataset, registry: Registry, step: str) -> StepOutput:
+    def validate(self, ds: Dataset, registry: Registry, step: str, materialize: bool = False) -> StepOutput:
+        """Run a validation registry; passing files go on.
+
+        Without ``materialize`` the step's output is a lazy view (rows of the
+        passing files of the previous table, typed by the pattern's schema):
+        validation changes no values, so copying the data would only cost I/O.
+        """
         patterns = registry.patterns
         match = self._match(ds.infos, patterns)
         frames = [self._routing(ds, patterns)]
@@ -211,17 +229,52 @@ class Preboarding:
             frames.append(C.run_checks(rows, spec, key=SOURCE, keys_df=keys, catalog=self.catalog))
             outputs.append((p, rows, rules.get("schema"), infos))
         findings, passed = self._record(frames, step)
-        for p, rows, schema, infos in outputs:
-            ok = [f.source for f in infos if f.source in passed]
-            if ok:
-                good = keep_sources(self.spark, rows, ok, len(infos))
-                self._write_group(step, p, typed(good, schema) if schema else good, ok)
+        if not materialize:
+            self._views[step] = self._validated_view(ds, outputs, passed)
+        else:
+            for p, rows, schema, infos in outputs:
+                ok = [f.source for f in infos if f.source in passed]
+                if ok:
+                    good = keep_sources(self.spark, rows, ok, len(infos))
+                    self._write_group(step, p, typed(good, schema) if schema else good, ok)
         return self._finish(step, findings, ds, passed)
 
-    def dispatch(self, ds: Dataset, mapping: dict[str, str], step: str) -> StepOutput:
+    def _validated_view(self, ds: Dataset, outputs: list, passed: set[str]) -> Dataset:
+        spark = self.spark
+        part_of, schema_of, infos_of, out_infos = {}, {}, {}, []
+        for p, _, schema, infos in outputs:
+            ok = [f for f in infos if f.source in passed]
+            schema_of[p], infos_of[p] = schema, ok
+            for f in ok:
+                part_of[f.source] = p
+                out_infos.append(f)
+
+        def rows_of(sources: list[str]) -> DataFrame:
+            by_p: dict[str, list[str]] = {}
+            for s_ in sources:
+                if s_ in part_of:
+                    by_p.setdefault(part_of[s_], []).append(s_)
+            parts = []
+            for p, srcs in by_p.items():
+                rows = own_columns(ds.rows_of(srcs), infos_of[p])
+                parts.append(typed(rows, schema_of[p]) if schema_of[p] else rows)
+            return union_all_by_name(parts) if parts else spark.createDataFrame([], f"{SOURCE} string")
+
+        return Dataset(df=rows_of([f.source for f in out_infos]), files=files_frame(spark, out_infos),
+                       reader=rows_of, infos=out_infos)
+
+    def dispatch(self, ds: Dataset, mapping: dict[str, str], step: str, materialize: bool = True) -> StepOutput:
+        """Route files to target folders (flattened to ``target/file name``).
+
+        ``materialize`` writes the routed rows (delivery); otherwise the step
+        is a zero-copy view that renames ``_source_file`` on read.
+        """
         patterns = list(mapping)
         match = self._match(ds.infos, patterns)
         findings, passed = self._record([self._routing(ds, patterns)], step)
+        if not materialize:
+            self._views[step] = self._routed_view(ds, mapping, match, passed)
+            return self._finish(step, findings, ds, passed)
         for i, (p, target) in enumerate(mapping.items()):
             infos = [f for f in self._pattern_files(ds, match, i) if f.source in passed]
             if not infos:
@@ -234,6 +287,35 @@ class Preboarding:
             self._write_group(step, target, rows, new)
         return self._finish(step, findings, ds, passed)
 
+    def _routed_view(self, ds: Dataset, mapping: dict[str, str], match: dict[str, int],
+                     passed: set[str]) -> Dataset:
+        spark = self.spark
+        targets = list(mapping.values())
+        old_of, target_of, out_infos = {}, {}, []
+        for f in ds.infos:
+            i = match[f.source]
+            if i < 0 or f.source not in passed:
+                continue
+            new = f"{targets[i].rstrip('/')}/{f.source.rsplit('/', 1)[-1]}"
+            old_of[new], target_of[new] = f.source, targets[i]
+            out_infos.append(FileInfo(source=new, columns=f.columns, format=f.format))
+        infos_by_old = {f.source: f for f in ds.infos}
+
+        def rows_of(sources: list[str]) -> DataFrame:
+            by_t: dict[str, list[str]] = {}
+            for s_ in sources:
+                if s_ in old_of:
+                    by_t.setdefault(target_of[s_], []).append(old_of[s_])
+            parts = []
+            base = F.regexp_extract(SOURCE, r"([^/]+)$", 1)
+            for t, olds in by_t.items():
+                rows = own_columns(ds.rows_of(olds), [infos_by_old[o] for o in olds])
+                parts.append(rows.withColumn(SOURCE, F.concat(F.lit(t.rstrip("/") + "/"), base)))
+            return union_all_by_name(parts) if parts else spark.createDataFrame([], f"{SOURCE} string")
+
+        return Dataset(df=rows_of([f.source for f in out_infos]), files=files_frame(spark, out_infos),
+                       reader=rows_of, infos=out_infos)
+
     def transform(self, ds: Dataset, registry: Registry, step: str) -> StepOutput:
         patterns = registry.patterns
         match = self._match(ds.infos, patterns)
@@ -410,15 +492,19 @@ class Preboarding:
                     else f"{self.root}/staging/run_id={self.run_id}/_landing")
             ds = self.land(ds, regs[0][2].patterns, path)
         completed = True
-        for name, kind, reg in regs:
+        last = len(regs) - 1
+        for k, (name, kind, reg) in enumerate(regs):
             t0 = time.perf_counter()
+            # the last step's output is the delivery and is written; earlier
+            # validation / routing steps change no values and stay lazy views
+            final = k == last
             try:
                 if kind == "validate":
-                    out = self.validate(ds, reg, name)
+                    out = self.validate(ds, reg, name, materialize=final)
                 elif kind == "transform":
                     out = self.transform(ds, reg, name)
                 elif kind == "dispatch":
-                    out = self.dispatch(ds, reg.targets, name)
+                    out = self.dispatch(ds, reg.targets, name, materialize=final)
                 elif kind == "aggregate":
                     out = self.aggregate(ds, reg, name)
                 else:
