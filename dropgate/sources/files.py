@@ -103,9 +103,23 @@ def relative_name(path: str, root: str) -> str:
     return m.group(1) if m else ""
 
 
-def relative_path(col: Column, root: str) -> Column:
-    """Path of ``col`` relative to ``root`` (scheme and leading slashes ignored)."""
-    return F.regexp_extract(col, _rel_regex(root), 1)
+def relative_path(col: Column, root: str, prefix: str | None = None) -> Column:
+    """Path of ``col`` relative to ``root`` (scheme and leading slashes ignored).
+
+    With ``prefix`` (the literal text before the relative part, as the file
+    listing shows it) a plain ``substring`` does the work per row; the regex
+    is only the fallback for paths that do not start with it.
+    """
+    rx = F.regexp_extract(col, _rel_regex(root), 1)
+    if not prefix:
+        return rx
+    return F.when(col.startswith(prefix), F.substring(col, len(prefix) + 1, 1 << 20)).otherwise(rx)
+
+
+def common_prefix(infos: list["FileInfo"]) -> str | None:
+    """The listing-path text before the relative name, if all files share it."""
+    prefixes = {f.path[: len(f.path) - len(f.source)] for f in infos if f.path and f.path.endswith(f.source)}
+    return prefixes.pop() if len(prefixes) == 1 else None
 
 
 def list_file_infos(spark: SparkSession, root: str, glob: str | None = None,
@@ -226,6 +240,7 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
         if cols:
             groups.setdefault(tuple(cols), []).append(f.path)
     src_of = {f.path: f.source for f in csv}
+    prefix = common_prefix(csv)
 
     def read_group(header: tuple, paths: list[str]) -> DataFrame:
         fields = [T.StructField(c, T.StringType()) for c in header]
@@ -235,7 +250,7 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
                   .option("mode", "PERMISSIVE").option("enforceSchema", "true"))
         if keep_corrupt:
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        return reader.csv(paths).withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root))
+        return reader.csv(paths).withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root, prefix))
 
     def rows_of(sources: list[str]) -> DataFrame:
         wanted = set(sources)
@@ -253,10 +268,11 @@ def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) ->
         return Dataset(df=_empty_rows(spark), files=files_frame(spark, []), reader=lambda s: _empty_rows(spark),
                        infos=[])
     src_of = {f.path: f.source for f in pq}
+    prefix = common_prefix(pq)
 
     def read(ps: list[str]) -> DataFrame:
         df = spark.read.option("mergeSchema", "true").parquet(*ps)
-        return df.withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root))
+        return df.withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root, prefix))
 
     def rows_of(sources: list[str]) -> DataFrame:
         wanted = set(sources)
