@@ -396,8 +396,8 @@ def missing_ids(df: DataFrame, id_col: str, master: DataFrame, master_col: str,
     """
     g = ([key] if key else [])
     ids = df.select(*g, F.col(id_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()).distinct()
-    m = master.select(F.col(master_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()).distinct()
-    m, _ = joins.maybe_broadcast(m)
+    m = joins.broadcast_distinct(
+        master.select(F.col(master_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()))
     return ids.join(m, "missing_id", "left_anti")
 
 
@@ -443,8 +443,7 @@ def key_overlap(left: DataFrame, right: DataFrame, key_columns: list[str],
     """
     g = [key] if key else []
     lk = left.select(*g, *key_columns).distinct()
-    rk = right.select(*key_columns).distinct().withColumn("__hit", F.lit(True))
-    rk, _ = joins.maybe_broadcast(rk)
+    rk = joins.broadcast_distinct(right.select(*key_columns)).withColumn("__hit", F.lit(True))
     j = lk.join(rk, key_columns, "left")
     agg = [F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("__hit")).alias("n_matched"),
            F.count_if(F.col("__hit").isNull()).alias("n_unmatched")]

@@ -4,8 +4,8 @@
   ``max_rows + 1`` rows per partition), so a broadcast hint is only ever put
   on a side whose size is checked.
 * ``hot_keys`` finds keys that hold more than a fraction of a side's rows
-  with a partial (map-side combined) aggregate; the result is bounded by
-  ``1 / fraction`` rows, so collecting it is safe.
+  with one pass of a frequent-items sketch (``approx_top_k``, combined
+  map-side); the result is bounded by ``1 / fraction`` values.
 * ``left_join`` picks: broadcast hash join for a proven-small right side,
   else a sort-merge join where hot left keys are salted over several tasks
   (the right rows of those keys are replicated per salt). AQE's skew-join
@@ -46,20 +46,42 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[
     return df, False
 
 
-def hot_keys(df: DataFrame, keys: list[str], fraction: float = HOT_KEY_FRACTION) -> list[tuple]:
-    """Keys holding more than ``fraction`` of the rows (at most 1/fraction of them)."""
-    total = df.count()
-    threshold = max(int(total * fraction), 1)
-    rows = (df.select(*keys).filter(all_not_null(keys))
-            .groupBy(*keys).count().filter(F.col("count") > threshold)
-            .limit(int(1 / fraction) + 1).collect())
-    return [tuple(r[k] for k in keys) for r in rows]
+def _key_expr(keys: list[str]) -> Column:
+    """One comparable value per key tuple (multi-column keys as text)."""
+    if len(keys) == 1:
+        return F.col(keys[0])
+    return F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys])
 
 
-def _key_in(keys: list[str], values: list[tuple]) -> Column:
-    if len(keys) == 1:
-        return F.col(keys[0]).isin([v[0] for v in values])
-    return F.struct(*[F.col(k) for k in keys]).isin([F.struct(*[F.lit(x) for x in v]) for v in values])
+def broadcast_distinct(raw: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``raw.distinct()``, broadcast when ``raw`` itself is proven small.
+
+    The bound is checked on the projected input rows (distinct ≤ input), so
+    the check never has to run the distinct's shuffle.
+    """
+    small = max_rows > 0 and bounded_count(raw, max_rows) is not None
+    d = raw.distinct()
+    return F.broadcast(d) if small else d
+
+
+def hot_keys(df: DataFrame, keys: list[str], fraction: float = HOT_KEY_FRACTION) -> list:
+    """Key values holding more than ``fraction`` of the rows.
+
+    One pass with Spark's ``approx_top_k`` frequent-items sketch (merged
+    map-side, so nothing like a full group-by is shuffled); the result is
+    bounded by ``1 / fraction`` values. A false positive only salts one more
+    key; a missed key is still split by AQE's skew join.
+    """
+    k = int(1 / fraction)
+    row = (df.filter(all_not_null(keys)).select(_key_expr(keys).alias("__hk"))
+           .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(__hk, {k}, {4 * k})").alias("top"))
+           .first())
+    threshold = max(int(row["n"] * fraction), 1)
+    return [t["item"] for t in (row["top"] or []) if t["count"] > threshold]
+
+
+def _key_in(keys: list[str], values: list) -> Column:
+    return _key_expr(keys).isin(list(values))
 
 
 def left_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
@@ -101,5 +123,4 @@ def left_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key
 def semi_join_small(df: DataFrame, keys_df: DataFrame, on: list[str], how: str = "left_semi",
                     max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Semi / anti join on a key list that is usually small (e.g. passing files)."""
-    k, _ = maybe_broadcast(keys_df.select(*on).distinct(), max_broadcast_rows)
-    return df.join(k, on=on, how=how)
+    return df.join(broadcast_distinct(keys_df.select(*on), max_broadcast_rows), on=on, how=how)

@@ -17,8 +17,7 @@ def new_ids(ids: DataFrame, existing: DataFrame | None, id_col: str, out_col: st
     d = ids.select(F.col(id_col).alias(out_col)).filter(F.col(out_col).isNotNull()).distinct()
     if existing is None:
         return d
-    known = existing.select(F.col(existing.columns[0]).alias(out_col)).distinct()
-    known, _ = joins.maybe_broadcast(known)
+    known = joins.broadcast_distinct(existing.select(F.col(existing.columns[0]).alias(out_col)))
     return d.join(known, out_col, "left_anti")
 
 
