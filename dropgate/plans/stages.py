@@ -442,7 +442,19 @@ class Preboarding:
         keymap = self.spark.createDataFrame(sorted(match.items()), f"{SOURCE} string, __p int")
         if len(match) <= MAX_BROADCAST_FILES:
             keymap = F.broadcast(keymap)
-        ds.df.join(keymap, SOURCE, "left").write.mode("overwrite").partitionBy("__p").parquet(path)
+        # few pattern partitions: one open writer per partition per task
+        # instead of sorting every task's rows by the partition column
+        n_parts = len(set(match.values()))
+        key = "spark.sql.maxConcurrentOutputFileWriters"
+        before = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, str(min(max(n_parts, 1), 8)))
+        try:
+            ds.df.join(keymap, SOURCE, "left").write.mode("overwrite").partitionBy("__p").parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, before)
         landed = self.spark.read.parquet(path)
         count_p: dict[int, int] = {}
         for i in match.values():
