@@ -171,23 +171,35 @@ def _sample_cols(df: DataFrame, key: str, sample_cols: list[str] | None) -> list
 
 
 def _attach_samples(findings: DataFrame, ctx: CheckContext, df: DataFrame, key: str) -> DataFrame:
+    """Add up to k example rows per (key, check, column) to the findings.
+
+    One scan for all sampling checks: rows where any sample mask holds are
+    tagged with the checks they fail (``explode`` of the matching tags);
+    ``row_number() <= k`` is planned as a partial WindowGroupLimit before the
+    exchange, so each task ships at most k rows per group, and only those
+    rows are rendered as text.
+    """
     cols = _sample_cols(df, key, ctx.sample_cols)
-    rep = F.col(cols[0]).cast("string") if len(cols) == 1 else F.to_json(F.struct(*[F.col(c) for c in cols]))
-    parts = []
-    for s in ctx._samples:
-        parts.append(df.filter(s.mask).select(
-            key, F.lit(s.check).alias("check"), F.lit(s.column).cast("string").alias("column"),
-            rep.alias("__s"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(cols)],
-            F.lit(s.k).alias("__k")))
-    cand = union_all(parts)
     order = [f"__o{i}" for i in range(len(cols))]
+    any_bad = ctx._samples[0].mask
+    for s in ctx._samples[1:]:
+        any_bad = any_bad | s.mask
+    tags = F.array(*[F.when(s.mask, F.struct(F.lit(s.check).alias("check"),
+                                             F.lit(s.column).cast("string").alias("column"),
+                                             F.lit(s.k).alias("k")))
+                     for s in ctx._samples])
+    cand = (df.filter(any_bad)
+            .select(key, *[F.col(c).alias(o) for c, o in zip(cols, order)],
+                    F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("__t"))
+            .select(key, "__t.check", "__t.column", F.col("__t.k").alias("__k"), *order))
     w = Window.partitionBy(key, "check", "column").orderBy(*order)
-    # row_number() <= k is planned as a partial WindowGroupLimit before the
-    # exchange: each task ships at most k rows per (key, check, column).
-    top = cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= F.lit(SAMPLE_SIZE))
-    top = top.filter(F.col("__rn") <= F.col("__k"))
+    top = (cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= F.lit(SAMPLE_SIZE))
+           .filter(F.col("__rn") <= F.col("__k")))
+    rep = F.col(order[0]).cast("string") if len(order) == 1 else \
+        F.to_json(F.struct(*[F.col(o).alias(c) for c, o in zip(cols, order)]))
     samples = top.groupBy(key, "check", "column").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__rn", "__s"))), lambda x: x["__s"]).alias("__samples"))
+        F.transform(F.array_sort(F.collect_list(F.struct("__rn", rep.alias("s")))), lambda x: x["s"])
+        .alias("__samples"))
     cond = ((findings[key].eqNullSafe(samples[key])) & (findings["check"] == samples["check"])
             & (findings["column"].eqNullSafe(samples["column"])))
     return (findings.join(samples, cond, "left")
@@ -254,10 +266,6 @@ def is_empty_dataframe(ctx: CheckContext, params=None):
                 severity="fatal")
 
 
-def _fmt_num(v) -> str:
-    return str(v)
-
-
 @check
 def value_range(ctx: CheckContext, params):
     if not isinstance(params, dict):
@@ -281,7 +289,7 @@ def value_range(ctx: CheckContext, params):
             here = ctx.present(col)
             ctx.finding(col, passed=here & (n == 0), n_bad=n,
                         message=F.when(~here, F.lit(f"Column {col} not found in dataframe"))
-                        .when(n > 0, F.format_string(f"Column {col} has %d values {word} of {_fmt_num(v)}", n)),
+                        .when(n > 0, F.format_string(f"Column {col} has %d values {word} of {v}", n)),
                         check_name=f"value_range.{bound}")
 
 

@@ -202,25 +202,6 @@ def read_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> dict[
     return {p: header_names(line, sep) for p, line in zip(paths, lines)}
 
 
-def csv_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> DataFrame:
-    """``path, header`` (array<string>) per non-empty CSV file.
-
-    Only the first line of each file is read, through the Hadoop FileSystem
-    API (a few KB per file, in a bounded thread pool) - the same kind of
-    metadata access as the file listing. Reading the header through a file
-    source instead would schedule every split of every file.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
-    df = spark.createDataFrame(list(zip(paths, lines)), "path string, line string")
-    # a UTF-8 BOM on the first line is not part of the first column name
-    line = F.regexp_replace(F.col("line"), "^\ufeff", "")
-    names = F.transform(F.split(line, re.escape(sep)), lambda x: F.regexp_replace(x, r'^"|"$', ""))
-    return df.filter(F.col("line").isNotNull()).select("path", names.alias("header"))
-
-
 def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: str = ";",
                    keep_corrupt: bool = True) -> Dataset:
     """Read the CSV files of ``infos`` as one Dataset.
