@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from dropgate.errors import RegistryError
 from dropgate.functions.strings import is_null_or_marker
 from dropgate.operators import joins
+from dropgate.operators.messages import msg
 from dropgate.plans.findings import FINDING_FIELDS, finding_struct, union_all
 
 CHECKS: dict[str, Callable] = {}
@@ -228,7 +229,7 @@ def always_true_validator(ctx: CheckContext, params=None):
 
 @check
 def always_false_validator(ctx: CheckContext, params=None):
-    ctx.static(None, False, "This validator always returns False.")
+    ctx.static(None, False, msg("always_false"))
 
 
 # --------------------------------------------------------------------------
@@ -241,7 +242,7 @@ def required_columns(ctx: CheckContext, params):
     missing = F.array_except(F.array(*[F.lit(c) for c in cols]).cast("array<string>"), F.col("__columns"))
     n = F.size(missing)
     ctx.finding(None, passed=n == 0, n_bad=n, severity="fatal",
-                message=F.when(n > 0, F.concat(F.lit("Missing columns: "), F.array_join(missing, ", "))))
+                message=F.when(n > 0, F.concat(F.lit(msg("missing_columns")), F.array_join(missing, ", "))))
 
 
 @check
@@ -251,7 +252,7 @@ def additional_columns(ctx: CheckContext, params):
     extra = F.array_except(own, allowed)
     n = F.size(extra)
     ctx.finding(None, passed=n == 0, n_bad=n,
-                message=F.when(n > 0, F.concat(F.lit("Additional columns found: "), F.array_join(extra, ", "))))
+                message=F.when(n > 0, F.concat(F.lit(msg("extra_columns")), F.array_join(extra, ", "))))
 
 
 # --------------------------------------------------------------------------
@@ -262,7 +263,7 @@ def additional_columns(ctx: CheckContext, params):
 def is_empty_dataframe(ctx: CheckContext, params=None):
     n = F.coalesce(F.col("__n_rows"), F.lit(0))
     ctx.finding(None, passed=n > 0, n_bad=F.when(n == 0, 1).otherwise(0),
-                message=F.when(n == 0, F.lit("The dataframe is empty, cannot proceed with validation.")),
+                message=F.when(n == 0, F.lit(msg("empty"))),
                 severity="fatal")
 
 
@@ -273,14 +274,14 @@ def value_range(ctx: CheckContext, params):
     for col, rng in params.items():
         rng = rng or {}
         if col not in ctx.columns:
-            ctx.static(col, False, f"Column {col} not found in dataframe")
+            ctx.static(col, False, msg("column_absent", col=col))
             continue
         c = F.col(col)
         if isinstance(ctx.df.schema[col].dataType, T.StringType):
             # raw (CSV) text: compare as numbers; values that are not numbers
             # are reported by `column_types`, not here
             c = c.try_cast("double")
-        for bound, op, word in (("min", c.__lt__, "below the minimum"), ("max", c.__gt__, "above the maximum")):
+        for bound, op, word in (("min", c.__lt__, "below_min"), ("max", c.__gt__, "above_max")):
             if rng.get(bound) is None:
                 continue
             v = rng[bound]
@@ -288,8 +289,8 @@ def value_range(ctx: CheckContext, params):
             n = F.coalesce(ctx.agg(F.count_if(op(F.lit(v)))), F.lit(0))
             here = ctx.present(col)
             ctx.finding(col, passed=here & (n == 0), n_bad=n,
-                        message=F.when(~here, F.lit(f"Column {col} not found in dataframe"))
-                        .when(n > 0, F.format_string(f"Column {col} has %d values {word} of {v}", n)),
+                        message=F.when(~here, F.lit(msg("column_absent", col=col)))
+                        .when(n > 0, F.format_string(msg(word, col=col, bound=v), n)),
                         check_name=f"value_range.{bound}")
 
 
@@ -303,14 +304,14 @@ def check_null_values(ctx: CheckContext, params):
         markers = params.get("custom_null_values")
     for col in cols or []:
         if col not in ctx.columns:
-            ctx.static(col, False, f"Column {col} not found in dataframe. Impossible verify null values.")
+            ctx.static(col, False, msg("column_absent", col=col))
             continue
         mask = is_null_or_marker(col, markers, ctx.df.schema[col].dataType)
         n = F.coalesce(ctx.agg(F.count_if(mask)), F.lit(0))
         here = ctx.present(col)
         ctx.finding(col, passed=here & (n == 0), n_bad=n,
-                    message=F.when(~here, F.lit(f"Column {col} not found in dataframe. Impossible verify null values."))
-                    .when(n > 0, F.format_string(f"Column {col} has %d null values", n)))
+                    message=F.when(~here, F.lit(msg("column_absent", col=col)))
+                    .when(n > 0, F.format_string(msg("nulls", col=col), n)))
         ctx.sample(col, mask)
 
 
@@ -319,14 +320,14 @@ def column_types(ctx: CheckContext, params):
     """Values that do not cast to the declared type (non-null in, null out)."""
     for col, typ in (params or {}).items():
         if col not in ctx.columns:
-            ctx.static(col, False, f"Column {col} not found in dataframe")
+            ctx.static(col, False, msg("column_absent", col=col))
             continue
         v = F.col(col)
         bad = v.isNotNull() & v.try_cast(typ).isNull()
         n = F.coalesce(ctx.agg(F.count_if(bad)), F.lit(0))
         here = ctx.present(col)
         ctx.finding(col, passed=~here | (n == 0), n_bad=n,
-                    message=F.when(here & (n > 0), F.format_string(f"Column {col} has %d values that are not {typ}", n)))
+                    message=F.when(here & (n > 0), F.format_string(msg("not_type", col=col, typ=typ), n)))
         ctx.sample(col, bad)
 
 
@@ -347,7 +348,7 @@ def malformed_rows(ctx: CheckContext, params=None):
     # parsed-value count of a data column keeps the scan a real one
     parsed = F.coalesce(ctx.agg(F.count(F.col(data_cols[0]))), F.lit(0)) if data_cols else F.lit(0)
     ctx.finding(None, passed=n == 0, n_bad=n,
-                message=F.when(n > 0, F.format_string("%d malformed rows (%d values parsed in %s)", n, parsed,
+                message=F.when(n > 0, F.format_string(msg("malformed"), n, parsed,
                                                       F.lit(data_cols[0] if data_cols else ""))))
 
 
@@ -376,7 +377,7 @@ def check_hierarchy(ctx: CheckContext, params):
     missing = [c for c in higher + lower if c not in ctx.columns]
     if missing:
         for c in missing:
-            ctx.static(c, False, f"Column {c} not found in dataframe")
+            ctx.static(c, False, msg("column_absent", col=c))
         return
     v = hierarchy_violations(ctx.df, higher, lower, ctx.key)
     label = F.concat_ws(" - ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null")))
@@ -384,7 +385,7 @@ def check_hierarchy(ctx: CheckContext, params):
     ctx.frame(v.select(
         ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(",".join(lower)).alias("column"),
         F.lit("fail").alias("severity"), F.lit(False).alias("passed"), F.col("n_higher").cast("long").alias("n_bad"),
-        F.format_string("Hierarchy violation: Found %d different higher level combinations for lower level (%s).",
+        F.format_string(msg("hierarchy"),
                         F.col("n_higher"), label).alias("message"),
         F.lit(None).cast("array<string>").alias("samples")))
     # one passing row per key so keys without violations get a verdict
@@ -415,14 +416,14 @@ def validate_product_ids(ctx: CheckContext, params):
     master_col = params.get("product_id_master_column")
     table = params.get("master_table", "static.mappings.product_mapping")
     if ctx.catalog is None or not ctx.catalog.exists(table):
-        ctx.static(id_col, False, "Product master data is not available.")
+        ctx.static(id_col, False, msg("table_missing", table=table))
         return
     master = ctx.catalog.read(table)
     if master_col not in master.columns:
-        ctx.static(id_col, False, f"Column '{master_col}' not found in product master data.")
+        ctx.static(id_col, False, msg("table_column_missing", col=master_col))
         return
     if id_col not in ctx.columns:
-        ctx.static(id_col, False, f"Column {id_col} not found in dataframe")
+        ctx.static(id_col, False, msg("column_absent", col=id_col))
         return
     miss = missing_ids(ctx.df, id_col, master, master_col, ctx.key)
     w = Window.partitionBy(ctx.key).orderBy("missing_id")
@@ -432,7 +433,7 @@ def validate_product_ids(ctx: CheckContext, params):
     ctx.frame(per_key.select(
         ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(id_col).alias("column"),
         F.lit("fail").alias("severity"), F.lit(False).alias("passed"), F.col("n").cast("long").alias("n_bad"),
-        F.format_string("Missing product IDs: %d distinct", F.col("n")).alias("message"),
+        F.format_string(msg("missing_ids"), F.col("n")).alias("message"),
         F.col("samples")))
     ctx.finding(id_col, passed=F.lit(True), n_bad=F.lit(0), message=F.lit(None))
 
@@ -466,33 +467,33 @@ def sales_inventory_consistency(ctx: CheckContext, params):
     elif isinstance(params, list):
         keys, table = params, "static.mappings.inventory_snapshot"
     else:
-        ctx.static(None, False, "Invalid params format for sales-inventory consistency check.")
+        ctx.static(None, False, msg("bad_key_params"))
         return
     if not keys:
-        ctx.static(None, False, "No key columns specified for sales-inventory consistency check.")
+        ctx.static(None, False, msg("no_keys"))
         return
     if ctx.catalog is None or not ctx.catalog.exists(table):
-        ctx.static(None, False, "Inventory snapshot data is not available.")
+        ctx.static(None, False, msg("table_missing", table=table))
         return
     inv = ctx.catalog.read(table)
     miss_l = [c for c in keys if c not in ctx.columns]
     miss_r = [c for c in keys if c not in inv.columns]
     if miss_l:
-        ctx.static(None, False, f"Key columns missing in sales data: {', '.join(miss_l)}")
+        ctx.static(None, False, msg("keys_absent_here", cols=", ".join(miss_l)))
         return
     if miss_r:
-        ctx.static(None, False, f"Key columns missing in inventory data: {', '.join(miss_r)}")
+        ctx.static(None, False, msg("keys_absent_there", cols=", ".join(miss_r)))
         return
     ov = key_overlap(ctx.df, inv, keys, ctx.key)
-    msg = (F.when(F.col("n_matched") == 0,
-                  F.lit("No sales records have corresponding inventory records based on the specified key columns."))
+    text = (F.when(F.col("n_matched") == 0,
+                  F.lit(msg("no_key_matches")))
            .when(F.col("n_unmatched") > 0,
-                 F.format_string("%d sales record combinations do not have corresponding inventory records.",
+                 F.format_string(msg("some_key_misses"),
                                  F.col("n_unmatched"))))
     ctx.frame(ov.select(ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(",".join(keys)).alias("column"),
                         F.lit("fail").alias("severity"),
                         ((F.col("n_matched") > 0) & (F.col("n_unmatched") == 0)).alias("passed"),
-                        F.col("n_unmatched").cast("long").alias("n_bad"), msg.alias("message"),
+                        F.col("n_unmatched").cast("long").alias("n_bad"), text.alias("message"),
                         F.lit(None).cast("array<string>").alias("samples")))
 
 
@@ -517,13 +518,13 @@ def no_duplicate_rows(ctx: CheckContext, params=None):
     cols = list(params) if params else ctx.columns
     miss = [c for c in cols if c not in ctx.columns]
     if miss:
-        ctx.static(None, False, f"Column(s) not found in dataframe: {', '.join(miss)}")
+        ctx.static(None, False, msg("column_absent", col=", ".join(miss)))
         return
     d = duplicate_row_count(ctx.df, [c for c in cols if c != ctx.key], ctx.key)
     ctx.frame(d.select(ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(None).cast("string").alias("column"),
                        F.lit("fail").alias("severity"), F.lit(False).alias("passed"),
                        F.col("dup_count").alias("n_bad"),
-                       F.format_string(f"Found %d duplicate rows based on columns: {cols}",
+                       F.format_string(msg("duplicates", cols=", ".join(cols)),
                                        F.col("dup_count")).alias("message"),
                        F.lit(None).cast("array<string>").alias("samples")))
     ctx.finding(None, passed=F.lit(True), n_bad=F.lit(0), message=F.lit(None))

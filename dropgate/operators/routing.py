@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropgate.functions.globs import glob_match, match_count, matched_value
+from dropgate.operators.messages import msg
 
 
 def match_patterns(files: DataFrame, patterns: list[str], path_col: str = "_source_file",
@@ -29,11 +30,11 @@ def routing_findings(files: DataFrame, patterns: list[str], path_col: str = "_so
     m = match_patterns(files, patterns, path_col, case_sensitive)
     names = F.concat_ws(", ", F.filter(F.array(*[F.when(glob_match(path_col, p, case_sensitive), F.lit(p))
                                                  for p in patterns]), lambda x: x.isNotNull()))
-    msg = (F.when(F.col("n_matches") == 0,
-                  F.concat(F.lit("No matching pattern found in registry for: "), F.col(path_col)))
+    text = (F.when(F.col("n_matches") == 0,
+                  F.concat(F.lit(msg("no_pattern")), F.col(path_col)))
            .when(F.col("n_matches") > 1,
-                 F.concat(F.lit("Multiple matches found for "), F.col(path_col), F.lit(": "), names)))
+                 F.concat(F.lit(msg("many_patterns")), F.col(path_col), F.lit(": "), names)))
     return m.select(path_col, F.lit("pattern_match").alias("check"), F.lit(None).cast("string").alias("column"),
                     F.lit("fail").alias("severity"), (F.col("n_matches") == 1).alias("passed"),
                     F.when(F.col("n_matches") == 1, 0).otherwise(1).cast("long").alias("n_bad"),
-                    msg.alias("message"), F.lit(None).cast("array<string>").alias("samples"))
+                    text.alias("message"), F.lit(None).cast("array<string>").alias("samples"))

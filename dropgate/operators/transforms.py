@@ -21,6 +21,7 @@ from dropgate.errors import RegistryError, TransformError
 from dropgate.functions import arithmetic
 from dropgate.functions.strings import strip_whitespace as strip_ws
 from dropgate.operators import joins
+from dropgate.operators.messages import msg
 from dropgate.operators.checks import SAMPLE_SIZE, CheckContext
 
 TRANSFORMS: dict[str, Callable] = {}
@@ -130,9 +131,8 @@ def enrich_with_mapping(df: DataFrame, ctx: TransformContext, mapping_file: str,
         total = F.coalesce(F.col("__n_rows"), F.lit(0))
         r.finding(",".join(_as_list(df_join_column)), passed=F.lit(True), n_bad=unmatched,
                   message=F.when(unmatched > 0, F.format_string(
-                      f"Enriched with {mapping_file}. Unmatched records: %d/%d "
-                      f"(null {first}: %d)", unmatched, total, null_first))
-                  .otherwise(F.lit(f"Successfully enriched all records with {mapping_file}.")),
+                      msg("enrich_unmatched", table=mapping_file, first=first), unmatched, total, null_first))
+                  .otherwise(F.lit(msg("enrich_ok", table=mapping_file))),
                   severity="info", check_name=ctx.name)
         # up to 3 distinct example keys per source file
         keys = _as_list(df_join_column)
@@ -384,7 +384,7 @@ def apply_chain(df: DataFrame, spec: list[dict], ctx: TransformContext) -> tuple
             rewritten.update(pending)
             log.append((t["name"], True, None))
         except (TransformError, TypeError, ValueError) as e:
-            log.append((t["name"], False, f"ERROR in transform '{t['name']}': {e}"))
+            log.append((t["name"], False, msg("transform_failed", name=t["name"], err=e)))
     return df, log
 
 

@@ -45,8 +45,8 @@ def test_routing_rejects(spark):
     df = spark.createDataFrame([("a_sales_inventory.csv",), ("none.csv",), ("x_sales.csv",)], "_source_file string")
     f = {r["_source_file"]: r for r in routing_findings(df, ["*sales*", "*inventory*"]).collect()}
     assert f["x_sales.csv"]["passed"]
-    assert not f["none.csv"]["passed"] and "No matching pattern" in f["none.csv"]["message"]
-    assert not f["a_sales_inventory.csv"]["passed"] and "Multiple matches" in f["a_sales_inventory.csv"]["message"]
+    assert not f["none.csv"]["passed"] and "no registry pattern" in f["none.csv"]["message"]
+    assert not f["a_sales_inventory.csv"]["passed"] and "several registry patterns" in f["a_sales_inventory.csv"]["message"]
 
 
 def test_strip_unicode_whitespace(spark):
@@ -280,3 +280,26 @@ def test_markers_by_type(spark):
     df = spark.createDataFrame([(0.0,), (float("nan"),), (None,), (1.5,)], "x double")
     got = [r[0] for r in df.select(is_null_or_marker("x", ["", "NA", "NaN"], T.DoubleType())).collect()]
     assert got == [False, True, True, False]
+
+
+def test_sales_inventory_consistency_and_referential(spark, tmp_root):
+    from dropgate.sources.catalog import Catalog, TableSpec
+    cat = Catalog(spark, {"static.mappings.inventory_snapshot": TableSpec(path=f"{tmp_root}/snap"),
+                          "static.mappings.product_mapping": TableSpec(path=f"{tmp_root}/map")})
+    sales = spark.createDataFrame([("f1", "P1"), ("f1", "P2"), ("f2", "P9"), ("f3", None)],
+                                  "_source_file string, product_id string")
+    spec = {"sales_inventory_consistency": ["product_id"],
+            "validate_product_ids": {"product_id_column": "product_id", "product_id_master_column": "product_id"}}
+    missing = {(r["check"], r["passed"]) for r in C.run_checks(sales, spec, catalog=cat).collect()}
+    assert missing == {("sales_inventory_consistency", False), ("validate_product_ids", False)}
+    spark.createDataFrame([("P1",), ("P2",)], "product_id string").write.parquet(f"{tmp_root}/snap")
+    spark.createDataFrame([("P1",), ("P2",), ("P3",)], "product_id string").write.parquet(f"{tmp_root}/map")
+    f = C.run_checks(sales, spec, catalog=cat)
+    got = {}
+    for r in f.collect():
+        got.setdefault((r["_source_file"], r["check"]), []).append((r["passed"], r["n_bad"], r["samples"]))
+    assert got[("f1", "sales_inventory_consistency")] == [(True, 0, None)]
+    assert got[("f2", "sales_inventory_consistency")] == [(False, 1, None)]
+    assert (False, 1, ["P9"]) in got[("f2", "validate_product_ids")]
+    assert all(p for p, _, _ in got[("f1", "validate_product_ids")])
+    assert all(p for p, _, _ in got[("f3", "validate_product_ids")])  # null ids pass
