@@ -664,6 +664,18 @@ ORACLE_SQL = {
                l.l_extendedprice * l.l_quantity AS total_sales, 'DELIVERY/' || l.l_returnflag AS target
         FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
         WHERE l.l_returnflag IN ('A', 'N')""",
+    "findings_report": """
+        SELECT 'r' AS run_id, '3_validation' AS step,
+               'lineitem_' || l_returnflag || l_linestatus || '.csv' AS source_file,
+               'value_range.max: l_discount: ' || count(*) FILTER (WHERE l_discount > 0.09)
+                 || ' value(s) above 0.09' AS report
+        FROM lineitem GROUP BY l_returnflag, l_linestatus
+        HAVING count(*) FILTER (WHERE l_discount > 0.09) > 0""",
+    "discover_files": """
+        SELECT table_name || '.parquet' AS _source_file, 'parquet' AS format
+        FROM information_schema.tables
+        WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events',
+                             'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')""",
     "aggregate_by_registry": """
         SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS l_quantity,
                round(avg(l_extendedprice), 2) AS l_extendedprice, count(l_tax) AS l_tax
