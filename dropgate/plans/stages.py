@@ -116,7 +116,8 @@ class Preboarding:
     """Runs registries over a drop of files (see ``plans.registry`` for kinds)."""
 
     def __init__(self, spark: SparkSession, root: str, catalog: Catalog | None = None,
-                 run_id: str | None = None, case_sensitive: bool = False, sep: str = ";"):
+                 run_id: str | None = None, case_sensitive: bool = False, sep: str = ";",
+                 delivery_format: str = "parquet"):
         self.spark = spark
         # see session.DEFAULT_CONF: constraint inference over registry plans
         # grows combinatorially and is not needed by them
@@ -128,6 +129,10 @@ class Preboarding:
         self.run_id = run_id or new_run_id()
         self.case_sensitive = case_sensitive
         self.sep = sep
+        if delivery_format not in ("parquet", "csv"):
+            raise RegistryError(f"unsupported delivery format '{delivery_format}'")
+        self.delivery_format = delivery_format  # format of the last step's output
+        self._final_step: str | None = None
         self.outputs: list[StepOutput] = []
         self.timings: dict[str, float] = {}
         self._input_paths: list[str] = []
@@ -145,7 +150,11 @@ class Preboarding:
                      keep_hidden: bool = False) -> None:
         if not keep_hidden:
             df = df.drop(*[c for c in df.columns if c.startswith("__")])
-        df.write.mode("overwrite").parquet(self._group_path(step, group))
+        if step == self._final_step and self.delivery_format == "csv":
+            (df.write.mode("overwrite").option("header", "true").option("sep", self.sep)
+             .csv(self._group_path(step, group)))
+        else:
+            df.write.mode("overwrite").parquet(self._group_path(step, group))
         cols = [c for c in df.columns if c != SOURCE and not c.startswith("__")]
         self._written.setdefault(step, {})[_safe(group)] = (sorted(sources), cols)
 
@@ -505,6 +514,7 @@ class Preboarding:
             ds = self.land(ds, regs[0][2].patterns, path)
         completed = True
         last = len(regs) - 1
+        self._final_step = regs[-1][0] if regs else None
         for k, (name, kind, reg) in enumerate(regs):
             t0 = time.perf_counter()
             # the last step's output is the delivery and is written; earlier
@@ -526,8 +536,9 @@ class Preboarding:
                 break
             finally:
                 self.timings[name] = round(time.perf_counter() - t0, 3)
-            # transformed rows of failing files were written for their report
-            ds = self.read_step(name, only=out.passed if kind == "transform" else None)
+            if k < last:
+                # transformed rows of failing files were written for their report
+                ds = self.read_step(name, only=out.passed if kind == "transform" else None)
         if clear_input and completed:
             self.clear_input(input_root)
         return self.outputs

@@ -124,3 +124,17 @@ def test_aggregate_step_and_clear_input(spark, tmp_root):
     out = {(r["_source_file"], r["store"]): r["qty"] for r in spark.read.parquet(pb.staging("agg") + "/*").collect()}
     assert out == {("s_sales_1.csv", "1"): 5, ("s_sales_1.csv", "2"): 5, ("s_sales_2.csv", "1"): 10}
     assert list_files(spark, inp).count() == 0
+
+
+def test_parquet_drop_and_csv_delivery(spark, tmp_root):
+    inp = f"{tmp_root}/in"
+    spark.createDataFrame([(1, 2.0), (2, 3.0)], "id long, x double").coalesce(1).write.parquet(f"{inp}/a_sales_1")
+    spark.createDataFrame([(3, 50.0)], "id long, x double").coalesce(1).write.parquet(f"{inp}/b_sales_2")
+    pb = Preboarding(spark, f"{tmp_root}/out", run_id="r1", delivery_format="csv")
+    steps = [("check", "validate", {"*sales*": {"validators": {"value_range": {"x": {"max": 10}}}}}),
+             ("deliver", "dispatch", {"a_*": "A", "b_*": "B"})]
+    outs = pb.run(inp, steps)
+    assert outs[0].summary == {"files": 2, "passed": 1, "failed": 1}
+    assert [f.split("/")[0] for f in outs[0].passed] == ["a_sales_1"]
+    out = spark.read.option("header", "true").option("sep", ";").csv(pb.staging("deliver") + "/group=A")
+    assert sorted(int(r["id"]) for r in out.collect()) == [1, 2]
