@@ -66,6 +66,7 @@ class CheckContext:
     _static: list[tuple] = field(default_factory=list)
     _frames: list[DataFrame] = field(default_factory=list)
     _samples: list[_Sample] = field(default_factory=list)
+    _examples: list[tuple] = field(default_factory=list)
 
     @property
     def columns(self) -> list[str]:
@@ -97,6 +98,11 @@ class CheckContext:
     def sample(self, column: str | None, mask: Column, k: int = SAMPLE_SIZE) -> None:
         self._samples.append(_Sample(self.check_name, column, mask, k))
 
+    def examples(self, column: str | None, mask: Column, cols: list[str], k: int = 3,
+                 check_name: str | None = None) -> None:
+        """Up to k DISTINCT values of ``cols`` per key where ``mask`` holds."""
+        self._examples.append((check_name or self.check_name, column, mask, list(cols), k))
+
 
 def _struct_or_literal(ctx: CheckContext, t: tuple) -> Column:
     check_name, column, severity, passed, n_bad, message = t
@@ -149,8 +155,12 @@ def evaluate(ctx: CheckContext, keys_df: DataFrame | None = None) -> DataFrame:
         return df.sparkSession.createDataFrame(
             [], f"{key} string, check string, column string, severity string, passed boolean, "
                 "n_bad long, message string, samples array<string>")
+    parts = []
     if ctx._samples:
-        findings = _attach_samples(findings, ctx, df, key)
+        parts.append(_sample_frame(ctx, df, key))
+    parts.extend(_example_frame(df, key, *e) for e in ctx._examples)
+    if parts:
+        findings = _join_samples(findings, union_all(parts), key)
     return findings
 
 
@@ -171,14 +181,13 @@ def _sample_cols(df: DataFrame, key: str, sample_cols: list[str] | None) -> list
             or [c for c in df.columns if not c.startswith("_") and c != key])
 
 
-def _attach_samples(findings: DataFrame, ctx: CheckContext, df: DataFrame, key: str) -> DataFrame:
-    """Add up to k example rows per (key, check, column) to the findings.
+def _sample_frame(ctx: CheckContext, df: DataFrame, key: str) -> DataFrame:
+    """Up to k example rows per (key, check, column), all sampling checks at once.
 
-    One scan for all sampling checks: rows where any sample mask holds are
-    tagged with the checks they fail (``explode`` of the matching tags);
-    ``row_number() <= k`` is planned as a partial WindowGroupLimit before the
-    exchange, so each task ships at most k rows per group, and only those
-    rows are rendered as text.
+    One scan: rows where any sample mask holds are tagged with the checks
+    they fail (``explode`` of the matching tags); ``row_number() <= k`` is
+    planned as a partial WindowGroupLimit before the exchange, so each task
+    ships at most k rows per group, and only those rows are rendered as text.
     """
     cols = _sample_cols(df, key, ctx.sample_cols)
     order = [f"__o{i}" for i in range(len(cols))]
@@ -196,11 +205,33 @@ def _attach_samples(findings: DataFrame, ctx: CheckContext, df: DataFrame, key:
     w = Window.partitionBy(key, "check", "column").orderBy(*order)
     top = (cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= F.lit(SAMPLE_SIZE))
            .filter(F.col("__rn") <= F.col("__k")))
+    return _collect_samples(top, key, cols, order)
+
+
+def _example_frame(df: DataFrame, key: str, check: str, column: str | None, mask: Column,
+                   cols: list[str], k: int) -> DataFrame:
+    """Up to k distinct values of ``cols`` per key where ``mask`` holds.
+
+    ``distinct`` is combined map-side (a task ships each distinct value once),
+    then the same partial WindowGroupLimit bounds what reaches each group.
+    """
+    order = [f"__o{i}" for i in range(len(cols))]
+    d = df.filter(mask).select(key, *[F.col(c).alias(o) for c, o in zip(cols, order)]).distinct()
+    w = Window.partitionBy(key).orderBy(*order)
+    top = (d.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)
+           .withColumn("check", F.lit(check)).withColumn("column", F.lit(column).cast("string")))
+    return _collect_samples(top, key, cols, order)
+
+
+def _collect_samples(top: DataFrame, key: str, cols: list[str], order: list[str]) -> DataFrame:
     rep = F.col(order[0]).cast("string") if len(order) == 1 else \
         F.to_json(F.struct(*[F.col(o).alias(c) for c, o in zip(cols, order)]))
-    samples = top.groupBy(key, "check", "column").agg(
+    return top.groupBy(key, "check", "column").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__rn", rep.alias("s")))), lambda x: x["s"])
         .alias("__samples"))
+
+
+def _join_samples(findings: DataFrame, samples: DataFrame, key: str) -> DataFrame:
     cond = ((findings[key].eqNullSafe(samples[key])) & (findings["check"] == samples["check"])
             & (findings["column"].eqNullSafe(samples["column"])))
     return (findings.join(samples, cond, "left")

@@ -136,7 +136,7 @@ def enrich_with_mapping(df: DataFrame, ctx: TransformContext, mapping_file: str,
                   severity="info", check_name=ctx.name)
         # up to 3 distinct example keys per source file
         keys = _as_list(df_join_column)
-        r.sample(",".join(keys), F.col(hit).isNull(), k=3)
+        r.examples(",".join(keys), F.col(hit).isNull(), keys, k=3, check_name=ctx.name)
     return out
 
 

@@ -360,7 +360,7 @@ class Preboarding:
         for p, out, ctx, report, keys, infos in pending:
             self._write_group(step, p, out, [f.source for f in infos], keep_hidden=True)
             staged[p] = self.spark.read.parquet(self._group_path(step, p))
-            if report._findings or report._samples:
+            if report._findings or report._samples or report._examples:
                 report.df = staged[p]
                 frames.append(C.evaluate(report, keys_df=keys))
         findings, passed = self._record(frames, step)

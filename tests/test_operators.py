@@ -303,3 +303,28 @@ def test_sales_inventory_consistency_and_referential(spark, tmp_root):
     assert (False, 1, ["P9"]) in got[("f2", "validate_product_ids")]
     assert all(p for p, _, _ in got[("f1", "validate_product_ids")])
     assert all(p for p, _, _ in got[("f3", "validate_product_ids")])  # null ids pass
+
+
+def test_enrich_report_distinct_examples(spark):
+    from dropgate.sources.catalog import Catalog
+
+    facts = spark.createDataFrame([("f", 9), ("f", 9), ("f", 9), ("f", 8), ("f", 1), ("g", 1)],
+                                  "_source_file string, k long")
+    m = spark.createDataFrame([(1, "a")], "mk long, name string")
+
+    class Cat(Catalog):
+        def exists(self, name):
+            return True
+
+        def read(self, name, version=None):
+            return m
+
+    report = C.CheckContext(df=facts, key="_source_file")
+    ctx = TransformContext(catalog=Cat(spark), report=report)
+    out, log = apply_chain(facts, [{"name": "e", "function": "enrich_with_mapping",
+                                    "params": {"mapping_file": "m", "df_join_column": ["k"],
+                                               "mapping_key_column": ["mk"], "columns_to_add": ["name"]}}], ctx)
+    report.df = out
+    f = {r["_source_file"]: r for r in C.evaluate(report).collect()}
+    assert f["f"]["n_bad"] == 4 and f["f"]["samples"] == ["8", "9"]
+    assert f["g"]["n_bad"] == 0 and f["g"]["samples"] is None
