@@ -208,7 +208,17 @@ class Preboarding:
         return out
 
     def _routing(self, ds: Dataset, patterns: list[str]) -> DataFrame:
-        return routing_findings(ds.files.select(SOURCE), patterns, SOURCE, self.case_sensitive)
+        """Pattern findings per file, plus a failing ``read_file`` finding for
+        files that could not be read (S5); the run goes on with the others."""
+        out = routing_findings(ds.files.select(SOURCE), patterns, SOURCE, self.case_sensitive)
+        errors = [(f.source, f.error) for f in (ds.infos or []) if f.error]
+        if errors:
+            bad = self.spark.createDataFrame(errors, f"{SOURCE} string, message string").select(
+                SOURCE, F.lit("read_file").alias("check"), F.lit(None).cast("string").alias("column"),
+                F.lit("fatal").alias("severity"), F.lit(False).alias("passed"), F.lit(1).cast("long").alias("n_bad"),
+                "message", F.lit(None).cast("array<string>").alias("samples"))
+            out = out.unionByName(bad)
+        return out
 
     def _pattern_files(self, ds: Dataset, match: dict[str, int], i: int) -> list[FileInfo]:
         return [f for f in ds.infos if match[f.source] == i]

@@ -42,6 +42,7 @@ class FileInfo:
     size: int | None = None
     columns: list[str] | None = None
     format: str | None = None
+    error: str | None = None  # why the file cannot be read (S5), if it cannot
 
 
 def files_frame(spark: SparkSession, infos: list[FileInfo]) -> DataFrame:
@@ -193,13 +194,51 @@ def header_names(line: str | None, sep: str) -> list[str] | None:
     return [re.sub(r'^"|"$', "", x) for x in line.split(sep)]
 
 
-def read_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> dict[str, list[str] | None]:
-    """path -> header names, reading only the first line of each file."""
+def _safe_call(fn, *args):
+    try:
+        return fn(*args), None
+    except Exception as e:  # noqa: BLE001 - reported as the file's read error
+        return None, f"cannot read file: {str(e).splitlines()[0][:300]}"
+
+
+def read_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> dict[str, tuple]:
+    """path -> (header names, error), reading only the first line of each file."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda p: _safe_call(_first_line, spark, p), paths))
+    return {p: (header_names(line, sep), err) for p, (line, err) in zip(paths, lines)}
+
+
+# The 4-byte marker at both ends of every Parquet file.
+PARQUET_MAGIC = b"PAR1"
+
+
+def _parquet_ok(spark: SparkSession, path: str, size: int) -> bool:
+    """A Parquet file starts and ends with its magic bytes (8 bytes read)."""
+    if size < 12:
+        return False
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        head = bytes(stream.read() & 0xFF for _ in range(4))
+        stream.seek(size - 4)
+        tail = bytes(stream.read() & 0xFF for _ in range(4))
+        return head == PARQUET_MAGIC and tail == PARQUET_MAGIC
+    finally:
+        stream.close()
+
+
+def parquet_errors(spark: SparkSession, infos: list[FileInfo]) -> dict[str, str]:
+    """path -> error for Parquet files that are not readable as Parquet."""
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
-    return {p: header_names(line, sep) for p, line in zip(paths, lines)}
+        res = list(pool.map(lambda f: _safe_call(_parquet_ok, spark, f.path, f.size or 0), infos))
+    return {f.path: (err or "cannot read file: not a Parquet file")
+            for f, (ok, err) in zip(infos, res) if not ok}
 
 
 def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: str = ";",
@@ -216,8 +255,8 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
     groups: dict[tuple, list[str]] = {}
     out_infos = []
     for f in csv:
-        cols = heads.get(f.path)
-        out_infos.append(FileInfo(f.source, f.path, f.size, list(cols or []), f.format))
+        cols, err = heads.get(f.path, (None, None))
+        out_infos.append(FileInfo(f.source, f.path, f.size, list(cols or []), f.format, err))
         if cols:
             groups.setdefault(tuple(cols), []).append(f.path)
     src_of = {f.path: f.source for f in csv}
@@ -244,10 +283,13 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
 
 
 def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) -> Dataset:
-    pq = [f for f in infos if f.format == "parquet"]
+    pq_all = [f for f in infos if f.format == "parquet"]
+    bad = parquet_errors(spark, pq_all)
+    broken = [FileInfo(f.source, f.path, f.size, [], f.format, bad[f.path]) for f in pq_all if f.path in bad]
+    pq = [f for f in pq_all if f.path not in bad]  # unreadable files stay out of the Spark read
     if not pq:
-        return Dataset(df=_empty_rows(spark), files=files_frame(spark, []), reader=lambda s: _empty_rows(spark),
-                       infos=[])
+        return Dataset(df=_empty_rows(spark), files=files_frame(spark, broken), reader=lambda s: _empty_rows(spark),
+                       infos=broken)
     src_of = {f.path: f.source for f in pq}
     prefix = common_prefix(pq)
 
@@ -262,7 +304,7 @@ def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) ->
 
     df = read(list(src_of))
     cols = [c for c in df.columns if c != SOURCE]
-    out_infos = [FileInfo(f.source, f.path, f.size, cols, f.format) for f in pq]
+    out_infos = [FileInfo(f.source, f.path, f.size, cols, f.format) for f in pq] + broken
     return Dataset(df=df, files=files_frame(spark, out_infos), reader=rows_of, infos=out_infos)
 
 

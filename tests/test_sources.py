@@ -138,3 +138,18 @@ def test_parquet_drop_and_csv_delivery(spark, tmp_root):
     assert [f.split("/")[0] for f in outs[0].passed] == ["a_sales_1"]
     out = spark.read.option("header", "true").option("sep", ";").csv(pb.staging("deliver") + "/group=A")
     assert sorted(int(r["id"]) for r in out.collect()) == [1, 2]
+
+
+def test_unreadable_file_is_isolated(spark, tmp_root):
+    inp = f"{tmp_root}/in"
+    spark.createDataFrame([(1, 2.0)], "id long, x double").coalesce(1).write.parquet(f"{inp}/good_sales")
+    _write(inp, "bad_sales.parquet", "this is not parquet at all")
+    _write(inp, "broken_sales.csv", "")
+    pb = Preboarding(spark, f"{tmp_root}/out", run_id="r1")
+    steps = [("check", "validate", {"*sales*": {"validators": {"value_range": {"x": {"max": 10}}}}}),
+             ("deliver", "dispatch", {"*sales*": "OUT"})]
+    outs = pb.run(inp, steps)
+    bad = {(r["source_file"], r["check"]) for r in pb.findings().filter(~F.col("passed")).collect()}
+    assert ("bad_sales.parquet", "read_file") in bad
+    assert outs[0].summary["files"] == 3
+    assert [p.split("/")[0] for p in outs[0].passed] == ["good_sales"]
