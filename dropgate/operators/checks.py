@@ -239,16 +239,6 @@ def _join_samples(findings: DataFrame, samples: DataFrame, key: str) -> DataFram
                     "message", F.coalesce(findings["samples"], F.col("__samples")).alias("samples")))
 
 
-def sample_rows(df: DataFrame, key: str, mask: Column, order_cols: list[str], k: int = SAMPLE_SIZE) -> DataFrame:
-    """(L1) up to k rows per key where ``mask`` holds, smallest ``order_cols`` first.
-
-    Output: key, ``sample_rank``, order_cols. Bounded before the shuffle.
-    """
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    return (df.filter(mask).select(key, *order_cols)
-            .withColumn("sample_rank", F.row_number().over(w)).filter(F.col("sample_rank") <= k))
-
-
 # --------------------------------------------------------------------------
 # V1, V2: constants
 # --------------------------------------------------------------------------

@@ -76,7 +76,7 @@ def discover_files(spark, sf):
 def pattern_match(spark, sf):
     n = _t(spark, sf, "nation")
     paths = (n.select(F.concat(F.lit("FR_sales_"), "n_name").alias("p")).distinct()
-             .unionAll(n.select(F.concat("n_name", F.lit("_inventory_sales")).alias("p")).distinct()))
+             .union(n.select(F.concat("n_name", F.lit("_inventory_sales")).alias("p")).distinct()))
     return routing.match_patterns(paths, ["*sales*", "*inventory*"], path_col="p").select("p", "n_matches")
 
 
