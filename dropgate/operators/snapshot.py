@@ -45,7 +45,7 @@ def append_new_ids(catalog, table: str, df: DataFrame, id_col: str, version: str
         existing = catalog.read(table)
         if spec.versioned:
             # ids written by an earlier attempt of this same version do not count
-            existing = (catalog.spark.read.format(spec.format).load(spec.path)
+            existing = (catalog._resolve(spec)
                         .filter(F.col("version") != F.lit(version)).drop("version"))
     delta = new_ids(df, existing, id_col, out_col=id_col)
     catalog.write_version(table, delta, version)

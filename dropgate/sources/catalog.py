@@ -39,6 +39,8 @@ class Catalog:
     def __init__(self, spark: SparkSession, tables: dict[str, TableSpec | dict] | None = None):
         self.spark = spark
         self.tables: dict[str, TableSpec] = {}
+        # resolved readers (file listing + schema) per table; dropped on write
+        self._loaded: dict[str, DataFrame] = {}
         for n, t in (tables or {}).items():
             self.register(n, t)
 
@@ -57,6 +59,16 @@ class Catalog:
 
     # -- reads -------------------------------------------------------------
     def _load(self, spec: TableSpec) -> DataFrame:
+        if spec.path in self._loaded:
+            return self._loaded[spec.path]
+        df = self._resolve(spec)
+        self._loaded[spec.path] = df
+        return df
+
+    def _forget(self, spec: TableSpec) -> None:
+        self._loaded.pop(spec.path, None)
+
+    def _resolve(self, spec: TableSpec) -> DataFrame:
         r = self.spark.read
         if spec.format == "csv":
             opts = {"header": "true", "sep": ";", **spec.options}
@@ -100,6 +112,7 @@ class Catalog:
     def write(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
         """(K2) overwrite or append; append adds files, never re-reads."""
         spec = self.spec(name)
+        self._forget(spec)
         w = df.write.mode(mode)
         if spec.format == "csv":
             w.options(header="true", sep=";", **spec.options).csv(spec.path)
@@ -109,6 +122,7 @@ class Catalog:
     def write_version(self, name: str, df: DataFrame, version: str) -> None:
         """(K3) write ``df`` as version ``version`` (replaces only that version)."""
         spec = self.spec(name)
+        self._forget(spec)
         (df.write.mode("overwrite").format(spec.format)
          .save(f"{spec.path.rstrip('/')}/version={version}"))
 
@@ -132,6 +146,7 @@ class Catalog:
     def delete(self, name: str) -> None:
         """(K4) explicit drop of a table's data; never called from a check."""
         spec = self.spec(name)
+        self._forget(spec)
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(spec.path)
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
