@@ -214,31 +214,55 @@ def read_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> dict[
 PARQUET_MAGIC = b"PAR1"
 
 
-def _parquet_ok(spark: SparkSession, path: str, size: int) -> bool:
-    """A Parquet file starts and ends with its magic bytes (8 bytes read)."""
+def _parquet_columns(spark: SparkSession, path: str, size: int) -> list[str] | None:
+    """Top-level column names from a Parquet file's footer; None if not Parquet.
+
+    Reads the magic bytes and the footer only (a few KB), through the Hadoop
+    FileSystem API; pyarrow parses the footer's schema on the driver.
+    """
+    import struct
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
     if size < 12:
-        return False
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
+        return None
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(sc._jsc.hadoopConfiguration()).open(p)
+
+    def read_at(pos: int, n: int) -> bytes:
+        stream.seek(pos)
+        return bytes(stream.readNBytes(n))
+
     try:
-        head = bytes(stream.read() & 0xFF for _ in range(4))
-        stream.seek(size - 4)
-        tail = bytes(stream.read() & 0xFF for _ in range(4))
-        return head == PARQUET_MAGIC and tail == PARQUET_MAGIC
+        if read_at(0, 4) != PARQUET_MAGIC:
+            return None
+        tail = read_at(size - 8, 8)
+        if tail[4:] != PARQUET_MAGIC:
+            return None
+        (n,) = struct.unpack("<I", tail[:4])
+        if n <= 0 or n > size - 12:
+            return None
+        footer = read_at(size - 8 - n, n)
     finally:
         stream.close()
+    meta = pq.ParquetFile(pa.BufferReader(PARQUET_MAGIC + footer + tail))
+    return list(meta.schema_arrow.names)
 
 
-def parquet_errors(spark: SparkSession, infos: list[FileInfo]) -> dict[str, str]:
-    """path -> error for Parquet files that are not readable as Parquet."""
+def parquet_schemas(spark: SparkSession, infos: list[FileInfo]) -> dict[str, tuple]:
+    """path -> (column names, error) for Parquet files, from their footers."""
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-        res = list(pool.map(lambda f: _safe_call(_parquet_ok, spark, f.path, f.size or 0), infos))
-    return {f.path: (err or "cannot read file: not a Parquet file")
-            for f, (ok, err) in zip(infos, res) if not ok}
+        res = list(pool.map(lambda f: _safe_call(_parquet_columns, spark, f.path, f.size or 0), infos))
+    out = {}
+    for f, (cols, err) in zip(infos, res):
+        if cols is None and err is None:
+            err = "cannot read file: not a Parquet file"
+        out[f.path] = (cols, err)
+    return out
 
 
 def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: str = ";",
@@ -284,9 +308,10 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
 
 def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) -> Dataset:
     pq_all = [f for f in infos if f.format == "parquet"]
-    bad = parquet_errors(spark, pq_all)
-    broken = [FileInfo(f.source, f.path, f.size, [], f.format, bad[f.path]) for f in pq_all if f.path in bad]
-    pq = [f for f in pq_all if f.path not in bad]  # unreadable files stay out of the Spark read
+    schemas = parquet_schemas(spark, pq_all)  # each file's own columns, from its footer
+    broken = [FileInfo(f.source, f.path, f.size, [], f.format, schemas[f.path][1])
+              for f in pq_all if schemas[f.path][1]]
+    pq = [f for f in pq_all if not schemas[f.path][1]]  # unreadable files stay out of the Spark read
     if not pq:
         return Dataset(df=_empty_rows(spark), files=files_frame(spark, broken), reader=lambda s: _empty_rows(spark),
                        infos=broken)
@@ -304,7 +329,7 @@ def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) ->
 
     df = read(list(src_of))
     cols = [c for c in df.columns if c != SOURCE]
-    out_infos = [FileInfo(f.source, f.path, f.size, cols, f.format) for f in pq] + broken
+    out_infos = [FileInfo(f.source, f.path, f.size, schemas[f.path][0], f.format) for f in pq] + broken
     return Dataset(df=df, files=files_frame(spark, out_infos), reader=rows_of, infos=out_infos)
 
 

@@ -153,3 +153,16 @@ def test_unreadable_file_is_isolated(spark, tmp_root):
     assert ("bad_sales.parquet", "read_file") in bad
     assert outs[0].summary["files"] == 3
     assert [p.split("/")[0] for p in outs[0].passed] == ["good_sales"]
+
+
+def test_parquet_columns_per_file(spark, tmp_root):
+    from dropgate.sources.files import read_drop
+    inp = f"{tmp_root}/in"
+    spark.createDataFrame([(1, 2.0)], "id long, x double").coalesce(1).write.parquet(f"{inp}/a_sales")
+    spark.createDataFrame([(3,)], "id long").coalesce(1).write.parquet(f"{inp}/b_sales")
+    ds = read_drop(spark, inp)
+    cols = {f.source.split("/")[0]: f.columns for f in ds.infos}
+    assert cols == {"a_sales": ["id", "x"], "b_sales": ["id"]}
+    f = C.run_checks(ds.df, {"required_columns": ["id", "x"]}, keys_df=ds.files)
+    got = {r["_source_file"].split("/")[0]: r["passed"] for r in f.collect()}
+    assert got == {"a_sales": True, "b_sales": False}
