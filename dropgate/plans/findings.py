@@ -84,17 +84,32 @@ def run_summary(findings: DataFrame) -> DataFrame:
                  F.count_if(~F.col("passed")).alias("n_failed")))
 
 
-def text_report(findings: DataFrame) -> DataFrame:
-    """Readable per-file report (K5): failing findings' messages joined in order.
+# Lines of text rendered per file by ``text_report``; the findings table
+# itself always keeps every finding.
+REPORT_MAX_LINES = 1000
+
+
+def text_report(findings: DataFrame, max_lines: int = REPORT_MAX_LINES) -> DataFrame:
+    """Readable per-file report (K5): failing findings' messages, in order.
 
     Files whose findings all passed get no report, as with the text reports
-    of the original tool. The message list per file is bounded by the number
-    of checks in the registry, not by data size.
+    of the original tool. The text is a rendering of the findings table:
+    at most ``max_lines`` lines per file (a partial WindowGroupLimit keeps
+    each task from shipping more), followed by a count of the remaining
+    failing findings, which stay queryable in the table.
     """
+    from pyspark.sql import Window
+
     bad = findings.filter(~F.col("passed"))
-    ordered = F.array_sort(F.collect_list(F.struct("check", "column", "message")))
-    return (bad.groupBy("run_id", "step", "source_file")
-            .agg(ordered.alias("_m"))
-            .select("run_id", "step", "source_file",
-                    F.concat_ws("\n", F.transform("_m", lambda s: F.concat_ws(
-                        ": ", s["check"], F.coalesce(s["message"], F.lit(""))))).alias("report")))
+    keys = ["run_id", "step", "source_file"]
+    w = Window.partitionBy(*keys).orderBy("check", "column", "message")
+    top = bad.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= max_lines)
+    line = F.concat_ws(": ", F.col("check"), F.coalesce(F.col("message"), F.lit("")))
+    text = (top.groupBy(*keys)
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("__rn", line.alias("l")))),
+                             lambda x: x["l"]).alias("_lines")))
+    counts = bad.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    more = F.when(F.col("_n") > max_lines,
+                  F.format_string("(+%d more failing findings in the findings table)", F.col("_n") - max_lines))
+    return (text.join(counts, keys)
+            .select(*keys, F.concat_ws("\n", F.col("_lines"), more).alias("report")))

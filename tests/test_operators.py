@@ -328,3 +328,15 @@ def test_enrich_report_distinct_examples(spark):
     f = {r["_source_file"]: r for r in C.evaluate(report).collect()}
     assert f["f"]["n_bad"] == 4 and f["f"]["samples"] == ["8", "9"]
     assert f["g"]["n_bad"] == 0 and f["g"]["samples"] is None
+
+
+def test_text_report_bounded(spark):
+    from dropgate.plans.findings import text_report
+    rows = [("r", "s", "f", "check_hierarchy", "c", "fail", False, 1, f"v{i:03d}", None) for i in range(7)]
+    rows.append(("r", "s", "g", "x", None, "fail", True, 0, None, None))
+    from dropgate.plans.findings import FINDINGS_SCHEMA
+    df = spark.createDataFrame(rows, FINDINGS_SCHEMA)
+    rep = {r["source_file"]: r["report"] for r in text_report(df, max_lines=3).collect()}
+    assert list(rep) == ["f"]
+    assert rep["f"].split("\n") == ["check_hierarchy: v000", "check_hierarchy: v001", "check_hierarchy: v002",
+                                    "(+4 more failing findings in the findings table)"]
