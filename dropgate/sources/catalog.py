@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -156,16 +156,15 @@ class Catalog:
 def list_runs(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
     """(S9) distinct ``run_id=`` partitions under ``root``, newest first.
 
-    Found from the file listing alone (no data is read); ``run_index`` is
-    -1 for the latest run, -2 for the one before, and so on.
+    Found from the file listing alone (no data is read, no job runs);
+    ``run_index`` is -1 for the latest run, -2 for the one before, and so on.
     """
-    from dropgate.sources.files import list_files
+    import re
 
-    runs = (list_files(spark, root)
-            .select(F.regexp_extract("path", r"/run_id=([^/]+)/", 1).alias("run_id"))
-            .filter(F.col("run_id") != "").distinct())
-    w = Window.orderBy(F.col("run_id").desc())
-    out = runs.withColumn("run_index", -F.row_number().over(w))
+    from dropgate.sources.files import list_file_infos
+
+    runs = sorted({m.group(1) for f in list_file_infos(spark, root)
+                   if (m := re.search(r"/run_id=([^/]+)/", f.path or ""))}, reverse=True)
     if limit is not None:
-        out = out.filter(F.col("run_index") >= -limit)
-    return out
+        runs = runs[:limit]
+    return spark.createDataFrame([(r, -(i + 1)) for i, r in enumerate(runs)], "run_id string, run_index int")
