@@ -50,7 +50,8 @@ def _checks(df: DataFrame, spec, **kw) -> DataFrame:
 # ---------------------------------------------------------------- sources
 
 def scan_parquet(spark, sf):
-    return _catalog(spark, sf).read("static.mappings.region").select("r_regionkey", "r_name")
+    return (_catalog(spark, sf).read("D.static.mappings.orders")
+            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"))
 
 
 def scan_csv_roundtrip(spark, sf):
@@ -74,9 +75,9 @@ def discover_files(spark, sf):
 # ---------------------------------------------------------------- routing
 
 def pattern_match(spark, sf):
-    n = _t(spark, sf, "nation")
-    paths = (n.select(F.concat(F.lit("FR_sales_"), "n_name").alias("p")).distinct()
-             .union(n.select(F.concat("n_name", F.lit("_inventory_sales")).alias("p")).distinct()))
+    c = _t(spark, sf, "customer")
+    paths = (c.select(F.concat(F.lit("FR_sales_"), "c_name").alias("p"))
+             .union(c.select(F.concat("c_name", F.lit("_inventory_sales")).alias("p"))))
     return routing.match_patterns(paths, ["*sales*", "*inventory*"], path_col="p").select("p", "n_matches")
 
 
@@ -168,7 +169,7 @@ def drop_nulls(spark, sf):
 
 
 def blank(spark, sf):
-    return _chain(spark, sf, _t(spark, sf, "region"), [{"function": "blank"}])
+    return _chain(spark, sf, _t(spark, sf, "supplier"), [{"function": "blank"}])
 
 
 def transform_sales_chain(spark, sf):
@@ -307,10 +308,13 @@ def additional_columns(spark, sf):
 
 
 def empty_check(spark, sf):
-    region = _t(spark, sf, "region").select(F.col("r_name").alias("dataset"), "r_regionkey")
-    nat = (_t(spark, sf, "nation").filter(F.col("n_name").like("%A%"))
-           .join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("dataset", "n_nationkey"))
-    return _checks(nat, {"is_empty_dataframe": None}, keys_df=region.select("dataset"))
+    """Every customer segment is a 'file'; segments whose rows are all
+    filtered away must still get a (failing) verdict."""
+    c = _t(spark, sf, "customer")
+    keys = c.select(F.col("c_mktsegment").alias("dataset")).distinct()
+    rows = (c.filter((F.col("c_acctbal") > 5000) & F.col("c_mktsegment").like("%U%"))
+            .select(F.col("c_mktsegment").alias("dataset"), "c_custkey"))
+    return _checks(rows, {"is_empty_dataframe": None}, keys_df=keys)
 
 
 def value_range(spark, sf):
@@ -350,7 +354,7 @@ def hierarchy_violations(spark, sf):
 
 
 def hierarchy_ok(spark, sf):
-    v = C.hierarchy_violations(_t(spark, sf, "nation"), ["n_regionkey"], ["n_nationkey"])
+    v = C.hierarchy_violations(_t(spark, sf, "customer"), ["c_nationkey"], ["c_custkey"])
     return v.agg(F.count(F.lit(1)).alias("n_violations"))
 
 
@@ -494,13 +498,13 @@ QUERIES = {
 _MARKERS_SQL = "'', ' ', 'NA', 'N/A', 'NULL', 'en'"
 
 ORACLE_SQL = {
-    "scan_parquet": "SELECT r_regionkey, r_name FROM region",
+    "scan_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "scan_csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "pattern_match": """
         SELECT p, CAST((CASE WHEN p ILIKE '%sales%' THEN 1 ELSE 0 END)
                      + (CASE WHEN p ILIKE '%inventory%' THEN 1 ELSE 0 END) AS INTEGER) AS n_matches
-        FROM (SELECT DISTINCT 'FR_sales_' || n_name AS p FROM nation
-              UNION ALL SELECT DISTINCT n_name || '_inventory_sales' AS p FROM nation)""",
+        FROM (SELECT 'FR_sales_' || c_name AS p FROM customer
+              UNION ALL SELECT c_name || '_inventory_sales' AS p FROM customer)""",
     "dispatch_by_pattern": """
         SELECT o_orderkey, CASE WHEN o_orderpriority ILIKE '1-%' THEN 'URGENT'
                                 WHEN o_orderpriority ILIKE '5-%' THEN 'LOW' ELSE 'REJECT' END AS target
@@ -513,7 +517,7 @@ ORACLE_SQL = {
     "strip_whitespace": r"SELECT c_custkey, regexp_replace('  ' || c_name || chr(9) || ' ', '^\s+|\s+$', '', 'g') AS c_name FROM customer",
     "case_upper": "SELECT p_partkey, upper(p_name) AS p_name, upper(p_brand) AS p_brand FROM part",
     "case_lower": "SELECT c_custkey, lower(c_mktsegment) AS c_mktsegment FROM customer",
-    "blank": "SELECT * FROM region",
+    "blank": "SELECT * FROM supplier",
     "multiply_columns": "SELECT l_orderkey, l_linenumber, l_extendedprice * l_quantity AS total_sales FROM lineitem",
     "sum_columns": "SELECT l_orderkey, l_linenumber, l_discount + l_tax AS adj FROM lineitem",
     "subtract_columns": "SELECT l_orderkey, l_linenumber, l_extendedprice - l_discount - l_tax AS net FROM lineitem",
@@ -584,11 +588,12 @@ ORACLE_SQL = {
         FROM orders, (SELECT count(*) AS n FROM (DESCRIBE orders)
                       WHERE column_name NOT IN ('o_orderkey', 'o_custkey')) m""",
     "empty_check": """
-        SELECT r.r_name AS dataset, 'is_empty_dataframe' AS "check", CAST(NULL AS VARCHAR) AS "column",
-               count(n.n_nationkey) > 0 AS passed,
-               CAST(CASE WHEN count(n.n_nationkey) = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_bad
-        FROM region r LEFT JOIN nation n ON n.n_regionkey = r.r_regionkey AND n.n_name LIKE '%A%'
-        GROUP BY r.r_name""",
+        SELECT s.seg AS dataset, 'is_empty_dataframe' AS "check", CAST(NULL AS VARCHAR) AS "column",
+               count(c.c_custkey) > 0 AS passed,
+               CAST(CASE WHEN count(c.c_custkey) = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_bad
+        FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer) s
+        LEFT JOIN customer c ON c.c_mktsegment = s.seg AND c.c_acctbal > 5000 AND c.c_mktsegment LIKE '%U%'
+        GROUP BY s.seg""",
     "value_range": """
         SELECT l_returnflag AS dataset, 'value_range.min' AS "check", 'l_quantity' AS "column",
                count(*) FILTER (WHERE l_quantity < 5) = 0 AS passed, count(*) FILTER (WHERE l_quantity < 5) AS n_bad
@@ -624,8 +629,8 @@ ORACLE_SQL = {
         SELECT p_brand, count(*) AS n_higher FROM (SELECT DISTINCT p_brand, p_type FROM part)
         GROUP BY p_brand HAVING count(*) > 1""",
     "hierarchy_ok": """
-        SELECT count(*) AS n_violations FROM (SELECT n_nationkey FROM (SELECT DISTINCT n_nationkey, n_regionkey FROM nation)
-        GROUP BY n_nationkey HAVING count(*) > 1)""",
+        SELECT count(*) AS n_violations FROM (SELECT c_custkey FROM (SELECT DISTINCT c_custkey, c_nationkey FROM customer)
+        GROUP BY c_custkey HAVING count(*) > 1)""",
     "hierarchy_check": """
         SELECT dataset, 'p_brand' AS "column", count(*) AS n_bad FROM (
           SELECT DISTINCT CASE WHEN p_size % 5 = 0 THEN 'size5' ELSE 'other' END AS dataset, p_brand, p_type FROM part)
