@@ -138,13 +138,27 @@ class Preboarding:
         self._input_paths: list[str] = []
         self._written: dict[str, dict[str, tuple[list[str], list[str]]]] = {}
         self._views: dict[str, Dataset] = {}
+        self._folders: dict[str, dict[str, str]] = {}
 
     # ------------------------------------------------------------ paths / io
     def staging(self, step: str) -> str:
         return f"{self.root}/staging/run_id={self.run_id}/{step}"
 
+    def _folder(self, step: str, group: str) -> str:
+        """Folder name of a group: readable, and unique within the step
+        (two patterns may reduce to the same safe name)."""
+        names = self._folders.setdefault(step, {})
+        if group not in names:
+            base, n = _safe(group), 1
+            name = base
+            while name in names.values():
+                n += 1
+                name = f"{base}_{n}"
+            names[group] = name
+        return names[group]
+
     def _group_path(self, step: str, group: str) -> str:
-        return f"{self.staging(step)}/group={_safe(group)}"
+        return f"{self.staging(step)}/group={self._folder(step, group)}"
 
     def _write_group(self, step: str, group: str, df: DataFrame, sources: list[str],
                      keep_hidden: bool = False) -> None:
@@ -156,7 +170,7 @@ class Preboarding:
         else:
             df.write.mode("overwrite").parquet(self._group_path(step, group))
         cols = [c for c in df.columns if c != SOURCE and not c.startswith("__")]
-        self._written.setdefault(step, {})[_safe(group)] = (sorted(sources), cols)
+        self._written.setdefault(step, {})[self._folder(step, group)] = (sorted(sources), cols)
 
     def read_step(self, step: str, only: list[str] | None = None) -> Dataset:
         """The written output of ``step`` (restricted to ``only`` files) as a Dataset.

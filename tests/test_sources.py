@@ -166,3 +166,17 @@ def test_parquet_columns_per_file(spark, tmp_root):
     f = C.run_checks(ds.df, {"required_columns": ["id", "x"]}, keys_df=ds.files)
     got = {r["_source_file"].split("/")[0]: r["passed"] for r in f.collect()}
     assert got == {"a_sales": True, "b_sales": False}
+
+
+def test_group_folders_do_not_collide(spark, tmp_root):
+    inp = f"{tmp_root}/in"
+    _write(inp, "one/x.csv", "id;v\n1;a\n")
+    _write(inp, "one_x.csv", "id;v\n2;b\n")
+    pb = Preboarding(spark, f"{tmp_root}/out", run_id="r1")
+    # both patterns reduce to the folder name "one_x.csv"
+    steps = [("t", "transform", {"one/x.csv": {"transforms": [{"function": "blank"}]},
+                                 "one_x.csv": {"transforms": [{"function": "blank"}]}}),
+             ("d", "dispatch", {"*": "ALL"})]
+    pb.run(inp, steps)
+    out = spark.read.parquet(pb.staging("d") + "/*")
+    assert sorted(r["id"] for r in out.collect()) == ["1", "2"]
