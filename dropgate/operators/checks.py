@@ -269,8 +269,8 @@ def required_columns(ctx: CheckContext, params):
 @check
 def additional_columns(ctx: CheckContext, params):
     allowed = F.array(*[F.lit(c) for c in (params or [])]).cast("array<string>")
-    own = F.filter(F.col("__columns"), lambda x: ~x.startswith("_"))
-    extra = F.array_except(own, allowed)
+    # the per-file column lists hold only the file's own columns
+    extra = F.array_except(F.col("__columns"), allowed)
     n = F.size(extra)
     ctx.finding(None, passed=n == 0, n_bad=n,
                 message=F.when(n > 0, F.concat(F.lit(msg("extra_columns")), F.array_join(extra, ", "))))
@@ -298,9 +298,11 @@ def value_range(ctx: CheckContext, params):
             ctx.static(col, False, msg("column_absent", col=col))
             continue
         c = F.col(col)
-        if isinstance(ctx.df.schema[col].dataType, T.StringType):
-            # raw (CSV) text: compare as numbers; values that are not numbers
-            # are reported by `column_types`, not here
+        numeric_bounds = all(isinstance(rng.get(b), (int, float)) for b in ("min", "max") if rng.get(b) is not None)
+        if isinstance(ctx.df.schema[col].dataType, T.StringType) and numeric_bounds:
+            # raw (CSV) text with numeric bounds: compare as numbers; values
+            # that are not numbers are reported by `column_types`, not here.
+            # Text bounds (e.g. ISO dates) compare as text.
             c = c.try_cast("double")
         for bound, op, word in (("min", c.__lt__, "below_min"), ("max", c.__gt__, "above_max")):
             if rng.get(bound) is None:

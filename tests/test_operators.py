@@ -340,3 +340,13 @@ def test_text_report_bounded(spark):
     assert list(rep) == ["f"]
     assert rep["f"].split("\n") == ["check_hierarchy: v000", "check_hierarchy: v001", "check_hierarchy: v002",
                                     "(+4 more failing findings in the findings table)"]
+
+
+def test_value_range_text_bounds_and_underscore_columns(spark):
+    df = spark.createDataFrame([("f", "2025-01-05", "x"), ("f", "2024-12-31", "y")],
+                               "_source_file string, date string, _extra string")
+    f = {r["check"]: r for r in C.run_checks(df, {"value_range": {"date": {"min": "2025-01-01"}}}).collect()}
+    assert f["value_range.min"]["n_bad"] == 1
+    keys = spark.createDataFrame([("f", ["date", "_extra"])], "_source_file string, __columns array<string>")
+    a = C.run_checks(df, {"additional_columns": ["date"]}, keys_df=keys).first()
+    assert not a["passed"] and a["n_bad"] == 1
