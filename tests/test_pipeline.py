@@ -88,3 +88,24 @@ def test_transform_report(run):
     f = pb.findings().filter((F.col("step") == "2_transform") & (F.col("check") == "enrich_with_mapping"))
     rows = f.collect()
     assert rows and all(r["passed"] and r["n_bad"] == 0 for r in rows)
+
+
+def test_rows_delivered_or_rejected(run, spark):
+    """Every input row is either delivered or belongs to a file that failed a step."""
+    pb, _, _, root = run
+    raw = restore(spark, f"{root}/backup", "20250101_000000")
+    per_file = {r["_source_file"]: r["count"] for r in raw.groupBy("_source_file").count().collect()}
+    delivered = spark.read.parquet(pb.staging("5_dispatcher") + "/*").count()
+    bad = {r["source_file"].rsplit("/", 1)[-1] for r in pb.findings().filter(~F.col("passed")).collect()}
+    rejected = sum(n for s, n in per_file.items() if s.rsplit("/", 1)[-1] in bad)
+    assert delivered + rejected == sum(per_file.values())
+
+
+def test_rerun_is_idempotent(run, spark):
+    """Re-running the same run id replaces its outputs; the snapshot version is not doubled."""
+    pb, _, cat, root = run
+    again = Preboarding(spark, root, catalog=cat, run_id="20250101_000000")
+    again.run(f"{FIXTURES}/input", default_steps(), backup_root=f"{root}/backup")
+    v = {r["version"]: r["n_rows"] for r in cat.versions("static.mappings.inventory_snapshot").collect()}
+    assert v == {"20250101_000000": 20}
+    assert spark.read.parquet(again.staging("5_dispatcher") + "/*").count() == 173
