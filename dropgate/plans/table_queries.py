@@ -68,6 +68,34 @@ def scan_csv_roundtrip(spark, sf):
     return typed(ds.df, schema).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
 
+def corrupt_rows(spark, sf):
+    """(S5) Orders as a CSV drop in which status-P rows carry the separator in
+    a text value, written unquoted: those rows have one field too many."""
+    root = scratch_path(spark, "corrupt_drop")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    o = o.withColumn("o_orderpriority", F.when(F.col("o_orderstatus") == "P",
+                                               F.concat("o_orderpriority", F.lit(";"), "o_orderstatus"))
+                     .otherwise(F.col("o_orderpriority")))
+    w = lambda df, path: df.write.option("header", "true").option("sep", ";").option("quote", "").csv(path)
+    w(o.filter(F.col("o_orderstatus") == "F"), f"{root}/orders_F")
+    w(o.filter(F.col("o_orderstatus") != "F"), f"{root}/orders_other")
+    ds = read_drop(spark, root, sep=";")
+    rows = ds.df.withColumn("dataset", F.regexp_extract("_source_file", r"^([^/]+)/", 1))
+    return _checks(rows, {"malformed_rows": None})
+
+
+def list_runs_query(spark, sf):
+    """(S9) Orders backed up as one run per order status; runs listed newest
+    first with their row counts."""
+    from dropgate.sources.catalog import list_runs
+    root = scratch_path(spark, "runs")
+    (_t(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+     .withColumn("run_id", F.concat(F.lit("run_"), "o_orderstatus"))
+     .write.partitionBy("run_id").parquet(root))
+    counts = spark.read.parquet(root).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return list_runs(spark, root).join(counts, "run_id")
+
+
 def discover_files(spark, sf):
     return list_files(spark, sf, glob="*.parquet").select("_source_file", "format")
 
@@ -443,6 +471,8 @@ QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_csv_roundtrip": scan_csv_roundtrip,
     "discover_files": discover_files,
+    "corrupt_rows": corrupt_rows,
+    "list_runs": list_runs_query,
     "pattern_match": pattern_match,
     "dispatch_by_pattern": dispatch_by_pattern,
     "dispatch_rejects": dispatch_rejects,
@@ -676,6 +706,17 @@ ORACLE_SQL = {
                  || ' value(s) above 0.09' AS report
         FROM lineitem GROUP BY l_returnflag, l_linestatus
         HAVING count(*) FILTER (WHERE l_discount > 0.09) > 0""",
+    "corrupt_rows": """
+        SELECT CASE WHEN o_orderstatus = 'F' THEN 'orders_F' ELSE 'orders_other' END AS dataset,
+               'malformed_rows' AS "check", CAST(NULL AS VARCHAR) AS "column",
+               count(*) FILTER (WHERE o_orderstatus = 'P') = 0 AS passed,
+               count(*) FILTER (WHERE o_orderstatus = 'P') AS n_bad
+        FROM orders GROUP BY 1""",
+    "list_runs": """
+        SELECT 'run_' || o_orderstatus AS run_id,
+               CAST(-row_number() OVER (ORDER BY 'run_' || o_orderstatus DESC) AS INTEGER) AS run_index,
+               count(*) AS n_rows
+        FROM orders GROUP BY o_orderstatus""",
     "discover_files": """
         SELECT table_name || '.parquet' AS _source_file, 'parquet' AS format
         FROM information_schema.tables

@@ -275,6 +275,10 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
     files.
     """
     csv = [f for f in infos if f.format == "csv"]
+    if keep_corrupt:
+        # a row with the wrong number of fields is only flagged when the
+        # parser sees every token (parser-level column pruning hides it)
+        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     heads = read_headers(spark, [f.path for f in csv if (f.size or 0) > 0], sep)
     groups: dict[tuple, list[str]] = {}
     out_infos = []
