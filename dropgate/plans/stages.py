@@ -99,6 +99,14 @@ def own_columns(df: DataFrame, infos: list[FileInfo]) -> DataFrame:
     return df.select(*[c for c in df.columns if c in names or c == SOURCE or c.startswith("__")])
 
 
+def _by_layout(infos: list[FileInfo]) -> list[list[FileInfo]]:
+    """Files grouped by their set of columns (order ignored), in first-seen order."""
+    groups: dict[frozenset, list[FileInfo]] = {}
+    for f in infos:
+        groups.setdefault(frozenset(f.columns or []), []).append(f)
+    return list(groups.values())
+
+
 def _safe(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9_.-]+", "_", name).strip("_") or "x"
 
@@ -355,29 +363,33 @@ class Preboarding:
         frames = [self._routing(ds, patterns)]
         pending = []
         for i, p in enumerate(patterns):
-            infos = self._pattern_files(ds, match, i)
-            if not infos:
-                continue
             spec = registry.rules(p).get("transforms", [])
-            rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
-            report = C.CheckContext(df=rows, key=SOURCE, catalog=self.catalog)
-            ctx = TransformContext(catalog=self.catalog, key=SOURCE, run_id=self.run_id, report=report)
-            out, log = apply_chain(rows, spec, ctx)
-            keys = files_frame(self.spark, infos)
-            # chain status: one finding per transform and file
-            status = [F.struct(F.lit(n).alias("check"), F.lit(None).cast("string").alias("column"),
-                               F.lit("info" if ok else "fail").alias("severity"), F.lit(ok).alias("passed"),
-                               F.lit(0 if ok else 1).cast("long").alias("n_bad"),
-                               F.lit(err).cast("string").alias("message"),
-                               F.lit(None).cast("array<string>").alias("samples"))
-                      for n, ok, err in log] or [F.struct(
-                          F.lit("transforms").alias("check"), F.lit(None).cast("string").alias("column"),
-                          F.lit("info").alias("severity"), F.lit(True).alias("passed"),
-                          F.lit(0).cast("long").alias("n_bad"), F.lit(None).cast("string").alias("message"),
-                          F.lit(None).cast("array<string>").alias("samples"))]
-            frames.append(keys.select(SOURCE, F.inline(F.array(*status))))
-            if all(ok for _, ok, _ in log):
-                pending.append((p, out, ctx, report, keys, infos))
+            # A transform's success depends only on the columns it sees, so
+            # the chain runs once per distinct column set of the pattern's
+            # files: a file lacking a needed column fails on its own, as if
+            # it were read alone (usually there is a single layout).
+            layouts = _by_layout(self._pattern_files(ds, match, i))
+            for j, infos in enumerate(layouts):
+                group = p if len(layouts) == 1 else f"{p}#{j + 1}"
+                rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
+                report = C.CheckContext(df=rows, key=SOURCE, catalog=self.catalog)
+                ctx = TransformContext(catalog=self.catalog, key=SOURCE, run_id=self.run_id, report=report)
+                out, log = apply_chain(rows, spec, ctx)
+                keys = files_frame(self.spark, infos)
+                # chain status: one finding per transform and file
+                status = [F.struct(F.lit(n).alias("check"), F.lit(None).cast("string").alias("column"),
+                                   F.lit("info" if ok else "fail").alias("severity"), F.lit(ok).alias("passed"),
+                                   F.lit(0 if ok else 1).cast("long").alias("n_bad"),
+                                   F.lit(err).cast("string").alias("message"),
+                                   F.lit(None).cast("array<string>").alias("samples"))
+                          for n, ok, err in log] or [F.struct(
+                              F.lit("transforms").alias("check"), F.lit(None).cast("string").alias("column"),
+                              F.lit("info").alias("severity"), F.lit(True).alias("passed"),
+                              F.lit(0).cast("long").alias("n_bad"), F.lit(None).cast("string").alias("message"),
+                              F.lit(None).cast("array<string>").alias("samples"))]
+                frames.append(keys.select(SOURCE, F.inline(F.array(*status))))
+                if all(ok for _, ok, _ in log):
+                    pending.append((group, out, ctx, report, keys, infos))
         # write transformed rows first (hidden report columns included), then
         # evaluate the transform reports on the written table
         staged = {}
@@ -406,21 +418,22 @@ class Preboarding:
         frames = [self._routing(ds, patterns)]
         outs = []
         for i, p in enumerate(patterns):
-            infos = self._pattern_files(ds, match, i)
-            if not infos:
-                continue
             rules = registry.rules(p)
-            rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
-            try:
-                outs.append((p, aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"])), infos))
-                ok, err = True, None
-            except RegistryError as e:
-                ok, err = False, str(e)
-            frames.append(files_frame(self.spark, infos).select(
-                SOURCE, F.lit("aggregate").alias("check"), F.lit(None).cast("string").alias("column"),
-                F.lit("fail").alias("severity"), F.lit(ok).alias("passed"),
-                F.lit(0 if ok else 1).cast("long").alias("n_bad"), F.lit(err).cast("string").alias("message"),
-                F.lit(None).cast("array<string>").alias("samples")))
+            layouts = _by_layout(self._pattern_files(ds, match, i))  # as in transform()
+            for j, infos in enumerate(layouts):
+                group = p if len(layouts) == 1 else f"{p}#{j + 1}"
+                rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
+                try:
+                    outs.append((group, aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"])),
+                                 infos))
+                    ok, err = True, None
+                except RegistryError as e:
+                    ok, err = False, str(e)
+                frames.append(files_frame(self.spark, infos).select(
+                    SOURCE, F.lit("aggregate").alias("check"), F.lit(None).cast("string").alias("column"),
+                    F.lit("fail").alias("severity"), F.lit(ok).alias("passed"),
+                    F.lit(0 if ok else 1).cast("long").alias("n_bad"), F.lit(err).cast("string").alias("message"),
+                    F.lit(None).cast("array<string>").alias("samples")))
         findings, passed = self._record(frames, step)
         for p, out, infos in outs:
             ok = [f.source for f in infos if f.source in passed]

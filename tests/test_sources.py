@@ -180,3 +180,21 @@ def test_group_folders_do_not_collide(spark, tmp_root):
     pb.run(inp, steps)
     out = spark.read.parquet(pb.staging("d") + "/*")
     assert sorted(r["id"] for r in out.collect()) == ["1", "2"]
+
+
+def test_transform_fails_only_files_lacking_columns(spark, tmp_root):
+    inp = f"{tmp_root}/in"
+    _write(inp, "a_sales.csv", "price;qty\n2;3\n")
+    _write(inp, "b_sales.csv", "price\n5\n")          # no qty: cannot multiply
+    pb = Preboarding(spark, f"{tmp_root}/out", run_id="r1")
+    steps = [("0", "validate", {"*": {"validators": {"is_empty_dataframe": None},
+                                      "schema": {"price": "double", "qty": "double"}}}),
+             ("t", "transform", {"*sales*": {"transforms": [
+                 {"function": "multiply_columns", "params": {"columns_to_multiply": ["price", "qty"],
+                                                             "output_column": "total"}}]}}),
+             ("d", "dispatch", {"*": "OUT"})]
+    outs = pb.run(inp, steps)
+    t = {o.step: o for o in outs}["t"]
+    assert t.summary == {"files": 2, "passed": 1, "failed": 1} and t.passed == ["a_sales.csv"]
+    out = spark.read.parquet(pb.staging("d") + "/*").collect()
+    assert [(r["price"], r["qty"], r["total"]) for r in out] == [(2.0, 3.0, 6.0)]
