@@ -1,8 +1,9 @@
 """Join building blocks with explicit size and skew handling.
 
-* ``bounded_count`` proves a row bound with a limited count (reads at most
-  ``max_rows + 1`` rows per partition), so a broadcast hint is only ever put
-  on a side whose size is checked.
+* ``bounded_size`` proves a row and byte bound with one limited job (reads
+  at most ``max_rows + 1`` rows per partition, measures their string
+  lengths), so a broadcast hint is only ever put on a side whose size is
+  checked.
 * ``hot_keys`` finds keys that hold more than a fraction of a side's rows
   with one pass of a frequent-items sketch (``approx_top_k``, combined
   map-side); the result is bounded by ``1 / fraction`` values.
@@ -16,10 +17,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Right sides with at most this many rows are broadcast. At ~100 bytes per
 # mapping row this is a few hundred MB on the executors at worst.
 BROADCAST_MAX_ROWS = 2_000_000
+# ... and whose measured payload is at most this many bytes.
+BROADCAST_MAX_BYTES = 256 << 20
 # A key is "hot" when it holds more than this share of the left side's rows.
 HOT_KEY_FRACTION = 0.001
 # Number of tasks a hot key's rows are spread over.
@@ -39,9 +43,47 @@ def bounded_count(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+# Bytes per value of fixed-width types.
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+          T.DecimalType: 16}
+
+
+def _value_bytes(field: T.StructField) -> Column:
+    c = F.col(field.name)
+    t = field.dataType
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    for kind, width in _WIDTH.items():
+        if isinstance(t, kind):
+            return F.lit(width)
+    return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))  # nested values: their JSON size
+
+
+def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int] | None:
+    """(rows, payload bytes) if there are at most ``max_rows`` rows, else None.
+
+    One job over at most ``max_rows + 1`` rows per partition: the string
+    lengths are measured, not estimated, so the byte figure is a real bound
+    of what a broadcast would ship (before hash-table overhead).
+    """
+    width = sum((_value_bytes(f) for f in df.schema.fields), F.lit(0))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                     F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return (row["n"], row["b"]) if row["n"] <= max_rows else None
+
+
+def provably_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    if max_rows <= 0:
+        return False
+    size = bounded_size(df, max_rows)
+    return size is not None and size[1] <= max_bytes
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """(broadcast(df), True) when its size is proven small, else (df, False)."""
-    if max_rows > 0 and bounded_count(df, max_rows) is not None:
+    if provably_small(df, max_rows):
         return F.broadcast(df), True
     return df, False
 
@@ -59,7 +101,7 @@ def broadcast_distinct(raw: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Da
     The bound is checked on the projected input rows (distinct ≤ input), so
     the check never has to run the distinct's shuffle.
     """
-    small = max_rows > 0 and bounded_count(raw, max_rows) is not None
+    small = provably_small(raw, max_rows)
     d = raw.distinct()
     return F.broadcast(d) if small else d
 

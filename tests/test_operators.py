@@ -350,3 +350,11 @@ def test_value_range_text_bounds_and_underscore_columns(spark):
     keys = spark.createDataFrame([("f", ["date", "_extra"])], "_source_file string, __columns array<string>")
     a = C.run_checks(df, {"additional_columns": ["date"]}, keys_df=keys).first()
     assert not a["passed"] and a["n_bad"] == 1
+
+
+def test_broadcast_proof_counts_bytes(spark):
+    df = spark.createDataFrame([(1, "abcd"), (2, None)], "k long, s string")
+    assert joins.bounded_size(df, 10) == (2, 8 + 4 + 8)
+    assert joins.bounded_size(df, 1) is None
+    assert joins.provably_small(df, 10, max_bytes=100)
+    assert not joins.provably_small(df, 10, max_bytes=10)
