@@ -316,16 +316,32 @@ class Preboarding:
         if not materialize:
             self._views[step] = self._routed_view(ds, mapping, match, passed)
             return self._finish(step, findings, ds, passed)
-        for i, (p, target) in enumerate(mapping.items()):
-            infos = [f for f in self._pattern_files(ds, match, i) if f.source in passed]
-            if not infos:
-                continue
+        targets = list(mapping.values())
+        moving = [f for f in ds.infos if match[f.source] >= 0 and f.source in passed]
+        # one scan and one partitioned write per column layout (not one per
+        # target): each row looks up its target folder and new name in a
+        # small broadcast table keyed by its file
+        for infos in _by_layout(moving):
+            moves = []
+            for f in infos:
+                t = targets[match[f.source]]
+                moves.append((f.source, self._folder(step, t), f"{t.rstrip('/')}/{f.source.rsplit('/', 1)[-1]}"))
+            keymap = self.spark.createDataFrame(moves, f"{SOURCE} string, group string, __new string")
+            if len(moves) <= MAX_BROADCAST_FILES:
+                keymap = F.broadcast(keymap)
             rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
-            # flatten: target folder + file name
-            base = F.regexp_extract(SOURCE, r"([^/]+)$", 1)
-            rows = rows.withColumn(SOURCE, F.concat(F.lit(target.rstrip("/") + "/"), base))
-            new = [f"{target.rstrip('/')}/{f.source.rsplit('/', 1)[-1]}" for f in infos]
-            self._write_group(step, target, rows, new)
+            rows = rows.drop(*[c for c in rows.columns if c.startswith("__")])
+            out = (rows.join(keymap, SOURCE).withColumn(SOURCE, F.col("__new")).drop("__new"))
+            w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("group")
+            if step == self._final_step and self.delivery_format == "csv":
+                w.option("header", "true").option("sep", self.sep).csv(self.staging(step))
+            else:
+                w.parquet(self.staging(step))
+            cols = [c for c in rows.columns if c != SOURCE]
+            for folder in sorted({m[1] for m in moves}):
+                news = sorted(m[2] for m in moves if m[1] == folder)
+                old = self._written.setdefault(step, {}).get(folder, ([], cols))[0]
+                self._written[step][folder] = (sorted(set(old) | set(news)), cols)
         return self._finish(step, findings, ds, passed)
 
     def _routed_view(self, ds: Dataset, mapping: dict[str, str], match: dict[str, int],
