@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import packing, rules, tokencount
+from dropgate.llm import mixing, packing, rules, tokencount
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES = {
+    "op1_mixing": lambda spark, d: mixing.op1(table(spark, d, "documents")),
     "op6_quality_rules": lambda spark, d: rules.op6(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokencount.op7(table(spark, d, "documents"), VOCABULARY),
     "op8_packing": lambda spark, d: packing.op8(table(spark, d, "documents"), VOCABULARY),
