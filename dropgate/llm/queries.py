@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import mixing, packing, rules, tokencount
+from dropgate.llm import mixing, packing, rules, substrings, tokencount
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_quality_rules": lambda spark, d: rules.op6(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokencount.op7(table(spark, d, "documents"), VOCABULARY),
     "op8_packing": lambda spark, d: packing.op8(table(spark, d, "documents"), VOCABULARY),
+    "op10_substring_dedup": lambda spark, d: substrings.op10(table(spark, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {}
