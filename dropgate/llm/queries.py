@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import mixing, neardup, packing, rules, substrings, tokencount
+from dropgate.llm import mixing, neardup, packing, rules, substrings, tokencount, topk
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -12,6 +12,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {
     "op1_mixing": lambda spark, d: mixing.op1(table(spark, d, "documents")),
     "op3_near_dedup": lambda spark, d: neardup.op3(table(spark, d, "documents")),
+    "op5_topk_search": lambda spark, d: topk.op5(table(spark, d, "embeddings")),
     "op6_quality_rules": lambda spark, d: rules.op6(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokencount.op7(table(spark, d, "documents"), VOCABULARY),
     "op8_packing": lambda spark, d: packing.op8(table(spark, d, "documents"), VOCABULARY),
