@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import mixing, neardup, packing, rules, substrings, tokencount, topk
+from dropgate.llm import htmltext, mixing, neardup, packing, rules, substrings, tokencount, topk
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,7 @@ QUERIES = {
     "op6_quality_rules": lambda spark, d: rules.op6(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokencount.op7(table(spark, d, "documents"), VOCABULARY),
     "op8_packing": lambda spark, d: packing.op8(table(spark, d, "documents"), VOCABULARY),
+    "op9_html_text": lambda spark, d: htmltext.op9(table(spark, d, "pages")),
     "op10_substring_dedup": lambda spark, d: substrings.op10(table(spark, d, "documents")),
 }
 
