@@ -49,3 +49,20 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
         have.add(name.lower())
         out.append(name)
     return out
+
+
+def held_out(key: Column, modulus: int, remainder: int) -> Column:
+    """Whether a row is kept from training: crc32 of its id as text, modulo; never for a null id."""
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, limit: int) -> DataFrame:
+    """doc_id, y and text of at most ``limit`` labelled documents that are not held out.
+
+    The sample is the rows with the least hash of the id. Rows without an id or a
+    label take no part; of several labels of an id the largest counts.
+    """
+    ids = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id"), modulus, remainder))
+    sample = (ids.groupBy("doc_id").agg(F.max(label).cast("double").alias("y"))
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")

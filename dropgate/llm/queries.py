@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import htmltext, mixing, neardup, packing, rules, substrings, tokencount, topk
+from dropgate.llm import htmltext, mixing, neardup, packing, quality, rules, substrings, tokencount, topk, toxicity
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES = {
     "op1_mixing": lambda spark, d: mixing.op1(table(spark, d, "documents")),
+    "op2_toxicity": lambda spark, d: toxicity.op2(table(spark, d, "documents"), table(spark, d, "labels")),
     "op3_near_dedup": lambda spark, d: neardup.op3(table(spark, d, "documents")),
+    "op4_quality": lambda spark, d: quality.op4(table(spark, d, "documents"), table(spark, d, "labels")),
     "op5_topk_search": lambda spark, d: topk.op5(table(spark, d, "embeddings")),
     "op6_quality_rules": lambda spark, d: rules.op6(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokencount.op7(table(spark, d, "documents"), VOCABULARY),

@@ -68,27 +68,29 @@ class Words:
         """Text number (from 0 in this piece) of each word."""
         return np.repeat(np.arange(self.hi - self.lo), self.count())
 
-    def hashes(self, lower: bool = False) -> np.ndarray:
-        """A 64-bit hash of each word; with ``lower``, A-Z count as a-z."""
-        n = len(self.start)
+    def hashes(self, lower: bool = False, prefix: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word, or of its first ``prefix`` bytes; with ``lower``, A-Z count as a-z."""
+        n, size = len(self.start), len(self.data)
         if not n:
             return np.zeros(0, U64)
         length = self.end - self.start
+        # a segment runs up to the next word; what lies between adds 0
+        rel = np.arange(size) - np.repeat(np.append(0, self.start), np.diff(np.append(np.append(0, self.start), size)))
+        values = (_BYTE_LOWER if lower else _BYTE)[self.data]
+        if prefix:
+            values[rel >= prefix] = 0
+            length = np.minimum(length, prefix)
         longest = 1 << int(length.max() - 1).bit_length()
-        table = _BYTE_LOWER if lower else _BYTE
-        # spaces add 0, so a segment may run up to the next word
-        rel = np.arange(len(self.data)) - np.repeat(self.start, np.diff(self.start, append=len(self.data)))[: len(self.data)] \
-            if self.start[0] == 0 else None
-        if rel is None:
-            rel = np.zeros(len(self.data), np.int64)
-            rel[self.start[0]:] = np.arange(self.start[0], len(self.data)) - np.repeat(self.start, np.diff(self.start, append=len(self.data)))
         np.minimum(rel, longest - 1, out=rel)
-        h = np.add.reduceat(table[self.data] * _powers(longest)[rel], self.start)
+        h = np.add.reduceat(values * _powers(longest)[rel], self.start)
         return mix(h + length.astype(U64) * U64(_BASE))
 
 
-def pieces(texts: pa.Array) -> Iterator[Words]:
-    """Cut a batch's texts (binary or string; null as empty) into pieces of words."""
+def pieces(texts: pa.Array, translate: np.ndarray | None = None) -> Iterator[Words]:
+    """Cut a batch's texts (binary or string; null as empty) into pieces of words.
+
+    ``translate``: a byte for each byte, applied before words are found.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     wide = pa.types.is_large_binary(texts.type) or pa.types.is_large_string(texts.type)
@@ -102,6 +104,8 @@ def pieces(texts: pa.Array) -> Iterator[Words]:
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK, side="right")) - 1)
         a, o = data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo]
+        if translate is not None:
+            a = translate[a]
         inside = ~_SPACE[a]
         edge = np.zeros(len(a) + 1, bool)
         edge[o] = True
