@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dropgate.llm import packing, rules
+from dropgate.llm import mixing, neardup, packing, rules, substrings
 from dropgate.llm.common import table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
+    return neardup.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the stretches of 50 words and more that an earlier one holds."""
+    return substrings.remove_repeats(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources at their target weights, in shuffled shards."""
+    return mixing.mixture(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Windows of 1024 ids, filled by best-fit decreasing."""
     return packing.sequences(docs, VOCABULARY)
@@ -28,6 +43,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mixing", mixed),
     ("packing", packed),
 ]
 
