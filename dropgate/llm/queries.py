@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import htmltext, mixing, neardup, packing, quality, rules, substrings, tokencount, topk, toxicity
+from dropgate.llm import htmltext, mixing, neardup, oracle, packing, quality, rules, substrings, tokencount, topk, toxicity
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,4 +22,9 @@ QUERIES = {
     "op10_substring_dedup": lambda spark, d: substrings.op10(table(spark, d, "documents")),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_near_dedup": oracle.NEAR_DEDUP,
+    "op5_topk_search": oracle.TOPK,
+    "op6_quality_rules": oracle.RULES,
+    "op10_substring_dedup": oracle.SUBSTRINGS,
+}
