@@ -2,28 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, mul, sub
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def product(cols: list[str]) -> Column:
-    """c1 * c2 * ... ; the operand order is kept so float results are stable."""
-    return reduce(mul, [F.col(c) for c in cols])
-
-
-def total(cols: list[str]) -> Column:
-    """c1 + c2 + ... (row-wise)."""
-    return reduce(add, [F.col(c) for c in cols])
-
-
-def difference(minuend: str, subtrahends: list[str]) -> Column:
-    """m - s1 - s2 ... evaluated left to right."""
-    return reduce(sub, [F.col(c) for c in subtrahends], F.col(minuend))
-
-
 def safe_divide(numerator: str, denominator: str) -> Column:
     """True (floating) division; null where the denominator is 0 or null.
 

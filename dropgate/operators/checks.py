@@ -1,14 +1,18 @@
 """Checks (validators) compiled to lazy Spark plans.
 
-A check never runs a job itself. It declares, through a ``CheckContext``:
+A check's findings are lazy; the only jobs run while compiling are the size
+proofs of reference tables (``joins.bounded_size``), as they pick the join.
+A check declares, through a ``CheckContext``:
 
 * static findings decided on the driver from the schema (no job at all);
 * named aggregate expressions over the dataset's rows plus the findings that
   read them. All aggregates of all checks of one step are evaluated in ONE
   ``groupBy(<source key>).agg(...)`` (map-side combined, so a file holding a
   third of all rows is pre-aggregated in every task before the shuffle);
-* key-level findings frames (hierarchy, referential, duplicates) built from
-  ``distinct`` / ``groupBy`` plans, which also pre-aggregate before shuffling;
+* key-level counts (hierarchy, referential, duplicates) built from ``distinct``
+  / ``groupBy`` plans, which also pre-aggregate before shuffling; they are
+  joined to the per-key row, so a key has one verdict per check;
+* detail frames: one finding per violation (whole, never cut);
 * bounded samples: at most ``k`` example rows per key and check, chosen with
   ``row_number() <= k`` which Spark plans as a partial WindowGroupLimit
   before the exchange (no group is ever collected whole).
@@ -31,7 +35,10 @@ from dropgate.plans.findings import FINDING_FIELDS, finding_struct, union_all
 
 CHECKS: dict[str, Callable] = {}
 
-SAMPLE_SIZE = 5
+SAMPLE_SIZE = 5  # examples of a check that names no number
+CORRUPT = f"{joins.HIDDEN}corrupt"  # the text of a CSV row that did not parse
+HIT = f"{joins.HIDDEN}hit"
+N_SAME = f"{joins.HIDDEN}same"
 
 
 def check(name: str | Callable | None = None):
@@ -65,12 +72,13 @@ class CheckContext:
     _findings: list[Column] = field(default_factory=list)
     _static: list[tuple] = field(default_factory=list)
     _frames: list[DataFrame] = field(default_factory=list)
+    _counts: list[DataFrame] = field(default_factory=list)
     _samples: list[_Sample] = field(default_factory=list)
     _examples: list[tuple] = field(default_factory=list)
 
     @property
     def columns(self) -> list[str]:
-        return [c for c in self.df.columns if not c.startswith("__") and c != self.key]
+        return [c for c in self.df.columns if not c.startswith(joins.HIDDEN) and c != self.key]
 
     def agg(self, expr: Column) -> Column:
         """Register an aggregate; returns a column that reads its value."""
@@ -79,9 +87,9 @@ class CheckContext:
         return F.col(name)
 
     def finding(self, column: str | None, passed: Column, n_bad: Column, message: Column,
-                severity: str = "fail", check_name: str | None = None) -> None:
+                severity: str = "fail", check_name: str | None = None, samples: Column | None = None) -> None:
         self._findings.append(finding_struct(check_name or self.check_name, column, severity,
-                                             passed, n_bad, message))
+                                             passed, n_bad, message, samples))
 
     def static(self, column: str | None, passed: bool, message: str | None,
                severity: str = "fail", n_bad: int = 0) -> None:
@@ -91,17 +99,48 @@ class CheckContext:
         """True where the key's own schema (file header) has ``col``."""
         return F.array_contains(F.col("__columns"), col)
 
+    def has_columns(self, cols: list[str]) -> Column:
+        """True where the key's own schema has all of ``cols``."""
+        out = F.lit(True)
+        for c in cols:
+            out = out & self.present(c)
+        return out
+
+    def absent(self, cols: list[str]) -> bool:
+        """Report ``cols`` that no key has; true if there are any."""
+        gone = [c for c in cols if c not in self.columns]
+        for c in gone:
+            self.static(c, False, msg("column_absent", col=c))
+        return bool(gone)
+
+    def count(self, df: DataFrame) -> list[Column]:
+        """Register per-key counts (``key`` + value columns); returns columns that read them (0 where a key has none)."""
+        names = [c for c in df.columns if c != self.key]
+        own = [f"__c{len(self._counts)}_{i}" for i in range(len(names))]
+        self._counts.append(df.select(self.key, *[F.col(c).alias(a) for c, a in zip(names, own)]))
+        return [F.col(a) if isinstance(df.schema[c].dataType, T.ArrayType) else F.coalesce(F.col(a), F.lit(0))
+                for c, a in zip(names, own)]
+
+    def key_verdict(self, column: str | None, cols: list[str], n_bad: Column, message: Column, passed: Column | None = None,
+                    samples: Column | None = None) -> None:
+        """One verdict per key of a key-level check that needs ``cols`` in the key's own schema."""
+        here = self.has_columns(cols)
+        ok = n_bad == 0 if passed is None else passed
+        gone = F.array_join(F.array_except(F.array(*[F.lit(c) for c in cols]).cast("array<string>"), F.col("__columns")), "', '")
+        self.finding(column, passed=here & ok, n_bad=n_bad,
+                     message=F.when(~here, F.concat(F.lit("column '"), gone, F.lit("' is not in this file"))).when(~ok, message), samples=samples)
+
     def frame(self, df: DataFrame) -> None:
-        """Key-level findings: columns ``key`` + FINDING_FIELDS."""
+        """Detail findings: columns ``key`` + FINDING_FIELDS, one row per violation."""
         self._frames.append(df)
 
     def sample(self, column: str | None, mask: Column, k: int = SAMPLE_SIZE) -> None:
         self._samples.append(_Sample(self.check_name, column, mask, k))
 
     def examples(self, column: str | None, mask: Column, cols: list[str], k: int = 3,
-                 check_name: str | None = None) -> None:
-        """Up to k DISTINCT values of ``cols`` per key where ``mask`` holds."""
-        self._examples.append((check_name or self.check_name, column, mask, list(cols), k))
+                 check_name: str | None = None, names: list[str] | None = None) -> None:
+        """Up to k DISTINCT values of ``cols`` (shown as ``names``) per key where ``mask`` holds."""
+        self._examples.append((check_name or self.check_name, column, mask, list(cols), k, names or list(cols)))
 
 
 def _struct_or_literal(ctx: CheckContext, t: tuple) -> Column:
@@ -147,8 +186,9 @@ def evaluate(ctx: CheckContext, keys_df: DataFrame | None = None) -> DataFrame:
             fused = keys_df.select(key, cols.alias("__columns")).join(fused, key, "left")
         else:
             fused = fused.withColumn("__columns", all_cols)
-        out = fused.select(key, F.inline(F.array(*row_findings)))
-        frames.append(out.withColumn("samples", F.lit(None).cast("array<string>")))
+        for counts in ctx._counts:
+            fused = fused.join(counts, key, "left")
+        frames.append(fused.select(key, F.inline(F.array(*row_findings))).select(key, *FINDING_FIELDS))
     frames.extend(f.select(key, *FINDING_FIELDS) for f in ctx._frames)
     findings = union_all(frames)
     if findings is None:
@@ -178,7 +218,7 @@ def run_checks(df: DataFrame, spec: dict[str, Any] | list, key: str = "_source_f
 
 def _sample_cols(df: DataFrame, key: str, sample_cols: list[str] | None) -> list[str]:
     return (sample_cols or [c for c in df.columns if c == "_row_index"]
-            or [c for c in df.columns if not c.startswith("_") and c != key])
+            or [c for c in df.columns if not c.startswith(joins.HIDDEN) and c != key])
 
 
 def _sample_frame(ctx: CheckContext, df: DataFrame, key: str) -> DataFrame:
@@ -203,13 +243,15 @@ def _sample_frame(ctx: CheckContext, df: DataFrame, key: str) -> DataFrame:
                     F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("__t"))
             .select(key, "__t.check", "__t.column", F.col("__t.k").alias("__k"), *order))
     w = Window.partitionBy(key, "check", "column").orderBy(*order)
-    top = (cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= F.lit(SAMPLE_SIZE))
+    # the largest k of all checks bounds what a task ships, each check's own k what stays
+    most = max(s.k for s in ctx._samples)
+    top = (cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= F.lit(most))
            .filter(F.col("__rn") <= F.col("__k")))
     return _collect_samples(top, key, cols, order)
 
 
 def _example_frame(df: DataFrame, key: str, check: str, column: str | None, mask: Column,
-                   cols: list[str], k: int) -> DataFrame:
+                   cols: list[str], k: int, names: list[str]) -> DataFrame:
     """Up to k distinct values of ``cols`` per key where ``mask`` holds.
 
     ``distinct`` is combined map-side (a task ships each distinct value once),
@@ -220,7 +262,7 @@ def _example_frame(df: DataFrame, key: str, check: str, column: str | None, mask
     w = Window.partitionBy(key).orderBy(*order)
     top = (d.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)
            .withColumn("check", F.lit(check)).withColumn("column", F.lit(column).cast("string")))
-    return _collect_samples(top, key, cols, order)
+    return _collect_samples(top, key, names, order)
 
 
 def _collect_samples(top: DataFrame, key: str, cols: list[str], order: list[str]) -> DataFrame:
@@ -300,10 +342,14 @@ def value_range(ctx: CheckContext, params):
         c = F.col(col)
         numeric_bounds = all(isinstance(rng.get(b), (int, float)) for b in ("min", "max") if rng.get(b) is not None)
         if isinstance(ctx.df.schema[col].dataType, T.StringType) and numeric_bounds:
-            # raw (CSV) text with numeric bounds: compare as numbers; values
-            # that are not numbers are reported by `column_types`, not here.
+            # raw (CSV) text with numeric bounds: compare as numbers; text
+            # that is no number lies in no range and fails.
             # Text bounds (e.g. ISO dates) compare as text.
             c = c.try_cast("double")
+            no_number = F.coalesce(ctx.agg(F.count_if(F.col(col).isNotNull() & c.isNull())), F.lit(0))
+            ctx.finding(col, passed=(~ctx.present(col) | (no_number == 0)), n_bad=no_number,
+                        message=F.when(no_number > 0, F.format_string(msg("not_type", col=col, typ="a number"), no_number)),
+                        check_name="value_range.number")
         for bound, op, word in (("min", c.__lt__, "below_min"), ("max", c.__gt__, "above_max")):
             if rng.get(bound) is None:
                 continue
@@ -362,11 +408,11 @@ def malformed_rows(ctx: CheckContext, params=None):
     ``get_spark`` and the runner): with parser-level pruning a row with the
     wrong number of fields is not flagged.
     """
-    if "__corrupt" not in ctx.df.columns:
+    if CORRUPT not in ctx.df.columns:
         ctx.static(None, True, None)
         return
-    n = F.coalesce(ctx.agg(F.count_if(F.col("__corrupt").isNotNull())), F.lit(0))
-    data_cols = [c for c in ctx.columns if not c.startswith("_")]
+    n = F.coalesce(ctx.agg(F.count_if(F.col(CORRUPT).isNotNull())), F.lit(0))
+    data_cols = ctx.columns
     # Spark refuses scans that reference only the corrupt-record column; the
     # parsed-value count of a data column keeps the scan a real one
     parsed = F.coalesce(ctx.agg(F.count(F.col(data_cols[0]))), F.lit(0)) if data_cols else F.lit(0)
@@ -397,22 +443,20 @@ def hierarchy_violations(df: DataFrame, higher: list[str], lower: list[str],
 def check_hierarchy(ctx: CheckContext, params):
     higher = list(params.get("higher_level_columns", []))
     lower = list(params.get("lower_level_columns", []))
-    missing = [c for c in higher + lower if c not in ctx.columns]
-    if missing:
-        for c in missing:
-            ctx.static(c, False, msg("column_absent", col=c))
+    if ctx.absent(higher + lower):
         return
     v = hierarchy_violations(ctx.df, higher, lower, ctx.key)
     label = F.concat_ws(" - ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null")))
                                  for c in lower])
+    # a file lacking a column is judged on its own columns, not on the union's nulls
+    (n,) = ctx.count(v.groupBy(ctx.key).agg(F.count(F.lit(1)).alias("n")))
+    ctx.key_verdict(",".join(lower), higher + lower, n, F.format_string(msg("hierarchy_count"), n))
     ctx.frame(v.select(
-        ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(",".join(lower)).alias("column"),
+        ctx.key, F.lit(f"{ctx.check_name}.violation").alias("check"), F.lit(",".join(lower)).alias("column"),
         F.lit("fail").alias("severity"), F.lit(False).alias("passed"), F.col("n_higher").cast("long").alias("n_bad"),
         F.format_string(msg("hierarchy"),
                         F.col("n_higher"), label).alias("message"),
         F.lit(None).cast("array<string>").alias("samples")))
-    # one passing row per key so keys without violations get a verdict
-    ctx.finding(",".join(lower), passed=F.lit(True), n_bad=F.lit(0), message=F.lit(None))
 
 
 # --------------------------------------------------------------------------
@@ -445,20 +489,20 @@ def validate_product_ids(ctx: CheckContext, params):
     if master_col not in master.columns:
         ctx.static(id_col, False, msg("table_column_missing", col=master_col))
         return
-    if id_col not in ctx.columns:
-        ctx.static(id_col, False, msg("column_absent", col=id_col))
+    if ctx.absent([id_col]):
         return
     miss = missing_ids(ctx.df, id_col, master, master_col, ctx.key)
     w = Window.partitionBy(ctx.key).orderBy("missing_id")
-    top = (miss.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= SAMPLE_SIZE)
-           .groupBy(ctx.key).agg(F.array_sort(F.collect_list(F.col("missing_id").cast("string"))).alias("samples")))
-    per_key = miss.groupBy(ctx.key).agg(F.count(F.lit(1)).alias("n")).join(top, ctx.key, "left")
-    ctx.frame(per_key.select(
-        ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(id_col).alias("column"),
-        F.lit("fail").alias("severity"), F.lit(False).alias("passed"), F.col("n").cast("long").alias("n_bad"),
-        F.format_string(msg("missing_ids"), F.col("n")).alias("message"),
-        F.col("samples")))
-    ctx.finding(id_col, passed=F.lit(True), n_bad=F.lit(0), message=F.lit(None))
+    top = (miss.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= SAMPLE_SIZE)
+           .groupBy(ctx.key).agg(F.array_sort(F.collect_list(F.col("missing_id").cast("string"))).alias("some")))
+    n, some = ctx.count(miss.groupBy(ctx.key).agg(F.count(F.lit(1)).alias("n")).join(top, ctx.key, "left"))
+    ctx.key_verdict(id_col, [id_col], n, F.format_string(msg("missing_ids"), n), samples=some)
+    # every missing id is a finding of its own
+    ctx.frame(miss.select(
+        ctx.key, F.lit(f"{ctx.check_name}.id").alias("check"), F.lit(id_col).alias("column"),
+        F.lit("fail").alias("severity"), F.lit(False).alias("passed"), F.lit(1).cast("long").alias("n_bad"),
+        F.format_string(msg("missing_id"), F.col("missing_id").cast("string")).alias("message"),
+        F.lit(None).cast("array<string>").alias("samples")))
 
 
 # --------------------------------------------------------------------------
@@ -475,10 +519,10 @@ def key_overlap(left: DataFrame, right: DataFrame, key_columns: list[str],
     """
     g = [key] if key else []
     lk = left.select(*g, *key_columns).distinct()
-    rk = joins.broadcast_distinct(right.select(*key_columns)).withColumn("__hit", F.lit(True))
+    rk = joins.broadcast_distinct(right.select(*key_columns)).withColumn(HIT, F.lit(True))
     j = lk.join(rk, key_columns, "left")
-    agg = [F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("__hit")).alias("n_matched"),
-           F.count_if(F.col("__hit").isNull()).alias("n_unmatched")]
+    agg = [F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col(HIT)).alias("n_matched"),
+           F.count_if(F.col(HIT).isNull()).alias("n_unmatched")]
     return j.groupBy(*g).agg(*agg) if g else j.agg(*agg)
 
 
@@ -507,17 +551,9 @@ def sales_inventory_consistency(ctx: CheckContext, params):
     if miss_r:
         ctx.static(None, False, msg("keys_absent_there", cols=", ".join(miss_r)))
         return
-    ov = key_overlap(ctx.df, inv, keys, ctx.key)
-    text = (F.when(F.col("n_matched") == 0,
-                  F.lit(msg("no_key_matches")))
-           .when(F.col("n_unmatched") > 0,
-                 F.format_string(msg("some_key_misses"),
-                                 F.col("n_unmatched"))))
-    ctx.frame(ov.select(ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(",".join(keys)).alias("column"),
-                        F.lit("fail").alias("severity"),
-                        ((F.col("n_matched") > 0) & (F.col("n_unmatched") == 0)).alias("passed"),
-                        F.col("n_unmatched").cast("long").alias("n_bad"), text.alias("message"),
-                        F.lit(None).cast("array<string>").alias("samples")))
+    n_keys, matched, unmatched = ctx.count(key_overlap(ctx.df, inv, keys, ctx.key))
+    ctx.key_verdict(",".join(keys), keys, unmatched, passed=(matched > 0) & (unmatched == 0) | (n_keys == 0),
+                    message=F.when(matched == 0, F.lit(msg("no_key_matches"))).otherwise(F.format_string(msg("some_key_misses"), unmatched)))
 
 
 # --------------------------------------------------------------------------
@@ -531,23 +567,15 @@ def duplicate_row_count(df: DataFrame, columns: list[str], key: str | None = Non
     each task. Output: [key] + dup_count.
     """
     g = [key] if key else []
-    groups = df.groupBy(*g, *columns).agg(F.count(F.lit(1)).alias("__c")).filter(F.col("__c") > 1)
-    agg = F.coalesce(F.sum("__c"), F.lit(0)).cast("long").alias("dup_count")
+    groups = df.groupBy(*g, *columns).agg(F.count(F.lit(1)).alias(N_SAME)).filter(F.col(N_SAME) > 1)
+    agg = F.coalesce(F.sum(N_SAME), F.lit(0)).cast("long").alias("dup_count")
     return groups.groupBy(*g).agg(agg) if g else groups.agg(agg)
 
 
 @check
 def no_duplicate_rows(ctx: CheckContext, params=None):
     cols = list(params) if params else ctx.columns
-    miss = [c for c in cols if c not in ctx.columns]
-    if miss:
-        ctx.static(None, False, msg("column_absent", col=", ".join(miss)))
+    if ctx.absent(cols):
         return
-    d = duplicate_row_count(ctx.df, [c for c in cols if c != ctx.key], ctx.key)
-    ctx.frame(d.select(ctx.key, F.lit(ctx.check_name).alias("check"), F.lit(None).cast("string").alias("column"),
-                       F.lit("fail").alias("severity"), F.lit(False).alias("passed"),
-                       F.col("dup_count").alias("n_bad"),
-                       F.format_string(msg("duplicates", cols=", ".join(cols)),
-                                       F.col("dup_count")).alias("message"),
-                       F.lit(None).cast("array<string>").alias("samples")))
-    ctx.finding(None, passed=F.lit(True), n_bad=F.lit(0), message=F.lit(None))
+    (n,) = ctx.count(duplicate_row_count(ctx.df, [c for c in cols if c != ctx.key], ctx.key))
+    ctx.key_verdict(None, list(params or []), n, F.format_string(msg("duplicates", cols=", ".join(cols)), n))

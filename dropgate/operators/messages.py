@@ -15,9 +15,11 @@ MESSAGES = {
     "nulls": "{col}: %d null or placeholder value(s)",
     "not_type": "{col}: %d value(s) do not parse as {typ}",
     "malformed": "%d row(s) with the wrong number of fields (%d values read in %s)",
+    "hierarchy_count": "%d combination(s) with more than one higher level",
     "hierarchy": "%d distinct higher-level values for %s",
     "table_missing": "reference table '{table}' not found",
     "table_column_missing": "reference table has no column '{col}'",
+    "missing_id": "id '%s' is not in the reference table",
     "missing_ids": "%d id value(s) not in the reference table",
     "bad_key_params": "key columns must be a list or {key_columns: [...]}",
     "no_keys": "no key columns given",
@@ -28,6 +30,12 @@ MESSAGES = {
     "duplicates": "%d row(s) in duplicated groups of {cols}",
     "enrich_unmatched": "{table}: %d of %d row(s) without a match (%d with empty {first})",
     "enrich_ok": "{table}: every row matched",
+    "snapshot": "{table}: %d id(s) added, %d known in all",
+    "need_columns": "needs column(s) that the data lacks: {cols}",
+    "need_numbers": "works on numbers only, but got {cols}",
+    "one_case": "choose upper or lower case, not both",
+    "no_case": "choose upper or lower case",
+    "no_table": "reference table '{table}' does not exist",
     "transform_failed": "transform '{name}' failed: {err}",
     "no_pattern": "no registry pattern matches ",
     "many_patterns": "several registry patterns match ",

@@ -34,8 +34,15 @@ def append_new_ids(catalog, table: str, df: DataFrame, id_col: str, version: str
 
     Only the delta is written (no read-then-overwrite of the same path), so
     a failure can never lose the existing snapshot, and re-running the same
-    version replaces just that version.
+    version replaces just that version. A version is written once: ids of
+    several frames go in together (``append_all``).
+    Returns table, version, and the number of new and of all known ids.
     """
+    return append_all(catalog, table, [(df, id_col)], version)
+
+
+def append_all(catalog, table: str, frames: list[tuple[DataFrame, str]], version: str | None = None) -> dict:
+    """``append_new_ids`` for the ids of several frames (frame, id column) in one version."""
     import datetime as _dt
 
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
@@ -47,6 +54,12 @@ def append_new_ids(catalog, table: str, df: DataFrame, id_col: str, version: str
             # ids written by an earlier attempt of this same version do not count
             existing = (catalog._resolve(spec)
                         .filter(F.col("version") != F.lit(version)).drop("version"))
-    delta = new_ids(df, existing, id_col, out_col=id_col)
+    out_col = frames[0][1]
+    ids = None
+    for df, col in frames:
+        one = df.select(F.col(col).alias(out_col))
+        ids = one if ids is None else ids.unionByName(one)
+    delta = new_ids(ids, existing, out_col, out_col=out_col)
     catalog.write_version(table, delta, version)
-    return {"table": table, "version": version}
+    counts = {r["version"]: r["n_rows"] for r in catalog.versions(table).collect()}
+    return {"table": table, "version": version, "n_new": counts.get(version, 0), "n_total": sum(counts.values())}

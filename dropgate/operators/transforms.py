@@ -2,10 +2,11 @@
 
 A transform is ``fn(df, ctx, **params) -> DataFrame``. It checks the schema
 on the driver (missing columns, non-numeric operands) and raises
-``TransformError``; it never runs a job. Reports a transform wants (e.g.
-unmatched mapping keys) are declared on ``ctx.report`` and evaluated later in
-the same fused aggregation as the checks. Side effects (the snapshot append)
-are declared with ``ctx.after`` and run only once the step's output exists.
+``TransformError``. The only job it may start is the size proof of a mapping
+table. Reports of a transform (unmatched mapping keys) are declared in
+``ctx.enrichments`` and evaluated later. Side effects (the snapshot append)
+are declared in ``ctx.snapshots`` / ``ctx.after`` and run only once the step's
+output exists.
 """
 
 from __future__ import annotations
@@ -48,11 +49,16 @@ class TransformContext:
     run_id: str | None = None
     report: CheckContext | None = None
     actions: list[Callable[[DataFrame], Any]] = field(default_factory=list)
+    # (table, id column, its copy in the output) of the snapshots that the output's ids go to
+    snapshots: list[tuple[str, str, str]] = field(default_factory=list)
+    # the report of each enrichment alone, over the rows right after its join
+    enrichments: list[CheckContext] = field(default_factory=list)
+    all_rows: bool = True  # whether the whole chain keeps every row
     _seq: int = 0
 
     def hidden(self, stem: str) -> str:
         self._seq += 1
-        return f"__{stem}{self._seq}"
+        return f"{joins.HIDDEN}{stem}{self._seq}"
 
     def after(self, action: Callable[[DataFrame], Any]) -> None:
         """Run ``action(output_df)`` after the step output is written."""
@@ -68,14 +74,14 @@ def _as_list(v) -> list[str]:
 def _require(df: DataFrame, cols: list[str], what: str = "") -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise TransformError(f"{what}Columns not found in DataFrame: {missing}")
+        raise TransformError(what + msg("need_columns", cols=missing))
 
 
 def _numeric(df: DataFrame, cols: list[str]) -> None:
     types = {f.name: f.dataType for f in df.schema.fields}
     bad = [c for c in cols if not isinstance(types[c], NUMERIC)]
     if bad:
-        raise TransformError(f"Columns are not numeric: {[(c, types[c].simpleString()) for c in bad]}")
+        raise TransformError(msg("need_numbers", cols=[f"{c} ({types[c].simpleString()})" for c in bad]))
 
 
 # --------------------------------------------------------------------------
@@ -118,25 +124,36 @@ def enrich_with_mapping(df: DataFrame, ctx: TransformContext, mapping_file: str,
                         mapping_key_column, columns_to_add: list[str],
                         _mapping_ops: list | None = None) -> DataFrame:
     if ctx.catalog is None or not ctx.catalog.exists(mapping_file):
-        raise TransformError(f"Mapping file not found: {mapping_file}")
+        raise TransformError(msg("no_table", table=mapping_file))
     mapping = ctx.catalog.read(mapping_file)
     hit = ctx.hidden("hit")
     out = enrich(df, mapping, df_join_column, mapping_key_column, list(columns_to_add), hit_column=hit,
                  mapping_ops=_mapping_ops)
     if ctx.report is not None:
-        r = ctx.report
-        first = columns_to_add[0] if columns_to_add[0] not in df.columns else f"{columns_to_add[0]}_right"
-        unmatched = F.coalesce(r.agg(F.count_if(F.col(hit).isNull())), F.lit(0))
-        null_first = F.coalesce(r.agg(F.count_if(F.col(first).isNull())), F.lit(0))
-        total = F.coalesce(F.col("__n_rows"), F.lit(0))
-        r.finding(",".join(_as_list(df_join_column)), passed=F.lit(True), n_bad=unmatched,
-                  message=F.when(unmatched > 0, F.format_string(
-                      msg("enrich_unmatched", table=mapping_file, first=first), unmatched, total, null_first))
-                  .otherwise(F.lit(msg("enrich_ok", table=mapping_file))),
-                  severity="info", check_name=ctx.name)
-        # up to 3 distinct example keys per source file
+        # own copies of what the report reads: later steps may rename or drop the columns
         keys = _as_list(df_join_column)
-        r.examples(",".join(keys), F.col(hit).isNull(), keys, k=3, check_name=ctx.name)
+        first = columns_to_add[0] if columns_to_add[0] not in df.columns else f"{columns_to_add[0]}_right"
+        copies = {k: ctx.hidden("key") for k in keys}
+        empty = ctx.hidden("empty")
+        out = out.withColumns({c: F.col(k) for k, c in copies.items()} | {empty: F.col(first).isNull()})
+        name = ctx.name
+
+        def declare(r: CheckContext) -> None:
+            unmatched = F.coalesce(r.agg(F.count_if(F.col(hit).isNull())), F.lit(0))
+            null_first = F.coalesce(r.agg(F.count_if(F.col(empty))), F.lit(0))
+            total = F.coalesce(F.col("__n_rows"), F.lit(0))
+            r.finding(",".join(keys), passed=F.lit(True), n_bad=unmatched,
+                      message=F.when(unmatched > 0, F.format_string(
+                          msg("enrich_unmatched", table=mapping_file, first=first), unmatched, total, null_first))
+                      .otherwise(F.lit(msg("enrich_ok", table=mapping_file))),
+                      severity="info", check_name=name)
+            # up to 3 distinct example keys per source file
+            r.examples(",".join(keys), F.col(hit).isNull(), list(copies.values()), k=3, check_name=name, names=keys)
+
+        declare(ctx.report)
+        own = CheckContext(df=out, key=ctx.key, catalog=ctx.catalog)
+        declare(own)
+        ctx.enrichments.append(own)
     return out
 
 
@@ -157,9 +174,9 @@ def strings_strip_whitespace(df: DataFrame, ctx: TransformContext, columns: list
 def case_transform(df: DataFrame, ctx: TransformContext, columns: list[str],
                    to_uppercase: bool = False, to_lowercase: bool = False) -> DataFrame:
     if to_uppercase and to_lowercase:
-        raise TransformError("Cannot set both to_uppercase and to_lowercase to True")
+        raise TransformError(msg("one_case"))
     if not (to_uppercase or to_lowercase):
-        raise TransformError("At least one of to_uppercase or to_lowercase must be True")
+        raise TransformError(msg("no_case"))
     fn = F.upper if to_uppercase else F.lower
     present = [c for c in _as_list(columns) if c in df.columns]
     return df.withColumns({c: fn(F.col(c)) for c in present}) if present else df
@@ -178,7 +195,7 @@ def blank(df: DataFrame, ctx: TransformContext) -> DataFrame:
 def multiply_columns(df: DataFrame, ctx: TransformContext, columns_to_multiply: list[str],
                      output_column: str) -> DataFrame:
     cols = _as_list(columns_to_multiply)
-    _require(df, cols, "One or more columns to multiply are not present. ")
+    _require(df, cols)
     _numeric(df, cols)
     terms = _ints_as_long(df, cols)
     expr = terms[0]
@@ -195,7 +212,7 @@ def _ints_as_long(df: DataFrame, cols: list[str]) -> list:
 @transform
 def sum_columns(df: DataFrame, ctx: TransformContext, columns_to_sum: list[str], output_column: str) -> DataFrame:
     cols = _as_list(columns_to_sum)
-    _require(df, cols, "One or more columns to sum are not present. ")
+    _require(df, cols)
     _numeric(df, cols)
     terms = _ints_as_long(df, cols)
     expr = terms[0]
@@ -208,7 +225,7 @@ def sum_columns(df: DataFrame, ctx: TransformContext, columns_to_sum: list[str],
 def subtract_columns(df: DataFrame, ctx: TransformContext, minuend_column: str,
                      subtrahend_columns: list[str], output_column: str) -> DataFrame:
     cols = [minuend_column] + _as_list(subtrahend_columns)
-    _require(df, cols, "One or more columns are not present. ")
+    _require(df, cols)
     _numeric(df, cols)
     terms = _ints_as_long(df, cols)
     expr = terms[0]
@@ -262,7 +279,7 @@ def filter_rows(df: DataFrame, ctx: TransformContext, column: str, operator: str
 
 @transform
 def drop_nulls(df: DataFrame, ctx: TransformContext, subset: list[str] | None = None) -> DataFrame:
-    cols = _as_list(subset) or [c for c in df.columns if not c.startswith("_")]
+    cols = _as_list(subset) or [c for c in df.columns if not c.startswith(joins.HIDDEN) and c != ctx.key]
     _require(df, cols)
     return df.dropna(how="any", subset=cols)
 
@@ -277,13 +294,11 @@ def save_inventory_snapshot(df: DataFrame, ctx: TransformContext, snapshot_file:
     _require(df, [product_id_column])
     if ctx.catalog is None:
         raise TransformError("save_inventory_snapshot needs a catalog")
-    from dropgate.operators.snapshot import append_new_ids
-
-    def action(out_df: DataFrame):
-        return append_new_ids(ctx.catalog, snapshot_file, out_df, product_id_column, version=ctx.run_id)
-
-    ctx.after(action)
-    return df
+    # written once per table and run, when all patterns' outputs exist; the
+    # ids are copied, as later steps may rename or drop the column
+    ids = ctx.hidden("id")
+    ctx.snapshots.append((snapshot_file, product_id_column, ids))
+    return df.withColumn(ids, F.col(product_id_column))
 
 
 # --------------------------------------------------------------------------
@@ -306,6 +321,17 @@ def compile_chain(spec: list[dict]) -> list[dict]:
     return [dict(t, name=t.get("name", t["function"]), params=t.get("params") or {}) for _, t in indexed]
 
 
+# Transforms that keep every row; after any other one a report of an earlier
+# join must be taken from the rows right after that join.
+KEEPS_ROWS = frozenset({"enrich_with_mapping", "strings_strip_whitespace", "case_transform", "blank", "multiply_columns",
+                        "sum_columns", "subtract_columns", "divide_columns", "drop_columns", "rename_columns",
+                        "save_inventory_snapshot"})
+
+
+def keeps_rows(spec: list[dict]) -> bool:
+    return all(t.get("function") in KEEPS_ROWS for t in spec or [])
+
+
 # Row-wise, null-preserving string transforms that may run on the mapping side.
 _PUSHABLE = ("strings_strip_whitespace", "case_transform")
 _ARITHMETIC_IO = {
@@ -392,4 +418,5 @@ def distinct_examples(df: DataFrame, key: str, cols: list[str], mask, k: int = S
     """Up to k distinct example values of ``cols`` per key where ``mask`` holds."""
     d = df.filter(mask).select(key, *cols).distinct()
     w = Window.partitionBy(key).orderBy(*cols)
-    return d.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
+    rn = f"{joins.HIDDEN}rn"
+    return d.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= k).drop(rn)

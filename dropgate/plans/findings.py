@@ -84,32 +84,45 @@ def run_summary(findings: DataFrame) -> DataFrame:
                  F.count_if(~F.col("passed")).alias("n_failed")))
 
 
-# Lines of text rendered per file by ``text_report``; the findings table
-# itself always keeps every finding.
-REPORT_MAX_LINES = 1000
+def report_lines(findings: DataFrame) -> DataFrame:
+    """(K5) one line of text per failing finding: run_id, step, source_file, line."""
+    line = F.concat_ws(": ", F.col("check"), F.coalesce(F.col("message"), F.lit("")))
+    return findings.filter(~F.col("passed")).select("run_id", "step", "source_file", "column", "message", "check", line.alias("line"))
 
 
-def text_report(findings: DataFrame, max_lines: int = REPORT_MAX_LINES) -> DataFrame:
+def text_report(findings: DataFrame, max_lines: int | None = None) -> DataFrame:
     """Readable per-file report (K5): failing findings' messages, in order.
 
-    Files whose findings all passed get no report, as with the text reports
-    of the original tool. The text is a rendering of the findings table:
-    at most ``max_lines`` lines per file (a partial WindowGroupLimit keeps
-    each task from shipping more), followed by a count of the remaining
-    failing findings, which stay queryable in the table.
+    Files whose findings all passed get no report. Every line is in the text;
+    ``max_lines`` is for callers that want a digest, which then ends with the
+    number of further findings.
     """
     from pyspark.sql import Window
 
     bad = findings.filter(~F.col("passed"))
     keys = ["run_id", "step", "source_file"]
     w = Window.partitionBy(*keys).orderBy("check", "column", "message")
-    top = bad.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= max_lines)
+    top = bad.withColumn("rn", F.row_number().over(w))
+    if max_lines is not None:
+        top = top.filter(F.col("rn") <= max_lines)
     line = F.concat_ws(": ", F.col("check"), F.coalesce(F.col("message"), F.lit("")))
     text = (top.groupBy(*keys)
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("__rn", line.alias("l")))),
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", line.alias("l")))),
                              lambda x: x["l"]).alias("_lines")))
+    if max_lines is None:
+        return text.select(*keys, F.concat_ws("\n", F.col("_lines")).alias("report"))
     counts = bad.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     more = F.when(F.col("_n") > max_lines,
                   F.format_string("(+%d more failing findings in the findings table)", F.col("_n") - max_lines))
     return (text.join(counts, keys)
             .select(*keys, F.concat_ws("\n", F.col("_lines"), more).alias("report")))
+
+
+def write_reports(findings: DataFrame, path: str) -> None:
+    """(K5) the failing findings as text files: a folder per step and source file,
+    one line per finding, all of them. Rows are written as they are, so a file
+    with very many findings is no group in one task's memory."""
+    lines = report_lines(findings)
+    # the folder name is a path, so separators in file names are escaped by Spark
+    (lines.repartition("step", "source_file").sortWithinPartitions("step", "source_file", "check", "column", "message")
+     .select("step", "source_file", "line").write.mode("overwrite").partitionBy("step", "source_file").text(path))

@@ -1,10 +1,10 @@
 """A full preboarding run over a CSV drop derived from the lineitem table.
 
 Used by the benchmark and the tests: lineitem is written as CSV files (one
-folder per return flag, several part files each), then validated, routed,
-enriched from ``part``, re-validated and delivered by flag. Files of flag R
-have no routing pattern and are rejected, so the delivered rows are exactly
-the A and N lineitems, enriched.
+folder per return flag, whatever flags there are, several part files each),
+then validated, routed, enriched from ``part``, re-validated and delivered by
+flag. Files of other flags than A and N have no routing pattern and are
+rejected, so the delivered rows are exactly the A and N lineitems, enriched.
 """
 
 from __future__ import annotations
@@ -54,12 +54,13 @@ STEPS = [
 
 
 def write_drop(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
-    """lineitem as a CSV drop: ``lineitem_sales_<flag>/part-*.csv``."""
+    """lineitem as a CSV drop: ``folder=lineitem_sales_<flag>/part-*.csv``."""
     root = root or scratch_path(spark, "lineitem_drop")
     li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*LINEITEM_COLS)
-    for flag in ("A", "N", "R"):
-        (li.filter(F.col("l_returnflag") == flag).repartition(8).write.mode("overwrite")
-         .option("header", "true").option("sep", ";").csv(f"{root}/lineitem_sales_{flag}"))
+    # the flag stays a column of the files; a copy names the folder
+    flag = F.concat(F.lit("lineitem_sales_"), F.coalesce("l_returnflag", F.lit("none")))
+    (li.withColumn("folder", flag).repartition(8).write.mode("overwrite").partitionBy("folder")
+     .option("header", "true").option("sep", ";").csv(root))
     return root
 
 

@@ -28,17 +28,28 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dropgate.errors import AllFilesFailedError, NoInputFilesError, RegistryError
 from dropgate.functions.globs import glob_regex
 from dropgate.operators import checks as C
 from dropgate.operators.aggregate import aggregate
 from dropgate.operators.routing import routing_findings
-from dropgate.operators.transforms import TransformContext, apply_chain
-from dropgate.plans.findings import FINDINGS_SCHEMA, conform, union_all
+from dropgate.operators.joins import HIDDEN
+from dropgate.operators.messages import msg
+from dropgate.operators.snapshot import append_all
+from dropgate.operators.transforms import TransformContext, apply_chain, keeps_rows
+from dropgate.plans.findings import FINDINGS_SCHEMA, conform, union_all, write_reports
 from dropgate.plans.registry import Registry
-from dropgate.sources.catalog import Catalog
-from dropgate.sources.files import SOURCE, Dataset, FileInfo, files_frame, read_drop, typed
+from dropgate.sources.catalog import Catalog, resolve_run
+from dropgate.sources.files import CORRUPT, SOURCE, Dataset, FileInfo, files_frame, read_drop, typed, union_by_name
+
+# Partition columns of the library's own tables; user columns cannot have the prefix.
+PATTERN = f"{HIDDEN}pattern"
+GROUP = "group"
+SAFE_GROUP = f"{HIDDEN}group"  # where the data has a column of the name above
+RENAMED = f"{HIDDEN}new"
+FILES = "_dropgate_files"  # file table of a backup, below its run folder
 
 # Passing-file lists up to this size are broadcast in the delivery semi-join
 # (the size is known exactly on the driver).
@@ -59,11 +70,11 @@ def backup(df: DataFrame, root: str, run_id: str) -> str:
 
 
 def restore(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    """(R6) the dataset of a backed-up run; unknown run → error listing runs."""
+    """(R6) the rows of a backed-up run; unknown run → error listing runs."""
     from dropgate.sources.catalog import list_runs
     path = f"{root.rstrip('/')}/run_id={run_id}"
     try:
-        return spark.read.parquet(path).drop("__p")
+        return spark.read.parquet(path).drop(PATTERN)
     except Exception as e:  # noqa: BLE001 - reported with the available runs
         try:
             runs = [r["run_id"] for r in list_runs(spark, root).collect()]
@@ -72,6 +83,25 @@ def restore(spark: SparkSession, root: str, run_id: str) -> DataFrame:
         raise FileNotFoundError(f"backup '{run_id}' not found; available: {runs}") from e
 
 
+def keep_files(spark: SparkSession, infos: list[FileInfo], path: str) -> None:
+    """Write the file table beside a run's rows, so files without rows can be restored too."""
+    spark.createDataFrame([(f.source, f.path, f.size, f.columns, f.format, f.error) for f in infos],
+                          "source string, path string, size long, columns array<string>, format string, error string") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/{FILES}")
+
+
+def restore_dataset(spark: SparkSession, root: str, run_id: str) -> Dataset:
+    """(R6) a backed-up run as the input of another run: its rows and all its files."""
+    rows = restore(spark, root, run_id)
+    stored = spark.read.parquet(f"{root.rstrip('/')}/run_id={run_id}/{FILES}").collect()
+    infos = sorted((FileInfo(**r.asDict()) for r in stored), key=lambda f: f.source)
+
+    def rows_of(sources: list[str]) -> DataFrame:
+        return keep_sources(spark, rows, sources, len(infos))
+
+    return Dataset(df=rows, files=files_frame(spark, infos), reader=rows_of, infos=infos)
+
+
 # ---------------------------------------------------------------- helpers
 
 def keep_sources(spark: SparkSession, df: DataFrame, sources: list[str], all_sources: int | None = None) -> DataFrame:
@@ -80,6 +110,7 @@ def keep_sources(spark: SparkSession, df: DataFrame, sources: list[str], all_sou
     The list's size is known exactly, so it is broadcast when it is at most
     MAX_BROADCAST_FILES entries; larger lists use a shuffled semi-join.
     """
+    sources = sorted(set(sources))
     if all_sources is not None and len(sources) == all_sources:
         return df
     keys = spark.createDataFrame([(s,) for s in sources], f"{SOURCE} string")
@@ -96,7 +127,7 @@ def own_columns(df: DataFrame, infos: list[FileInfo]) -> DataFrame:
     (plus ``_source_file`` and hidden report columns).
     """
     names = {c for f in infos for c in (f.columns or [])}
-    return df.select(*[c for c in df.columns if c in names or c == SOURCE or c.startswith("__")])
+    return df.select(*[c for c in df.columns if c in names or c == SOURCE or c.startswith(HIDDEN)])
 
 
 def _by_layout(infos: list[FileInfo]) -> list[list[FileInfo]]:
@@ -107,6 +138,28 @@ def _by_layout(infos: list[FileInfo]) -> list[list[FileInfo]]:
     return list(groups.values())
 
 
+def _new_names(moving: list[tuple[FileInfo, str]]) -> dict[str, str]:
+    """source -> ``target/file name``; files that would share a name keep their whole
+    path below the target, and a number where even those collide."""
+    flat = {f.source: f"{t.rstrip('/')}/{f.source.rsplit('/', 1)[-1]}" for f, t in moving}
+    uses: dict[str, int] = {}
+    for n in flat.values():
+        uses[n] = uses.get(n, 0) + 1
+    taken = {n for n, k in uses.items() if k == 1}
+    out = {}
+    for f, t in sorted(moving, key=lambda m: m[0].source):
+        name = flat[f.source]
+        if uses[name] > 1:
+            base = name = f"{t.rstrip('/')}/{f.source}"
+            k = 1
+            while name in taken:
+                k += 1
+                name = f"{base}~{k}"
+            taken.add(name)
+        out[f.source] = name
+    return out
+
+
 def _safe(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9_.-]+", "_", name).strip("_") or "x"
 
@@ -125,7 +178,7 @@ class Preboarding:
 
     def __init__(self, spark: SparkSession, root: str, catalog: Catalog | None = None,
                  run_id: str | None = None, case_sensitive: bool = False, sep: str = ";",
-                 delivery_format: str = "parquet"):
+                 delivery_format: str = "parquet", multiline: bool = True):
         self.spark = spark
         # see session.DEFAULT_CONF: constraint inference over registry plans
         # grows combinatorially and is not needed by them
@@ -137,6 +190,7 @@ class Preboarding:
         self.run_id = run_id or new_run_id()
         self.case_sensitive = case_sensitive
         self.sep = sep
+        self.multiline = multiline  # CSV values may hold line breaks (large files are then read by one task each)
         if delivery_format not in ("parquet", "csv"):
             raise RegistryError(f"unsupported delivery format '{delivery_format}'")
         self.delivery_format = delivery_format  # format of the last step's output
@@ -147,6 +201,8 @@ class Preboarding:
         self._written: dict[str, dict[str, tuple[list[str], list[str]]]] = {}
         self._views: dict[str, Dataset] = {}
         self._folders: dict[str, dict[str, str]] = {}
+        self._cleared: set[str] = set()
+        self._group_column: dict[str, str] = {}
 
     # ------------------------------------------------------------ paths / io
     def staging(self, step: str) -> str:
@@ -166,18 +222,32 @@ class Preboarding:
         return names[group]
 
     def _group_path(self, step: str, group: str) -> str:
-        return f"{self.staging(step)}/group={self._folder(step, group)}"
+        return f"{self.staging(step)}/{self._group_column.get(step, GROUP)}={self._folder(step, group)}"
+
+    @property
+    def _csv_options(self) -> dict[str, str]:
+        """Values are written as they are: quotes doubled, blanks at the ends kept."""
+        return {"header": "true", "sep": self.sep, "escape": '"',
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+    def _fresh(self, step: str) -> None:
+        """Empty the step's folder once, so nothing of an earlier attempt stays beside its output."""
+        if step in self._cleared:
+            return
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.staging(step))
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._cleared.add(step)
 
     def _write_group(self, step: str, group: str, df: DataFrame, sources: list[str],
                      keep_hidden: bool = False) -> None:
+        self._fresh(step)
         if not keep_hidden:
-            df = df.drop(*[c for c in df.columns if c.startswith("__")])
+            df = df.drop(*[c for c in df.columns if c.startswith(HIDDEN)])
         if step == self._final_step and self.delivery_format == "csv":
-            (df.write.mode("overwrite").option("header", "true").option("sep", self.sep)
-             .csv(self._group_path(step, group)))
+            df.write.mode("overwrite").options(**self._csv_options).csv(self._group_path(step, group))
         else:
             df.write.mode("overwrite").parquet(self._group_path(step, group))
-        cols = [c for c in df.columns if c != SOURCE and not c.startswith("__")]
+        cols = [c for c in df.columns if c != SOURCE and not c.startswith(HIDDEN)]
         self._written.setdefault(step, {})[self._folder(step, group)] = (sorted(sources), cols)
 
     def read_step(self, step: str, only: list[str] | None = None) -> Dataset:
@@ -204,7 +274,7 @@ class Preboarding:
                     infos.append(FileInfo(source=s, columns=cols, format="parquet"))
         if not infos:
             raise NoInputFilesError(step, self.staging(step))
-        tables = {g: self.spark.read.parquet(f"{self.staging(step)}/group={g}") for g in sorted(set(members.values()))}
+        tables = {g: self.spark.read.parquet(f"{self.staging(step)}/{self._group_column.get(step, GROUP)}={g}") for g in sorted(set(members.values()))}
         spark = self.spark
 
         def rows_of(sources: list[str]) -> DataFrame:
@@ -212,7 +282,7 @@ class Preboarding:
             gs = sorted({members[s] for s in mine})
             if not gs:
                 return spark.createDataFrame([], f"{SOURCE} string")
-            df = union_all_by_name([tables[g] for g in gs])
+            df = union_by_name([tables[g] for g in gs], spark)
             held = sum(len(groups[g][0]) for g in gs)
             return keep_sources(spark, df, mine, held)
 
@@ -264,8 +334,12 @@ class Preboarding:
             rules = registry.rules(p)
             rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
             spec = dict(rules.get("validators") or {})
-            if "__corrupt" in rows.columns and "malformed_rows" not in spec:
+            if CORRUPT in rows.columns and "malformed_rows" not in spec:
                 spec["malformed_rows"] = None  # CSV rows that did not parse fail their file
+            # a value that typing would turn into null fails its file first
+            types = {c: t for c, t in (rules.get("schema") or {}).items() if c in rows.columns}
+            if types:
+                spec["column_types"] = {**types, **(spec.get("column_types") or {})}
             keys = files_frame(self.spark, infos)
             frames.append(C.run_checks(rows, spec, key=SOURCE, keys_df=keys, catalog=self.catalog))
             outputs.append((p, rows, rules.get("schema"), infos))
@@ -299,7 +373,7 @@ class Preboarding:
             for p, srcs in by_p.items():
                 rows = own_columns(ds.rows_of(srcs), infos_of[p])
                 parts.append(typed(rows, schema_of[p]) if schema_of[p] else rows)
-            return union_all_by_name(parts) if parts else spark.createDataFrame([], f"{SOURCE} string")
+            return union_by_name(parts, spark)
 
         return Dataset(df=rows_of([f.source for f in out_infos]), files=files_frame(spark, out_infos),
                        reader=rows_of, infos=out_infos)
@@ -318,57 +392,59 @@ class Preboarding:
             return self._finish(step, findings, ds, passed)
         targets = list(mapping.values())
         moving = [f for f in ds.infos if match[f.source] >= 0 and f.source in passed]
+        new_of = _new_names([(f, targets[match[f.source]]) for f in moving])
+        self._fresh(step)
+        clash = any(c.lower() == GROUP for f in moving for c in f.columns or [])
+        group_col = self._group_column.setdefault(step, SAFE_GROUP if clash else GROUP)
         # one scan and one partitioned write per column layout (not one per
         # target): each row looks up its target folder and new name in a
-        # small broadcast table keyed by its file
+        # small broadcast table keyed by its file. A target that gets files of
+        # several layouts has a folder for each, so no write replaces another.
+        layouts: dict[str, int] = {}
         for infos in _by_layout(moving):
+            mine = {targets[match[f.source]] for f in infos}
+            for t in mine:
+                layouts[t] = layouts.get(t, 0) + 1
             moves = []
             for f in infos:
                 t = targets[match[f.source]]
-                moves.append((f.source, self._folder(step, t), f"{t.rstrip('/')}/{f.source.rsplit('/', 1)[-1]}"))
-            keymap = self.spark.createDataFrame(moves, f"{SOURCE} string, group string, __new string")
+                moves.append((f.source, self._folder(step, t if layouts[t] == 1 else f"{t}#{layouts[t]}"), new_of[f.source]))
+            keymap = self.spark.createDataFrame(moves, f"{SOURCE} string, {group_col} string, {RENAMED} string")
             if len(moves) <= MAX_BROADCAST_FILES:
                 keymap = F.broadcast(keymap)
             rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
-            rows = rows.drop(*[c for c in rows.columns if c.startswith("__")])
-            out = (rows.join(keymap, SOURCE).withColumn(SOURCE, F.col("__new")).drop("__new"))
-            w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("group")
+            rows = rows.drop(*[c for c in rows.columns if c.startswith(HIDDEN)])
+            out = (rows.join(keymap, SOURCE).withColumn(SOURCE, F.col(RENAMED)).drop(RENAMED))
+            w = out.write.mode("append").partitionBy(group_col)
             if step == self._final_step and self.delivery_format == "csv":
-                w.option("header", "true").option("sep", self.sep).csv(self.staging(step))
+                w.options(**self._csv_options).csv(self.staging(step))
             else:
                 w.parquet(self.staging(step))
             cols = [c for c in rows.columns if c != SOURCE]
             for folder in sorted({m[1] for m in moves}):
-                news = sorted(m[2] for m in moves if m[1] == folder)
-                old = self._written.setdefault(step, {}).get(folder, ([], cols))[0]
-                self._written[step][folder] = (sorted(set(old) | set(news)), cols)
+                self._written.setdefault(step, {})[folder] = (sorted(m[2] for m in moves if m[1] == folder), cols)
         return self._finish(step, findings, ds, passed)
 
     def _routed_view(self, ds: Dataset, mapping: dict[str, str], match: dict[str, int],
                      passed: set[str]) -> Dataset:
         spark = self.spark
         targets = list(mapping.values())
-        old_of, target_of, out_infos = {}, {}, []
-        for f in ds.infos:
-            i = match[f.source]
-            if i < 0 or f.source not in passed:
-                continue
-            new = f"{targets[i].rstrip('/')}/{f.source.rsplit('/', 1)[-1]}"
-            old_of[new], target_of[new] = f.source, targets[i]
-            out_infos.append(FileInfo(source=new, columns=f.columns, format=f.format))
+        moving = [(f, targets[match[f.source]]) for f in ds.infos if match[f.source] >= 0 and f.source in passed]
+        new_of = _new_names(moving)
+        old_of = {n: o for o, n in new_of.items()}
+        out_infos = [FileInfo(source=new_of[f.source], size=f.size, columns=f.columns, format=f.format) for f, _ in moving]
         infos_by_old = {f.source: f for f in ds.infos}
 
         def rows_of(sources: list[str]) -> DataFrame:
-            by_t: dict[str, list[str]] = {}
-            for s_ in sources:
-                if s_ in old_of:
-                    by_t.setdefault(target_of[s_], []).append(old_of[s_])
+            olds = sorted({old_of[s_] for s_ in sources if s_ in old_of})
             parts = []
-            base = F.regexp_extract(SOURCE, r"([^/]+)$", 1)
-            for t, olds in by_t.items():
-                rows = own_columns(ds.rows_of(olds), [infos_by_old[o] for o in olds])
-                parts.append(rows.withColumn(SOURCE, F.concat(F.lit(t.rstrip("/") + "/"), base)))
-            return union_all_by_name(parts) if parts else spark.createDataFrame([], f"{SOURCE} string")
+            for infos in _by_layout([infos_by_old[o] for o in olds]):
+                names = spark.createDataFrame([(f.source, new_of[f.source]) for f in infos], f"{SOURCE} string, {RENAMED} string")
+                if len(infos) <= MAX_BROADCAST_FILES:
+                    names = F.broadcast(names)
+                rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
+                parts.append(rows.join(names, SOURCE).withColumn(SOURCE, F.col(RENAMED)).drop(RENAMED))
+            return union_by_name(parts, spark)
 
         return Dataset(df=rows_of([f.source for f in out_infos]), files=files_frame(spark, out_infos),
                        reader=rows_of, infos=out_infos)
@@ -391,6 +467,7 @@ class Preboarding:
                 report = C.CheckContext(df=rows, key=SOURCE, catalog=self.catalog)
                 ctx = TransformContext(catalog=self.catalog, key=SOURCE, run_id=self.run_id, report=report)
                 out, log = apply_chain(rows, spec, ctx)
+                ctx.all_rows = keeps_rows(spec)
                 keys = files_frame(self.spark, infos)
                 # chain status: one finding per transform and file
                 status = [F.struct(F.lit(n).alias("check"), F.lit(None).cast("string").alias("column"),
@@ -412,16 +489,39 @@ class Preboarding:
         for p, out, ctx, report, keys, infos in pending:
             self._write_group(step, p, out, [f.source for f in infos], keep_hidden=True)
             staged[p] = self.spark.read.parquet(self._group_path(step, p))
-            if report._findings or report._samples or report._examples:
+            if not ctx.enrichments:
+                continue
+            if ctx.all_rows:
                 report.df = staged[p]
                 frames.append(C.evaluate(report, keys_df=keys))
+            else:  # later steps drop rows: count where the join was
+                frames.extend(C.evaluate(r, keys_df=keys) for r in ctx.enrichments)
         findings, passed = self._record(frames, step)
+        snapshots: dict[str, list] = {}
+        files: dict[str, list[str]] = {}
         for p, out, ctx, report, keys, infos in pending:
             ok = [f.source for f in infos if f.source in passed]
+            rows = keep_sources(self.spark, staged[p], ok, len(infos))
             for action in ctx.actions:
-                action(keep_sources(self.spark, staged[p], ok, len(infos)))
+                action(rows)
+            for table, id_col, copy in ctx.snapshots:
+                snapshots.setdefault(table, []).append((rows.select(F.col(copy).alias(id_col)), id_col))
+                files.setdefault(table, []).extend(ok)
+        # one version per table and run: the ids of all patterns go in together
+        for table, parts in snapshots.items():
+            got = append_all(self.catalog, table, parts, version=self.run_id)
+            self._note(step, sorted(set(files[table])), "save_inventory_snapshot", parts[0][1],
+                       msg("snapshot", table=table) % (got["n_new"], got["n_total"]))
         return self._finish(step, findings, ds, passed)
 
+    def _note(self, step: str, sources: list[str], check: str, column: str, message: str) -> None:
+        """Add an informative finding for each of ``sources`` to a recorded step."""
+        rows = self.spark.createDataFrame([(s,) for s in sources], f"{SOURCE} string").select(
+            SOURCE, F.lit(check).alias("check"), F.lit(column).alias("column"), F.lit("info").alias("severity"),
+            F.lit(True).alias("passed"), F.lit(0).cast("long").alias("n_bad"), F.lit(message).alias("message"))
+        (conform(rows, self.run_id, step, key=SOURCE).drop("run_id", "step")
+         .write.mode("append").parquet(f"{self.root}/findings/run_id={self.run_id}/step={step}"))
+
     def aggregate(self, ds: Dataset, registry: Registry, step: str) -> StepOutput:
         """(X6) per pattern: ``groupBy(group_by).agg(...)`` over the pattern's files.
 
@@ -501,7 +601,7 @@ class Preboarding:
         partition of its pattern). The landing doubles as the run's backup.
         """
         match = self._match(ds.infos, patterns)
-        keymap = self.spark.createDataFrame(sorted(match.items()), f"{SOURCE} string, __p int")
+        keymap = self.spark.createDataFrame(sorted(match.items()), f"{SOURCE} string, {PATTERN} int")
         if len(match) <= MAX_BROADCAST_FILES:
             keymap = F.broadcast(keymap)
         # few pattern partitions: one open writer per partition per task
@@ -511,13 +611,16 @@ class Preboarding:
         before = self.spark.conf.get(key, None)
         self.spark.conf.set(key, str(min(max(n_parts, 1), 8)))
         try:
-            ds.df.join(keymap, SOURCE, "left").write.mode("overwrite").partitionBy("__p").parquet(path)
+            ds.df.join(keymap, SOURCE, "left").write.mode("overwrite").partitionBy(PATTERN).parquet(path)
         finally:
             if before is None:
                 self.spark.conf.unset(key)
             else:
                 self.spark.conf.set(key, before)
-        landed = self.spark.read.parquet(path)
+        keep_files(self.spark, ds.infos, path)
+        # declared schema: a landing without any row has no file to read one from
+        kinds = T.StructType([*ds.df.schema.fields, T.StructField(PATTERN, T.IntegerType())])
+        landed = self.spark.read.schema(kinds).parquet(path)
         count_p: dict[int, int] = {}
         for i in match.values():
             count_p[i] = count_p.get(i, 0) + 1
@@ -528,10 +631,10 @@ class Preboarding:
             parts = sorted({match[s] for s in mine})
             if not parts:
                 return spark.createDataFrame([], f"{SOURCE} string")
-            df = landed.filter(F.col("__p").isin(parts))  # partition pruning
-            return keep_sources(spark, df, mine, sum(count_p[i] for i in parts)).drop("__p")
+            df = landed.filter(F.col(PATTERN).isin(parts))  # partition pruning
+            return keep_sources(spark, df, mine, sum(count_p[i] for i in parts)).drop(PATTERN)
 
-        return Dataset(df=landed.drop("__p"), files=ds.files, reader=rows_of, infos=ds.infos)
+        return Dataset(df=landed.drop(PATTERN), files=ds.files, reader=rows_of, infos=ds.infos)
 
     def clear_input(self, input_root: str) -> int:
         """(R4, R7) remove the input files once the run is delivered; returns count.
@@ -548,19 +651,27 @@ class Preboarding:
                 n += 1
         return n
 
-    def run(self, input_root: str, steps: list[tuple[str, str, object]], backup_root: str | None = None,
-            clear_input: bool = False) -> list[StepOutput]:
+    def run(self, input_root: str | None, steps: list[tuple[str, str, object]], backup_root: str | None = None,
+            clear_input: bool = False, restore_from: str | int | None = None) -> list[StepOutput]:
         """Run ``steps`` = [(step name, kind, registry)] over the files in ``input_root``.
 
         ``clear_input`` removes the input files after the last step
-        delivered (not when a step failed for all files).
+        delivered (not when a step failed for all files). ``restore_from`` (a
+        run id or negative index) takes the input from that run's backup below
+        ``backup_root`` instead of ``input_root``, files without rows included.
+        Each file's report is written below ``reports`` at the end.
         """
         regs = [(name, kind, reg if isinstance(reg, Registry) else Registry(reg, kind=kind))
                 for name, kind, reg in steps]  # every registry compiles before any read
-        ds = read_drop(self.spark, input_root, sep=self.sep)
-        self._input_paths = [f.path for f in ds.infos if f.path]
+        if restore_from is not None:
+            if not backup_root:
+                raise RegistryError("restore_from needs backup_root")
+            ds = restore_dataset(self.spark, backup_root, resolve_run(self.spark, backup_root, restore_from))
+        else:
+            ds = read_drop(self.spark, input_root, sep=self.sep, multiline=self.multiline)
+            self._input_paths = [f.path for f in ds.infos if f.path]
         has_csv = any(f.format == "csv" for f in ds.infos)
-        if (has_csv or backup_root) and regs:
+        if (has_csv or backup_root) and regs and restore_from is None:
             # land once: CSV is parsed a single time; the landing is the backup
             path = (f"{backup_root.rstrip('/')}/run_id={self.run_id}" if backup_root
                     else f"{self.root}/staging/run_id={self.run_id}/_landing")
@@ -592,13 +703,16 @@ class Preboarding:
             if k < last:
                 # transformed rows of failing files were written for their report
                 ds = self.read_step(name, only=out.passed if kind == "transform" else None)
+        write_reports(self.findings(), self.reports_path)
         if clear_input and completed:
             self.clear_input(input_root)
         return self.outputs
 
+    @property
+    def reports_path(self) -> str:
+        return f"{self.root}/reports/run_id={self.run_id}"
 
-def union_all_by_name(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    def clear_reports(self) -> bool:
+        """(K6) remove the text reports of this run (the findings table stays)."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.reports_path)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -96,8 +96,16 @@ def list_runs_query(spark, sf):
     return list_runs(spark, root).join(counts, "run_id")
 
 
-def discover_files(spark, sf):
-    return list_files(spark, sf, glob="*.parquet").select("_source_file", "format")
+def csv_quoting(spark, sf):
+    """Documents as a CSV drop, with their real quotes and line breaks in the
+    text, a separator and a quote in a header and doubled quotes in values."""
+    root = scratch_path(spark, "quoting_drop")
+    d = _t(spark, sf, "documents").select("doc_id", F.concat(F.lit('"'), "lang", F.lit('"; ')).alias('la"n;g'), "text")
+    (d.repartition(4).write.option("header", "true").option("sep", ";").option("escape", '"')
+     .option("ignoreTrailingWhiteSpace", "false").csv(root))
+    rows = read_drop(spark, root, sep=";").df
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col('la"n;g').alias("lang"),
+                       F.sha2(F.col("text"), 256).alias("text_sha"))
 
 
 # ---------------------------------------------------------------- routing
@@ -247,52 +255,181 @@ def enrich_mapping_multikey(spark, sf):
     return out.select("c_custkey", "n_customers")
 
 
+def _shifted_part(spark, sf):
+    """All parts, those of sizes above 25 under negative keys that no lineitem has."""
+    p = _t(spark, sf, "part")
+    return p.withColumn("p_partkey", F.when(F.col("p_size") <= 25, F.col("p_partkey")).otherwise(-F.col("p_partkey") - 1))
+
+
 def enrich_unmatched(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_partkey")
-    part = _t(spark, sf, "part").filter(F.col("p_size") <= 25)
-    out = enrich(li, part, "l_partkey", "p_partkey", ["p_name"], hit_column="__hit")
+    out = enrich(li, _shifted_part(spark, sf), "l_partkey", "p_partkey", ["p_name"], hit_column="__hit")
     return out.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("__hit").isNull()).alias("unmatched"))
 
 
 def enrich_examples(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_returnflag", "l_partkey")
-    part = _t(spark, sf, "part").filter(F.col("p_size") <= 25)
-    out = enrich(li, part, "l_partkey", "p_partkey", ["p_name"], hit_column="__hit")
+    out = enrich(li, _shifted_part(spark, sf), "l_partkey", "p_partkey", ["p_name"], hit_column="__hit")
     return distinct_examples(out, "l_returnflag", ["l_partkey"], F.col("__hit").isNull(), k=3)
 
 
 def referential_missing_ids(spark, sf):
-    master = _t(spark, sf, "part").filter(F.col("p_size") <= 40)
-    return C.missing_ids(_t(spark, sf, "lineitem"), "l_partkey", master, "p_partkey")
+    return C.missing_ids(_t(spark, sf, "lineitem"), "l_partkey", _shifted_part(spark, sf), "p_partkey")
 
 
 def cross_consistency(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey")
-    o = _t(spark, sf, "orders").filter(F.col("o_totalprice") > 400000).select(F.col("o_custkey").alias("c_custkey"))
+    o = _t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return C.key_overlap(c, o, ["c_custkey"])
 
 
 def snapshot_union(spark, sf):
-    ids = _t(spark, sf, "lineitem").filter(F.col("l_returnflag") == "A")
-    old = _t(spark, sf, "part").filter(F.col("p_size") <= 10).select("p_partkey")
+    ids = _t(spark, sf, "lineitem")
+    old = _shifted_part(spark, sf).select("p_partkey")
     return snapshot.snapshot_union(ids, old, "l_partkey", "id")
 
 
 def snapshot_new_ids(spark, sf):
-    ids = _t(spark, sf, "lineitem").filter(F.col("l_returnflag") == "A")
-    old = _t(spark, sf, "part").filter(F.col("p_size") <= 10).select("p_partkey")
+    ids = _t(spark, sf, "lineitem")
+    old = _shifted_part(spark, sf).select("p_partkey")
     return snapshot.new_ids(ids, old, "l_partkey", "id")
 
 
 def snapshot_versions(spark, sf):
-    """Three runs append the part keys they see; each version stores only its new ids."""
+    """Three runs append the part keys they see, by line number; each version stores
+    only its new ids. Version ids that look like numbers stay text."""
     cat = Catalog(spark, {"snap": TableSpec(path=scratch_path(spark, "snapshot"), versioned=True)})
     li = _t(spark, sf, "lineitem")
-    for v, flag in (("v1", "A"), ("v2", "N"), ("v3", "R")):
-        snapshot.append_new_ids(cat, "snap", li.filter(F.col("l_returnflag") == flag), "l_partkey", version=v)
+    third = F.coalesce(F.col("l_linenumber") % 3, F.lit(0))
+    for k, v in enumerate(("001", "002", "010")):
+        snapshot.append_new_ids(cat, "snap", li.filter(third == k), "l_partkey", version=v)
     return cat.versions("snap")
 
 
+def _written_runs(spark, sf, root):
+    """Orders as CSV files: equal base names in two folders, three column layouts."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+    layouts = {"F": ["o_orderkey", "o_totalprice"], "O": ["o_orderkey", "o_custkey"], "P": ["o_custkey", "o_orderkey", "o_totalprice"]}
+    other = ~F.col("o_orderstatus").isin(list(layouts)) | F.col("o_orderstatus").isNull()
+    for status, cols in layouts.items():
+        mine = (F.col("o_orderstatus") == status) | other if status == "P" else F.col("o_orderstatus") == status
+        for half in (0, 1):
+            part = o.filter(mine & (F.col("o_orderkey") % 2 == half)).select(*cols)
+            target = f"{root}/half{half}/{status}"
+            part.coalesce(1).write.option("header", "true").option("sep", ";").csv(target)
+    _same_names(spark, root)
+    return root
+
+
+def _same_names(spark, root):
+    """Give the part files of each folder one name, so base names are equal across folders."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for f in list_files(spark, root).collect():
+        p = jvm.org.apache.hadoop.fs.Path(f["path"])
+        p.getFileSystem(conf).rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), "orders.csv"))
+
+
+def dispatch_multi_layout(spark, sf):
+    """Every file to one target, whatever its columns and name: no row is lost."""
+    from dropgate.plans.stages import Preboarding
+    root = _written_runs(spark, sf, scratch_path(spark, "layouts"))
+    pb = Preboarding(spark, scratch_path(spark, "layouts_run"), run_id="q")
+    pb.run(root, [("check", "validate", {"*": {"validators": {"is_empty_dataframe": None}}}),
+                  ("route", "dispatch", {"*": "ALL"}), ("deliver", "dispatch", {"ALL/*": "OUT"})])
+    out = spark.read.option("mergeSchema", "true").parquet(f"{pb.staging('deliver')}/*")
+    return out.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"),
+                      F.col("o_totalprice").cast("double").alias("o_totalprice"))
+
+
+def enrich_salted_multikey(spark, sf):
+    """The salted join over keys of unlike types (text with leading zeros against numbers)."""
+    from dropgate.operators import joins
+    c = _t(spark, sf, "customer")
+    left = c.select("c_custkey", F.format_string("%05d", "c_nationkey").alias("nation"), "c_mktsegment")
+    seg = (c.groupBy(F.col("c_nationkey").cast("int").alias("nationkey"), F.col("c_mktsegment").alias("segment"))
+           .agg(F.count(F.lit(1)).alias("n_customers")))
+    out = joins.left_join(left, seg, ["nation", "c_mktsegment"], ["nationkey", "segment"], max_broadcast_rows=0)
+    return out.select("c_custkey", "n_customers")
+
+
+def value_range_text(spark, sf):
+    """A numeric range over text: values that are no number fail."""
+    d = _t(spark, sf, "documents").select(
+        F.col("lang").alias("dataset"), F.when(F.col("doc_id") % 7 == 0, F.col("source")).otherwise(F.col("n_chars").cast("string")).alias("size"))
+    return _checks(d, {"value_range": {"size": {"min": 100, "max": 5000}}})
+
+
+def schema_fails_bad_values(spark, sf):
+    """A declared type is a rule: files with values that typing would erase are not delivered."""
+    from dropgate.plans.stages import Preboarding
+    root = scratch_path(spark, "typed_drop")
+    o = _t(spark, sf, "orders").select("o_orderkey", F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 5 == 0), F.lit("test"))
+                                       .otherwise(F.col("o_totalprice").cast("string")).alias("price"), "o_orderstatus")
+    o.withColumn("status", F.col("o_orderstatus")).repartition("status").write.partitionBy("status").option("header", "true").option("sep", ";").csv(root)
+    pb = Preboarding(spark, scratch_path(spark, "typed_run"), run_id="q")
+    pb.run(root, [("check", "validate", {"*": {"validators": {"value_range": {"price": {"min": 0}}}, "schema": {"price": "double", "o_orderkey": "long"}}}),
+                  ("deliver", "dispatch", {"*": "OUT"})])
+    return spark.read.parquet(f"{pb.staging('deliver')}/*").select("o_orderkey", "price", "o_orderstatus")
+
+
+def snapshot_two_patterns(spark, sf):
+    """Two patterns of a run save ids to one table: one version with the union."""
+    from dropgate.plans.stages import Preboarding
+    root = scratch_path(spark, "ids_drop")
+    li = _t(spark, sf, "lineitem").select("l_partkey", "l_suppkey", (F.col("l_linenumber") % 2).alias("half"))
+    for half, keep in ((0, ["l_partkey"]), (1, ["l_partkey", "l_suppkey"])):
+        li.filter(F.coalesce("half", F.lit(0)) == half).select(*keep).write.option("header", "true").option("sep", ";").csv(f"{root}/kind{half}")
+    cat = Catalog(spark, {"ids": TableSpec(path=scratch_path(spark, "ids"), versioned=True)})
+    pb = Preboarding(spark, scratch_path(spark, "ids_run"), catalog=cat, run_id="q")
+    save = [{"function": "save_inventory_snapshot", "params": {"snapshot_file": "ids", "product_id_column": "l_partkey"}}]
+    pb.run(root, [("keep", "transform", {"kind0/*": {"transforms": save}, "kind1/*": {"transforms": save}})])
+    return cat.read("ids").select(F.col("l_partkey").cast("long").alias("id"))
+
+
+def restored_run(spark, sf):
+    """A run over the backup of an earlier one delivers the same rows."""
+    from dropgate.plans.stages import Preboarding
+    root, back = _written_runs(spark, sf, scratch_path(spark, "first")), scratch_path(spark, "first_backup")
+    steps = [("deliver", "dispatch", {"*": "OUT"})]
+    Preboarding(spark, scratch_path(spark, "first_run"), run_id="one").run(root, steps, backup_root=back)
+    pb = Preboarding(spark, scratch_path(spark, "second_run"), run_id="two")
+    pb.run(None, steps, backup_root=back, restore_from=-1)
+    out = spark.read.option("mergeSchema", "true").parquet(f"{pb.staging('deliver')}/*")
+    return out.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"),
+                      F.col("o_totalprice").cast("double").alias("o_totalprice"))
+
+
+def enrich_report_counts(spark, sf):
+    """The unmatched count of an enrichment, although later steps drop its rows and columns."""
+    from dropgate.plans.stages import Preboarding
+    root = scratch_path(spark, "report_drop")
+    _t(spark, sf, "lineitem").select("l_orderkey", "l_partkey").write.option("header", "true").option("sep", ";").csv(f"{root}/sales")
+    part = scratch_path(spark, "report_part")
+    _shifted_part(spark, sf).select("p_partkey", "p_name").write.parquet(part)
+    cat = Catalog(spark, {"part": TableSpec(path=part)})
+    pb = Preboarding(spark, scratch_path(spark, "report_run"), catalog=cat, run_id="q")
+    pb.run(root, [("t", "transform", {"*": {"transforms": [
+        {"name": "enrich", "order": 1, "function": "enrich_with_mapping",
+         "params": {"mapping_file": "part", "df_join_column": ["l_partkey"], "mapping_key_column": ["p_partkey"], "columns_to_add": ["p_name"]}},
+        {"name": "rename", "order": 2, "function": "rename_columns", "params": {"column_mapping": {"p_name": "name"}}},
+        {"name": "full", "order": 3, "function": "drop_nulls", "params": {"subset": ["name"]}},
+        {"name": "drop", "order": 4, "function": "drop_columns", "params": {"columns": ["name", "l_partkey"]}}]}})])
+    kept = spark.read.parquet(f"{pb.staging('t')}/*").agg(F.count(F.lit(1)).alias("kept"))
+    bad = pb.findings().filter(F.col("check") == "enrich").agg(F.sum("n_bad").alias("unmatched"))
+    return kept.join(bad, F.lit(True)).select("kept", "unmatched")
+
+
+def missing_id_findings(spark, sf):
+    """Every missing id is a finding, beside one verdict per dataset."""
+    path = scratch_path(spark, "master_part")
+    _shifted_part(spark, sf).select("p_partkey").write.parquet(path)
+    cat = Catalog(spark, {"m": TableSpec(path=path)})
+    d = _li_dataset(spark, sf).select("dataset", "l_partkey")
+    return _checks(d, {"validate_product_ids": {"product_id_column": "l_partkey", "product_id_master_column": "p_partkey", "master_table": "m"}},
+                   catalog=cat)
+
+
 def table_append(spark, sf):
     cat = Catalog(spark, {"t": TableSpec(path=scratch_path(spark, "append"))})
     p = _t(spark, sf, "part")
@@ -391,7 +528,7 @@ def hierarchy_check(spark, sf):
     d = d.withColumn("dataset", F.when(F.col("dataset"), "size5").otherwise("other"))
     f = C.run_checks(d, {"check_hierarchy": {"higher_level_columns": ["p_type"], "lower_level_columns": ["p_brand"]}},
                      key="dataset")
-    return f.filter(~F.col("passed")).select("dataset", "column", "n_bad")
+    return f.filter(F.col("check") == "check_hierarchy.violation").select("dataset", "column", "n_bad")
 
 
 def duplicate_rows(spark, sf):
@@ -470,7 +607,15 @@ def stream_validate(spark, sf):
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_csv_roundtrip": scan_csv_roundtrip,
-    "discover_files": discover_files,
+    "csv_quoting": csv_quoting,
+    "dispatch_multi_layout": dispatch_multi_layout,
+    "enrich_salted_multikey": enrich_salted_multikey,
+    "value_range_text": value_range_text,
+    "schema_fails_bad_values": schema_fails_bad_values,
+    "snapshot_two_patterns": snapshot_two_patterns,
+    "restored_run": restored_run,
+    "enrich_report_counts": enrich_report_counts,
+    "missing_id_findings": missing_id_findings,
     "corrupt_rows": corrupt_rows,
     "list_runs": list_runs_query,
     "pattern_match": pattern_match,
@@ -527,6 +672,10 @@ QUERIES = {
 
 _MARKERS_SQL = "'', ' ', 'NA', 'N/A', 'NULL', 'en'"
 
+_LAYOUTS_SQL = """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_custkey END AS o_custkey,
+           CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_totalprice END AS o_totalprice FROM orders"""
+
 ORACLE_SQL = {
     "scan_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "scan_csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
@@ -581,26 +730,48 @@ ORACLE_SQL = {
     "referential_missing_ids": """
         SELECT DISTINCT l_partkey AS missing_id FROM lineitem l
         WHERE l_partkey IS NOT NULL
-          AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size <= 40)""",
+          AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size <= 25)""",
     "cross_consistency": """
         SELECT count(*) AS n_keys, count(o.k) AS n_matched, count(*) - count(o.k) AS n_unmatched
         FROM (SELECT DISTINCT c_custkey FROM customer) c
-        LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice > 400000) o ON o.k = c.c_custkey""",
+        LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders) o ON o.k = c.c_custkey""",
     "snapshot_union": """
-        SELECT DISTINCT id FROM (SELECT l_partkey AS id FROM lineitem WHERE l_returnflag = 'A'
-                                 UNION ALL SELECT p_partkey FROM part WHERE p_size <= 10) WHERE id IS NOT NULL""",
+        SELECT DISTINCT id FROM (SELECT l_partkey AS id FROM lineitem
+                                 UNION ALL SELECT CASE WHEN p_size <= 25 THEN p_partkey ELSE -p_partkey - 1 END FROM part)
+        WHERE id IS NOT NULL""",
     "snapshot_new_ids": """
-        SELECT DISTINCT l_partkey AS id FROM lineitem l WHERE l_returnflag = 'A' AND l_partkey IS NOT NULL
-          AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size <= 10)""",
+        SELECT DISTINCT l_partkey AS id FROM lineitem l WHERE l_partkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size <= 25)""",
     "snapshot_versions": """
-        WITH a AS (SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_returnflag = 'A' AND l_partkey IS NOT NULL),
-             n AS (SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_returnflag = 'N' AND l_partkey IS NOT NULL
-                   EXCEPT SELECT id FROM a),
-             r AS (SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_returnflag = 'R' AND l_partkey IS NOT NULL
-                   EXCEPT (SELECT id FROM a UNION SELECT id FROM n))
-        SELECT 'v1' AS version, count(*) AS n_rows FROM a
-        UNION ALL SELECT 'v2', count(*) FROM n
-        UNION ALL SELECT 'v3', count(*) FROM r""",
+        WITH f AS (SELECT l_partkey AS id, min(coalesce(l_linenumber % 3, 0)) AS k FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1)
+        SELECT v AS version, count(id) AS n_rows FROM (VALUES ('001', 0), ('002', 1), ('010', 2)) x(v, k) LEFT JOIN f USING (k) GROUP BY v""",
+    "csv_quoting": """SELECT doc_id, '"' || lang || '"; ' AS lang, sha256(text) AS text_sha FROM documents""",
+    "dispatch_multi_layout": _LAYOUTS_SQL,
+    "restored_run": _LAYOUTS_SQL,
+    "enrich_salted_multikey": """
+        SELECT c_custkey, count(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS n_customers FROM customer""",
+    "value_range_text": """
+        WITH d AS (SELECT lang, CASE WHEN doc_id % 7 = 0 THEN source ELSE CAST(n_chars AS VARCHAR) END AS size FROM documents),
+             n AS (SELECT lang, size, TRY_CAST(size AS DOUBLE) AS x FROM d),
+             c AS (SELECT lang, count(*) FILTER (x < 100) AS lo, count(*) FILTER (x > 5000) AS hi,
+                          count(*) FILTER (size IS NOT NULL AND x IS NULL) AS no FROM n GROUP BY lang)
+        SELECT lang AS dataset, 'value_range.min' AS "check", 'size' AS "column", lo = 0 AS passed, lo AS n_bad FROM c
+        UNION ALL SELECT lang, 'value_range.max', 'size', hi = 0, hi FROM c
+        UNION ALL SELECT lang, 'value_range.number', 'size', no = 0, no FROM c""",
+    "schema_fails_bad_values": """
+        SELECT o_orderkey, o_totalprice AS price, o_orderstatus FROM orders WHERE o_orderstatus NOT IN
+          (SELECT o_orderstatus FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 5 = 0)""",
+    "snapshot_two_patterns": "SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_partkey IS NOT NULL",
+    "enrich_report_counts": """
+        SELECT count(p.p_partkey) AS kept, count(*) - count(p.p_partkey) AS unmatched
+        FROM lineitem l LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) p ON l.l_partkey = p.p_partkey""",
+    "missing_id_findings": """
+        WITH m AS (SELECT DISTINCT l_returnflag AS f, l_partkey FROM lineitem l WHERE l_partkey IS NOT NULL
+                   AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size <= 25))
+        SELECT f AS dataset, 'validate_product_ids.id' AS "check", 'l_partkey' AS "column", false AS passed, CAST(1 AS BIGINT) AS n_bad FROM m
+        UNION ALL
+        SELECT l_returnflag, 'validate_product_ids', 'l_partkey', count(k) = 0, count(k)
+        FROM (SELECT DISTINCT l_returnflag FROM lineitem) LEFT JOIN (SELECT f, l_partkey AS k FROM m) ON f = l_returnflag GROUP BY 1""",
     "table_append": "SELECT * FROM part",
     "backup_restore": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "always_true": """SELECT DISTINCT o_orderstatus AS dataset, 'always_true_validator' AS "check",
@@ -717,11 +888,6 @@ ORACLE_SQL = {
                CAST(-row_number() OVER (ORDER BY 'run_' || o_orderstatus DESC) AS INTEGER) AS run_index,
                count(*) AS n_rows
         FROM orders GROUP BY o_orderstatus""",
-    "discover_files": """
-        SELECT table_name || '.parquet' AS _source_file, 'parquet' AS format
-        FROM information_schema.tables
-        WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events',
-                             'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')""",
     "aggregate_by_registry": """
         SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS l_quantity,
                round(avg(l_extendedprice), 2) AS l_extendedprice, count(l_tax) AS l_tax

@@ -1,19 +1,13 @@
-"""Shipped registries (YAML) and the default step list."""
+"""Example registries (YAML) and the step list that uses them."""
 
 import os
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 
-# (step name, kind, registry file)
-DEFAULT_STEPS = [
-    ("0_validator", "validate", "0_raw_validation.yaml"),
-    ("1_dispatcher", "dispatch", "1_dispatcher.yaml"),
-    ("2_transform", "transform", "2_transform.yaml"),
-    ("3_validation", "validate", "3_validation.yaml"),
-    ("4_cross_validation", "validate", "4_cross_validation.yaml"),
-    ("5_dispatcher", "dispatch", "5_dispatcher.yaml"),
-]
+# (step name, kind); the registry is the file of the step's name
+DEFAULT_STEPS = [("check_input", "validate"), ("sort", "dispatch"), ("complete", "transform"),
+                 ("check_limits", "validate"), ("deliver", "dispatch")]
 
 
 def default_steps():
-    return [(name, kind, os.path.join(HERE, f)) for name, kind, f in DEFAULT_STEPS]
+    return [(name, kind, os.path.join(HERE, f"{name}.yaml")) for name, kind in DEFAULT_STEPS]

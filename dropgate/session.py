@@ -7,6 +7,7 @@ Nothing here is needed on a managed cluster (the cluster's own defaults win);
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,19 +53,34 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) do we pick a folder.
+    ``spark.checkpoint.dir`` (or ``DROPGATE_CHECKPOINT_DIR``) is used as is. Only
+    a local master, where driver and tasks share one disk, gets a folder of
+    its own choice; elsewhere an unset folder is an error, as intermediate
+    tables on a node's own disk are lost to the other nodes.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or os.environ.get("DROPGATE_CHECKPOINT_DIR")
     if not path:
-        path = os.environ.get("DROPGATE_CHECKPOINT_DIR", "/tmp/dropgate-checkpoints")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = "/tmp/dropgate-checkpoints"
+    if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder of intermediate tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/dropgate/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for derived tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/dropgate/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove this application's intermediate tables; frames that read them end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

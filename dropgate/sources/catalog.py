@@ -12,10 +12,12 @@ partition: retries are idempotent.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from dropgate.errors import TableNotFoundError
@@ -75,6 +77,11 @@ class Catalog:
             df = r.options(**opts).csv(spec.path)
         else:
             df = r.options(**spec.options).format(spec.format).load(spec.path)
+            if spec.versioned and "version" in df.columns and not isinstance(df.schema["version"].dataType, T.StringType):
+                # version ids are text: partition type inference would turn 001 into 1
+                as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name == "version" else f.dataType)
+                                        for f in df.schema.fields])
+                df = r.schema(as_text).options(**spec.options).format(spec.format).load(spec.path)
         if spec.schema:
             df = df.withColumns({c: F.col(c).try_cast(t) for c, t in spec.schema.items() if c in df.columns})
         return df
@@ -138,7 +145,7 @@ class Catalog:
         listed = (list_files(self.spark, spec.path)
                   .select(F.regexp_extract("path", r"/version=([^/]+)/", 1).alias("version"))
                   .filter(F.col("version") != "").distinct())
-        counts = self._load(spec).groupBy(F.col("version").cast("string").alias("version")) \
+        counts = self._load(spec).groupBy("version") \
             .agg(F.count(F.lit(1)).alias("n_rows"))
         return listed.join(counts, "version", "left").select(
             "version", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
@@ -159,8 +166,6 @@ def list_runs(spark: SparkSession, root: str, limit: int | None = None) -> DataF
     Found from the file listing alone (no data is read, no job runs);
     ``run_index`` is -1 for the latest run, -2 for the one before, and so on.
     """
-    import re
-
     from dropgate.sources.files import list_file_infos
 
     runs = sorted({m.group(1) for f in list_file_infos(spark, root)
@@ -168,3 +173,23 @@ def list_runs(spark: SparkSession, root: str, limit: int | None = None) -> DataF
     if limit is not None:
         runs = runs[:limit]
     return spark.createDataFrame([(r, -(i + 1)) for i, r in enumerate(runs)], "run_id string, run_index int")
+
+
+def resolve_run(spark: SparkSession, root: str, run: str | int) -> str:
+    """A run's id from an id or a negative index (-1 is the latest)."""
+    from dropgate.errors import TableNotFoundError as Missing
+
+    runs = [r["run_id"] for r in list_runs(spark, root).collect()]
+    if isinstance(run, int) or re.fullmatch(r"-[0-9]+", str(run)):
+        i = -int(run)
+        if not 1 <= i <= len(runs):
+            raise Missing(f"run index {run} is out of range; there are {len(runs)} run(s)")
+        return runs[i - 1]
+    if run not in runs:
+        raise Missing(f"unknown run '{run}'; available: {runs}")
+    return run
+
+
+def read_run(spark: SparkSession, root: str, run: str | int = -1) -> DataFrame:
+    """(S9) the rows of an earlier run below ``root`` (``run_id=`` folders), by id or negative index."""
+    return spark.read.parquet(f"{root.rstrip('/')}/run_id={resolve_run(spark, root, run)}")

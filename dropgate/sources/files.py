@@ -1,13 +1,20 @@
 """Reading a drop of files as ONE dataset with a ``_source_file`` column.
 
-* ``list_files``: distributed listing through the ``binaryFile`` source with
-  only its metadata columns selected, so no file content is read. Empty files
-  are listed too (they have no rows to show up anywhere else).
+* ``list_files``: a listing through the Hadoop FileSystem API on the driver, as
+  Spark's own file index makes one; no file content is read. Empty files are
+  listed too (they have no rows to show up anywhere else).
 * CSV files may have different headers (or the same columns in a different
   order). Reading them in one ``spark.read.csv`` would misalign columns by
-  position, so the header line of every file is read first (first line only),
-  files are grouped by header, each group is read with an explicit all-string
-  schema and the groups are combined with ``unionByName``.
+  position, so the header record of every file is read first, files are
+  grouped by header, each group is read with an explicit all-string schema and
+  the groups are combined with ``unionByName``. Quotes are doubled inside
+  quoted values; quoted values and headers may hold separators and line breaks
+  (``multiline``; switch it off only where no value has a line break, so that
+  Spark can split large files).
+* Parquet files are grouped by their schema; where groups disagree on a
+  column's type, the union holds that column as text.
+* A file that cannot be read, or that has duplicate or reserved column names,
+  carries the reason as ``error`` and stays out of the read: only it fails.
 * Raw CSV values stay strings; typing is an explicit, checked step
   (``typed``) so a bad value is a finding instead of depending on which rows
   a type inference happened to sample.
@@ -25,9 +32,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dropgate.operators.joins import HIDDEN
+
 SOURCE = "_source_file"
 COLUMNS = "__columns"
-CORRUPT = "__corrupt"
+CORRUPT = f"{HIDDEN}corrupt"
 
 # File suffix -> reader format.
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
@@ -81,12 +90,37 @@ def _empty_rows(spark: SparkSession) -> DataFrame:
 
 
 def union_by_name(frames: list[DataFrame], spark: SparkSession) -> DataFrame:
+    """Union by column name; a column of unlike types in the frames becomes text."""
+    kinds: dict[str, set] = {}
+    for f in frames:
+        for field in f.schema.fields:
+            kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
+    clash = {c for c, k in kinds.items() if len(k) > 1}
     out = None
     for f in frames:
+        f = f.withColumns({c: _as_text(f, c) for c in f.columns if c in clash})
         out = f if out is None else out.unionByName(f, allowMissingColumns=True)
     return out if out is not None else _empty_rows(spark)
 
 
+def _as_text(df: DataFrame, c: str) -> Column:
+    nested = isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))
+    return F.to_json(F.col(c)) if nested else F.col(c).cast("string")
+
+
+def column_names_error(names: list[str]) -> str | None:
+    """Why a file with these columns cannot be read, if so (names are compared as Spark does)."""
+    seen: set[str] = set()
+    for n in names:
+        low = n.lower()
+        if low in seen:
+            return f"column name '{n}' occurs more than once"
+        if low.startswith(HIDDEN) or low == SOURCE:
+            return f"column name '{n}' is reserved"
+        seen.add(low)
+    return None
+
+
 def _strip_scheme(path: str) -> str:
     p = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", path)
     p = re.sub(r"^/+", "/", p)
@@ -114,7 +148,7 @@ def relative_path(col: Column, root: str, prefix: str | None = None) -> Column:
     rx = F.regexp_extract(col, _rel_regex(root), 1)
     if not prefix:
         return rx
-    return F.when(col.startswith(prefix), F.substring(col, len(prefix) + 1, 1 << 20)).otherwise(rx)
+    return F.when(col.startswith(prefix), F.substr(col, F.lit(len(prefix) + 1))).otherwise(rx)
 
 
 def common_prefix(infos: list["FileInfo"]) -> str | None:
@@ -165,57 +199,60 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None,
                                  f"{SOURCE} string, path string, size long, format string")
 
 
-# Bytes read at most to find a file's header line; a longer first line is an
-# error for that file (reported as a file without columns).
-HEADER_MAX_BYTES = 1 << 20
 HEADER_THREADS = 16
 
 
-def _first_line(spark: SparkSession, path: str) -> str | None:
+def _first_record(spark: SparkSession, path: str, multiline: bool) -> str | None:
+    """A CSV file's first record: its first line, or more while a quote is open."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     stream = p.getFileSystem(conf).open(p)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 65536)
-        line = reader.readLine()
-        if line is not None and len(line) > HEADER_MAX_BYTES:
-            return None
-        return line
+        record = reader.readLine()
+        while multiline and record is not None and record.count('"') % 2:
+            more = reader.readLine()
+            if more is None:
+                break
+            record = f"{record}\n{more}"
+        return record
     finally:
         stream.close()
 
 
-def header_names(line: str | None, sep: str) -> list[str] | None:
-    """Column names of a CSV header line (BOM and surrounding quotes removed)."""
-    if line is None:
+def header_names(record: str | None, sep: str) -> list[str] | None:
+    """Column names of a CSV header record (byte order mark removed, quotes resolved)."""
+    import csv
+    import io
+
+    if record is None:
         return None
-    line = line.lstrip("\ufeff")
-    return [re.sub(r'^"|"$', "", x) for x in line.split(sep)]
+    return next(csv.reader(io.StringIO(record.lstrip("\ufeff"), newline=""), delimiter=sep, quotechar='"', doublequote=True), [""])
 
 
 def _safe_call(fn, *args):
     try:
         return fn(*args), None
     except Exception as e:  # noqa: BLE001 - reported as the file's read error
-        return None, f"cannot read file: {str(e).splitlines()[0][:300]}"
+        return None, f"cannot read file: {e}"
 
 
-def read_headers(spark: SparkSession, paths: list[str], sep: str = ";") -> dict[str, tuple]:
-    """path -> (header names, error), reading only the first line of each file."""
+def read_headers(spark: SparkSession, paths: list[str], sep: str = ";", multiline: bool = True) -> dict[str, tuple]:
+    """path -> (header names, error), reading only the first record of each file."""
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-        lines = list(pool.map(lambda p: _safe_call(_first_line, spark, p), paths))
-    return {p: (header_names(line, sep), err) for p, (line, err) in zip(paths, lines)}
+        records = list(pool.map(lambda p: _safe_call(_first_record, spark, p, multiline), paths))
+    return {p: (header_names(record, sep), err) for p, (record, err) in zip(paths, records)}
 
 
 # The 4-byte marker at both ends of every Parquet file.
 PARQUET_MAGIC = b"PAR1"
 
 
-def _parquet_columns(spark: SparkSession, path: str, size: int) -> list[str] | None:
-    """Top-level column names from a Parquet file's footer; None if not Parquet.
+def _parquet_columns(spark: SparkSession, path: str, size: int) -> list[tuple[str, str]] | None:
+    """Top-level column names and types from a Parquet file's footer; None if not Parquet.
 
     Reads the magic bytes and the footer only (a few KB), through the Hadoop
     FileSystem API; pyarrow parses the footer's schema on the driver.
@@ -248,11 +285,11 @@ def _parquet_columns(spark: SparkSession, path: str, size: int) -> list[str] | N
     finally:
         stream.close()
     meta = pq.ParquetFile(pa.BufferReader(PARQUET_MAGIC + footer + tail))
-    return list(meta.schema_arrow.names)
+    return [(f.name, str(f.type)) for f in meta.schema_arrow]
 
 
 def parquet_schemas(spark: SparkSession, infos: list[FileInfo]) -> dict[str, tuple]:
-    """path -> (column names, error) for Parquet files, from their footers."""
+    """path -> (columns and their types, error) for Parquet files, from their footers."""
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
@@ -261,15 +298,15 @@ def parquet_schemas(spark: SparkSession, infos: list[FileInfo]) -> dict[str, tup
     for f, (cols, err) in zip(infos, res):
         if cols is None and err is None:
             err = "cannot read file: not a Parquet file"
-        out[f.path] = (cols, err)
+        out[f.path] = (cols, err or column_names_error([c for c, _ in cols]))
     return out
 
 
 def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: str = ";",
-                   keep_corrupt: bool = True) -> Dataset:
+                   keep_corrupt: bool = True, multiline: bool = True) -> Dataset:
     """Read the CSV files of ``infos`` as one Dataset.
 
-    Files are grouped by header (read from each file's first line) and every
+    Files are grouped by header (read from each file's first record) and every
     group is read with its own all-string schema, so columns are matched by
     name, never by position. ``Dataset.rows_of`` re-reads only the requested
     files.
@@ -279,13 +316,14 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
         # a row with the wrong number of fields is only flagged when the
         # parser sees every token (parser-level column pruning hides it)
         spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    heads = read_headers(spark, [f.path for f in csv if (f.size or 0) > 0], sep)
+    heads = read_headers(spark, [f.path for f in csv if (f.size or 0) > 0], sep, multiline)
     groups: dict[tuple, list[str]] = {}
     out_infos = []
     for f in csv:
         cols, err = heads.get(f.path, (None, None))
+        err = err or column_names_error(cols or [])
         out_infos.append(FileInfo(f.source, f.path, f.size, list(cols or []), f.format, err))
-        if cols:
+        if cols and not err:
             groups.setdefault(tuple(cols), []).append(f.path)
     src_of = {f.path: f.source for f in csv}
     prefix = common_prefix(csv)
@@ -295,7 +333,8 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
         if keep_corrupt:
             fields.append(T.StructField(CORRUPT, T.StringType()))
         reader = (spark.read.schema(T.StructType(fields)).option("header", "true").option("sep", sep)
-                  .option("mode", "PERMISSIVE").option("enforceSchema", "true"))
+                  .option("mode", "PERMISSIVE").option("enforceSchema", "true")
+                  .option("escape", '"').option("multiLine", str(multiline).lower()))
         if keep_corrupt:
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
         return reader.csv(paths).withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root, prefix))
@@ -311,42 +350,40 @@ def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: s
 
 
 def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) -> Dataset:
-    pq_all = [f for f in infos if f.format == "parquet"]
-    schemas = parquet_schemas(spark, pq_all)  # each file's own columns, from its footer
-    broken = [FileInfo(f.source, f.path, f.size, [], f.format, schemas[f.path][1])
-              for f in pq_all if schemas[f.path][1]]
-    pq = [f for f in pq_all if not schemas[f.path][1]]  # unreadable files stay out of the Spark read
-    if not pq:
-        return Dataset(df=_empty_rows(spark), files=files_frame(spark, broken), reader=lambda s: _empty_rows(spark),
-                       infos=broken)
+    pq = [f for f in infos if f.format == "parquet"]
+    schemas = parquet_schemas(spark, pq)  # each file's own columns, from its footer
+    out_infos, groups = [], {}
+    for f in pq:
+        cols, err = schemas[f.path]
+        out_infos.append(FileInfo(f.source, f.path, f.size, [c for c, _ in cols or []], f.format, err))
+        if not err:  # unreadable files stay out of the Spark read
+            groups.setdefault(tuple(sorted(cols)), []).append(f.path)
     src_of = {f.path: f.source for f in pq}
     prefix = common_prefix(pq)
 
-    def read(ps: list[str]) -> DataFrame:
-        df = spark.read.option("mergeSchema", "true").parquet(*ps)
-        return df.withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root, prefix))
+    def read(paths: list[str]) -> DataFrame:
+        wanted = set(paths)
+        parts = [spark.read.parquet(*mine).withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root, prefix))
+                 for ps in groups.values() if (mine := [p for p in ps if p in wanted])]
+        return union_by_name(parts, spark)
 
     def rows_of(sources: list[str]) -> DataFrame:
         wanted = set(sources)
-        mine = [p for p in src_of if src_of[p] in wanted]
-        return read(mine) if mine else _empty_rows(spark)
+        return read([p for p, s in src_of.items() if s in wanted])
 
-    df = read(list(src_of))
-    cols = [c for c in df.columns if c != SOURCE]
-    out_infos = [FileInfo(f.source, f.path, f.size, schemas[f.path][0], f.format) for f in pq] + broken
-    return Dataset(df=df, files=files_frame(spark, out_infos), reader=rows_of, infos=out_infos)
+    return Dataset(df=read(list(src_of)), files=files_frame(spark, out_infos), reader=rows_of, infos=out_infos)
 
 
 def read_drop(spark: SparkSession, root: str, glob: str | None = None, sep: str = ";",
-              recursive: bool = True) -> Dataset:
+              recursive: bool = True, multiline: bool = True) -> Dataset:
     """All CSV and Parquet files under ``root`` as one Dataset.
 
     Files of other formats are kept in the file table (with no columns), so
     they get a verdict too.
     """
     infos = list_file_infos(spark, root, glob, recursive)
-    parts = [read_csv_files(spark, root, infos, sep), read_parquet_files(spark, root, infos)]
-    df = parts[0].df.unionByName(parts[1].df, allowMissingColumns=True)
+    parts = [read_csv_files(spark, root, infos, sep, multiline=multiline), read_parquet_files(spark, root, infos)]
+    df = union_by_name([p.df for p in parts], spark)
     other = [FileInfo(f.source, f.path, f.size, [], f.format) for f in infos if f.format is None]
     all_infos = sorted(parts[0].infos + parts[1].infos + other, key=lambda f: f.source)
 
@@ -372,7 +409,7 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     depend on where a bad value sits in a file.
     """
     cols = columns or [f.name for f in df.schema.fields
-                       if isinstance(f.dataType, T.StringType) and not f.name.startswith("_")]
+                       if isinstance(f.dataType, T.StringType) and not f.name.startswith(HIDDEN) and f.name != SOURCE]
     if not cols:
         return {}
     aggs = []

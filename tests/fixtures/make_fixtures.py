@@ -1,96 +1,68 @@
-"""Writes the small, seeded CSV fixtures of FIXTURES.md (run once; output committed).
+"""Writes the small, seeded CSV drop of the pipeline tests (run once; output committed).
 
-Sales / inventory drops with the fault cases of the original generator, at
-a few dozen rows each; type faults sit both early and late in their files.
+Shipments and stock files of two regions; each faulty file has one fault.
 """
 
+import csv
 import os
 import random
 
 HERE = os.path.dirname(os.path.abspath(__file__))
-SEP = ";"
+SHIPMENT = ["part_no", "depot", "day", "boxes", "box_weight"]
+STOCK = ["part_no", "depot", "day", "shelf", "on_hand", "minimum"]
 
-SALES_COLS = ["product_id", "price", "store_id", "sellout_price", "date", "quantity"]
-INV_COLS = ["product_id", "store_id", "date", "opening_stock", "quantity_in", "quantity_out",
-            "closing_stock", "reorder_point", "reorder_quantity", "unit_cost"]
 
-
-def write(path, cols, rows):
+def write(path, header, rows):
     full = os.path.join(HERE, path)
     os.makedirs(os.path.dirname(full), exist_ok=True)
     with open(full, "w", encoding="utf-8", newline="") as fh:
-        if cols is not None:
-            fh.write(SEP.join(cols) + "\n")
-        for r in rows:
-            fh.write(SEP.join("" if v is None else str(v) for v in r) + "\n")
-
-
-def mapping(rng, n=20):
-    # Categories and brands of the mapping schema (FIXTURES.md).
-    cats = ["Electronics", "Clothing", "Food", "Books", "Toys", "Home", "Sports"]
-    brands = ["Alpha", "Beta", "Gamma", "Delta", "Epsilon", "Zeta", "Eta"]
-    rows = []
-    for i in range(1, n + 1):
-        name = f"  {rng.choice(['Smart', 'Eco', 'Pro'])} {rng.choice(['Lamp', 'Chair', 'Phone'])} "
-        rows.append([f"PROD_{i:04d}", name, f"v{rng.randint(1, 5)}.{rng.randint(0, 9)}",
-                     rng.choice(cats), rng.choice(brands).lower(), f"SKU{i:04d}"])
-    write("static/product_mapping.csv", ["product_id", "product_name", "product_version", "category", "brand", "sku"], rows)
+        if header:
+            out = csv.writer(fh, delimiter=";", lineterminator="\n")
+            out.writerow(header)
+            out.writerows(rows)
 
 
-def sales_rows(rng, n, n_products=20, n_stores=3):
-    rows = []
-    for k in range(n):
-        price = round(rng.uniform(10, 500), 2)
-        rows.append([f"PROD_{rng.randint(1, n_products):04d}", price, rng.randint(1, n_stores),
-                     round(price * rng.uniform(1.05, 1.15), 2), f"2025-01-{1 + k % 28:02d}", rng.randint(1, 100)])
-    return rows
+def shipments(rng, n):
+    return [[f"K-{rng.randrange(15):03d}", rng.choice((3, 5, 8)), f"2030-{1 + k % 12:02d}-{1 + k % 27:02d}",
+             rng.randrange(1, 60), round(rng.uniform(0.2, 30), 2)] for k in range(n)]
 
 
-def inventory_rows(rng, n, n_products=20):
-    rows = []
-    for k in range(n):
-        opening = rng.randint(50, 300)
-        qin = 0 if rng.random() < 0.6 else rng.randint(20, 150)
-        qout = rng.randint(0, min(opening + qin, 100))
-        rows.append([f"PROD_{1 + k % n_products:04d}", 1 + k // n_products, f"2025-01-{1 + k % 28:02d}", opening, qin,
-                     qout, max(0, opening + qin - qout), rng.randint(20, 80), rng.randint(50, 200),
-                     round(rng.uniform(5, 250), 2)])
-    return rows
+def stock(rng, n):
+    return [[f"K-{k % 15:03d}", 3 + k % 2, f"2030-04-{1 + k % 27:02d}", f"S{k % 2}", rng.randrange(400), 25] for k in range(n)]
 
 
 def main():
-    rng = random.Random(42)
-    mapping(rng)
-    write("input/US_sales_data_case1_all_correct.csv", SALES_COLS, sales_rows(rng, 30))
-    write("input/FR_sales_data_case2_all_correct.csv", SALES_COLS, sales_rows(rng, 40))
-    r = sales_rows(rng, 30)
-    r[0][1] = "test"
-    r[-1][1] = "test"
-    write("input/FR_sales_data_case3_price_is_string.csv", SALES_COLS, r)
-    r = sales_rows(rng, 30)
-    r[1][5] = "test"
-    r[-2][5] = "test"
-    write("input/US_sales_data_case4_quantity_is_string.csv", SALES_COLS, r)
-    write("input/sales_data_case5_no_nation.csv", SALES_COLS, sales_rows(rng, 20))
-    r = sales_rows(rng, 20)
-    write("input/US_sales_data_case6_with_duplicates.csv", SALES_COLS, r + r[:3])
-    r = sales_rows(rng, 20)
-    r[2][1] = None
-    r[5][5] = None
-    write("input/FR_sales_data_case7_with_missing_values.csv", SALES_COLS, r)
-    r = [row[1:] for row in sales_rows(rng, 20)]
-    write("input/FR_sales_data_case8_missing_product_id.csv", SALES_COLS[1:], r)
-    r = sales_rows(rng, 20)
-    r[3][1] = 10000
-    r[4][5] = 10000
-    write("input/FR_sales_data_case9_out_of_scale.csv", SALES_COLS, r)
-    write("input/sales_data_case10_empty_file.csv", None, [])
-    write("input/FR_inventory_data_case1_all_correct.csv", INV_COLS, inventory_rows(rng, 40))
-    # same columns, permuted header order
-    inv = inventory_rows(rng, 40)
-    order = INV_COLS[::-1]
-    write("input/US/US_inventory_data_case2_all_correct.csv", order,
-          [[row[INV_COLS.index(c)] for c in order] for row in inv])
+    rng = random.Random(77)
+    labels = ("hinge", "bolt, long", 'plate 3"', "two\nlines", "spring; steel")
+    write("static/parts.csv", ["part_no", "label", "maker"],
+          [[f"K-{k:03d}", f" {labels[k % 5]}\t", ("Ost", "West")[k % 2]] for k in range(15)])
+    write("input/north_shipments_good.csv", SHIPMENT, shipments(rng, 35))
+    remarks = ["", 'said "urgent"', "line one\nline two", "a;b"]
+    write("input/a/south_shipments_good.csv", SHIPMENT + ["remark"], [[*r, remarks[k % 4]] for k, r in enumerate(shipments(rng, 24))])
+    write("input/b/south_shipments_good.csv", SHIPMENT[::-1], [r[::-1] for r in shipments(rng, 18)])  # same name, other order
+    twice = shipments(rng, 12)
+    write("input/north_shipments_twice.csv", SHIPMENT, twice + twice[:4])
+    bad = shipments(rng, 20)
+    bad[0][4] = bad[-1][4] = "heavy"
+    write("input/north_shipments_text_weight.csv", SHIPMENT, bad)
+    write("input/south_shipments_no_part.csv", SHIPMENT[1:], [r[1:] for r in shipments(rng, 10)])
+    write("input/south_shipments_empty.csv", None, [])
+    write("input/south_shipments_same_column.csv", ["part_no", "depot", "day", "boxes", "Boxes"], shipments(rng, 5))
+    lost = shipments(rng, 10)
+    lost[4][0] = "K-999"
+    write("input/north_shipments_unknown_part.csv", SHIPMENT, lost)
+    gaps = shipments(rng, 14)
+    gaps[3][2] = "-"
+    write("input/north_shipments_gap.csv", SHIPMENT, gaps)
+    many = shipments(rng, 16)
+    many[7][3] = 9000
+    write("input/south_shipments_many_boxes.csv", SHIPMENT, many)
+    write("input/shipments_no_region.csv", SHIPMENT, shipments(rng, 9))
+    write("input/north_stock_good.csv", STOCK, stock(rng, 30))
+    moved = stock(rng, 10)
+    moved[2][1] = 4
+    write("input/south_stock_moved_shelf.csv", STOCK, moved)
+    write("input/south_stock_good.csv", STOCK, stock(rng, 12))
 
 
 if __name__ == "__main__":

@@ -14,14 +14,13 @@ def test_cli_runs_shipped_steps(tmp_root):
     shutil.copytree(os.path.join(FIXTURES, "input"), inp)
     cat = os.path.join(tmp_root, "catalog.yaml")
     with open(cat, "w", encoding="utf-8") as fh:
-        fh.write(f"static.mappings.product_mapping: {{path: {FIXTURES}/static/product_mapping.csv, "
-                 f"format: csv, required: true}}\n"
-                 f"static.mappings.inventory_snapshot: {{path: {tmp_root}/snapshot, versioned: true}}\n")
+        fh.write(f"static.parts: {{path: {FIXTURES}/static/parts.csv, format: csv, required: true, "
+                 f"options: {{escape: '\"', multiLine: 'true'}}}}\n"
+                 f"static.seen_parts: {{path: {tmp_root}/seen, versioned: true}}\n")
     out = subprocess.run([sys.executable, "-m", "dropgate", "--input", inp, "--root", f"{tmp_root}/out",
                           "--catalog", cat, "--run-id", "cli", "--master", "local[2]"],
                          cwd=ROOT, capture_output=True, text=True, timeout=900)
     lines = [json.loads(x) for x in out.stdout.splitlines() if x.startswith("{")]
     assert out.returncode == 0, out.stderr[-2000:]
-    assert [x["step"] for x in lines] == ["0_validator", "1_dispatcher", "2_transform", "3_validation",
-                                          "4_cross_validation", "5_dispatcher"]
-    assert lines[-1]["passed"] == 5
+    assert [x["step"] for x in lines] == ["check_input", "sort", "complete", "check_limits", "deliver"]
+    assert lines[-1]["passed"] == 6

@@ -1,4 +1,4 @@
-"""End-to-end run over the seeded fixture drop (FIXTURES.md case table)."""
+"""End-to-end run of the example registries over the seeded fixture drop."""
 
 import os
 
@@ -6,20 +6,28 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import FIXTURES
+from dropgate.operators.joins import HIDDEN
 from dropgate.plans.stages import Preboarding, restore
 from dropgate.registries import default_steps
-from dropgate.sources.catalog import Catalog, TableSpec, list_runs
+from dropgate.sources.catalog import Catalog, TableSpec, list_runs, read_run, resolve_run
+
+RUN = "20300101_000000"
+GOOD = {"NORTH/shipments/north_shipments_good.csv": 35, "NORTH/shipments/north_shipments_twice.csv": 16,
+        "NORTH/stock/north_stock_good.csv": 30, "SOUTH/stock/south_stock_good.csv": 12,
+        "SOUTH/shipments/a/south_shipments_good.csv": 24, "SOUTH/shipments/b/south_shipments_good.csv": 18}
+
+
+def catalog(spark, root):
+    csv = {"escape": '"', "multiLine": "true"}
+    return Catalog(spark, {"static.parts": TableSpec(path=f"{FIXTURES}/static/parts.csv", format="csv", required=True, options=csv),
+                           "static.seen_parts": TableSpec(path=f"{root}/seen", versioned=True)})
 
 
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("pipe"))
-    cat = Catalog(spark, {
-        "static.mappings.product_mapping": TableSpec(path=f"{FIXTURES}/static/product_mapping.csv",
-                                                     format="csv", required=True),
-        "static.mappings.inventory_snapshot": TableSpec(path=f"{root}/static/inventory_snapshot", versioned=True),
-    })
-    pb = Preboarding(spark, root, catalog=cat, run_id="20250101_000000")
+    cat = catalog(spark, root)
+    pb = Preboarding(spark, root, catalog=cat, run_id=RUN)
     outs = pb.run(f"{FIXTURES}/input", default_steps(), backup_root=f"{root}/backup")
     return pb, outs, cat, root
 
@@ -29,83 +37,114 @@ def _failed(pb):
     return {(r["step"], os.path.basename(r["source_file"]), r["check"]) for r in f.collect()}
 
 
+def delivered(spark, pb):
+    out = spark.read.option("mergeSchema", "true").parquet(pb.staging("deliver") + "/*")
+    # the relative paths below a target keep files of one name apart
+    return {k.replace("SHIPMENTS/", ""): n for k, n in out.groupBy("_source_file").count().collect()}
+
+
 def test_step_summaries(run):
     pb, outs, _, _ = run
     s = {o.step: o.summary for o in outs}
-    assert s["0_validator"] == {"files": 12, "passed": 8, "failed": 4}
-    assert s["2_transform"] == {"files": 8, "passed": 7, "failed": 1}
-    assert s["4_cross_validation"] == {"files": 7, "passed": 5, "failed": 2}
-    for v in s.values():
-        assert v["passed"] + v["failed"] == v["files"]
+    assert s["check_input"] == {"files": 15, "passed": 9, "failed": 6}
+    assert s["complete"] == {"files": 9, "passed": 9, "failed": 0}
+    assert s["check_limits"] == {"files": 9, "passed": 7, "failed": 2}
+    assert s["deliver"] == {"files": 7, "passed": 6, "failed": 1}
 
 
 def test_case_table(run):
     pb, _, _, _ = run
     bad = _failed(pb)
-    assert ("0_validator", "FR_sales_data_case3_price_is_string.csv", "column_types") in bad
-    assert ("0_validator", "US_sales_data_case4_quantity_is_string.csv", "column_types") in bad
-    assert ("0_validator", "FR_sales_data_case8_missing_product_id.csv", "required_columns") in bad
-    assert ("0_validator", "sales_data_case10_empty_file.csv", "is_empty_dataframe") in bad
-    assert ("2_transform", "sales_data_case5_no_nation.csv", "pattern_match") in bad
-    assert ("4_cross_validation", "FR_sales_data_case7_with_missing_values.csv", "check_null_values") in bad
-    assert ("4_cross_validation", "FR_sales_data_case9_out_of_scale.csv", "value_range.max") in bad
-    assert not any(k in b[1] for b in bad for k in ("_case1_", "_case2_", "_case6_"))
+    assert {b for b in bad if not b[2].endswith((".id", ".violation"))} == {
+        ("check_input", "north_shipments_text_weight.csv", "column_types"),
+        ("check_input", "south_shipments_no_part.csv", "required_columns"),
+        ("check_input", "south_shipments_no_part.csv", "validate_product_ids"),
+        ("check_input", "south_shipments_empty.csv", "is_empty_dataframe"),
+        ("check_input", "south_shipments_empty.csv", "required_columns"),
+        ("check_input", "south_shipments_empty.csv", "validate_product_ids"),
+        ("check_input", "south_shipments_same_column.csv", "read_file"),
+        ("check_input", "south_shipments_same_column.csv", "is_empty_dataframe"),
+        ("check_input", "south_shipments_same_column.csv", "required_columns"),
+        ("check_input", "south_shipments_same_column.csv", "additional_columns"),
+        ("check_input", "north_shipments_unknown_part.csv", "validate_product_ids"),
+        ("check_input", "south_stock_moved_shelf.csv", "check_hierarchy"),
+        ("check_limits", "north_shipments_gap.csv", "check_null_values"),
+        ("check_limits", "south_shipments_many_boxes.csv", "value_range.max"),
+        ("deliver", "shipments_no_region.csv", "pattern_match"),
+    }
+    names = {(b[1], b[2]) for b in bad}
+    assert ("south_shipments_same_column.csv", "read_file") in names
+    assert ("north_shipments_unknown_part.csv", "validate_product_ids.id") in names
+    assert not any("good" in b[1] or "twice" in b[1] for b in bad)
+
+
+def test_one_verdict_per_check(run):
+    pb, _, _, _ = run
+    f = pb.findings().filter(~F.col("check").rlike("[.](id|violation)$"))
+    assert f.groupBy("step", "source_file", "check", "column").count().filter("count > 1").count() == 0
 
 
 def test_delivery(run, spark):
     pb, _, _, _ = run
-    d = spark.read.parquet(pb.staging("5_dispatcher") + "/*")
-    files = {r["_source_file"]: r["count"] for r in d.groupBy("_source_file").count().collect()}
-    assert files == {
-        "INVENTORY/FR/FR_inventory_data_case1_all_correct.csv": 40,
-        "INVENTORY/US/US_inventory_data_case2_all_correct.csv": 40,
-        "SALES/FR/FR_sales_data_case2_all_correct.csv": 40,
-        "SALES/US/US_sales_data_case1_all_correct.csv": 30,
-        "SALES/US/US_sales_data_case6_with_duplicates.csv": 23,
-    }
-    sales = spark.read.parquet(pb.staging("5_dispatcher") + "/group=SALES_FR")
-    row = sales.select("product_name", "brand", "total_sales", "sellout_price", "quantity").first()
-    assert row["product_name"] == row["product_name"].strip() and row["product_name"].isupper()
-    assert row["brand"].isupper()
-    assert row["total_sales"] == pytest.approx(row["sellout_price"] * row["quantity"])
-    assert dict(sales.dtypes)["quantity"] == "bigint"
-    # hidden report columns never reach delivery
-    assert not [c for c in sales.columns if c.startswith("__")]
+    assert delivered(spark, pb) == GOOD
+    sales = spark.read.parquet(pb.staging("deliver") + "/group=NORTH_shipments")
+    assert not [c for c in sales.columns if c.startswith(HIDDEN)]
+    assert dict(sales.dtypes)["boxes"] == "bigint"
+    for r in sales.collect():
+        assert r.label == r.label.strip() and r.maker.isupper()
+        assert r.total_weight == pytest.approx(r.boxes * r.box_weight)
+    remarks = {r.remark for r in spark.read.option("mergeSchema", "true").parquet(pb.staging("deliver") + "/*").select("remark").collect()}
+    assert {'said "urgent"', "line one\nline two", "a;b"} <= remarks
 
 
 def test_snapshot_and_backup(run, spark):
     pb, _, cat, root = run
-    v = {r["version"]: r["n_rows"] for r in cat.versions("static.mappings.inventory_snapshot").collect()}
-    assert v == {"20250101_000000": 20}
-    assert [r["run_id"] for r in list_runs(spark, f"{root}/backup").collect()] == ["20250101_000000"]
-    assert restore(spark, f"{root}/backup", "20250101_000000").count() > 0
+    assert {r["version"]: r["n_rows"] for r in cat.versions("static.seen_parts").collect()} == {RUN: 15}
+    note = pb.findings().filter(F.col("check") == "save_inventory_snapshot").select("message").distinct().collect()
+    assert "static.seen_parts: 15 id(s) added, 15 known in all" in {r.message for r in note}
+    assert [r["run_id"] for r in list_runs(spark, f"{root}/backup").collect()] == [RUN]
+    assert resolve_run(spark, f"{root}/backup", -1) == RUN
+    assert read_run(spark, f"{root}/backup", "-1").count() == restore(spark, f"{root}/backup", RUN).count() > 0
     with pytest.raises(FileNotFoundError):
         restore(spark, f"{root}/backup", "nope")
 
 
 def test_transform_report(run):
     pb, _, _, _ = run
-    f = pb.findings().filter((F.col("step") == "2_transform") & (F.col("check") == "enrich_with_mapping"))
-    rows = f.collect()
+    rows = pb.findings().filter((F.col("step") == "complete") & (F.col("check") == "part_data")).collect()
     assert rows and all(r["passed"] and r["n_bad"] == 0 for r in rows)
 
 
 def test_rows_delivered_or_rejected(run, spark):
     """Every input row is either delivered or belongs to a file that failed a step."""
     pb, _, _, root = run
-    raw = restore(spark, f"{root}/backup", "20250101_000000")
+    raw = restore(spark, f"{root}/backup", RUN)
     per_file = {r["_source_file"]: r["count"] for r in raw.groupBy("_source_file").count().collect()}
-    delivered = spark.read.parquet(pb.staging("5_dispatcher") + "/*").count()
     bad = {r["source_file"].rsplit("/", 1)[-1] for r in pb.findings().filter(~F.col("passed")).collect()}
     rejected = sum(n for s, n in per_file.items() if s.rsplit("/", 1)[-1] in bad)
-    assert delivered + rejected == sum(per_file.values())
+    assert sum(GOOD.values()) + rejected == sum(per_file.values())
+
+
+def test_reports(run, spark):
+    pb, _, _, _ = run
+    lines = spark.read.text(pb.reports_path)
+    assert lines.count() == pb.findings().filter(~F.col("passed")).count()
+    assert pb.clear_reports()
 
 
 def test_rerun_is_idempotent(run, spark):
     """Re-running the same run id replaces its outputs; the snapshot version is not doubled."""
     pb, _, cat, root = run
-    again = Preboarding(spark, root, catalog=cat, run_id="20250101_000000")
+    again = Preboarding(spark, root, catalog=cat, run_id=RUN)
     again.run(f"{FIXTURES}/input", default_steps(), backup_root=f"{root}/backup")
-    v = {r["version"]: r["n_rows"] for r in cat.versions("static.mappings.inventory_snapshot").collect()}
-    assert v == {"20250101_000000": 20}
-    assert spark.read.parquet(again.staging("5_dispatcher") + "/*").count() == 173
+    assert {r["version"]: r["n_rows"] for r in cat.versions("static.seen_parts").collect()} == {RUN: 15}
+    assert delivered(spark, again) == GOOD
+
+
+def test_restore_from_backup(run, spark):
+    """A run over the backup gives what the first run gave, files without rows included."""
+    pb, outs, cat, root = run
+    other = Preboarding(spark, f"{root}/other", catalog=catalog(spark, f"{root}/other"), run_id="again")
+    got = other.run(None, default_steps(), backup_root=f"{root}/backup", restore_from=-1)
+    assert [o.summary for o in got] == [o.summary for o in outs]
+    assert delivered(spark, other) == GOOD
