@@ -48,7 +48,7 @@ m AS (
   FROM d LEFT JOIN repeats USING (doc_id)),
 f AS (
   SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
-    + CASE WHEN 100 * n_symbols > 15 * word_chars THEN 4 ELSE 0 END
+    + CASE WHEN 100 * n_symbols > 30 * n_words THEN 4 ELSE 0 END
     + CASE WHEN n_dup_lines >= 5 AND 100 * n_dup_lines > 40 * n_lines THEN 8 ELSE 0 END
     + CASE WHEN 100 * n_shouted > 50 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 30 * n_words THEN 32 ELSE 0 END AS failed_rules
   FROM m)

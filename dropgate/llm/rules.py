@@ -33,7 +33,7 @@ def _rules() -> dict[int, tuple[str, Column]]:
     return {
         0: ("too_few_words", c("n_words") < 20),
         1: ("repeated_ngrams", 100 * c("n_repeat_words") > 30 * c("n_words")),
-        2: ("many_symbols", 100 * c("n_symbols") > 15 * c("word_chars")),
+        2: ("many_symbols", 100 * c("n_symbols") > 30 * c("n_words")),
         3: ("duplicate_lines", (c("n_dup_lines") >= 5) & (100 * c("n_dup_lines") > 40 * c("n_lines_with_words"))),
         4: ("shouting", 100 * c("n_shouted") > 50 * c("n_words")),
         5: ("overlong_words", c("word_chars") > 30 * c("n_words")),
