@@ -360,18 +360,13 @@ def keep_one(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -
     """``docs`` without the documents of a group but its smallest id (of repeated rows, one)."""
     found = groups(docs, shingle, num, den)
     kept = F.col("k").eqNullSafe(F.col("component_id"))
-    k, tag = free_names(docs, "_k", "_tag")
+    k, tag, row = free_names(docs, "_k", "_tag", "_row")
     special = written(found.filter(~kept | (F.col("copies") > 1)).select(
-        F.col("k").alias(k), F.col("tag").alias(tag), kept.alias("stays")).distinct(), "near-decisions")
-    side = F.broadcast(special) if special.count() <= BROADCAST_ROWS else special
-    rows = docs.withColumn(k, F.col("doc_id").cast("long")).withColumn(tag, F.xxhash64("text"))
-    mine = [rows[c] for c in rows.columns]
-    joined = rows.join(side.select(F.col(k).alias("sk"), F.col(tag).alias("st"), "stays"),
-                       rows[k].eqNullSafe(F.col("sk")) & (rows[tag] == F.col("st")), "left").select(*mine, F.col("stays").alias(f"{k}_stays"))
-    stays = F.col(f"{k}_stays")
-    single = joined.filter(stays.isNull())
-    first = joined.filter(stays).dropDuplicates([k, tag])
-    return single.unionByName(first).select(*docs.columns)
+        F.col("k").alias("sk"), F.col("tag").alias("st"), kept.alias("stays")).distinct(), "near-decisions")
+    rows = docs.select(F.col("doc_id").cast("long").alias(k), F.xxhash64("text").alias(tag), F.struct(*[F.col(c) for c in docs.columns]).alias(row))
+    joined = rows.join(_narrow(special), rows[k].eqNullSafe(F.col("sk")) & (rows[tag] == F.col("st")), "left").select(k, tag, row, "stays")
+    out = joined.filter(F.col("stays").isNull()).unionByName(joined.filter("stays").dropDuplicates([k, tag]))
+    return out.select(*[F.col(row)[c].alias(c) for c in docs.columns])
 
 
 def op3(docs: DataFrame) -> DataFrame:

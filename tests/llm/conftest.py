@@ -30,9 +30,10 @@ def odd_rows():
 @pytest.fixture(scope="session")
 def odd_docs(spark, odd_rows):
     """The odd rows with further columns, some named as the operators' own."""
-    out = [(i, t, s, None if t is None else len(t), "en", 7, 1, "z", 3.0, True) for i, t, s in odd_rows]
+    out = [(i, t, s, None if t is None else len(t), "en", 7, 1, "z", 3.0, True, False, 5, "t") for i, t, s in odd_rows]
     return spark.createDataFrame(out, "doc_id long, text string, source string, n_chars long, lang string, size int, rank int, "
-                                      "row string, n_words double, kept boolean").repartition(3)
+                                      "row string, n_words double, kept boolean, "
+                                      "stays boolean, k int, tag string").repartition(3)
 
 
 @pytest.fixture(scope="session")
