@@ -98,7 +98,8 @@ def pieces(docs: DataFrame, path: str, window: int, end_id: int, groups: int, id
 
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     cutted = rows.mapInArrow(cut, f"key {kind}, start long, length long, crc long, total long, ids binary")
-    return cutted.withColumn("group", F.pmod(F.xxhash64("key", "start", "crc"), F.lit(groups)))
+    dealt = cutted.withColumn("hash", F.xxhash64("key", "start", "crc"))
+    return dealt.withColumn("group", F.pmod("hash", F.lit(groups)))
 
 
 def groups_for(docs: DataFrame, text: str = "text") -> int:
@@ -114,12 +115,11 @@ def pack(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0, ids: b
     cutted = pieces(docs, path, window, end_id, groups_for(docs, text), ids, text, key)
 
     def place(group: tuple, t: pa.Table) -> pa.Table:
-        order = np.lexsort((t["start"].to_numpy(), t["crc"].to_numpy(),
-                            np.array([hash(x) if x is not None else -1 for x in t["key"].to_pylist()]), -t["length"].to_numpy()))
+        order = np.lexsort((t["hash"].to_numpy(), -t["length"].to_numpy()))  # the same order in every run
         t = t.take(pa.array(order))
         where, offset = best_fit_decreasing(t["length"].to_numpy(), window)
         base = group[0].as_py() << 32
-        return (t.drop_columns(["group"]).append_column("sequence_id", pa.array(where + base))
+        return (t.drop_columns(["hash", "group"]).append_column("sequence_id", pa.array(where + base))
                 .append_column("offset", pa.array(offset)))
 
     return cutted.groupBy("group").applyInArrow(
