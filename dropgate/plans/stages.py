@@ -386,7 +386,9 @@ class Preboarding:
         """
         patterns = list(mapping)
         match = self._match(ds.infos, patterns)
-        findings, passed = self._record([self._routing(ds, patterns)], step)
+        # the verdicts follow from the file table; only the findings are written
+        good = {f.source for f in ds.infos if match[f.source] >= 0 and not f.error}
+        findings, passed = self._record([self._routing(ds, patterns)], step, passed=good)
         if not materialize:
             self._views[step] = self._routed_view(ds, mapping, match, passed)
             return self._finish(step, findings, ds, passed)
@@ -561,10 +563,11 @@ class Preboarding:
         return self._finish(step, findings, ds, passed)
 
     # ------------------------------------------------------------ bookkeeping
-    def _record(self, frames: list[DataFrame], step: str) -> tuple[DataFrame, set[str]]:
+    def _record(self, frames: list[DataFrame], step: str, passed: set[str] | None = None) -> tuple[DataFrame, set[str]]:
         """Write the step's findings; return them and the set of passing files.
 
-        The verdicts (one row per file) are the only thing collected.
+        The verdicts (one row per file) are the only thing collected, unless
+        the caller knows them.
         """
         cols = [SOURCE, "check", "column", "severity", "passed", "n_bad", "message", "samples"]
         findings = conform(union_all([f.select(*cols) for f in frames]), self.run_id, step, key=SOURCE)
@@ -573,6 +576,8 @@ class Preboarding:
         stored = (self.spark.read.parquet(path)
                   .select(F.lit(self.run_id).alias("run_id"), F.lit(step).alias("step"), "*")
                   .select(*[f.name for f in FINDINGS_SCHEMA.fields]))
+        if passed is not None:
+            return stored, passed
         verdict = (stored.groupBy("source_file")
                    .agg(F.bool_and(F.coalesce(F.col("passed"), F.lit(False))).alias("ok")).collect())
         return stored, {r["source_file"] for r in verdict if r["ok"]}

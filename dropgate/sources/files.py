@@ -228,6 +228,7 @@ def header_names(record: str | None, sep: str) -> list[str] | None:
 
     if record is None:
         return None
+    csv.field_size_limit(max(csv.field_size_limit(), len(record) + 1))  # a name may be as long as its record
     return next(csv.reader(io.StringIO(record.lstrip("\ufeff"), newline=""), delimiter=sep, quotechar='"', doublequote=True), [""])
 
 
@@ -243,8 +244,8 @@ def read_headers(spark: SparkSession, paths: list[str], sep: str = ";", multilin
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-        records = list(pool.map(lambda p: _safe_call(_first_record, spark, p, multiline), paths))
-    return {p: (header_names(record, sep), err) for p, (record, err) in zip(paths, records)}
+        heads = list(pool.map(lambda p: _safe_call(lambda: header_names(_first_record(spark, p, multiline), sep)), paths))
+    return dict(zip(paths, heads))
 
 
 # The 4-byte marker at both ends of every Parquet file.
