@@ -279,7 +279,7 @@ def _links(members: DataFrame, shingle: int, num: int, den: int, tile_shingles:
     members = members.withColumn("tile", F.pmod(F.xxhash64("nid"), "tiles"))
 
     def confirmed(rows: DataFrame, *keys: str) -> DataFrame:
-        return written(rows.select(*keys, "label", "pivot", "text").repartition(*keys).sortWithinPartitions(*keys)
+        return written(rows.select(*keys, "label", "pivot", "text").repartition(*keys).sortWithinPartitions(*keys, "label")
                        .mapInArrow(_confirm_tiles(shingle, num, den, len(keys)), "a long, b long"), "near-links")
 
     alone = members.withColumn("label", F.col("nid")).withColumn("pivot", F.lit(False))
@@ -335,7 +335,7 @@ def groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100, key
     shared = written(bands.join(shared, "band"), "near-bands")
     large = shared.filter(F.col("members") > bucket).select(F.col("nid").alias("a"), F.col("first").alias("b"))
     compared = shared.filter(F.col("members") <= bucket).select("band", "nid").join(sets.select("nid", "n", "regs"), "nid")
-    near = (compared.select("band", "nid", "n", "regs").repartition("band").sortWithinPartitions("band")
+    near = (compared.select("band", "nid", "n", "regs").repartition("band").sortWithinPartitions("band", "nid")
             .mapInArrow(_similar_in_band(num / den), "a long, b long"))
     clusters = components(large.union(near))
 
