@@ -14,8 +14,8 @@ duplicates.
 Exact copies are settled first, by the SHA-256 of their words; only the
 smallest id of a copy group is indexed. A window that many documents share is
 settled inside each batch first: all but the batch's smallest document have
-their reference there, so one row per window and batch goes on, and no window,
-however frequent, makes a large group.
+their reference there, so one row per window and batch is matched among
+batches, and no window, however frequent, makes a large group.
 
 Defined results: ids are integers; a null id counts as larger than all, and
 rows with equal ids are never each other's reference. A null or empty text
@@ -39,7 +39,7 @@ from dropgate.llm.common import free_names, written
 
 WINDOW = 50
 PHRASE = 25
-FLUSH = 1_000_000           # windows that a task settles at a time
+FLUSH = 500_000             # windows that a task settles at a time
 BROADCAST_BYTES = 48 << 20  # side tables up to this size are broadcast, others shuffled
 LAST = (1 << 63) - 1        # stands for a null id
 
@@ -91,24 +91,31 @@ def _signatures(docs: DataFrame, window: int, phrase: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Looked-up windows of documents with indexed ``phrases``.
+    """Looked-up windows of documents with indexed ``phrases``: a row per window and
+    document of a batch, with the places (``starts``) where the document has it.
 
     Rows without ``ref`` are to be settled among batches; with it, the batch
-    itself holds the window in the smaller document ``ref``.
+    itself holds the window in the smaller document ``ref``. Those get a hash of
+    their own, so they meet no other row.
     """
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
         h1, h2, k, start = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((k, h2, h1))
+        order = np.lexsort((start, k, h2, h1))
         h1, h2, k, start = h1[order], h2[order], k[order], start[order]
-        first = np.ones(len(k), bool)
-        first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        least = k[np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))]
+        other = np.ones(len(k), bool)
+        other[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        new = other.copy()
+        new[1:] |= k[1:] != k[:-1]
+        row = np.flatnonzero(new)
+        least = k[np.maximum.accumulate(np.where(other, np.arange(len(k)), 0))][row]
+        h1, h2, k = h1[row], h2[row], k[row]
         known = least < k
-        # of the smallest document's rows, each goes on with its own place
+        h1[known] = W.mix(h1[known] ^ W.mix(k[known].view(W.U64)))
+        starts = pa.ListArray.from_arrays(pa.array(np.append(row, len(start)).astype(np.int32)), pa.array(start.astype(np.int32)))
         return pa.RecordBatch.from_arrays(
-            [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(k), pa.array(start.astype(np.int32)),
-             pa.array(least, pa.int64(), mask=~known)], names=["h1", "h2", "k", "start", "ref"])
+            [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(k), starts, pa.array(least, pa.int64(), mask=~known)],
+            names=["h1", "h2", "k", "starts", "ref"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -133,7 +140,7 @@ def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
         if held:
             yield settle(held)
 
-    return docs.mapInArrow(run, "h1 long, h2 long, k long, start int, ref long")
+    return docs.mapInArrow(run, "h1 long, h2 long, k long, starts array<int>, ref long")
 
 
 def _factors(rows: DataFrame, window: int) -> DataFrame:
@@ -185,11 +192,14 @@ def factored(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, key: s
     hits = indexed.join(shared, "phrase").groupBy("k").agg(F.collect_set("phrase").alias("phrases"))
     hits = written(hits, "rlz-hits")
     n_bytes = hits.agg(F.sum(48 + 8 * F.size("phrases"))).first()[0] or 0
-    to_look = rows.join(F.broadcast(hits) if n_bytes <= BROADCAST_BYTES else hits, "k").select("k", "text", "phrases")
+    if n_bytes <= BROADCAST_BYTES:
+        to_look = rows.join(F.broadcast(hits), "k").select("k", "text", "phrases")
+    else:  # sorted, so that a task that runs again settles the same batches
+        to_look = rows.join(hits, "k").select("k", "text", "phrases").sortWithinPartitions("k", F.xxhash64("text"))
     looked = _windows(to_look, window, phrase)
     least = F.min("k").over(Window.partitionBy("h1", "h2"))
     settled = (looked.withColumn("least", least).withColumn("ref", F.coalesce(F.when(F.col("least") < F.col("k"), F.col("least")), F.col("ref")))
-               .filter(F.col("ref").isNotNull()).select("k", "start", "ref"))
+               .filter(F.col("ref").isNotNull()).select("k", F.explode("starts").alias("start"), "ref"))
     factors = written(_factors(settled, window), "rlz-factors")
     return marked.select("k", "n_words", "sha", "copy_of").join(factors, "k", "left")
 
