@@ -186,8 +186,9 @@ def fit(x: np.ndarray, size: np.ndarray, owner: np.ndarray, y: np.ndarray, round
     theta, step, n = np.zeros(wide.shape[1]), np.zeros((2, 2)), len(some)
 
     def gradient():
-        marginal, _, pairs = forward_backward(wide @ theta, start, length, step)
-        return [wide.T @ (marginal - label) / n + ridge * theta, (pairs - seen) / n + 0.05 * step]
+        # single precision throughout: a mixed product would copy the features
+        marginal, _, pairs = forward_backward((wide @ theta.astype(np.float32)).astype(float), start, length, step)
+        return [(wide.T @ (marginal - label).astype(np.float32)) / n + ridge * theta, (pairs - seen) / n + 0.05 * step]
 
     _adam([theta, step], gradient, rounds, 0.1)
     field = Field(theta.astype(np.float32), step)
