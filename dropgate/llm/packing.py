@@ -108,52 +108,67 @@ def groups_for(docs: DataFrame, text: str = "text") -> int:
     return max(1, -(-int(total) // (2 * GROUP_IDS)))
 
 
-def pack(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0, ids: bool = True, text: str = "text",
-         key: str = "doc_id") -> DataFrame:
-    """Pieces with their place: key, start, length, crc, total, sequence_id, offset (and their ids)."""
+def _placed(t: pa.Table, window: int) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """A group's pieces by falling length, with window number and offset of each."""
+    order = np.lexsort((t["hash"].to_numpy(), -t["length"].to_numpy()))  # the same order in every run
+    t = t.take(pa.array(order))
+    return t, *best_fit_decreasing(t["length"].to_numpy(), window)
+
+
+def pack(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Pieces with their place: key, start, length, crc, total, sequence_id, offset."""
     kind = docs.schema[key].dataType.simpleString()
-    cutted = pieces(docs, path, window, end_id, groups_for(docs, text), ids, text, key)
+    cutted = pieces(docs, path, window, end_id, groups_for(docs, text), False, text, key)
 
     def place(group: tuple, t: pa.Table) -> pa.Table:
-        order = np.lexsort((t["hash"].to_numpy(), -t["length"].to_numpy()))  # the same order in every run
-        t = t.take(pa.array(order))
-        where, offset = best_fit_decreasing(t["length"].to_numpy(), window)
+        t, where, offset = _placed(t, window)
         base = group[0].as_py() << 32
-        return (t.drop_columns(["hash", "group"]).append_column("sequence_id", pa.array(where + base))
+        return (t.drop_columns(["ids", "hash", "group"]).append_column("sequence_id", pa.array(where + base))
                 .append_column("offset", pa.array(offset)))
 
     return cutted.groupBy("group").applyInArrow(
-        place, f"key {kind}, start long, length long, crc long, total long, ids binary, sequence_id long, offset long")
+        place, f"key {kind}, start long, length long, crc long, total long, sequence_id long, offset long")
 
 
-def sequences(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0, pad_id: int = 0) -> DataFrame:
+def sequences(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0, pad_id: int = 0, text: str = "text",
+              key: str = "doc_id") -> DataFrame:
     """One row per packed window: its ids (padded to ``window`` unless their number is a
-    power of two), how many are real, and which documents lie where."""
-    placed = pack(docs, path, window, end_id)
+    power of two), how many are real, and which documents lie where.
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for row in b.column(1).to_pylist():
-                ids = np.frombuffer(b"".join(row), "<u4").astype(np.int32)
-                full = len(ids) if len(ids) & (len(ids) - 1) == 0 else window
-                out.append(np.pad(ids, (0, full - len(ids)), constant_values=pad_id))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32())), b.column(2), b.column(3)],
-                                             names=["sequence_id", "tokens", "n_tokens", "pieces"])
-
-    # a window's pieces number at most `window`
-    rows = placed.groupBy("sequence_id").agg(
-        F.sort_array(F.collect_list(F.struct("offset", "key", "start", "length", "ids"))).alias("p")).select(
-        "sequence_id", F.col("p.ids").alias("ids"),
-        F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("n_tokens"),
-        F.transform("p", lambda x: F.struct(x["key"].alias("doc_id"), x["start"].alias("start"), x["offset"].alias("offset"),
-                                            x["length"].alias("length"))).alias("pieces"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(join, "sequence_id long, tokens array<int>, n_tokens long, "
-                                 f"pieces array<struct<doc_id:{kind},start:bigint,offset:bigint,length:bigint>>")
+    A group's task places its pieces and puts their ids together, so the ids are
+    shuffled once.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    cutted = pieces(docs, path, window, end_id, groups_for(docs, text), True, text, key)
+
+    def join(group: tuple, t: pa.Table) -> pa.Table:
+        t, where, offset = _placed(t, window)
+        order = np.lexsort((offset, where))
+        t, where, offset = t.take(pa.array(order)), where[order], offset[order]
+        length = t["length"].to_numpy()
+        first = np.flatnonzero(np.diff(where, prepend=-1))
+        n_ids = np.add.reduceat(length, first) if len(first) else np.zeros(0, np.int64)
+        size = np.where(n_ids & (n_ids - 1) == 0, n_ids, window)
+        ids = np.frombuffer(b"".join(t["ids"].to_pylist()), "<u4").astype(np.int32)
+        full = np.full(size.sum(), pad_id, np.int32)
+        at = np.arange(len(ids)) + np.repeat(np.cumsum(size) - size - (np.cumsum(n_ids) - n_ids), n_ids)
+        full[at] = ids
+        cuts = np.append(0, np.cumsum(size)).astype(np.int32)
+        keys = t["key"].combine_chunks()
+        parts = pa.StructArray.from_arrays([keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys,
+                                            *[pa.array(x, pa.int64()) for x in (t["start"].to_numpy(), offset, length)]],
+                                           names=["doc_id", "start", "offset", "length"])
+        return pa.table({"sequence_id": pa.array(where[first] + (group[0].as_py() << 32)),
+                         "tokens": pa.ListArray.from_arrays(pa.array(cuts), pa.array(full)),
+                         "n_tokens": pa.array(n_ids, pa.int64()),
+                         "pieces": pa.ListArray.from_arrays(pa.array(np.append(first, len(t)).astype(np.int32)), parts)})
+
+    return cutted.groupBy("group").applyInArrow(
+        join, "sequence_id long, tokens array<int>, n_tokens long, "
+              f"pieces array<struct<doc_id:{kind},start:bigint,offset:bigint,length:bigint>>")
 
 
 def op8(docs: DataFrame, path: str) -> DataFrame:
-    return pack(docs, path, ids=False).select(
+    return pack(docs, path).select(
         F.col("key").alias("doc_id"), "start", "length", F.col("crc").alias("ids_crc32"),
         F.col("total").alias("doc_tokens"), "sequence_id", "offset")
