@@ -18,9 +18,11 @@ their reference there, so one row per window and batch is matched among
 batches, and no window, however frequent, makes a large group.
 
 Defined results: ids are integers; a null id counts as larger than all, and
-rows with equal ids are never each other's reference. A null or empty text
-has no words; texts under 50 words lose nothing. Repeated rows (equal id and
-text) are treated alike. Very long texts are hashed in one piece each.
+rows with equal ids are never each other's reference. Rows of one id (or of
+none) with different texts are documents of their own, told apart by a hash of
+the text (``tag``); ids alone say which document is earlier. A null or empty
+text has no words; texts under 50 words lose nothing. Repeated rows (equal id
+and text) are treated alike. Very long texts are hashed in one piece each.
 """
 
 from __future__ import annotations
@@ -66,7 +68,7 @@ def _samples(piece: W.Words, window: int, phrase: int) -> tuple[np.ndarray, np.n
 
 
 def _signatures(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """k, n_words, sha (of the words) and the sampled phrases of each text."""
+    """k, tag, n_words, sha (of the words) and the sampled phrases of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -83,16 +85,17 @@ def _signatures(docs: DataFrame, window: int, phrase: int) -> DataFrame:
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in phrases])]).astype(np.int32)
             flat = np.concatenate(phrases) if phrases else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(sha, pa.binary()),
+                [b.column(0), b.column(2), pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(sha, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64()))],
-                names=["k", "n_words", "sha", "phrases"])
+                names=["k", "tag", "n_words", "sha", "phrases"])
 
-    return docs.mapInArrow(run, "k long, n_words long, sha binary, phrases array<long>")
+    return docs.mapInArrow(run, "k long, tag long, n_words long, sha binary, phrases array<long>")
 
 
 def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """Looked-up windows of documents with indexed ``phrases``: a row per window and
-    document of a batch, with the places (``starts``) where the document has it.
+    id of a batch, with the places (``tags`` and ``starts``) where documents of that
+    id have it.
 
     Rows without ``ref`` are to be settled among batches; with it, the batch
     itself holds the window in the smaller document ``ref``. Those get a hash of
@@ -100,9 +103,9 @@ def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
-        h1, h2, k, start = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((start, k, h2, h1))
-        h1, h2, k, start = h1[order], h2[order], k[order], start[order]
+        h1, h2, k, tag, start = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((start, tag, k, h2, h1))
+        h1, h2, k, tag, start = h1[order], h2[order], k[order], tag[order], start[order]
         other = np.ones(len(k), bool)
         other[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         new = other.copy()
@@ -112,15 +115,16 @@ def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
         h1, h2, k = h1[row], h2[row], k[row]
         known = least < k
         h1[known] = W.mix(h1[known] ^ W.mix(k[known].view(W.U64)))
-        starts = pa.ListArray.from_arrays(pa.array(np.append(row, len(start)).astype(np.int32)), pa.array(start.astype(np.int32)))
+        cuts = pa.array(np.append(row, len(start)).astype(np.int32))
+        tags, starts = (pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (tag, start.astype(np.int32)))
         return pa.RecordBatch.from_arrays(
-            [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(k), starts, pa.array(least, pa.int64(), mask=~known)],
-            names=["h1", "h2", "k", "starts", "ref"])
+            [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(k), tags, starts, pa.array(least, pa.int64(), mask=~known)],
+            names=["h1", "h2", "k", "tags", "starts", "ref"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            keys, shared = b.column(0).to_numpy(), b.column(2)
+            keys, shared, tags = b.column(0).to_numpy(), b.column(2), b.column(3).to_numpy()
             for p in W.pieces(b.column(1)):
                 least, at, doc = _samples(p, window, phrase)
                 mine = shared.slice(p.lo, p.hi - p.lo)
@@ -132,7 +136,7 @@ def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
                     continue
                 h = p.hashes()
                 held.append((W.ngrams(h, window)[at], W.ngrams(W.mix(h ^ W.U64(0x5BD1E995)), window)[at],
-                             keys[p.lo: p.hi][doc], at - p.first[:-1][doc]))
+                             keys[p.lo: p.hi][doc], tags[p.lo: p.hi][doc], at - p.first[:-1][doc]))
                 size += len(at)
                 if size >= FLUSH:
                     yield settle(held)
@@ -140,17 +144,17 @@ def _windows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
         if held:
             yield settle(held)
 
-    return docs.mapInArrow(run, "h1 long, h2 long, k long, starts array<int>, ref long")
+    return docs.mapInArrow(run, "h1 long, h2 long, k long, tags array<long>, starts array<int>, ref long")
 
 
 def _factors(rows: DataFrame, window: int) -> DataFrame:
-    """k and its factors: (start, length, ref) of maximal runs of found windows, sorted."""
-    found = rows.groupBy("k").agg(F.sort_array(F.collect_set(F.struct("start", "ref"))).alias("found"))
+    """k, tag and the document's factors: (start, length, ref) of maximal runs of found windows, sorted."""
+    found = rows.groupBy("k", "tag").agg(F.sort_array(F.collect_set(F.struct("start", "ref"))).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             starts, lengths, refs, cuts = [], [], [], [0]
-            found = b.column(1)
+            found = b.column(2)
             at = found.offsets.to_numpy()
             flat = found.values
             s, r = flat.field("start").to_numpy(), flat.field("ref").to_numpy()
@@ -165,9 +169,10 @@ def _factors(rows: DataFrame, window: int) -> DataFrame:
             flat = pa.StructArray.from_arrays([pa.array(np.concatenate(v), t) for v, t in
                                                ((starts, pa.int32()), (lengths, pa.int32()), (refs, pa.int64()))],
                                               names=["start", "length", "ref"])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)], names=["k", "factors"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)],
+                                             names=["k", "tag", "factors"])
 
-    return found.mapInArrow(run, "k long, factors array<struct<start:int,length:int,ref:long>>")
+    return found.mapInArrow(run, "k long, tag long, factors array<struct<start:int,length:int,ref:long>>")
 
 
 def _side(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -176,10 +181,10 @@ def _side(df: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def factored(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """k (the id, nulls as LAST), n_words, sha of all words, copy_of (the smallest
-    id with the same words, if another), and factors."""
+    """k (the id, nulls as LAST), tag (a hash of the text), n_words, sha of all words,
+    copy_of (the smallest id with the same words, if another), and factors."""
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("k"),
-                       F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")).alias("text"))
+                       F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")).alias("text"), F.xxhash64(F.col(text)).alias("tag"))
     signed = written(_signatures(rows, window, phrase), "rlz-signatures")
     long_enough = signed.filter(F.col("n_words") >= window)
     # copy groups: the smallest id stands for the group
@@ -187,21 +192,21 @@ def factored(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, key: s
     marked = written(signed.join(same, "sha", "left").withColumn("copy_of", F.when(F.col("one") < F.col("k"), F.col("one"))).drop("one"),
                      "rlz-marked")
     single = marked.filter(F.col("copy_of").isNull() & (F.col("n_words") >= window))
-    indexed = single.select("k", F.explode("phrases").alias("phrase"))
+    indexed = single.select("k", "tag", F.explode("phrases").alias("phrase"))
     shared = indexed.groupBy("phrase").agg(F.min("k").alias("a"), F.max("k").alias("z")).filter("a < z").select("phrase")
-    hits = indexed.join(shared, "phrase").groupBy("k").agg(F.collect_set("phrase").alias("phrases"))
+    hits = indexed.join(shared, "phrase").groupBy("k", "tag").agg(F.collect_set("phrase").alias("phrases"))
     hits = written(hits, "rlz-hits")
-    n_bytes = hits.agg(F.sum(48 + 8 * F.size("phrases"))).first()[0] or 0
+    n_bytes = hits.agg(F.sum(56 + 8 * F.size("phrases"))).first()[0] or 0
     if n_bytes <= BROADCAST_BYTES:
-        to_look = rows.join(F.broadcast(hits), "k").select("k", "text", "phrases")
+        to_look = rows.join(F.broadcast(hits), ["k", "tag"]).select("k", "text", "phrases", "tag")
     else:  # sorted, so that a task that runs again settles the same batches
-        to_look = rows.join(hits, "k").select("k", "text", "phrases").sortWithinPartitions("k", F.xxhash64("text"))
+        to_look = rows.join(hits, ["k", "tag"]).select("k", "text", "phrases", "tag").sortWithinPartitions("k", "tag")
     looked = _windows(to_look, window, phrase)
     least = F.min("k").over(Window.partitionBy("h1", "h2"))
     settled = (looked.withColumn("least", least).withColumn("ref", F.coalesce(F.when(F.col("least") < F.col("k"), F.col("least")), F.col("ref")))
-               .filter(F.col("ref").isNotNull()).select("k", F.explode("starts").alias("start"), "ref"))
+               .filter(F.col("ref").isNotNull()).select("k", "ref", F.inline(F.arrays_zip(F.col("tags").alias("tag"), F.col("starts").alias("start")))))
     factors = written(_factors(settled, window), "rlz-factors")
-    return marked.select("k", "n_words", "sha", "copy_of").join(factors, "k", "left")
+    return marked.select("k", "tag", "n_words", "sha", "copy_of").join(factors, ["k", "tag"], "left")
 
 
 def _covered(factors, n: int) -> np.ndarray:
@@ -223,10 +228,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
         plain = found.filter(F.col("copy_of").isNotNull() | F.col("factors").isNull()).select(
             "k", "n_words", F.when(F.col("copy_of").isNotNull(), F.col("n_words")).otherwise(F.lit(0)).alias("n_removed"),
             F.when(F.col("copy_of").isNotNull(), F.sha2(F.lit(""), 256)).otherwise(F.lower(F.hex("sha"))).alias("kept_sha256"))
-        todo = found.filter(F.col("copy_of").isNull() & F.col("factors").isNotNull()).select("k", "factors").dropDuplicates(["k"])
+        todo = found.filter(F.col("copy_of").isNull() & F.col("factors").isNotNull()).select("k", "tag", "factors").dropDuplicates(["k", "tag"])
         todo = written(todo, "rlz-todo")
-        rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"), F.col("text").cast("binary").alias("text"))
-        touched = rows.join(_side(todo, 160), "k").select("k", "text", "factors")
+        rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"), F.xxhash64("text").alias("tag"),
+                           F.col("text").cast("binary").alias("text"))
+        touched = rows.join(_side(todo, 168), ["k", "tag"]).select("k", "text", "factors")
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -241,11 +247,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
 
         return plain.unionByName(touched.mapInArrow(cut, "k long, n_words long, n_removed long, kept_sha256 string"))
 
-    k, row = free_names(docs, "_k", "_row")
+    k, tag, row = free_names(docs, "_k", "_tag", "_row")
     todo = written(found.filter(F.col("copy_of").isNotNull() | F.col("factors").isNotNull()).select(
-        F.col("k").alias(k), F.col("copy_of").isNotNull().alias("copied"), "factors").dropDuplicates([k]), "rlz-todo")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(k), F.struct(*[F.col(c) for c in docs.columns]).alias(row))
-    rows = rows.join(_side(todo, 160), k, "left")
+        F.col("k").alias(k), F.col("tag").alias(tag), F.col("copy_of").isNotNull().alias("copied"), "factors").dropDuplicates([k, tag]), "rlz-todo")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(k), F.xxhash64("text").alias(tag),
+                       F.struct(*[F.col(c) for c in docs.columns]).alias(row))
+    rows = rows.join(_side(todo, 168), [k, tag], "left")
     same = rows.filter(F.col("copied").isNull()).select(*[F.col(row)[c].alias(c) for c in docs.columns])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -155,6 +155,26 @@ def test_remove_repeats_cuts_texts(odd_docs, odd_rows):
     assert untouched <= set(got)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_rows_of_one_id_or_none_are_documents_of_their_own(spark, monkeypatch, small):
+    if small:  # many flushes, and the joins that shuffle
+        monkeypatch.setattr(substrings, "FLUSH", 50)
+        monkeypatch.setattr(substrings, "BROADCAST_BYTES", 0)
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    five, passage = text("five", 70), text("shared", 60)
+    seven = f"{text('seven', 20)} {passage} {text('after', 15)}"
+    rows = [(5, five), (7, seven)]
+    for d in (None, 9):  # a copy, a clean text, and two with the passage at different places
+        rows += [(d, five), (d, text(f"clean{d}", 120)), (d, f"{text(f'c{d}', 40)} {passage}"), (d, f"{passage} {text(f'd{d}', 90)}")]
+    rows.append(rows[4])  # a repeated row
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    cut = [(d, ws, gone) for d, ws, gone in brute_repeats([(d, t, None) for d, t in rows], 50)]
+    want = [(d, len(ws), sum(gone), hashlib.sha256(b" ".join(w for w, g in zip(ws, gone) if not g)).hexdigest()) for d, ws, gone in cut]
+    assert shape(substrings.op10(docs)) == sorted(want, key=repr)
+    left = [(d, b" ".join(w for w, g in zip(ws, gone) if not g).decode()) for d, ws, gone in cut if not all(gone)]
+    assert shape(substrings.remove_repeats(docs)) == sorted(left, key=repr)
+
+
 def test_factors_refer_to_earlier_documents(odd_docs, odd_rows):
     texts = {}
     for d, t, _ in odd_rows:
