@@ -28,6 +28,31 @@ def test_ids_and_counts_equal_the_library(library, odd_rows):
         assert count(t) == len(want)
 
 
+@pytest.mark.parametrize("white", [" ", "\n", "\r\n\t \u3000\x85"])
+def test_long_white_space_equals_the_library(library, white):
+    enc, count = bpe.encoder(PATH), tokencount.counter(PATH).count
+    n = bpe.LONG_RUN
+    runs = [white * (k // len(white)) for k in (n - 1, n, n + 7, 3_000_000)]
+    texts = [a + r + b for r in runs for a, b in (("", ""), ("one two", "three 's"), ("x\x1c", "\x1cy"), (".", "<|endoftext|>"))]
+    texts.append(f"a{runs[2]}b c{runs[1]}1{runs[2]}<|endoftext|>{runs[1]}é<|endoftext|>{runs[1]}")
+    for t in texts:
+        want = library(t)
+        assert enc.ids(t).tolist() == want
+        assert count(t) == len(want)
+
+
+def test_padded_documents_get_rows(spark, library):
+    rows = [(1, "a" + " " * 3_000_000 + "b"), (2, "\n" * 2_500_000), (3, "short text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: len(library(t)) for i, t in rows}
+    assert {r.doc_id: r.n_tokens for r in tokencount.op7(docs, PATH).collect()} == want
+    got = {}
+    for r in packing.op8(docs, PATH).collect():
+        assert r.doc_tokens == want[r.doc_id] + 1
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+    assert got == {i: n + 1 for i, n in want.items()}
+
+
 def test_whole_tokens_are_proven(library):
     whole = tokencount.whole_tokens(PATH)
     assert len(whole) > 45_000
