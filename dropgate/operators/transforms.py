@@ -49,8 +49,8 @@ class TransformContext:
     run_id: str | None = None
     report: CheckContext | None = None
     actions: list[Callable[[DataFrame], Any]] = field(default_factory=list)
-    # (table, id column, its copy in the output) of the snapshots that the output's ids go to
-    snapshots: list[tuple[str, str, str]] = field(default_factory=list)
+    # (table, id column, its copy in the output, the rows right after the step) of the snapshots
+    snapshots: list[tuple[str, str, str, DataFrame]] = field(default_factory=list)
     # the report of each enrichment alone, over the rows right after its join
     enrichments: list[CheckContext] = field(default_factory=list)
     all_rows: bool = True  # whether the whole chain keeps every row
@@ -297,8 +297,9 @@ def save_inventory_snapshot(df: DataFrame, ctx: TransformContext, snapshot_file:
     # written once per table and run, when all patterns' outputs exist; the
     # ids are copied, as later steps may rename or drop the column
     ids = ctx.hidden("id")
-    ctx.snapshots.append((snapshot_file, product_id_column, ids))
-    return df.withColumn(ids, F.col(product_id_column))
+    out = df.withColumn(ids, F.col(product_id_column))
+    ctx.snapshots.append((snapshot_file, product_id_column, ids, out))
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -322,7 +323,8 @@ def compile_chain(spec: list[dict]) -> list[dict]:
 
 
 # Transforms that keep every row; after any other one a report of an earlier
-# join must be taken from the rows right after that join.
+# join, or the ids of an earlier snapshot, must be taken from the rows right
+# after that join or snapshot.
 KEEPS_ROWS = frozenset({"enrich_with_mapping", "strings_strip_whitespace", "case_transform", "blank", "multiply_columns",
                         "sum_columns", "subtract_columns", "divide_columns", "drop_columns", "rename_columns",
                         "save_inventory_snapshot"})

@@ -506,8 +506,10 @@ class Preboarding:
             rows = keep_sources(self.spark, staged[p], ok, len(infos))
             for action in ctx.actions:
                 action(rows)
-            for table, id_col, copy in ctx.snapshots:
-                snapshots.setdefault(table, []).append((rows.select(F.col(copy).alias(id_col)), id_col))
+            for table, id_col, copy, at in ctx.snapshots:
+                # later steps drop rows: the ids are those where the snapshot was
+                saved = rows if ctx.all_rows else keep_sources(self.spark, at, ok, len(infos))
+                snapshots.setdefault(table, []).append((saved.select(F.col(copy).alias(id_col)), id_col))
                 files.setdefault(table, []).extend(ok)
         # one version per table and run: the ids of all patterns go in together
         for table, parts in snapshots.items():

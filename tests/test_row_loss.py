@@ -102,6 +102,25 @@ def test_snapshot_of_two_patterns_and_versions(spark, tmp_root):
     assert {r["message"] for r in notes} == {"ids: 4 id(s) added, 4 known in all"} and len(notes) == 2
 
 
+def test_snapshot_holds_ids_that_later_steps_drop(spark, tmp_root):
+    write(tmp_root, "in/a.csv", "id;n\n1;x\n2;\n3;y\n")
+    write(tmp_root, "in/b.csv", "id;n\n4;y\n5;y\n")
+    cat = Catalog(spark, {t: TableSpec(path=f"{tmp_root}/{t}", versioned=True) for t in ("first", "middle", "last")})
+    save = lambda t, c="id": {"function": "save_inventory_snapshot", "params": {"snapshot_file": t, "product_id_column": c}}
+    chain = [save("first"), {"function": "filter_rows", "params": {"column": "n", "operator": "is_not_null"}},
+             {"function": "filter_rows", "params": {"column": "id", "operator": "!=", "value": "5"}},
+             {"function": "rename_columns", "params": {"column_mapping": {"id": "key"}}}, save("middle", "key"),
+             {"function": "filter_rows", "params": {"column": "n", "operator": "==", "value": "x"}}, save("last", "key"),
+             {"function": "drop_nulls", "params": {}}]
+    steps = [("t", "transform", {"*": {"transforms": chain}})]
+    for _ in range(2):  # a re-run of the same run changes nothing
+        _, out = deliver(spark, tmp_root, steps, cat, run_id="001")
+        got = {t: sorted(r[0] for r in cat.read(t).collect()) for t in ("first", "middle", "last")}
+        assert got["first"] == ["1", "2", "3", "4", "5"] and got["last"] == ["1"]
+        assert got["middle"] == [r["id"] for r in read_drop(spark, f"{tmp_root}/in").df.filter("n IS NOT NULL AND id <> '5'").orderBy("id").collect()]
+        assert [r["key"] for r in out.collect()] == ["1"]
+
+
 def test_key_checks_honour_each_files_columns(spark, tmp_root):
     spark.createDataFrame([("1",)], "id string").write.parquet(f"{tmp_root}/m")
     cat = Catalog(spark, {"m": TableSpec(path=f"{tmp_root}/m")})
