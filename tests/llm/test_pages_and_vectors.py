@@ -54,6 +54,28 @@ def test_host_boilerplate(spark, shard):
     assert shape(got.select("page_id", "text", "n_chars")) == sorted(((i, t, len(t)) for i, _, _, t in rows), key=repr)
 
 
+@pytest.mark.parametrize("shard", [400_000, 100])
+def test_what_articles_share_stays(spark, shard):
+    rng = np.random.default_rng(9)
+    text = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    menu, wire, quote, often, links = text(15), text(60), text(15), text(30), text(14)
+    rows = []
+    for i in range(40):
+        parts = [("div", text(30))]
+        if i in (3, 8, 9, 20):       # a body without paragraphs on 4 of 40 pages
+            parts.append(("div", wire))
+        if i % 2:                    # a quotation in a paragraph of half the pages
+            parts += [("blockquote", quote), ("p", often)]
+        body = f"<div>{menu}</div><p><a href=x>{links}</a></p>" + "".join(f"<{t}>{x}</{t}>" for t, x in parts)
+        rows.append((i, f"http://big.example/{i}", body, " ".join(x for _, x in parts)))
+    for i in (100, 101):             # two pages say nothing about what is boilerplate
+        own = f"{text(20)} {wire}"
+        rows.append((i, f"http://small.example/{i}", f"<div>{own}</div>", own))
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    got = htmltext.main_text(df, shard_tokens=shard)
+    assert shape(got.select("page_id", "text")) == sorted(((i, t) for i, _, _, t in rows), key=repr)
+
+
 def test_ranks_group_equal_stretches():
     rng = np.random.default_rng(0)
     tokens = rng.integers(0, 3, 300).astype(np.uint64)
