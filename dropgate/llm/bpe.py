@@ -77,6 +77,17 @@ class Encoder:
                 at = special.end()
         return np.concatenate([np.asarray(x, np.uint32) for x in out])
 
+    def plain_ids(self, text: str) -> np.ndarray:
+        """uint32 ids of a whole text in which special strings are plain text."""
+        out, done = [], 0
+        for run in self._long_run.finditer(text) if len(text) >= LONG_RUN else ():
+            upto = run.end() - (run.end() < len(text))
+            out += [self._enc.encode_to_numpy(text[done: run.start()], disallowed_special=()),
+                    self._enc._encode_single_piece(text[run.start(): upto])]
+            done = upto
+        out.append(self._enc.encode_to_numpy(text[done:], disallowed_special=()))
+        return np.concatenate([np.asarray(x, np.uint32) for x in out])
+
     def count(self, text: str) -> int:
         return len(self.ids(text))
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import htmltext, mixing, neardup, oracle, packing, quality, rules, substrings, tokencount, topk, toxicity
+from dropgate.llm import alignment, htmltext, mixing, neardup, oracle, packing, quality, rules, substrings, tokencount, topk, toxicity
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES = {
     "op1_mixing": lambda spark, d: mixing.op1(table(spark, d, "documents")),
@@ -20,6 +21,7 @@ QUERIES = {
     "op8_packing": lambda spark, d: packing.op8(table(spark, d, "documents"), VOCABULARY),
     "op9_html_text": lambda spark, d: htmltext.op9(table(spark, d, "pages")),
     "op10_substring_dedup": lambda spark, d: substrings.op10(table(spark, d, "documents")),
+    "op11_alignment": lambda spark, d: alignment.op11(table(spark, d, "documents"), VOCABULARY, PIECES),
 }
 
 ORACLE_SQL: dict[str, str] = {
