@@ -71,3 +71,41 @@ kept AS (
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)
 """
+
+# crc32 byte by byte from a table that follows from its polynomial; the hashed
+# text holds digits, a colon, a sign and code points below U+0100 only
+VARIANTS = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS k, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS r FROM documents),
+lowered AS (SELECT k, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS m FROM runs GROUP BY 1, 2),
+bytes AS (
+  SELECT r, m, flatten(list_transform(string_split(k || ':' || r, ''),
+                       lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END)) AS b FROM lowered),
+hashed AS (
+  SELECT r, m, xor(list_reduce([4294967295] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc_table),
+slipped AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word, m FROM hashed),
+words AS (SELECT word, sum(m)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(m) >= 2),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS p, substr(word, i + 1) AS s
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a, b, bn FROM (
+    SELECT x.word AS a, y.word AS b, y.n AS bn FROM cuts x JOIN cuts y ON x.p = y.p AND x.s = y.s AND x.word <> y.word
+    UNION ALL SELECT x.word, w.word, w.n FROM cuts x JOIN words w ON w.word = x.p || x.s
+    UNION ALL SELECT w.word, x.word, x.n FROM cuts x JOIN words w ON w.word = x.p || x.s)),
+best AS (SELECT a AS word, count(*) AS n_near, max(bn) AS top FROM near GROUP BY a),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * n THEN (SELECT min(b) FROM near WHERE near.a = words.word AND near.bn = top) END AS form,
+         CASE WHEN top >= 10 * n THEN top END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root FROM words
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NOT NULL),
+last AS (SELECT chain.word, root FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN last USING (word)
+"""
