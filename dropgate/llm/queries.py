@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dropgate.llm import alignment, htmltext, mixing, neardup, oracle, packing, quality, rules, substrings, tokencount, topk, toxicity, variants
+from dropgate.llm import alignment, htmltext, langid, mixing, neardup, oracle, packing, quality, rules, substrings, tokencount, topk, toxicity, variants
 from dropgate.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,7 @@ QUERIES = {
     "op9_html_text": lambda spark, d: htmltext.op9(table(spark, d, "pages")),
     "op10_substring_dedup": lambda spark, d: substrings.op10(table(spark, d, "documents")),
     "op11_alignment": lambda spark, d: alignment.op11(table(spark, d, "documents"), VOCABULARY, PIECES),
+    "op12_language_id": lambda spark, d: langid.op12(table(spark, d, "documents")),
     "op13_variants": lambda spark, d: variants.op13(table(spark, d, "documents")),
 }
 
