@@ -17,11 +17,12 @@ with every token of B in it. Corpus-wide the links live in an inverted index:
   chunk, and a chunk's task adds them up for its documents. No group is
   larger than a chunk; pairs are never gathered in one place.
 
-Texts are encoded whole, but the ids come from distinct stretches between
-places that no merge of either vocabulary crosses: before a lone blank or line
-break between other characters. For A the pre-token pattern ends there; for B
-it is proven on the vocabulary (no piece continues after a blank or holds a
-line break), else texts are encoded in one stretch.
+Texts are aligned whole. Long ones are encoded in parts between places that no
+merge of either vocabulary crosses: before a lone blank or line break between
+other characters. For A the pre-token pattern ends there; for B it is proven
+on the vocabulary (no piece continues after a blank or holds a line break),
+else texts are encoded in one part. The groups of many texts are found at once,
+with array operations on the tokens' ends.
 
 Defined results: a null or empty text, or one whose tokens of A or of B do not
 give the bytes of blank + text again, has no tokens: zeros and an empty
@@ -47,64 +48,50 @@ from dropgate.llm.common import written
 
 CHUNK_DOCS = 1 << 16      # documents of a chunk, at most (their numbers have 16 bits)
 CHUNK_KEYS = 2_000_000    # postings at which a chunk is closed
-BLOCK_CHARS = 1 << 20     # text that is worked on at once
-CACHE_ENTRIES = 200_000   # stretches of a worker that are kept; emptied when full
-CACHED_LENGTH = 48        # longer stretches rarely come again
+BLOCK_CHARS = 1 << 20     # text that is aligned at once
+PART_CHARS = 1 << 16      # a longer text is encoded in parts of about this size
+LARGE_GROUP = 1 << 12     # links of a group beyond which only its distinct pairs are formed
 
-# a stretch: white space and what follows, up to a lone blank or line break between other characters
-_STRETCH = re.compile(r"\s+\S*(?:(?![ \n]\S)\s+\S*)*")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 class Pair:
-    """Two vocabularies: the tokens of a stretch with their bytes."""
+    """Two vocabularies: ids of parts of texts, and the bytes of ids."""
 
     def __init__(self, a_path: str, b_path: str):
         self.enc = bpe.encoder(a_path)
-        self.a_length = {i: len(s) for s, i in self.enc.strings.items()}
-        self.a_bytes = {i: s for s, i in self.enc.strings.items()}
+        self.n_a = max(self.enc.strings.values()) + 1
+        self.a_length = np.zeros(self.n_a, np.int64)
+        for string, i in self.enc.strings.items():
+            self.a_length[i] = len(string)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         self.n_b = len(pieces)
+        self.b_length = np.array([len(x) for x in self.b_bytes])
         self.cuts = not any(re.search("[^▁]▁|\n", p) for p in pieces)
+        # ids as the digest writes them: after the sign that comes before them
+        self.written = [sign + str(i) for sign in (";", ",", "") for i in range(self.n_a)] + [sign + str(i) for sign in "|," for i in range(self.n_b)]
 
-    def stretches(self, text: str) -> list[str]:
-        """blank + text, cut where no merge crosses."""
-        return _STRETCH.findall(" " + text) if self.cuts else [" " + text]
-
-    def a_ids(self, stretch: str) -> list[int]:
-        if len(stretch) < bpe.LONG_RUN:
-            return self.enc._enc.encode_ordinary(stretch)
-        return self.enc.plain_ids(stretch).tolist()
-
-    def b_ids(self, stretch: str) -> list[int]:
-        """B's ids of a stretch inside a text; B itself puts a blank before what it encodes."""
-        if stretch[0] == " ":
-            return self.b.encode(stretch[1:])
-        return self.b.encode(stretch)[1:]
-
-    def groups(self, stretch: str) -> list[tuple[list[int], list[int]]] | None:
-        """The stretch's groups (A's ids, B's ids); None where tokens don't give its bytes again."""
-        a, b, raw = self.a_ids(stretch), self.b_ids(stretch), stretch.encode()
-        if b"".join(map(self.b_bytes.__getitem__, b)) != raw or b"".join(map(self.a_bytes.__getitem__, a)) != raw:
+    def parts(self, text: str) -> Iterator[str]:
+        """blank + text, cut where no merge crosses; all parts but the first start with their own blank or line break."""
+        at = 0
+        while at < len(text):
+            cut = _CUT.search(text, at + PART_CHARS) if self.cuts and len(text) - at > 2 * PART_CHARS else None
+            end = cut.start() if cut else len(text)
+            yield text[at:end] if at else " " + text[:end]
+            at = end
+
+    def ids(self, part: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of A and of B; None where tokens don't give the part's bytes again."""
+        raw, a = part.encode(), self.enc.plain_ids(part).astype(np.int64)
+        # B itself puts a blank before what it encodes
+        b = self.b.encode(part[1:]) if part[0] == " " else self.b.encode(part)[1:]
+        # merges of bytes keep them, so A's can only differ in number
+        if self.a_length[a].sum() != len(raw) or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
-        out, i, j, ends_a, ends_b = [], 0, 0, 0, 0
-        while i < len(a):
-            lo, to = i, j
-            ends_a += self.a_length[a[i]]
-            ends_b += len(self.b_bytes[b[j]])
-            i, j = i + 1, j + 1
-            while ends_a != ends_b:
-                if ends_a < ends_b:
-                    ends_a += self.a_length[a[i]]
-                    i += 1
-                else:
-                    ends_b += len(self.b_bytes[b[j]])
-                    j += 1
-            out.append((a[lo:i], b[to:j]))
-        return out
+        return a, np.array(b, np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -112,52 +99,6 @@ def pair_of(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)
 
 
-def _links(groups: list, n_b: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, times) of the links of some groups; a pair's key is a * n_b + b."""
-    keys, times = [], []
-    for a, b in groups:
-        if len(a) * len(b) <= 64:
-            keys += [x * n_b + y for x in a for y in b]
-            times += [1] * (len(a) * len(b))
-        else:  # distinct pairs only, with their number
-            x, m = np.unique(np.array(a, np.int64), return_counts=True)
-            y, n = np.unique(np.array(b, np.int64), return_counts=True)
-            keys += (x[:, None] * n_b + y).ravel().tolist()
-            times += (m[:, None] * n).ravel().tolist()
-    return np.array(keys, np.int64), np.array(times, np.int64)
-
-
-class _Known(dict):
-    """stretch -> its number; what it holds stands in lists under that number."""
-
-    def __init__(self, pair: Pair):
-        super().__init__()
-        self.pair = pair
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.stats, self.texts, self.keys, self.times = [], [], [], []
-
-    def __missing__(self, stretch: str) -> int:
-        groups = self.pair.groups(stretch)
-        if groups is None:
-            self.stats.append((0, 0, 0, 0, 1))
-            self.texts.append("")
-            keys = times = np.zeros(0, np.int64)
-        else:
-            self.stats.append((sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups),
-                               sum(len(a) * len(b) for a, b in groups), 0))
-            self.texts.append(";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups))
-            keys, times = _links(groups, self.pair.n_b)
-        self.keys.append(keys)
-        self.times.append(times)
-        n = len(self.stats) - 1
-        if len(stretch) <= CACHED_LENGTH:
-            self[stretch] = n
-        return n
-
-
 def _merged(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and the sums of their times."""
     if not len(key):
@@ -168,71 +109,106 @@ def _merged(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return key[first], np.add.reduceat(times[order], first)
 
 
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones of sorted keys and how often they occur."""
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.diff(np.append(first, len(key)))
+
+
+def _places(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """start[i], start[i] + 1, ... : many[i] numbers for each i, one after the other."""
+    return np.repeat(start - np.cumsum(many) + many, many) + np.arange(many.sum())
+
+
 class _Chunk:
     """Documents in order of arrival with the postings of their links."""
 
-    def __init__(self, pair: Pair, known: _Known):
-        self.pair, self.known = pair, known
+    def __init__(self, pair: Pair):
+        self.pair = pair
         self.reset()
 
     def reset(self) -> None:
         self.rows, self.parts, self.size = [], [], 0
-        self.waiting, self.chars = [], 0
+        self.waiting, self.chars, self.digests = [], 0, {}
 
     def add(self, key, text: str | None) -> None:
         """Take a document; its links follow with the block."""
-        doc = len(self.rows)
-        if not text:
-            self.rows.append([key, 0, 0, 0, 0, ""])
-            return
-        digest, totals, blocked = hashlib.sha256(), np.zeros(5, np.int64), False
+        doc, before = len(self.rows), len(self.parts)
         self.rows.append([key, 0, 0, 0, 0, ""])
-        before = len(self.parts)
-        at = 0
-        while at < len(text):  # long texts in several blocks, cut at safe places
-            cut = _CUT.search(text, at + BLOCK_CHARS) if self.pair.cuts and len(text) - at > 2 * BLOCK_CHARS else None
-            end = cut.start() if cut else len(text)
-            part = text[at:end]
-            # a later block starts with its own blank or line break
-            found = self.pair.stretches(part) if not at else _STRETCH.findall(part)
-            some = [self.known[s] for s in found]
-            if blocked:
-                digest.update(b";")
-            digest.update(";".join(map(self.known.texts.__getitem__, some)).encode())
-            numbers = np.array(some, np.int64)
-            self.waiting.append((doc, numbers))
+        for part in self.pair.parts(text or ""):
+            ids = self.pair.ids(part)
+            if ids is None:  # no tokens: take back what the text's other parts gave
+                self.rows[doc] = [key, 0, 0, 0, 0, ""]
+                self.digests.pop(doc, None)
+                self.waiting = [w for w in self.waiting if w[0] != doc]
+                self.parts[before:] = [_without(p, doc) for p in self.parts[before:]]
+                return
+            self.waiting.append((doc, *ids))
             self.chars += len(part)
-            totals += np.array([self.known.stats[k] for k in some], np.int64).sum(0)
-            blocked, at = True, end
-            if len(text) > BLOCK_CHARS:
+            if self.chars >= BLOCK_CHARS:
                 self.work()
-        if totals[4]:  # no tokens: take back what the text's other stretches gave
-            self.waiting = [w for w in self.waiting if w[0] != doc]
-            self.parts[before:] = [_without(p, doc) for p in self.parts[before:]]
-            return
-        self.rows[doc][1:] = [*totals[:4].tolist(), digest.hexdigest()]
-        if self.chars >= BLOCK_CHARS:
-            self.work()
 
     def work(self) -> None:
-        """Turn the waiting stretches into (pair key, document) postings."""
-        if self.waiting:
-            docs = np.repeat(np.array([d for d, _ in self.waiting], np.int64), [len(x) for _, x in self.waiting])
-            some, which = np.unique(np.concatenate([x for _, x in self.waiting]), return_inverse=True)
-            held, n = np.unique(docs * len(some) + which, return_counts=True)
-            doc, which = held // len(some), held % len(some)
-            length = np.array([len(self.known.keys[k]) for k in some], np.int64)
-            start = np.cumsum(length) - length
-            keys = np.concatenate([self.known.keys[k] for k in some])
-            times = np.concatenate([self.known.times[k] for k in some])
-            own = length[which]
-            at = np.repeat(start[which] - np.cumsum(own) + own, own) + np.arange(own.sum())
-            part = _merged(keys[at] << 16 | np.repeat(doc, own), times[at] * np.repeat(n, own))
-            self.parts.append(part)
-            self.size += len(part[0])
+        """Groups, counts, digests and (pair key, document) postings of the waiting parts."""
+        if not self.waiting:
+            return
+        docs, ids_a, ids_b = zip(*self.waiting, strict=True)
+        size_a, size_b, docs = np.array([len(x) for x in ids_a]), np.array([len(x) for x in ids_b]), np.array(docs)
+        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+        # parts have the same bytes in both, so common ends are those of groups, the parts' ends among them
+        ends_a, ends_b = np.cumsum(self.pair.a_length[a]), np.cumsum(self.pair.b_length[b])
+        at = np.searchsorted(ends_b, ends_a)
+        last_a = ends_b[at] == ends_a
+        last_b = np.zeros(len(b), bool)
+        last_b[at[last_a]] = True
+        to_a, to_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        from_a, from_b = np.append(0, to_a[:-1]), np.append(0, to_b[:-1])
+        many_a, many_b = to_a - from_a, to_b - from_b
+        part = np.searchsorted(np.cumsum(size_a), to_a)
+        doc = docs[part]
+        self._digest(a, b, from_a, from_b, many_a, many_b, part)
+        links = many_a * many_b
+        for k, (n_a, n_b, n_groups, n_links) in enumerate(zip(size_a.tolist(), size_b.tolist(), np.bincount(part, minlength=len(docs)).tolist(),
+                                                              np.add.reduceat(links, np.searchsorted(part, np.arange(len(docs)))).tolist(), strict=True)):
+            row = self.rows[docs[k]]
+            row[1:5] = [row[1] + n_a, row[2] + n_b, row[3] + n_groups, row[4] + n_links]
+        some = np.flatnonzero(links <= LARGE_GROUP)
+        tokens = _places(from_a[some], many_a[some])
+        each = np.repeat(many_b[some], many_a[some])
+        keys = np.repeat(a[tokens] * self.pair.n_b, each) + b[_places(np.repeat(from_b[some], many_a[some]), each)]
+        keys = np.sort(keys << 16 | np.repeat(doc[some], links[some]))
+        found = [_counted(keys)]
+        for g in np.flatnonzero(links > LARGE_GROUP):  # distinct pairs only, with their number
+            x, m = np.unique(a[from_a[g]: to_a[g]], return_counts=True)
+            y, n = np.unique(b[from_b[g]: to_b[g]], return_counts=True)
+            found.append(((x[:, None] * self.pair.n_b + y).ravel() << 16 | doc[g], (m[:, None] * n).ravel()))
+        self.parts += found
+        self.size += sum(len(keys) for keys, _ in found)
         self.waiting, self.chars = [], 0
-        if len(self.known.stats) > CACHE_ENTRIES:
-            self.known.reset()
+
+    def _digest(self, a, b, from_a, from_b, many_a, many_b, part) -> None:
+        """Carry on the documents' digests: the ids in order, A's before B's in each group."""
+        n_a = self.pair.n_a
+        out = np.empty(len(a) + len(b), np.int64)
+        code_a, code_b = a + n_a, b + 3 * n_a + self.pair.n_b
+        code_a[from_a] -= n_a
+        code_b[from_b] -= self.pair.n_b
+        out[np.arange(len(a)) + np.repeat(from_b, many_a)] = code_a
+        out[np.arange(len(b)) + np.repeat(from_a + many_a, many_b)] = code_b
+        ends = np.cumsum(many_a + many_b)[np.append(np.flatnonzero(part[1:] != part[:-1]), len(part) - 1)]
+        at = 0
+        for (doc, _, _), end in zip(self.waiting, ends.tolist(), strict=True):
+            codes = out[at:end].tolist()
+            if doc not in self.digests:
+                self.digests[doc] = hashlib.sha256()
+                codes[0] += 2 * n_a  # nothing before the document's first id
+            self.digests[doc].update("".join(map(self.pair.written.__getitem__, codes)).encode())
+            at = end
+
+    def close(self) -> None:
+        self.work()
+        for doc, digest in self.digests.items():
+            self.rows[doc][5] = digest.hexdigest()
 
     def full(self) -> bool:
         return self.size >= CHUNK_KEYS or len(self.rows) >= CHUNK_DOCS
@@ -310,8 +286,7 @@ def index(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = pair_of(a_path, b_path)
-        chunk, number = _Chunk(pair, _Known(pair)), None
+        chunk, number = _Chunk(pair_of(a_path, b_path)), None
         for b in batches:
             if number is None and len(b):
                 number = b.column(2)[0].as_py() << 32
@@ -320,13 +295,13 @@ def index(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
                 for k, t in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
                     chunk.add(k, t)
                     if chunk.full():
-                        chunk.work()
+                        chunk.close()
                         yield from _index_rows(chunk, number, b.column(0).type)
                         number += 1
                         chunk.reset()
                 column = b.column(0).type
         if chunk.rows:
-            chunk.work()
+            chunk.close()
             yield from _index_rows(chunk, number, column)
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.spark_partition_id().cast("long").alias("part"))

@@ -87,26 +87,28 @@ def test_odd_texts(spark, library, odd_rows):
     assert got(alignment.op11(docs, A, B)) == brute(rows, library)[0]
 
 
-def test_small_chunks_blocks_and_cache(spark, library, odd_rows, monkeypatch):
-    """Many chunks, long texts in blocks and an emptied cache give the same rows."""
-    rows = [(i, t) for i, t, _ in odd_rows] + [(200, ("some words of it\n" * 40 + "▁ ") * 3), (201, "a b c " * 900)]
+def test_small_chunks_blocks_and_parts(spark, library, odd_rows, monkeypatch):
+    """Many blocks, long texts in parts and large groups by their distinct pairs give the same rows."""
+    rows = [(i, t) for i, t, _ in odd_rows] + [(200, ("some words of it\n" * 40 + "▁ ") * 3), (201, "a b c " * 900), (202, "x" * 3000)]
     want = brute(rows, library)[0]
-    pair = alignment.pair_of(A, B)
-    monkeypatch.setattr(alignment, "BLOCK_CHARS", 500)
-    monkeypatch.setattr(alignment, "CHUNK_KEYS", 300)
-    monkeypatch.setattr(alignment, "CACHE_ENTRIES", 50)
-    chunk = alignment._Chunk(pair, alignment._Known(pair))
-    out = {}
+    for name, value in (("BLOCK_CHARS", 700), ("PART_CHARS", 90), ("LARGE_GROUP", 3)):
+        monkeypatch.setattr(alignment, name, value)
+    chunk = alignment._Chunk(alignment.pair_of(A, B))
     for k, t in rows:
         chunk.add(k, t)
-    chunk.work()
-    for row in chunk.rows:
-        out.setdefault(repr(row[0]), []).append(tuple(row[1:]))
-    for row in want:
-        assert (*row[1:5], row[7]) in out[repr(row[0])]
+    chunk.close()
+    assert sorted(repr(tuple(r)) for r in chunk.rows) == sorted(repr((*r[:5], r[7])) for r in want)
     key, times = alignment._merged(*map(np.concatenate, zip(*chunk.parts, strict=True)))
     assert int(times.sum()) == sum(r[4] for r in want)
-    assert not len(key) or (np.diff(key) > 0).all()
+    assert (np.diff(key) > 0).all()
+
+
+def test_small_chunks(spark, library):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60)
+    rows = [tuple(r) for r in docs.collect()]
+    chunks = alignment.index(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), A, B)
+    assert chunks.select("chunk").distinct().count() == 7
+    assert got(alignment.scored(chunks, alignment.pair_counts(chunks, alignment.n_pieces(B)))) == brute(rows, library)[0]
 
 
 def test_pair_counts(spark, library):
@@ -134,8 +136,11 @@ def test_no_rows(spark, no_docs):
     assert got(alignment.op11(no_docs, A, B)) == []
 
 
-def test_cuts_are_proven(library):
-    assert alignment.pair_of(A, B).cuts
-    whole = alignment.pair_of(A, B)
-    text = "a  b\tc d\ne\n f é🙂 " * 3
-    assert "".join(whole.stretches(text)) == " " + text
+def test_cuts_are_proven(monkeypatch):
+    pair = alignment.pair_of(A, B)
+    assert pair.cuts
+    monkeypatch.setattr(alignment, "PART_CHARS", 5)
+    text = "a  b\tc d\ne\n f é🙂 gg hh" * 3
+    parts = list(pair.parts(text))
+    assert "".join(parts) == " " + text and len(parts) > 5
+    assert [x for p in parts for x in pair.ids(p)[1].tolist()] == pair.b.encode(text)
