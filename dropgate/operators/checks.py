@@ -37,6 +37,8 @@ CHECKS: dict[str, Callable] = {}
 
 SAMPLE_SIZE = 5  # examples of a check that names no number
 CORRUPT = f"{joins.HIDDEN}corrupt"  # the text of a CSV row that did not parse
+RECORD = f"{joins.HIDDEN}record"  # number of a row in its file, from 1
+OFFSET = f"{joins.HIDDEN}offset"  # byte at which a CSV record starts
 HIT = f"{joins.HIDDEN}hit"
 N_SAME = f"{joins.HIDDEN}same"
 
@@ -217,7 +219,7 @@ def run_checks(df: DataFrame, spec: dict[str, Any] | list, key: str = "_source_f
 
 
 def _sample_cols(df: DataFrame, key: str, sample_cols: list[str] | None) -> list[str]:
-    return (sample_cols or [c for c in df.columns if c == "_row_index"]
+    return (sample_cols or [c for c in df.columns if c == RECORD]
             or [c for c in df.columns if not c.startswith(joins.HIDDEN) and c != key])
 
 
@@ -416,9 +418,13 @@ def malformed_rows(ctx: CheckContext, params=None):
     # Spark refuses scans that reference only the corrupt-record column; the
     # parsed-value count of a data column keeps the scan a real one
     parsed = F.coalesce(ctx.agg(F.count(F.col(data_cols[0]))), F.lit(0)) if data_cols else F.lit(0)
-    ctx.finding(None, passed=n == 0, n_bad=n,
-                message=F.when(n > 0, F.format_string(msg("malformed"), n, parsed,
-                                                      F.lit(data_cols[0] if data_cols else ""))))
+    text = F.format_string(msg("malformed"), n, parsed, F.lit(data_cols[0] if data_cols else ""))
+    if RECORD in ctx.df.columns and OFFSET in ctx.df.columns:
+        bad = F.col(CORRUPT).isNotNull()
+        first = ctx.agg(F.min(F.when(bad, F.struct(F.col(RECORD).alias("record"), F.col(OFFSET).alias("offset")))))
+        text = F.concat(text, F.format_string(msg("malformed_at"), first["record"], first["offset"]))
+        ctx.sample(None, bad)
+    ctx.finding(None, passed=n == 0, n_bad=n, message=F.when(n > 0, text))
 
 
 # --------------------------------------------------------------------------

@@ -15,6 +15,7 @@ MESSAGES = {
     "nulls": "{col}: %d null or placeholder value(s)",
     "not_type": "{col}: %d value(s) do not parse as {typ}",
     "malformed": "%d row(s) with the wrong number of fields (%d values read in %s)",
+    "malformed_at": "; the first is record %d, at byte %d",
     "hierarchy_count": "%d combination(s) with more than one higher level",
     "hierarchy": "%d distinct higher-level values for %s",
     "table_missing": "reference table '{table}' not found",

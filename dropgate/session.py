@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,6 +33,11 @@ DEFAULT_CONF = {
     # when the parser sees every token; with parser-level column pruning a
     # query touching a few columns silently accepts such rows.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
+    # The two passes over quoted CSV files need ranges that follow from one
+    # setting alone (see sources/csvscan.py); CSV is slow to parse, so they
+    # are smaller than Spark's default.
+    "spark.sql.files.minPartitionNum": "1",
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 
 
@@ -47,9 +54,29 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> bool:
+    """Send the package to the workers, unless they find it by PYTHONPATH (or, locally, in the working folder).
+
+    Spark hands the archive to every executor itself; the driver's copy is not read again.
+    """
+    import dropgate
+
+    root = os.path.dirname(os.path.dirname(os.path.realpath(dropgate.__file__)))
+    found = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if spark.sparkContext.master.startswith("local"):
+        found.add(os.path.realpath(os.getcwd()))
+    sc = spark.sparkContext
+    if root in found or getattr(sc, "_dropgate_shipped", False):
+        return False
+    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "dropgate-package"), "zip", root, "dropgate"))
+    sc._dropgate_shipped = True
+    return True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 

@@ -5,12 +5,14 @@
   listed too (they have no rows to show up anywhere else).
 * CSV files may have different headers (or the same columns in a different
   order). Reading them in one ``spark.read.csv`` would misalign columns by
-  position, so the header record of every file is read first, files are
-  grouped by header, each group is read with an explicit all-string schema and
-  the groups are combined with ``unionByName``. Quotes are doubled inside
-  quoted values; quoted values and headers may hold separators and line breaks
-  (``multiline``; switch it off only where no value has a line break, so that
-  Spark can split large files).
+  position, so a first pass in tasks (``csvscan``) gives every file's header
+  record, files are grouped by header, each group is read with an explicit
+  all-string schema and the groups are combined with ``unionByName``. Quotes are
+  doubled inside quoted values; quoted values and headers may hold separators
+  and line breaks, and Spark splits large files all the same (``multiline``
+  off states that no value has a line break; quotes are then not looked at).
+  Every row carries its record number and byte offset in its file; a quote
+  that is never closed is a read error that names both.
 * Parquet files are grouped by their schema; where groups disagree on a
   column's type, the union holds that column as text.
 * A file that cannot be read, or that has duplicate or reserved column names,
@@ -32,11 +34,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dropgate.functions.names import col
 from dropgate.operators.joins import HIDDEN
+from dropgate.sources import csvscan
 
 SOURCE = "_source_file"
 COLUMNS = "__columns"
 CORRUPT = f"{HIDDEN}corrupt"
+RECORD = f"{HIDDEN}record"  # number of a row in its file, from 1
+OFFSET = f"{HIDDEN}offset"  # byte at which a CSV record starts
 
 # File suffix -> reader format.
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
@@ -52,6 +58,8 @@ class FileInfo:
     columns: list[str] | None = None
     format: str | None = None
     error: str | None = None  # why the file cannot be read (S5), if it cannot
+    url: str | None = None  # the path as Spark's file metadata gives it (escaped), without the scheme
+    rows: int | None = None  # records after the header, where a scan counted them
 
 
 def files_frame(spark: SparkSession, infos: list[FileInfo]) -> DataFrame:
@@ -82,7 +90,7 @@ class Dataset:
         """Rows of ``sources`` only. With a reader only their files are scanned."""
         if self.reader is not None:
             return self.reader(sources)
-        return self.df.filter(F.col(self.key).isin(list(sources)))
+        return self.df.filter(col(self.key).isin(list(sources)))
 
 
 def _empty_rows(spark: SparkSession) -> DataFrame:
@@ -90,22 +98,62 @@ def _empty_rows(spark: SparkSession) -> DataFrame:
 
 
 def union_by_name(frames: list[DataFrame], spark: SparkSession) -> DataFrame:
-    """Union by column name; a column of unlike types in the frames becomes text."""
-    kinds: dict[str, set] = {}
+    """Union by column name, case ignored (the first spelling stays); a column whose
+    types in the frames have no common lossless one becomes text."""
+    kinds: dict[str, list] = {}
     for f in frames:
         for field in f.schema.fields:
-            kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
-    clash = {c for c, k in kinds.items() if len(k) > 1}
+            kinds.setdefault(field.name.lower(), []).append(field.dataType)
+    to = {c: t for c, k in kinds.items() if any(x != k[0] for x in k) for t in [common_type(k)]}
     out = None
     for f in frames:
-        f = f.withColumns({c: _as_text(f, c) for c in f.columns if c in clash})
+        cast = {c: _as_text(f, c) if to[c.lower()] is None else col(c).cast(to[c.lower()]) for c in f.columns if c.lower() in to}
+        f = f.withColumns(cast) if cast else f
         out = f if out is None else out.unionByName(f, allowMissingColumns=True)
     return out if out is not None else _empty_rows(spark)
 
 
+# Bits of whole numbers; digits of the largest value of each type.
+_WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _two_types(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The least type that holds every value of ``a`` and of ``b`` unchanged."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    for x, y in ((a, b), (b, a)):
+        kx, ky = type(x), type(y)
+        if kx in _WHOLE_BITS and ky in _WHOLE_BITS:
+            return x if _WHOLE_BITS[kx] >= _WHOLE_BITS[ky] else y
+        if kx in _WHOLE_BITS and (ky is T.DoubleType and _WHOLE_BITS[kx] <= 32 or ky is T.FloatType and _WHOLE_BITS[kx] <= 16):
+            return y
+        if kx is T.FloatType and ky is T.DoubleType:
+            return y
+        if kx in _WHOLE_DIGITS and ky is T.DecimalType:
+            x = T.DecimalType(_WHOLE_DIGITS[kx], 0)
+        if type(x) is T.DecimalType and ky is T.DecimalType:
+            scale = max(x.scale, y.scale)
+            digits = max(x.precision - x.scale, y.precision - y.scale) + scale
+            return T.DecimalType(digits, scale) if digits <= 38 else None
+    return None
+
+
+def common_type(kinds: list[T.DataType]) -> T.DataType | None:
+    """The least type that holds every value of all ``kinds`` unchanged; None where only text does."""
+    out = kinds[0]
+    for k in kinds[1:]:
+        out = _two_types(out, k)
+        if out is None:
+            return None
+    return out
+
+
 def _as_text(df: DataFrame, c: str) -> Column:
     nested = isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))
-    return F.to_json(F.col(c)) if nested else F.col(c).cast("string")
+    return F.to_json(col(c)) if nested else col(c).cast("string")
 
 
 def column_names_error(names: list[str]) -> str | None:
@@ -138,17 +186,20 @@ def relative_name(path: str, root: str) -> str:
     return m.group(1) if m else ""
 
 
-def relative_path(col: Column, root: str, prefix: str | None = None) -> Column:
-    """Path of ``col`` relative to ``root`` (scheme and leading slashes ignored).
+def relative_path(path: Column, root: str, prefix: str | None = None) -> Column:
+    """Relative name below ``root`` of a path from Spark's file metadata.
 
+    Such paths are escaped as in URIs; the escapes are resolved once here.
     With ``prefix`` (the literal text before the relative part, as the file
     listing shows it) a plain ``substring`` does the work per row; the regex
     is only the fallback for paths that do not start with it.
     """
-    rx = F.regexp_extract(col, _rel_regex(root), 1)
+    # a plus sign stands for itself in a path
+    path = F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    rx = F.regexp_extract(path, _rel_regex(root), 1)
     if not prefix:
         return rx
-    return F.when(col.startswith(prefix), F.substr(col, F.lit(len(prefix) + 1))).otherwise(rx)
+    return F.when(path.startswith(prefix), F.substr(path, F.lit(len(prefix) + 1))).otherwise(rx)
 
 
 def common_prefix(infos: list["FileInfo"]) -> str | None:
@@ -187,7 +238,7 @@ def list_file_infos(spark: SparkSession, root: str, glob: str | None = None,
             continue
         m = re.search(r"(\.[^./]+)$", path)
         fmt = FORMATS.get(m.group(1).lower()) if m else None
-        out.append(FileInfo(source=rel, path=path, size=int(st.getLen()), format=fmt))
+        out.append(FileInfo(source=rel, path=path, size=int(st.getLen()), format=fmt, url=_strip_scheme(str(st.getPath().toUri().toString()))))
     return sorted(out, key=lambda f: f.source)
 
 
@@ -202,25 +253,6 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None,
 HEADER_THREADS = 16
 
 
-def _first_record(spark: SparkSession, path: str, multiline: bool) -> str | None:
-    """A CSV file's first record: its first line, or more while a quote is open."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 65536)
-        record = reader.readLine()
-        while multiline and record is not None and record.count('"') % 2:
-            more = reader.readLine()
-            if more is None:
-                break
-            record = f"{record}\n{more}"
-        return record
-    finally:
-        stream.close()
-
-
 def header_names(record: str | None, sep: str) -> list[str] | None:
     """Column names of a CSV header record (byte order mark removed, quotes resolved)."""
     import csv
@@ -239,15 +271,6 @@ def _safe_call(fn, *args):
         return None, f"cannot read file: {e}"
 
 
-def read_headers(spark: SparkSession, paths: list[str], sep: str = ";", multiline: bool = True) -> dict[str, tuple]:
-    """path -> (header names, error), reading only the first record of each file."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-        heads = list(pool.map(lambda p: _safe_call(lambda: header_names(_first_record(spark, p, multiline), sep)), paths))
-    return dict(zip(paths, heads))
-
-
 # The 4-byte marker at both ends of every Parquet file.
 PARQUET_MAGIC = b"PAR1"
 
@@ -303,50 +326,79 @@ def parquet_schemas(spark: SparkSession, infos: list[FileInfo]) -> dict[str, tup
     return out
 
 
+# Fixed value: bytes of the UTF-8 byte order mark, which Spark's line reader leaves out.
+BYTE_ORDER_MARK = 3
+
+
+def _skipped(f: FileInfo, facts) -> int:
+    """Bytes before the first line that a scan saw."""
+    return BYTE_ORDER_MARK if facts["n_bytes"] < f.size else 0
+
+
+def _csv_facts(f: FileInfo, facts, sep: str) -> FileInfo:
+    """What the scan found out about a CSV file."""
+    out = FileInfo(f.source, f.path, f.size, [], f.format, url=f.url, rows=0)
+    if not f.size:
+        return out
+    if facts is None or facts["n_bytes"] < f.size - BYTE_ORDER_MARK:
+        out.error = f"cannot read file: {facts['n_bytes'] if facts else 0} of {f.size} bytes were read"
+        return out
+    if facts["open_offset"] is not None:
+        at = facts["open_offset"] + _skipped(f, facts)
+        out.error = f"a quote is never closed: in record {facts['open_record']}, which starts at byte {at}"
+        out.rows = None
+    if facts["header"] is not None:
+        names, error = _safe_call(header_names, facts["header"].rstrip(b"\r").decode("utf-8", "replace"), sep)
+        out.columns, out.rows = list(names or []), facts["n_records"] - 1 if out.rows is not None else None
+        out.error = out.error or error or column_names_error(out.columns)
+    return out
+
+
 def read_csv_files(spark: SparkSession, root: str, infos: list[FileInfo], sep: str = ";",
                    keep_corrupt: bool = True, multiline: bool = True) -> Dataset:
     """Read the CSV files of ``infos`` as one Dataset.
 
-    Files are grouped by header (read from each file's first record) and every
-    group is read with its own all-string schema, so columns are matched by
-    name, never by position. ``Dataset.rows_of`` re-reads only the requested
-    files.
+    Files are grouped by header and every group is read with its own
+    all-string schema, so columns are matched by name, never by position. Rows
+    carry their record number and byte offset (``RECORD``, ``OFFSET``); with
+    ``keep_corrupt`` the text of a record with the wrong number of fields
+    (``CORRUPT``). ``Dataset.rows_of`` re-reads only the requested files.
     """
     csv = [f for f in infos if f.format == "csv"]
-    if keep_corrupt:
-        # a row with the wrong number of fields is only flagged when the
-        # parser sees every token (parser-level column pruning hides it)
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    heads = read_headers(spark, [f.path for f in csv if (f.size or 0) > 0], sep, multiline)
-    groups: dict[tuple, list[str]] = {}
-    out_infos = []
-    for f in csv:
-        cols, err = heads.get(f.path, (None, None))
-        err = err or column_names_error(cols or [])
-        out_infos.append(FileInfo(f.source, f.path, f.size, list(cols or []), f.format, err))
-        if cols and not err:
-            groups.setdefault(tuple(cols), []).append(f.path)
-    src_of = {f.path: f.source for f in csv}
+    filled = [f for f in csv if f.size]
+    starts, facts = None, {}
+    if filled:
+        csvscan.fixed_ranges(spark)
+        starts = csvscan.range_starts(spark, [f.path for f in filled], sep, multiline)
+        facts = {_strip_scheme(r["path"]): r for r in starts.filter(F.col("n_ranges").isNotNull()).collect()}  # one row per file
+    out_infos = [_csv_facts(f, facts.get(f.url), sep) for f in csv]
+    groups: dict[tuple, list[FileInfo]] = {}
+    for f in out_infos:
+        if f.columns and not f.error:
+            groups.setdefault(tuple(f.columns), []).append(f)
     prefix = common_prefix(csv)
 
-    def read_group(header: tuple, paths: list[str]) -> DataFrame:
-        fields = [T.StructField(c, T.StringType()) for c in header]
-        if keep_corrupt:
-            fields.append(T.StructField(CORRUPT, T.StringType()))
-        reader = (spark.read.schema(T.StructType(fields)).option("header", "true").option("sep", sep)
-                  .option("mode", "PERMISSIVE").option("enforceSchema", "true")
-                  .option("escape", '"').option("multiLine", str(multiline).lower()))
-        if keep_corrupt:
-            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        return reader.csv(paths).withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root, prefix))
+    def read_group(header: tuple, some: list[FileInfo]) -> DataFrame:
+        n_ranges = sum(facts[f.url]["n_ranges"] for f in some)
+        spanning = [f.path for f in some if facts[f.url]["spans"]]
+        rows = csvscan.records(spark, [f.path for f in some], starts, n_ranges, spanning, sep, multiline).filter("number > 0")
+        # neutral names while parsing: a header may hold any character
+        kinds = ", ".join([*(f"c{k} string" for k in range(len(header))), "bad string"])
+        text = F.when(F.endswith("text", F.lit("\r")), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
+        parsed = F.from_csv(text, kinds, {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+        marked = [f.source for f in some if _skipped(f, facts[f.url])]
+        source = relative_path(F.col("path"), root, prefix)
+        offset = F.col("offset") + F.when(source.isin(marked), BYTE_ORDER_MARK).otherwise(0) if marked else F.col("offset")
+        rows = rows.select(parsed.alias("r"), "number", offset.alias("offset"), source.alias(SOURCE))
+        bad = [F.col("r.bad").alias(CORRUPT)] if keep_corrupt else []
+        return rows.select(*[F.col(f"r.c{k}").alias(c) for k, c in enumerate(header)], *bad, F.col("number").alias(RECORD), F.col("offset").alias(OFFSET),
+                           SOURCE)
 
     def rows_of(sources: list[str]) -> DataFrame:
         wanted = set(sources)
-        parts = [read_group(h, mine) for h, ps in groups.items()
-                 if (mine := [p for p in ps if src_of[p] in wanted])]
-        return union_by_name(parts, spark)
+        return union_by_name([read_group(h, mine) for h, some in groups.items() if (mine := [f for f in some if f.source in wanted])], spark)
 
-    df = union_by_name([read_group(h, p) for h, p in groups.items()], spark)
+    df = union_by_name([read_group(h, some) for h, some in groups.items()], spark)
     return Dataset(df=df, files=files_frame(spark, out_infos), reader=rows_of, infos=out_infos)
 
 
@@ -356,7 +408,7 @@ def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) ->
     out_infos, groups = [], {}
     for f in pq:
         cols, err = schemas[f.path]
-        out_infos.append(FileInfo(f.source, f.path, f.size, [c for c, _ in cols or []], f.format, err))
+        out_infos.append(FileInfo(f.source, f.path, f.size, [c for c, _ in cols or []], f.format, err, f.url))
         if not err:  # unreadable files stay out of the Spark read
             groups.setdefault(tuple(sorted(cols)), []).append(f.path)
     src_of = {f.path: f.source for f in pq}
@@ -364,7 +416,8 @@ def read_parquet_files(spark: SparkSession, root: str, infos: list[FileInfo]) ->
 
     def read(paths: list[str]) -> DataFrame:
         wanted = set(paths)
-        parts = [spark.read.parquet(*mine).withColumn(SOURCE, relative_path(F.col("_metadata.file_path"), root, prefix))
+        parts = [spark.read.parquet(*map(csvscan.escape_glob, mine))
+                 .select("*", relative_path(F.col("_metadata.file_path"), root, prefix).alias(SOURCE), (F.col("_metadata.row_index") + 1).alias(RECORD))
                  for ps in groups.values() if (mine := [p for p in ps if p in wanted])]
         return union_by_name(parts, spark)
 
@@ -385,7 +438,7 @@ def read_drop(spark: SparkSession, root: str, glob: str | None = None, sep: str
     infos = list_file_infos(spark, root, glob, recursive)
     parts = [read_csv_files(spark, root, infos, sep, multiline=multiline), read_parquet_files(spark, root, infos)]
     df = union_by_name([p.df for p in parts], spark)
-    other = [FileInfo(f.source, f.path, f.size, [], f.format) for f in infos if f.format is None]
+    other = [FileInfo(f.source, f.path, f.size, [], f.format, url=f.url) for f in infos if f.format is None]
     all_infos = sorted(parts[0].infos + parts[1].infos + other, key=lambda f: f.source)
 
     def rows_of(sources: list[str]) -> DataFrame:
@@ -399,7 +452,7 @@ def typed(df: DataFrame, schema: dict[str, str]) -> DataFrame:
 
     Run ``column_types`` first to report the values that do not cast.
     """
-    casts = {c: F.col(c).try_cast(t) for c, t in schema.items() if c in df.columns}
+    casts = {c: col(c).try_cast(t) for c, t in schema.items() if c in df.columns}
     return df.withColumns(casts) if casts else df
 
 
@@ -415,7 +468,7 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
         return {}
     aggs = []
     for c in cols:
-        v = F.col(c)
+        v = col(c)
         aggs.append(F.count_if(v.isNotNull() & v.try_cast("long").isNull()).alias(f"{c}__l"))
         aggs.append(F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias(f"{c}__d"))
         aggs.append(F.count(v).alias(f"{c}__n"))
