@@ -29,5 +29,9 @@ class AllFilesFailedError(DropgateError):
     """Every file of a step failed."""
 
 
+class UndeliveredRowsError(DropgateError):
+    """The input was not cleared, as not all of its rows are accounted for."""
+
+
 class TableNotFoundError(DropgateError, FileNotFoundError):
     """A named catalog table does not exist."""

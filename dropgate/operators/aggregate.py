@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropgate.errors import RegistryError
+from dropgate.functions.names import col as named, quoted
 
 # The aggregation names a registry may use.
 AGGREGATIONS = {
@@ -32,8 +33,8 @@ def aggregate(df: DataFrame, group_by: list[str], aggregations: dict[str, str],
         fn = AGGREGATIONS.get(how)
         if fn is None:
             raise RegistryError(f"aggregate: unknown aggregation '{how}' for {col}")
-        e = fn(F.col(col))
+        e = fn(named(col))
         if round_to is not None and how in ("sum", "mean"):
             e = F.round(e, round_to)
         exprs.append(e.alias(col))
-    return df.groupBy(*group_by).agg(*exprs)
+    return df.groupBy(*map(quoted, group_by)).agg(*exprs)

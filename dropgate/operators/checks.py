@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropgate.errors import RegistryError
+from dropgate.functions.names import col as named, quoted
 from dropgate.functions.strings import is_null_or_marker
 from dropgate.operators import joins
 from dropgate.operators.messages import msg
@@ -241,7 +242,7 @@ def _sample_frame(ctx: CheckContext, df: DataFrame, key: str) -> DataFrame:
                                              F.lit(s.k).alias("k")))
                      for s in ctx._samples])
     cand = (df.filter(any_bad)
-            .select(key, *[F.col(c).alias(o) for c, o in zip(cols, order)],
+            .select(key, *[named(c).alias(o) for c, o in zip(cols, order)],
                     F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("__t"))
             .select(key, "__t.check", "__t.column", F.col("__t.k").alias("__k"), *order))
     w = Window.partitionBy(key, "check", "column").orderBy(*order)
@@ -260,7 +261,7 @@ def _example_frame(df: DataFrame, key: str, check: str, column: str | None, mask
     then the same partial WindowGroupLimit bounds what reaches each group.
     """
     order = [f"__o{i}" for i in range(len(cols))]
-    d = df.filter(mask).select(key, *[F.col(c).alias(o) for c, o in zip(cols, order)]).distinct()
+    d = df.filter(mask).select(key, *[named(c).alias(o) for c, o in zip(cols, order)]).distinct()
     w = Window.partitionBy(key).orderBy(*order)
     top = (d.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)
            .withColumn("check", F.lit(check)).withColumn("column", F.lit(column).cast("string")))
@@ -341,14 +342,14 @@ def value_range(ctx: CheckContext, params):
         if col not in ctx.columns:
             ctx.static(col, False, msg("column_absent", col=col))
             continue
-        c = F.col(col)
+        c = named(col)
         numeric_bounds = all(isinstance(rng.get(b), (int, float)) for b in ("min", "max") if rng.get(b) is not None)
         if isinstance(ctx.df.schema[col].dataType, T.StringType) and numeric_bounds:
             # raw (CSV) text with numeric bounds: compare as numbers; text
             # that is no number lies in no range and fails.
             # Text bounds (e.g. ISO dates) compare as text.
             c = c.try_cast("double")
-            no_number = F.coalesce(ctx.agg(F.count_if(F.col(col).isNotNull() & c.isNull())), F.lit(0))
+            no_number = F.coalesce(ctx.agg(F.count_if(named(col).isNotNull() & c.isNull())), F.lit(0))
             ctx.finding(col, passed=(~ctx.present(col) | (no_number == 0)), n_bad=no_number,
                         message=F.when(no_number > 0, F.format_string(msg("not_type", col=col, typ="a number"), no_number)),
                         check_name="value_range.number")
@@ -377,7 +378,7 @@ def check_null_values(ctx: CheckContext, params):
         if col not in ctx.columns:
             ctx.static(col, False, msg("column_absent", col=col))
             continue
-        mask = is_null_or_marker(col, markers, ctx.df.schema[col].dataType)
+        mask = is_null_or_marker(named(col), markers, ctx.df.schema[col].dataType)
         n = F.coalesce(ctx.agg(F.count_if(mask)), F.lit(0))
         here = ctx.present(col)
         ctx.finding(col, passed=here & (n == 0), n_bad=n,
@@ -393,7 +394,7 @@ def column_types(ctx: CheckContext, params):
         if col not in ctx.columns:
             ctx.static(col, False, msg("column_absent", col=col))
             continue
-        v = F.col(col)
+        v = named(col)
         bad = v.isNotNull() & v.try_cast(typ).isNull()
         n = F.coalesce(ctx.agg(F.count_if(bad)), F.lit(0))
         here = ctx.present(col)
@@ -417,7 +418,7 @@ def malformed_rows(ctx: CheckContext, params=None):
     data_cols = ctx.columns
     # Spark refuses scans that reference only the corrupt-record column; the
     # parsed-value count of a data column keeps the scan a real one
-    parsed = F.coalesce(ctx.agg(F.count(F.col(data_cols[0]))), F.lit(0)) if data_cols else F.lit(0)
+    parsed = F.coalesce(ctx.agg(F.count(named(data_cols[0]))), F.lit(0)) if data_cols else F.lit(0)
     text = F.format_string(msg("malformed"), n, parsed, F.lit(data_cols[0] if data_cols else ""))
     if RECORD in ctx.df.columns and OFFSET in ctx.df.columns:
         bad = F.col(CORRUPT).isNotNull()
@@ -440,8 +441,8 @@ def hierarchy_violations(df: DataFrame, higher: list[str], lower: list[str],
     higher value, not one row per input row.
     Output: [key] + lower + ``n_higher``.
     """
-    g = ([key] if key else []) + lower
-    combos = df.select(*g, *higher).distinct()
+    g = [quoted(c) for c in ([key] if key else []) + lower]
+    combos = df.select(*g, *map(quoted, higher)).distinct()
     return combos.groupBy(*g).agg(F.count(F.lit(1)).alias("n_higher")).filter(F.col("n_higher") > 1)
 
 
@@ -452,7 +453,7 @@ def check_hierarchy(ctx: CheckContext, params):
     if ctx.absent(higher + lower):
         return
     v = hierarchy_violations(ctx.df, higher, lower, ctx.key)
-    label = F.concat_ws(" - ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null")))
+    label = F.concat_ws(" - ", *[F.concat(F.lit(f"{c}="), F.coalesce(named(c).cast("string"), F.lit("null")))
                                  for c in lower])
     # a file lacking a column is judged on its own columns, not on the union's nulls
     (n,) = ctx.count(v.groupBy(ctx.key).agg(F.count(F.lit(1)).alias("n")))
@@ -477,9 +478,9 @@ def missing_ids(df: DataFrame, id_col: str, master: DataFrame, master_col: str,
     Both sides are de-duplicated before the join, which removes any key skew.
     """
     g = ([key] if key else [])
-    ids = df.select(*g, F.col(id_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()).distinct()
+    ids = df.select(*g, named(id_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()).distinct()
     m = joins.broadcast_distinct(
-        master.select(F.col(master_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()))
+        master.select(named(master_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()))
     return ids.join(m, "missing_id", "left_anti")
 
 
@@ -524,8 +525,8 @@ def key_overlap(left: DataFrame, right: DataFrame, key_columns: list[str],
     distinct key set is proven small.
     """
     g = [key] if key else []
-    lk = left.select(*g, *key_columns).distinct()
-    rk = joins.broadcast_distinct(right.select(*key_columns)).withColumn(HIT, F.lit(True))
+    lk = left.select(*g, *map(quoted, key_columns)).distinct()
+    rk = joins.broadcast_distinct(right.select(*map(quoted, key_columns))).withColumn(HIT, F.lit(True))
     j = lk.join(rk, key_columns, "left")
     agg = [F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col(HIT)).alias("n_matched"),
            F.count_if(F.col(HIT).isNull()).alias("n_unmatched")]
@@ -573,7 +574,7 @@ def duplicate_row_count(df: DataFrame, columns: list[str], key: str | None = Non
     each task. Output: [key] + dup_count.
     """
     g = [key] if key else []
-    groups = df.groupBy(*g, *columns).agg(F.count(F.lit(1)).alias(N_SAME)).filter(F.col(N_SAME) > 1)
+    groups = df.groupBy(*g, *map(quoted, columns)).agg(F.count(F.lit(1)).alias(N_SAME)).filter(F.col(N_SAME) > 1)
     agg = F.coalesce(F.sum(N_SAME), F.lit(0)).cast("long").alias("dup_count")
     return groups.groupBy(*g).agg(agg) if g else groups.agg(agg)
 

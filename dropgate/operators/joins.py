@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dropgate.functions.names import col as named, quoted
+
 # Prefix of the library's own columns in frames that hold user data; user
 # columns with it are refused when a file is read.
 HIDDEN = "__dg__"
@@ -49,7 +51,7 @@ _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.D
 
 
 def _value_bytes(field: T.StructField) -> Column:
-    c = F.col(field.name)
+    c = named(field.name)
     t = field.dataType
     if isinstance(t, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(c), F.lit(0))
@@ -128,8 +130,8 @@ def _typed_keys(left: DataFrame, right: DataFrame, left_keys: list[str], right_k
     lcols, rcols = [], []
     for lk, rk in zip(left_keys, right_keys, strict=True):
         t = common_key_type(left.schema[lk].dataType, right.schema[rk].dataType)
-        lcols.append(left[lk] if t is None else left[lk].try_cast(t))
-        rcols.append(right[rk] if t is None else right[rk].try_cast(t))
+        lcols.append(left[quoted(lk)] if t is None else left[quoted(lk)].try_cast(t))
+        rcols.append(right[quoted(rk)] if t is None else right[quoted(rk)].try_cast(t))
     return lcols, rcols
 
 
@@ -165,7 +167,7 @@ def left_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key
     rk = [f"{HIDDEN}rk{i}" for i in range(len(right_keys))]
     lcols, rcols = _typed_keys(left, right, left_keys, right_keys)
     r = right.select(*[c.alias(a) for c, a in zip(rcols, rk)],
-                     *[c for c in right.columns if c not in right_keys])
+                     *[quoted(c) for c in right.columns if c not in right_keys])
     r = r.filter(all_not_null(rk))
     r_small, is_small = maybe_broadcast(r, max_broadcast_rows)
     if is_small:
@@ -180,7 +182,7 @@ def left_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key
     # replicated once per salt value. Other keys keep salt 0. Both sides pick
     # the hot keys by the hash of the same typed values.
     lk = [f"{HIDDEN}lk{i}" for i in range(len(left_keys))]
-    row_hash = F.xxhash64(*[left[c] for c in left.columns])
+    row_hash = F.xxhash64(*[left[quoted(c)] for c in left.columns])
     l2 = left.select("*", *[c.alias(a) for c, a in zip(lcols, lk)],
                      F.when(F.xxhash64(*lcols).isin(hot), F.pmod(row_hash, F.lit(SALT_BUCKETS)))
                      .otherwise(F.lit(0)).cast("long").alias(f"{HIDDEN}salt"))

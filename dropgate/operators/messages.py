@@ -38,6 +38,8 @@ MESSAGES = {
     "no_case": "choose upper or lower case",
     "no_table": "reference table '{table}' does not exist",
     "transform_failed": "transform '{name}' failed: {err}",
+    "not_landed": "only {n} of the {all} records counted in the file were landed",
+    "not_cleared": "the input stays: fewer rows were delivered than came in",
     "no_pattern": "no registry pattern matches ",
     "many_patterns": "several registry patterns match ",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dropgate.functions.names import col as named
 from dropgate.operators import joins
 
 
@@ -14,18 +15,18 @@ def new_ids(ids: DataFrame, existing: DataFrame | None, id_col: str, out_col: st
     ``distinct`` runs map-side first, so a hot id costs one row per task; the
     known ids are de-duplicated too and broadcast only under a proven bound.
     """
-    d = ids.select(F.col(id_col).alias(out_col)).filter(F.col(out_col).isNotNull()).distinct()
+    d = ids.select(named(id_col).alias(out_col)).filter(named(out_col).isNotNull()).distinct()
     if existing is None:
         return d
-    known = joins.broadcast_distinct(existing.select(F.col(existing.columns[0]).alias(out_col)))
+    known = joins.broadcast_distinct(existing.select(named(existing.columns[0]).alias(out_col)))
     return d.join(known, out_col, "left_anti")
 
 
 def snapshot_union(ids: DataFrame, existing: DataFrame | None, id_col: str, out_col: str = "id") -> DataFrame:
     """The snapshot after adding ``ids``: existing ids ∪ new ids (distinct)."""
-    d = ids.select(F.col(id_col).alias(out_col)).filter(F.col(out_col).isNotNull())
+    d = ids.select(named(id_col).alias(out_col)).filter(named(out_col).isNotNull())
     if existing is not None:
-        d = d.unionByName(existing.select(F.col(existing.columns[0]).alias(out_col)))
+        d = d.unionByName(existing.select(named(existing.columns[0]).alias(out_col)))
     return d.distinct()
 
 
@@ -57,7 +58,7 @@ def append_all(catalog, table: str, frames: list[tuple[DataFrame, str]], version
     out_col = frames[0][1]
     ids = None
     for df, col in frames:
-        one = df.select(F.col(col).alias(out_col))
+        one = df.select(named(col).alias(out_col))
         ids = one if ids is None else ids.unionByName(one)
     delta = new_ids(ids, existing, out_col, out_col=out_col)
     catalog.write_version(table, delta, version)

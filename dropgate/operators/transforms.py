@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from dropgate.errors import RegistryError, TransformError
 from dropgate.functions import arithmetic
+from dropgate.functions.names import col as named, quoted
 from dropgate.functions.strings import strip_whitespace as strip_ws
 from dropgate.operators import joins
 from dropgate.operators.messages import msg
@@ -110,7 +111,7 @@ def enrich(df: DataFrame, mapping: DataFrame, df_join_column, mapping_key_column
     _require(df, lk, "join key: ")
     _require(mapping, rk + list(columns_to_add), "mapping: ")
     out_names = {c: (f"{c}_right" if c in df.columns else c) for c in columns_to_add}
-    sel = [F.col(c) for c in rk] + [F.col(c).alias(out_names[c]) for c in columns_to_add if c not in rk]
+    sel = [named(c) for c in rk] + [named(c).alias(out_names[c]) for c in columns_to_add if c not in rk]
     if hit_column:
         sel.append(F.lit(True).alias(hit_column))
     right = mapping.select(*sel)
@@ -135,7 +136,7 @@ def enrich_with_mapping(df: DataFrame, ctx: TransformContext, mapping_file: str,
         first = columns_to_add[0] if columns_to_add[0] not in df.columns else f"{columns_to_add[0]}_right"
         copies = {k: ctx.hidden("key") for k in keys}
         empty = ctx.hidden("empty")
-        out = out.withColumns({c: F.col(k) for k, c in copies.items()} | {empty: F.col(first).isNull()})
+        out = out.withColumns({c: named(k) for k, c in copies.items()} | {empty: named(first).isNull()})
         name = ctx.name
 
         def declare(r: CheckContext) -> None:
@@ -167,7 +168,7 @@ def strings_strip_whitespace(df: DataFrame, ctx: TransformContext, columns: list
     if not strip_whitespace:
         return df
     present = [c for c in _as_list(columns) if c in df.columns]  # absent columns skipped
-    return df.withColumns({c: strip_ws(c) for c in present}) if present else df
+    return df.withColumns({c: strip_ws(named(c)) for c in present}) if present else df
 
 
 @transform
@@ -179,7 +180,7 @@ def case_transform(df: DataFrame, ctx: TransformContext, columns: list[str],
         raise TransformError(msg("no_case"))
     fn = F.upper if to_uppercase else F.lower
     present = [c for c in _as_list(columns) if c in df.columns]
-    return df.withColumns({c: fn(F.col(c)) for c in present}) if present else df
+    return df.withColumns({c: fn(named(c)) for c in present}) if present else df
 
 
 @transform
@@ -206,7 +207,7 @@ def multiply_columns(df: DataFrame, ctx: TransformContext, columns_to_multiply:
 
 def _ints_as_long(df: DataFrame, cols: list[str]) -> list:
     types = {f.name: f.dataType for f in df.schema.fields}
-    return [F.col(c).cast("long") if isinstance(types[c], SMALL_INT) else F.col(c) for c in cols]
+    return [named(c).cast("long") if isinstance(types[c], SMALL_INT) else named(c) for c in cols]
 
 
 @transform
@@ -239,7 +240,7 @@ def divide_columns(df: DataFrame, ctx: TransformContext, numerator_column: str,
                    denominator_column: str, output_column: str) -> DataFrame:
     _require(df, [numerator_column, denominator_column])
     _numeric(df, [numerator_column, denominator_column])
-    return df.withColumn(output_column, arithmetic.safe_divide(numerator_column, denominator_column))
+    return df.withColumn(output_column, arithmetic.safe_divide(quoted(numerator_column), quoted(denominator_column)))
 
 
 # --------------------------------------------------------------------------
@@ -250,7 +251,7 @@ def divide_columns(df: DataFrame, ctx: TransformContext, numerator_column: str,
 def drop_columns(df: DataFrame, ctx: TransformContext, columns: list[str]) -> DataFrame:
     cols = _as_list(columns)
     _require(df, cols)  # Spark's drop ignores unknown names; the rule is strict
-    return df.drop(*cols)
+    return df.select(*[named(c) for c in df.columns if c not in cols])
 
 
 @transform
@@ -274,14 +275,14 @@ def filter_rows(df: DataFrame, ctx: TransformContext, column: str, operator: str
     op = FILTER_OPERATORS.get(operator)
     if op is None:
         raise TransformError(f"unsupported operator '{operator}'; use one of {sorted(FILTER_OPERATORS)}")
-    return df.filter(op(F.col(column), value))
+    return df.filter(op(named(column), value))
 
 
 @transform
 def drop_nulls(df: DataFrame, ctx: TransformContext, subset: list[str] | None = None) -> DataFrame:
     cols = _as_list(subset) or [c for c in df.columns if not c.startswith(joins.HIDDEN) and c != ctx.key]
     _require(df, cols)
-    return df.dropna(how="any", subset=cols)
+    return df.filter(joins.all_not_null([quoted(c) for c in cols])) if cols else df
 
 
 # --------------------------------------------------------------------------
@@ -297,7 +298,7 @@ def save_inventory_snapshot(df: DataFrame, ctx: TransformContext, snapshot_file:
     # written once per table and run, when all patterns' outputs exist; the
     # ids are copied, as later steps may rename or drop the column
     ids = ctx.hidden("id")
-    out = df.withColumn(ids, F.col(product_id_column))
+    out = df.withColumn(ids, named(product_id_column))
     ctx.snapshots.append((snapshot_file, product_id_column, ids, out))
     return out
 
@@ -418,7 +419,7 @@ def apply_chain(df: DataFrame, spec: list[dict], ctx: TransformContext) -> tuple
 
 def distinct_examples(df: DataFrame, key: str, cols: list[str], mask, k: int = SAMPLE_SIZE) -> DataFrame:
     """Up to k distinct example values of ``cols`` per key where ``mask`` holds."""
-    d = df.filter(mask).select(key, *cols).distinct()
-    w = Window.partitionBy(key).orderBy(*cols)
+    d = df.filter(mask).select(key, *map(quoted, cols)).distinct()
+    w = Window.partitionBy(key).orderBy(*map(quoted, cols))
     rn = f"{joins.HIDDEN}rn"
     return d.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= k).drop(rn)

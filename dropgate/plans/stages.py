@@ -26,12 +26,13 @@ import re
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dropgate.errors import AllFilesFailedError, NoInputFilesError, RegistryError
+from dropgate.errors import AllFilesFailedError, NoInputFilesError, RegistryError, UndeliveredRowsError
 from dropgate.functions.globs import glob_regex
+from dropgate.functions.names import col as named, quoted
 from dropgate.operators import checks as C
 from dropgate.operators.aggregate import aggregate
 from dropgate.operators.routing import routing_findings
@@ -42,7 +43,7 @@ from dropgate.operators.transforms import TransformContext, apply_chain, keeps_r
 from dropgate.plans.findings import FINDINGS_SCHEMA, conform, union_all, write_reports
 from dropgate.plans.registry import Registry
 from dropgate.sources.catalog import Catalog, resolve_run
-from dropgate.sources.files import CORRUPT, SOURCE, Dataset, FileInfo, files_frame, read_drop, typed, union_by_name
+from dropgate.sources.files import CORRUPT, CSV_WRITE, SOURCE, Dataset, FileInfo, files_frame, read_drop, typed, union_by_name
 
 # Partition columns of the library's own tables; user columns cannot have the prefix.
 PATTERN = f"{HIDDEN}pattern"
@@ -124,17 +125,22 @@ def own_columns(df: DataFrame, infos: list[FileInfo]) -> DataFrame:
 
     The rows of a step are one union over files of several layouts; before
     a pattern's rules run, its rows are narrowed back to its files' columns
-    (plus ``_source_file`` and hidden report columns).
+    (plus ``_source_file`` and hidden report columns). The union holds columns
+    that differ only in case as one; here they get their files' spelling back
+    (the first one, if these files differ among themselves).
     """
-    names = {c for f in infos for c in (f.columns or [])}
-    return df.select(*[c for c in df.columns if c in names or c == SOURCE or c.startswith(HIDDEN)])
+    names: dict[str, str] = {}
+    for f in infos:
+        for c in f.columns or []:
+            names.setdefault(c.lower(), c)
+    return df.select(*[named(c).alias(names.get(c.lower(), c)) for c in df.columns if c.lower() in names or c == SOURCE or c.startswith(HIDDEN)])
 
 
-def _by_layout(infos: list[FileInfo]) -> list[list[FileInfo]]:
-    """Files grouped by their set of columns (order ignored), in first-seen order."""
+def _by_layout(infos: list[FileInfo], any_case: bool = False) -> list[list[FileInfo]]:
+    """Files grouped by their set of columns (order ignored, with ``any_case`` the case too), in first-seen order."""
     groups: dict[frozenset, list[FileInfo]] = {}
     for f in infos:
-        groups.setdefault(frozenset(f.columns or []), []).append(f)
+        groups.setdefault(frozenset(c.lower() if any_case else c for c in f.columns or []), []).append(f)
     return list(groups.values())
 
 
@@ -203,6 +209,7 @@ class Preboarding:
         self._folders: dict[str, dict[str, str]] = {}
         self._cleared: set[str] = set()
         self._group_column: dict[str, str] = {}
+        self._observed: dict[str, list[Observation]] = {}
 
     # ------------------------------------------------------------ paths / io
     def staging(self, step: str) -> str:
@@ -227,8 +234,16 @@ class Preboarding:
     @property
     def _csv_options(self) -> dict[str, str]:
         """Values are written as they are: quotes doubled, blanks at the ends kept."""
-        return {"header": "true", "sep": self.sep, "escape": '"',
-                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        return {**CSV_WRITE, "sep": self.sep}
+
+    def _counted(self, step: str, df: DataFrame) -> DataFrame:
+        """``df``, with its rows counted while the step writes them (no pass of its own)."""
+        seen = Observation()
+        self._observed.setdefault(step, []).append(seen)
+        return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    def rows_written(self, step: str) -> int:
+        return sum(o.get["n"] for o in self._observed.get(step, []))
 
     def _fresh(self, step: str) -> None:
         """Empty the step's folder once, so nothing of an earlier attempt stays beside its output."""
@@ -243,10 +258,11 @@ class Preboarding:
         self._fresh(step)
         if not keep_hidden:
             df = df.drop(*[c for c in df.columns if c.startswith(HIDDEN)])
+        w = self._counted(step, df).write.mode("overwrite")
         if step == self._final_step and self.delivery_format == "csv":
-            df.write.mode("overwrite").options(**self._csv_options).csv(self._group_path(step, group))
+            w.options(**self._csv_options).csv(self._group_path(step, group))
         else:
-            df.write.mode("overwrite").parquet(self._group_path(step, group))
+            w.parquet(self._group_path(step, group))
         cols = [c for c in df.columns if c != SOURCE and not c.startswith(HIDDEN)]
         self._written.setdefault(step, {})[self._folder(step, group)] = (sorted(sources), cols)
 
@@ -403,7 +419,7 @@ class Preboarding:
         # small broadcast table keyed by its file. A target that gets files of
         # several layouts has a folder for each, so no write replaces another.
         layouts: dict[str, int] = {}
-        for infos in _by_layout(moving):
+        for infos in _by_layout(moving, any_case=True):  # one folder must be readable as one table
             mine = {targets[match[f.source]] for f in infos}
             for t in mine:
                 layouts[t] = layouts.get(t, 0) + 1
@@ -417,7 +433,7 @@ class Preboarding:
             rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
             rows = rows.drop(*[c for c in rows.columns if c.startswith(HIDDEN)])
             out = (rows.join(keymap, SOURCE).withColumn(SOURCE, F.col(RENAMED)).drop(RENAMED))
-            w = out.write.mode("append").partitionBy(group_col)
+            w = self._counted(step, out).write.mode("append").partitionBy(group_col)
             if step == self._final_step and self.delivery_format == "csv":
                 w.options(**self._csv_options).csv(self.staging(step))
             else:
@@ -539,13 +555,15 @@ class Preboarding:
         outs = []
         for i, p in enumerate(patterns):
             rules = registry.rules(p)
-            layouts = _by_layout(self._pattern_files(ds, match, i))  # as in transform()
-            for j, infos in enumerate(layouts):
-                group = p if len(layouts) == 1 else f"{p}#{j + 1}"
+            needed = list(dict.fromkeys([*rules["group_by"], *rules["aggregations"]]))
+            parts, members = [], []
+            for infos in _by_layout(self._pattern_files(ds, match, i)):  # as in transform()
                 rows = own_columns(ds.rows_of([f.source for f in infos]), infos)
                 try:
-                    outs.append((group, aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"])),
-                                 infos))
+                    aggregate(rows, list(rules["group_by"]), dict(rules["aggregations"]))
+                    # all layouts that have the columns are one group-by
+                    parts.append(rows.select(*map(quoted, needed)))
+                    members += infos
                     ok, err = True, None
                 except RegistryError as e:
                     ok, err = False, str(e)
@@ -554,6 +572,8 @@ class Preboarding:
                     F.lit("fail").alias("severity"), F.lit(ok).alias("passed"),
                     F.lit(0 if ok else 1).cast("long").alias("n_bad"), F.lit(err).cast("string").alias("message"),
                     F.lit(None).cast("array<string>").alias("samples")))
+            if parts:
+                outs.append((p, aggregate(union_by_name(parts, self.spark), list(rules["group_by"]), dict(rules["aggregations"])), members))
         findings, passed = self._record(frames, step)
         for p, out, infos in outs:
             ok = [f.source for f in infos if f.source in passed]
@@ -561,7 +581,8 @@ class Preboarding:
                 out = keep_sources(self.spark, out, ok, len(infos))
                 self._write_group(step, p, out, ok)
             elif ok:
-                self._write_group(step, p, out.withColumn(SOURCE, F.lit(_safe(p))), [_safe(p)])
+                name = self._folder(step, p)  # two patterns may reduce to the same readable name
+                self._write_group(step, p, out.withColumn(SOURCE, F.lit(name)), [name])
         return self._finish(step, findings, ds, passed)
 
     # ------------------------------------------------------------ bookkeeping
@@ -624,6 +645,7 @@ class Preboarding:
                 self.spark.conf.unset(key)
             else:
                 self.spark.conf.set(key, before)
+        self._close_landing(ds, path)
         keep_files(self.spark, ds.infos, path)
         # declared schema: a landing without any row has no file to read one from
         kinds = T.StructType([*ds.df.schema.fields, T.StructField(PATTERN, T.IntegerType())])
@@ -643,6 +665,27 @@ class Preboarding:
 
         return Dataset(df=landed.drop(PATTERN), files=ds.files, reader=rows_of, infos=ds.infos)
 
+    def _close_landing(self, ds: Dataset, path: str) -> None:
+        """A file whose landed rows are not the records that were counted in it fails as unreadable."""
+        counted = {f.source: f.rows for f in ds.infos if f.rows is not None and not f.error}
+        if not any(counted.values()):
+            return
+        landed = {r[SOURCE]: r["n"] for r in self.spark.read.schema(f"{SOURCE} string").parquet(path)
+                  .groupBy(SOURCE).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per file, as the file table
+        for f in ds.infos:
+            if f.source in counted and landed.get(f.source, 0) != counted[f.source]:
+                f.error = msg("not_landed", n=landed.get(f.source, 0), all=counted[f.source])
+
+    def _delivered(self, ds: Dataset, out: StepOutput, regs: list) -> bool:
+        """Whether the last step wrote as many rows as came in with its passing files.
+
+        Steps that drop or merge rows by design (row filters, aggregations) have no such count.
+        """
+        name, kind, reg = regs[-1]
+        if kind == "aggregate" or kind == "transform" and not all(keeps_rows(reg.rules(p).get("transforms", [])) for p in reg.patterns):
+            return True
+        return self.rows_written(name) >= ds.rows_of(out.passed).count()
+
     def clear_input(self, input_root: str) -> int:
         """(R4, R7) remove the input files once the run is delivered; returns count.
 
@@ -663,7 +706,9 @@ class Preboarding:
         """Run ``steps`` = [(step name, kind, registry)] over the files in ``input_root``.
 
         ``clear_input`` removes the input files after the last step
-        delivered (not when a step failed for all files). ``restore_from`` (a
+        delivered (not when a step failed for all files). Files that could not
+        be read stay, and nothing is removed (``UndeliveredRowsError``) when the
+        last step wrote fewer rows than its files brought. ``restore_from`` (a
         run id or negative index) takes the input from that run's backup below
         ``backup_root`` instead of ``input_root``, files without rows included.
         Each file's report is written below ``reports`` at the end.
@@ -677,13 +722,14 @@ class Preboarding:
         else:
             ds = read_drop(self.spark, input_root, sep=self.sep, multiline=self.multiline)
             self._input_paths = [f.path for f in ds.infos if f.path]
+        ds_in = ds
         has_csv = any(f.format == "csv" for f in ds.infos)
         if (has_csv or backup_root) and regs and restore_from is None:
             # land once: CSV is parsed a single time; the landing is the backup
             path = (f"{backup_root.rstrip('/')}/run_id={self.run_id}" if backup_root
                     else f"{self.root}/staging/run_id={self.run_id}/_landing")
             ds = self.land(ds, regs[0][2].patterns, path)
-        completed = True
+        completed, source_ds = True, ds
         last = len(regs) - 1
         self._final_step = regs[-1][0] if regs else None
         for k, (name, kind, reg) in enumerate(regs):
@@ -691,6 +737,7 @@ class Preboarding:
             # the last step's output is the delivery and is written; earlier
             # validation / routing steps change no values and stay lazy views
             final = k == last
+            source_ds = ds
             try:
                 if kind == "validate":
                     out = self.validate(ds, reg, name, materialize=final)
@@ -711,7 +758,12 @@ class Preboarding:
                 # transformed rows of failing files were written for their report
                 ds = self.read_step(name, only=out.passed if kind == "transform" else None)
         write_reports(self.findings(), self.reports_path)
-        if clear_input and completed:
+        if clear_input and completed and regs:
+            if not self._delivered(source_ds, out, regs):
+                raise UndeliveredRowsError(msg("not_cleared"))
+            # files that could not be read hold rows that went nowhere
+            unread = {f.path for f in ds_in.infos if f.error}
+            self._input_paths = [p for p in self._input_paths if p not in unread]
             self.clear_input(input_root)
         return self.outputs
 

@@ -38,6 +38,7 @@ DEFAULT_CONF = {
     # are smaller than Spark's default.
     "spark.sql.files.minPartitionNum": "1",
     "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.files.openCostInBytes": "8m",
 }
 
 

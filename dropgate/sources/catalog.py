@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from dropgate.errors import TableNotFoundError
+from dropgate.functions.names import col as named
+from dropgate.sources.files import CSV_READ, CSV_WRITE
 
 
 @dataclass
@@ -73,7 +75,7 @@ class Catalog:
     def _resolve(self, spec: TableSpec) -> DataFrame:
         r = self.spark.read
         if spec.format == "csv":
-            opts = {"header": "true", "sep": ";", **spec.options}
+            opts = {**CSV_READ, "sep": ";", **spec.options}
             df = r.options(**opts).csv(spec.path)
         else:
             df = r.options(**spec.options).format(spec.format).load(spec.path)
@@ -83,7 +85,7 @@ class Catalog:
                                         for f in df.schema.fields])
                 df = r.schema(as_text).options(**spec.options).format(spec.format).load(spec.path)
         if spec.schema:
-            df = df.withColumns({c: F.col(c).try_cast(t) for c, t in spec.schema.items() if c in df.columns})
+            df = df.withColumns({c: named(c).try_cast(t) for c, t in spec.schema.items() if c in df.columns})
         return df
 
     def read(self, name: str, version: str | None = None) -> DataFrame:
@@ -122,7 +124,7 @@ class Catalog:
         self._forget(spec)
         w = df.write.mode(mode)
         if spec.format == "csv":
-            w.options(header="true", sep=";", **spec.options).csv(spec.path)
+            w.options(**{**CSV_WRITE, "sep": ";", **spec.options}).csv(spec.path)
         else:
             w.format(spec.format).save(spec.path)
 

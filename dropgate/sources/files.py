@@ -44,6 +44,10 @@ CORRUPT = f"{HIDDEN}corrupt"
 RECORD = f"{HIDDEN}record"  # number of a row in its file, from 1
 OFFSET = f"{HIDDEN}offset"  # byte at which a CSV record starts
 
+# How the library reads named CSV tables and writes CSV: quotes doubled, values as they are.
+CSV_READ = {"header": "true", "escape": '"', "multiLine": "true"}
+CSV_WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 # File suffix -> reader format.
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}
 
