@@ -29,6 +29,10 @@ class AllFilesFailedError(DropgateError):
     """Every file of a step failed."""
 
 
+class ConcurrentWriteError(DropgateError):
+    """A published table changed between the read and the write of one writer."""
+
+
 class UndeliveredRowsError(DropgateError):
     """The input was not cleared, as not all of its rows are accounted for."""
 

@@ -8,6 +8,10 @@ Versioned tables are folders of ``version=<id>`` partitions. Each version
 holds only what it added, so "append" never rewrites (or reads while
 overwriting) existing data, and re-running one version overwrites just that
 partition: retries are idempotent.
+
+Tables with ``published=True`` are written aside and shown by a manifest
+(``sources/publish.py``): readers see the state before a write or the one after
+it, also while a write runs or after it died.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql.utils import AnalysisException
 from dropgate.errors import TableNotFoundError
 from dropgate.functions.names import col as named
 from dropgate.sources.files import CSV_READ, CSV_WRITE
+from dropgate.sources.publish import Publication
 
 
 @dataclass
@@ -31,6 +36,7 @@ class TableSpec:
     format: str = "parquet"
     required: bool = False
     versioned: bool = False
+    published: bool = False
     options: dict = field(default_factory=dict)
     schema: dict | None = None
 
@@ -63,6 +69,8 @@ class Catalog:
 
     # -- reads -------------------------------------------------------------
     def _load(self, spec: TableSpec) -> DataFrame:
+        if spec.published:  # others may have published since
+            return self._resolve(spec)
         if spec.path in self._loaded:
             return self._loaded[spec.path]
         df = self._resolve(spec)
@@ -73,17 +81,23 @@ class Catalog:
         self._loaded.pop(spec.path, None)
 
     def _resolve(self, spec: TableSpec) -> DataFrame:
-        r = self.spark.read
+        r, paths = self.spark.read, [spec.path]
+        if spec.published:
+            paths = Publication(self.spark, spec.path).folders()
+            if not paths:
+                raise TableNotFoundError(f"nothing is published at {spec.path}")
+            if spec.versioned:
+                r = r.option("basePath", f"{spec.path.rstrip('/')}/_data")
         if spec.format == "csv":
             opts = {**CSV_READ, "sep": ";", **spec.options}
-            df = r.options(**opts).csv(spec.path)
+            df = r.options(**opts).csv(paths)
         else:
-            df = r.options(**spec.options).format(spec.format).load(spec.path)
+            df = r.options(**spec.options).format(spec.format).load(paths)
             if spec.versioned and "version" in df.columns and not isinstance(df.schema["version"].dataType, T.StringType):
                 # version ids are text: partition type inference would turn 001 into 1
                 as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name == "version" else f.dataType)
                                         for f in df.schema.fields])
-                df = r.schema(as_text).options(**spec.options).format(spec.format).load(spec.path)
+                df = r.schema(as_text).options(**spec.options).format(spec.format).load(paths)
         if spec.schema:
             df = df.withColumns({c: named(c).try_cast(t) for c, t in spec.schema.items() if c in df.columns})
         return df
@@ -109,7 +123,7 @@ class Catalog:
         try:
             self._load(spec)
             return True
-        except AnalysisException:
+        except (AnalysisException, TableNotFoundError):
             return False
 
     def required_tables(self) -> DataFrame:
@@ -122,16 +136,35 @@ class Catalog:
         """(K2) overwrite or append; append adds files, never re-reads."""
         spec = self.spec(name)
         self._forget(spec)
+        if spec.published:
+            table = Publication(self.spark, spec.path)
+            seen, manifest = table.current()
+            before = [f"{table.path}/{f}" for f in manifest["folders"]] if manifest and mode == "append" else []
+            folder = table.folder()
+            self._save(spec, df, folder, "errorifexists")
+            table.publish(seen, [*before, folder])
+        else:
+            self._save(spec, df, spec.path, mode)
+
+    def _save(self, spec: TableSpec, df: DataFrame, path: str, mode: str) -> None:
         w = df.write.mode(mode)
         if spec.format == "csv":
-            w.options(**{**CSV_WRITE, "sep": ";", **spec.options}).csv(spec.path)
+            w.options(**{**CSV_WRITE, "sep": ";", **spec.options}).csv(path)
         else:
-            w.format(spec.format).save(spec.path)
+            w.format(spec.format).save(path)
 
     def write_version(self, name: str, df: DataFrame, version: str) -> None:
         """(K3) write ``df`` as version ``version`` (replaces only that version)."""
         spec = self.spec(name)
         self._forget(spec)
+        if spec.published:
+            table = Publication(self.spark, spec.path)
+            seen, manifest = table.current()
+            others = [f"{table.path}/{f}" for f in (manifest or {"folders": []})["folders"] if f"/version={version}/" not in f]
+            folder = table.folder(f"version={version}")
+            self._save(spec, df, folder, "errorifexists")
+            table.publish(seen, sorted([*others, folder]))
+            return
         (df.write.mode("overwrite").format(spec.format)
          .save(f"{spec.path.rstrip('/')}/version={version}"))
 
@@ -144,7 +177,12 @@ class Catalog:
         from dropgate.sources.files import list_files
 
         spec = self.spec(name)
-        listed = (list_files(self.spark, spec.path)
+        if spec.published:
+            folders = Publication(self.spark, spec.path).folders() or []
+            paths = self.spark.createDataFrame([(f + "/",) for f in folders], "path string")
+        else:
+            paths = list_files(self.spark, spec.path)
+        listed = (paths
                   .select(F.regexp_extract("path", r"/version=([^/]+)/", 1).alias("version"))
                   .filter(F.col("version") != "").distinct())
         counts = self._load(spec).groupBy("version") \

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dropgate.operators import checks as C
 from dropgate.operators import joins
+from dropgate.plans.registry import Registry
 from dropgate.plans.stages import Preboarding, _new_names
 from dropgate.sources.catalog import Catalog, TableSpec
 from dropgate.sources.files import FileInfo, read_drop
@@ -158,3 +159,36 @@ def test_report_counts_survive_later_steps(spark, tmp_root):
         pb, _ = deliver(spark, tmp_root, [("t", "transform", {"*": {"transforms": [enrich, {**later, "order": 2}]}})], cat)
         (f,) = pb.findings().filter("check = 'e' AND n_bad > 0").collect()
         assert f["n_bad"] == 2 and "2 of 3" in f["message"] and f["samples"] == ["2", "3"]
+
+
+def test_short_delivery_keeps_the_input(spark, tmp_root, monkeypatch):
+    """Input is cleared only when the last step wrote what its files brought."""
+    from dropgate.errors import UndeliveredRowsError
+    from dropgate.plans import stages
+    write(tmp_root, "in/a.csv", "x;y\n1;2\n3;4\n")
+    write(tmp_root, "in/b.csv", 'x;y\n1;"2\n')  # never closed
+    steps = [("deliver", "dispatch", {"*.csv": "OUT"})]
+    run = stages.Preboarding(spark, f"{tmp_root}/one", run_id="r")
+    with monkeypatch.context() as m:
+        m.setattr(stages.Preboarding, "rows_written", lambda self, step: 1)
+        with pytest.raises(UndeliveredRowsError):
+            run.run(f"{tmp_root}/in", steps, clear_input=True)
+    assert sorted(os.listdir(f"{tmp_root}/in")) == ["a.csv", "b.csv"]
+    run = stages.Preboarding(spark, f"{tmp_root}/two", run_id="r")
+    run.run(f"{tmp_root}/in", steps, clear_input=True)
+    assert os.listdir(f"{tmp_root}/in") == ["b.csv"]  # the unread file stays
+    assert run.read_step("deliver").df.count() == 2
+
+
+def test_file_with_fewer_landed_rows_fails(spark, tmp_root):
+    from dropgate.plans.stages import Preboarding
+    from dropgate.sources.files import read_drop
+    write(tmp_root, "in/a.csv", "x;y\n1;2\n3;4\n")
+    write(tmp_root, "in/b.csv", "x;y\n5;6\n")
+    ds = read_drop(spark, f"{tmp_root}/in")
+    ds.df = ds.df.filter("x <> '3'")  # a row that gets lost
+    run = Preboarding(spark, f"{tmp_root}/out", run_id="r")
+    landed = run.land(ds, ["*"], f"{tmp_root}/landing")
+    out = run.validate(landed, Registry({"*": {"validators": {"is_empty_dataframe": None}}}, "validate"), "check")
+    assert out.passed == ["b.csv"]
+    assert run.findings().filter("check = 'read_file'").first().message == "only 1 of the 2 records counted in the file were landed"
