@@ -285,6 +285,25 @@ def star_dimension(spark, sf):
     return _star(spark, sf).read("dim")
 
 
+def incremental_backup(spark, sf):
+    """(R5, R6) Orders as six files backed up three times: as they are, unchanged, and with the prices of
+    two files changed. What each run stored, and what it restores."""
+    from dropgate.plans.backups import Backups
+    root = scratch_path(spark, "increments")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.pmod("o_orderkey", F.lit(6)).alias("k"))
+    backups, out = Backups(spark, f"{root}/backups"), None
+    for run, change in (("run1", F.lit(0)), ("run2", F.lit(0)), ("run3", (F.col("k") < 2).cast("int"))):
+        at = f"{root}/{run}"
+        _dealt(o.withColumn("o_totalprice", (F.col("o_totalprice") + change).cast("decimal(20,2)")), "k", "o_orderkey", at)
+        drop = _renamed(spark, at, {f"k={i}": f"orders_{i}.csv" for i in range(6)})
+        got = backups.store(read_drop(spark, drop), run)
+        back = backups.restore(run).groupBy(F.col(SOURCE).alias("file")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("o_totalprice").cast("decimal(20,2)")).cast("double").alias("total"))
+        back = back.select(F.lit(run).alias("run"), "file", "n_rows", "total", F.lit(got["files"]).alias("files_stored"))
+        out = back if out is None else out.union(back)
+    return out
+
+
 def chain_of_types(spark, sf):
     """(U2, S2) Orders in Parquet files whose columns have unlike types: the union has the least type that loses nothing."""
     root = scratch_path(spark, "types")
@@ -316,7 +335,8 @@ def transform_chain_odd_names(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     csv_record_places, unclosed_quotes, odd_file_names, column_case, aggregate_layouts, odd_column_names, sample_record_numbers, formats_listed,
-    tables_present, reports_cleared, missing_functions, published_table, star_joined_back, star_dimension, chain_of_types, transform_chain_odd_names)}
+    tables_present, reports_cleared, missing_functions, published_table, star_joined_back, star_dimension,
+    incremental_backup, chain_of_types, transform_chain_odd_names)}
 
 _NAMES = ", ".join("'" + n.rsplit("/", 1)[-1] + "'" for n in ODD_NAMES)
 
@@ -367,6 +387,10 @@ ORACLE_SQL = {
       SELECT key, o_custkey, c_name, c_mktsegment, 'run1' AS valid_from, CASE WHEN two AND o_custkey % 3 = 0 THEN 'run2' END AS valid_to FROM k WHERE one
       UNION ALL SELECT key, o_custkey, c_name, CASE WHEN o_custkey % 3 = 0 THEN 'CHANGED' ELSE c_mktsegment END, 'run2', NULL
       FROM k WHERE two AND (NOT one OR o_custkey % 3 = 0)""",
+    "incremental_backup": """
+      SELECT run, 'orders_' || (o_orderkey % 6) || '.csv' AS file, count(*) AS n_rows, stored AS files_stored,
+             sum((o_totalprice + CASE WHEN run = 'run3' AND o_orderkey % 6 < 2 THEN 1 ELSE 0 END)::DECIMAL(20, 2))::DOUBLE AS total
+      FROM orders, (VALUES ('run1', 6), ('run2', 0), ('run3', 2)) AS t(run, stored) GROUP BY run, o_orderkey % 6, stored""",
     "chain_of_types": """
       SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey::DOUBLE ELSE o_totalprice END AS n, strftime(o_orderdate, '%Y-%m-%d') AS day,
              'bigint' AS o_orderkey_type, 'decimal(12,2)' AS o_custkey_type, 'double' AS n_type, 'string' AS day_type FROM orders""",

@@ -123,6 +123,8 @@ def write_reports(findings: DataFrame, path: str) -> None:
     one line per finding, all of them. Rows are written as they are, so a file
     with very many findings is no group in one task's memory."""
     lines = report_lines(findings)
-    # the folder name is a path, so separators in file names are escaped by Spark
-    (lines.repartition("step", "source_file").sortWithinPartitions("step", "source_file", "check", "column", "message")
+    # the folder name is a path, so separators in file names are escaped by Spark;
+    # ranges of lines, so the lines of one file are no single task's work
+    order = ["step", "source_file", "check", "column", "message"]
+    (lines.repartitionByRange(*order).sortWithinPartitions(*order)
      .select("step", "source_file", "line").write.mode("overwrite").partitionBy("step", "source_file").text(path))
