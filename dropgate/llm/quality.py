@@ -7,9 +7,11 @@ being good; their mean, weighted by the lines' lengths, is calibrated to the
 document's score.
 
 Labels exist per document only, so in training every line of a document has
-its label. The field is fitted on at most ``TRAIN_DOCS`` labelled documents of
-at most ``TRAIN_LINES`` lines (the bound of the sample); scoring reads every
-text whole.
+its label. The field is fitted on stretches of at most ``TRAIN_LINES`` lines of
+at most ``TRAIN_DOCS`` labelled documents; the ``TRAIN_STRETCHES`` stretches with
+the least hash are taken (the bound of the sample: a long document takes part
+with some of its stretches, none is left out for its length). Scoring reads
+every text whole.
 
 Defined results: a null or empty text, or one without words, has no line and
 scores 0. Without labels everything else scores 0.5. Repeated rows score
@@ -31,6 +33,7 @@ from dropgate.llm.common import held_out, labelled
 
 TRAIN_DOCS = 12_000
 TRAIN_LINES = 200
+TRAIN_STRETCHES = 16_000
 ROUNDS = 150
 
 _LOWER, _UPPER, _DIGIT, _SYMBOL, _STOP, _SHOUT, _MARK, _HIGH = (np.zeros(256, bool) for _ in range(8))
@@ -207,22 +210,26 @@ def fit(x: np.ndarray, size: np.ndarray, owner: np.ndarray, y: np.ndarray, round
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 4, remainder: int = 2,
-          train_docs: int = TRAIN_DOCS) -> Field:
+          train_docs: int = TRAIN_DOCS, train_stretches: int = TRAIN_STRETCHES) -> Field:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for p in W.pieces(b.column(1)):
                 x, size, owner = line_features(p)
                 cut = np.searchsorted(owner, np.arange(p.hi - p.lo + 1))
-                fits = [k for k in range(p.hi - p.lo) if 0 < cut[k + 1] - cut[k] <= TRAIN_LINES]
+                some = [(k, lo, min(lo + TRAIN_LINES, cut[k + 1])) for k in range(p.hi - p.lo) for lo in range(cut[k], cut[k + 1], TRAIN_LINES)]
+                ids = b.column(2).slice(p.lo, p.hi - p.lo).to_numpy().astype(W.U64)
+                place = np.array([lo - cut[k] for k, lo, _ in some], W.U64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array([p.lo + k for k in fits], pa.int64())),
-                     pa.array([x[cut[k]: cut[k + 1]].tobytes() for k in fits], pa.binary()),
-                     pa.array([size[cut[k]: cut[k + 1]].tobytes() for k in fits], pa.binary())], names=["y", "x", "size"])
+                    [b.column(0).take(pa.array([p.lo + k for k, _, _ in some], pa.int64())),
+                     pa.array([x[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                     pa.array([size[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                     pa.array(W.mix(ids[[k for k, _, _ in some]] + place).astype(np.int64))], names=["y", "x", "size", "place"])
 
     sample = labelled(docs, labels, label, modulus, remainder, train_docs)
-    rows = sample.select("y", F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")).alias("text"))
-    got = rows.mapInArrow(features, "y double, x binary, size binary").toArrow()  # at most train_docs * TRAIN_LINES lines
+    rows = sample.select("y", F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")).alias("text"), F.xxhash64("doc_id").alias("h"))
+    stretches = rows.mapInArrow(features, "y double, x binary, size binary, place long")
+    got = stretches.orderBy("place", "size", "x").limit(train_stretches).toArrow()  # at most so many times TRAIN_LINES lines
     y = got["y"].to_numpy()
     if not len(y) or y.min() == y.max():
         return Field(None, np.zeros((2, 2)))

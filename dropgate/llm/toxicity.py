@@ -8,8 +8,11 @@ and the first letters of longer words. The machine scores
 over the terms a document holds, so a pair of terms (an insult with the
 mention of a group) has a weight of its own even where neither term alone is
 toxic. It is fitted on at most ``TRAIN_DOCS`` labelled documents (the bound of
-the sample) over the ``FEATURES`` hashed terms that are most unevenly spread
-between the labels; those counts are a Spark aggregation over the sample.
+the sample) over at most ``FEATURES`` hashed terms: those that are most unevenly
+spread between the labels, and the members of pairs that are, beyond what
+either member is alone. Pairs are counted among the ``PAIR_TERMS`` terms that
+most documents of the sample hold. All counts are taken over the whole sample,
+in tasks.
 Scoring reads every text whole and holds only the fitted terms.
 
 Defined results: null and empty texts hold no term and score sigmoid(w0); so
@@ -35,6 +38,8 @@ BUCKETS = 1 << 20     # of the term hash
 FEATURES = 4096       # hashed terms that are fitted, at most
 LEAST_CHI2 = 20.0     # of a fitted term's spread between the labels
 LEAST_DOCS = 3        # that hold a fitted term
+PAIR_TERMS = 512      # most frequent terms whose pairs are counted
+PAIR_TASKS = 16       # that count pairs (each gives two matrices of PAIR_TERMS squared)
 PREFIX = 6
 FACTORS = 8
 EPOCHS = 20
@@ -110,6 +115,35 @@ def fit(buckets: np.ndarray, feature: np.ndarray, owner: np.ndarray, y: np.ndarr
     return Machine(buckets, float(theta[0][0]), theta[1], theta[2])
 
 
+def uneven_pairs(rows: DataFrame, frequent: np.ndarray, n: int, positive: float) -> np.ndarray:
+    """Those of the ``frequent`` buckets that are members of a pair whose spread between the labels
+    is larger than either member's by ``LEAST_CHI2``."""
+    m = len(frequent)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.full(BUCKETS, -1, np.int32)
+        table[frequent] = np.arange(m)
+        total = np.zeros((2, m, m))
+        for b in batches:
+            held = np.zeros((len(b), m), np.float32)
+            lists = b.column(1)
+            owner = np.repeat(np.arange(len(b)), np.diff(lists.offsets.to_numpy()))
+            place = table[lists.flatten().to_numpy()]
+            held[owner[place >= 0], place[place >= 0]] = 1
+            total[0] += held.T @ held
+            total[1] += held.T @ (held * b.column(0).to_numpy()[:, None].astype(np.float32))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+    parts = rows.select("y", "terms").coalesce(PAIR_TASKS).mapInArrow(counted, "total binary").toArrow()["total"].to_pylist()
+    both, toxic = sum(np.frombuffer(p).reshape(2, m, m) for p in parts)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi2 = n * (toxic * n - both * positive) ** 2 / (both * (n - both) * positive * (n - positive))
+    chi2 = np.where((both >= LEAST_DOCS) & (both < n), chi2, 0)
+    alone = np.diag(chi2)
+    gain = chi2 - np.maximum(alone[:, None], alone[None, :])
+    return frequent[(gain >= LEAST_CHI2).any(1)]
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 3, remainder: int = 1,
           train_docs: int = TRAIN_DOCS, features: int = FEATURES) -> Machine:
     """A machine fitted on labelled documents that are not held out."""
@@ -135,7 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
     chi2 = n * F.pow(a * n - c * positive, 2) / (c * (n - c) * positive * (n - positive))
     best = (per.filter((c >= LEAST_DOCS) & (c < n)).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
             .orderBy(F.desc("chi2"), "bucket").limit(features).select("bucket"))
-    buckets = np.sort(np.array([r[0] for r in best.collect()], np.int64))
+    frequent = per.filter(c < n).orderBy(F.desc("c"), "bucket").limit(PAIR_TERMS).select("bucket").collect()
+    paired = uneven_pairs(rows, np.array([r[0] for r in frequent], np.int64), n, positive) if frequent else []
+    alone = [r[0] for r in best.collect()]
+    buckets = np.unique(np.array([*paired, *alone][:features], np.int64))
 
     def selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.full(BUCKETS, -1, np.int32)

@@ -95,3 +95,35 @@ def test_labels_are_no_input(spark):
     flipped = labels.withColumn("toxic", F.when(held_out(F.col("doc_id"), 3, 1), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = (sorted((r.doc_id, round(r.score, 9)) for r in toxicity.op2(docs, x).collect()) for x in (labels, flipped))
     assert a == b
+
+
+def test_training_admits_pairs_without_signal_of_their_own(spark):
+    """The label is the exclusive-or of two common words among others; it is learned through train()."""
+    rng = np.random.default_rng(8)
+    others = [f"word{chr(97 + k)}{chr(97 + k % 7)}" for k in range(20)]
+    rows, labels = [], []
+    for k in range(3000):
+        a, b = rng.integers(0, 2, 2)
+        text = [w for w, h in (("alpha", a), ("omega", b)) if h] + list(rng.choice(others, 8))
+        rows.append((k, " ".join(rng.permutation(text))))
+        labels.append((k, int(a ^ b)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.op2(docs, labels).join(labels, "doc_id").filter("held_out").collect()
+    assert sum(((r.score > 0.5) == (r.toxic == 1)) for r in got) / len(got) > 0.95
+
+
+def test_pairs_counted_as_by_hand(spark):
+    rows = spark.createDataFrame([(float(y), t) for y, t in [(1, [1, 2]), (0, [1]), (0, [2]), (1, []), (1, [1, 2]), (0, [1, 3])] * 30], "y double, terms array<int>")
+    assert toxicity.uneven_pairs(rows, np.array([1, 2, 3]), 180, 90.0).tolist() == [1, 2]
+
+
+def test_quality_learns_from_long_documents_only(spark):
+    """Every labelled document has more lines than a stretch holds."""
+    rng = np.random.default_rng(5)
+    good = [" ".join(rng.choice(["clean", "plain", "words", "in", "lines", "of", "text"], 9)) + "." for _ in range(600)]
+    bad = [" ".join(rng.choice(["#$%", "&&&", "BUY!!!", "***", "NOW!!!"], 9)) for _ in range(600)]
+    rows = [(k, "\n".join(rng.choice(good if k % 2 else bad, 450))) for k in range(40)]
+    labels = [(k, k % 2) for k in range(40)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = quality.op4(docs, labels).join(labels, "doc_id").collect()
+    assert all(r.predicted == r.quality for r in got)
