@@ -35,3 +35,26 @@ def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["sequence_id", "tokens", "n_tokens", "pieces"]
     assert out.filter("n_tokens > 1024 OR (size(tokens) <> 1024 AND size(tokens) <> n_tokens)").count() == 0
+
+
+def through(spark, docs):
+    """All stages, each one's result written and read again, as run() does."""
+    from dropgate.llm.common import written
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, None)
+        assert out.columns == docs.columns
+        docs = written(out, f"test-{name}")
+    return docs, corpus_pipeline.STAGES[-1][1](spark, docs, None)
+
+
+def test_odd_rows_and_clashing_columns(spark, odd_docs, odd_rows):
+    kept, windows = through(spark, odd_docs)
+    texts = {t for _, t, _ in odd_rows if t}
+    rows = kept.select("doc_id", "text").collect()
+    assert rows and all(r.text and any(r.text in t or r.text.split()[0] in t for t in texts) for r in rows)
+    assert windows.count() > 0
+
+
+def test_no_documents(spark, no_docs):
+    kept, windows = through(spark, no_docs)
+    assert kept.collect() == [] and windows.collect() == []
