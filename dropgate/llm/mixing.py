@@ -225,4 +225,5 @@ def op1(docs: DataFrame) -> DataFrame:
     sizes = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
                                 F.xxhash64("doc_id", "source", "text").alias("row_hash")), "mix-sizes")
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])
-    return mix(sizes).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    # beyond the contract: the source, and where each draw goes (pass, shard of the tree, place in the shard's order, words)
+    return mix(sizes).select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "draws")

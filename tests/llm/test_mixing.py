@@ -90,3 +90,12 @@ def test_empty(no_docs):
 def test_no_words(odd_docs):
     got = mixing.op1(odd_docs.filter("text IS NULL OR text = ''")).collect()
     assert got and all(r.taken == 0 and r.target == 0 for r in got)
+
+
+def test_draws_are_the_trees_split(spark, odd_docs):
+    """What op1 returns shows the shards: equal in blocks up to one, all words of a document's draws taken."""
+    got = mixing.op1(odd_docs)
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken", "source", "draws"]
+    rows = got.collect()
+    assert all(sum(d.words for d in r.draws) == r.taken and len({d.epoch for d in r.draws}) == len(r.draws) for r in rows)
+    assert any(r.draws for r in rows) and all(d.shard >= 0 for r in rows for d in r.draws)
