@@ -23,11 +23,12 @@ FROM (SELECT d AS doc_id, min(r) AS component_id FROM reach GROUP BY d) LEFT JOI
 """
 
 TOPK = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
-      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.i, a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.i <> b.i AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5
 """
 

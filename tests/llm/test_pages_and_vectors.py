@@ -102,32 +102,58 @@ def test_no_pages(spark):
 
 
 def brute_top(rows, k, every):
-    usable = {}
-    for i, v in rows:
-        if v is not None and all(x is not None and math.isfinite(x) for x in v):
-            usable[i, tuple(math.floor(256 * x) for x in v)] = None
+    usable = [(i, [max(-2**63, min(2**63 - 1, math.floor(256 * x))) for x in v]) for i, v in rows
+              if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, v in usable:
+    for m, (i, v) in enumerate(usable):
         if i is not None and i % every == 0:
-            hits = [(-sum(a * b for a, b in zip(v, w)), j is None, j or 0) for j, w in usable if len(w) == len(v) and (j, w) != (i, v)]
+            hits = [(-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), j is None, j or 0)
+                    for n, (j, w) in enumerate(usable) if len(w) == len(v) and n != m]
             out += [(i, n + 1, None if nul else j, -s) for n, (s, nul, j) in enumerate(sorted(hits)[:k])]
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"pivots": 5, "block_rows": 7, "query_block": 3}])
-def test_top_k_matches_brute_force(spark, sizes):
+def vector_rows():
     rng = np.random.default_rng(6)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, 8)]) for i in range(150)]
     rows += [(200 + i, rows[3][1]) for i in range(60)]                      # one vector in many rows: ties
     rows += [(3, rows[3][1]), (3, rows[3][1]), (10, rows[4][1])]            # repeated rows, an id with two vectors
+    rows += [(20, rows[20][1])] * 7                                         # a repeated query: its copies are candidates
     rows += [(300, None), (310, [1.0, None]), (320, [float("nan")] * 8), (330, [float("inf")] * 8), (None, rows[7][1])]
-    rows += [(340, [1.0, 2.0]), (341, [0.5, 0.5]), (350, []), (351, [])]
+    return rows + [(340, [1.0, 2.0]), (341, [0.5, 0.5]), (350, []), (351, [])]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"pivots": 5, "block_rows": 7, "query_block": 3}, {"block_rows": 20}, {"pivots": 150, "block_rows": 40}])
+def test_top_k_matches_brute_force(spark, sizes):
+    rows = vector_rows()
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, label int, score string").repartition(3)
     vectors = topk.quantised(df, df["vec_id"], df["embedding"])
     got = topk.top_k(vectors, vectors.filter("id % 10 = 0"), 5, **sizes)
     assert shape(got.select("query_id", "rank", "vec_id", "score")) == brute_top(rows, 5, 10)
 
 
+@pytest.mark.parametrize("sizes", [{}, {"pivots": 6, "block_rows": 9}])
+def test_top_k_of_large_components(spark, sizes):
+    """Sums beyond what doubles hold are exact, those beyond a long are the nearest long."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(0, 4e5, 6)]) for i in range(60)]
+    rows += [(60 + i, [float(x + i % 3) for x in rows[0][1]]) for i in range(40)]     # differ in the last digits
+    rows += [(100 + i, [float(x) for x in rng.normal(0, 1e12, 6)]) for i in range(20)]
+    rows += [(120, [1e300] * 6), (130, [-1e300] * 6), (140, [1e-300] * 6), (150, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    vectors = topk.quantised(df, df["vec_id"], df["embedding"])
+    got = topk.top_k(vectors, vectors.filter("id % 10 = 0"), 5, **sizes)
+    assert shape(got.select("query_id", "rank", "vec_id", "score")) == brute_top(rows, 5, 10)
+
+
+def test_bins_hold_neighbouring_cells():
+    cells = topk.Cells(np.zeros((6, 2)))
+    cells.members = np.array([3, 4, 25, 1, 9, 2])
+    cells.fill(10)
+    assert cells.first.tolist() == [0, 2, 3, 5] and cells.blocks.tolist() == [1, 3, 1, 1]
+    assert cells.bin_of().tolist() == [0, 0, 1, 2, 2, 3]
+
+
 def test_top_k_nothing(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.op5(none).count() == 0
