@@ -471,16 +471,17 @@ def check_hierarchy(ctx: CheckContext, params):
 # --------------------------------------------------------------------------
 
 def missing_ids(df: DataFrame, id_col: str, master: DataFrame, master_col: str,
-                key: str | None = None) -> DataFrame:
+                key: str | None = None, max_broadcast_rows: int = joins.BROADCAST_MAX_ROWS) -> DataFrame:
     """Distinct non-null ids of ``df`` absent from ``master`` (anti-join).
 
     Null ids pass (they are filtered first: Spark's left_anti keeps null keys).
-    Both sides are de-duplicated before the join, which removes any key skew.
+    Both sides are de-duplicated before the join, which removes any key skew. A
+    master too large to broadcast is reduced by a bit filter of the ids first.
     """
     g = ([key] if key else [])
     ids = df.select(*g, named(id_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()).distinct()
-    m = joins.broadcast_distinct(
-        master.select(named(master_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()))
+    m = joins.distinct_for(master.select(named(master_col).alias("missing_id")).filter(F.col("missing_id").isNotNull()),
+                           ids, ["missing_id"], max_broadcast_rows)
     return ids.join(m, "missing_id", "left_anti")
 
 
@@ -517,16 +518,17 @@ def validate_product_ids(ctx: CheckContext, params):
 # --------------------------------------------------------------------------
 
 def key_overlap(left: DataFrame, right: DataFrame, key_columns: list[str],
-                key: str | None = None) -> DataFrame:
+                key: str | None = None, max_broadcast_rows: int = joins.BROADCAST_MAX_ROWS) -> DataFrame:
     """Distinct key combinations of ``left``: how many exist in ``right``.
 
     Output: [key] + n_keys, n_matched, n_unmatched. Both sides are
     de-duplicated before the join; the right side is broadcast when its
-    distinct key set is proven small.
+    distinct key set is proven small, else reduced by a bit filter of the
+    left's keys before it is shuffled.
     """
     g = [key] if key else []
     lk = left.select(*g, *map(quoted, key_columns)).distinct()
-    rk = joins.broadcast_distinct(right.select(*map(quoted, key_columns))).withColumn(HIT, F.lit(True))
+    rk = joins.distinct_for(right.select(*map(quoted, key_columns)), lk, key_columns, max_broadcast_rows).withColumn(HIT, F.lit(True))
     j = lk.join(rk, key_columns, "left")
     agg = [F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col(HIT)).alias("n_matched"),
            F.count_if(F.col(HIT).isNull()).alias("n_unmatched")]

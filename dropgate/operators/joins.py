@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropgate.functions.names import col as named, quoted
+from dropgate.operators import membership
 
 # Prefix of the library's own columns in frames that hold user data; user
 # columns with it are refused when a file is read.
@@ -99,6 +100,19 @@ def broadcast_distinct(raw: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Da
     return F.broadcast(d) if small else d
 
 
+def distinct_for(raw: DataFrame, asked: DataFrame, columns: list[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``raw.distinct()`` as far as a join asks for it that looks up the keys of ``asked``.
+
+    Broadcast when ``raw`` itself is proven small; a larger one is first
+    reduced by a bit filter of the keys asked for (``membership``), so that
+    only rows that may match are shuffled. Rows with a null key match nothing
+    and may be left out.
+    """
+    if provably_small(raw, max_rows):
+        return F.broadcast(raw.distinct())
+    return membership.reduced(raw, columns, asked, columns).distinct()
+
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMBER = (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType)
 

@@ -283,6 +283,26 @@ def cross_consistency(spark, sf):
     return C.key_overlap(c, o, ["c_custkey"])
 
 
+def referential_large_master(spark, sf):
+    """The master is not broadcast: a bit filter of the ids goes over it before the shuffle."""
+    return C.missing_ids(_t(spark, sf, "part"), "p_partkey", _t(spark, sf, "orders"), "o_custkey", max_broadcast_rows=0)
+
+
+def cross_large_right(spark, sf):
+    li = _t(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_suppkey").alias("s"))
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("s"))
+    return C.key_overlap(c, li, ["k", "s"], max_broadcast_rows=0)
+
+
+def snapshot_compacted(spark, sf):
+    """Twelve runs over the orders, by month; the first ones are merged into a bitmap on the way. The month's ids
+    that are new, and all ids known after it."""
+    cat = Catalog(spark, {"snap": TableSpec(path=scratch_path(spark, "snapshot-bitmap"), versioned=True)})
+    orders = _t(spark, sf, "orders").withColumn("month", F.coalesce(F.month("o_orderdate"), F.lit(12)))
+    got = [snapshot.append_new_ids(cat, "snap", orders.filter(F.col("month") == m), "o_custkey", version=f"{m:02d}") for m in range(1, 13)]
+    return spark.createDataFrame([(g["version"], g["n_new"], g["n_total"]) for g in got], "version string, n_new long, n_total long")
+
+
 def snapshot_union(spark, sf):
     ids = _t(spark, sf, "lineitem")
     old = _shifted_part(spark, sf).select("p_partkey")
@@ -641,6 +661,9 @@ QUERIES = {
     "enrich_examples": enrich_examples,
     "referential_missing_ids": referential_missing_ids,
     "cross_consistency": cross_consistency,
+    "referential_large_master": referential_large_master,
+    "cross_large_right": cross_large_right,
+    "snapshot_compacted": snapshot_compacted,
     "snapshot_union": snapshot_union,
     "snapshot_new_ids": snapshot_new_ids,
     "snapshot_versions": snapshot_versions,
@@ -735,6 +758,18 @@ ORACLE_SQL = {
         SELECT count(*) AS n_keys, count(o.k) AS n_matched, count(*) - count(o.k) AS n_unmatched
         FROM (SELECT DISTINCT c_custkey FROM customer) c
         LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders) o ON o.k = c.c_custkey""",
+    "referential_large_master": """
+        SELECT DISTINCT p_partkey AS missing_id FROM part p
+        WHERE p_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = p.p_partkey)""",
+    "cross_large_right": """
+        SELECT count(*) AS n_keys, count(l.h) AS n_matched, count(*) - count(l.h) AS n_unmatched
+        FROM (SELECT DISTINCT c_custkey AS k, c_nationkey AS s FROM customer) c
+        LEFT JOIN (SELECT DISTINCT l_partkey AS k, l_suppkey AS s, 1 AS h FROM lineitem) l ON l.k = c.k AND l.s = c.s""",
+    "snapshot_compacted": """
+        WITH m AS (SELECT unnest(range(1, 13)) AS m),
+        f AS (SELECT o_custkey, min(coalesce(month(o_orderdate), 12)) AS m FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1),
+        n AS (SELECT m.m, count(o_custkey) AS n FROM m LEFT JOIN f ON f.m = m.m GROUP BY 1)
+        SELECT lpad(m::VARCHAR, 2, '0') AS version, n AS n_new, (sum(n) OVER (ORDER BY m))::BIGINT AS n_total FROM n""",
     "snapshot_union": """
         SELECT DISTINCT id FROM (SELECT l_partkey AS id FROM lineitem
                                  UNION ALL SELECT CASE WHEN p_size <= 25 THEN p_partkey ELSE -p_partkey - 1 END FROM part)
