@@ -37,6 +37,7 @@ from dropgate.llm.common import free_names, n_words, written
 
 BLOCK_WORDS = 50_000
 BLOCK_DOCS = 20_000
+RANGE_BLOCKS = 65_536    # blocks of a source that a task sums at a time
 SHARD_BLOCKS = 64        # blocks of an output shard, on average
 SUBTREE_SHARDS = 64      # shards that one task grows
 SMALL_SIDE = 200_000     # sources up to which their table is broadcast (at most about 20 MB)
@@ -135,9 +136,29 @@ def _permuted(slot: Column, blocks: Column, rank: Column, seed: int) -> Column:
     return F.pmod((slot % blocks) * (step % blocks) + F.pmod(F.xxhash64(rank, F.lit(seed)), blocks), blocks)
 
 
+def _places(sources: DataFrame, range_blocks: int) -> DataFrame:
+    """A row per block of every source, with its ``place`` and the ``range`` of places it lies in."""
+    ranges = sources.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("blocks") - 1) / range_blocks))).alias("range"))
+    first = F.col("range") * range_blocks
+    last = F.least(F.col("blocks"), first + range_blocks) - 1
+    return ranges.repartition("rank", "range").withColumn("place", F.explode(F.sequence(first, last)))
+
+
+def _before(table: DataFrame) -> DataFrame:
+    """``before``: the words of a source's blocks at earlier places. Places are summed within their
+    range, and ranges by one row each, so no task holds all blocks of a source."""
+    table = written(table, "mix-places")
+    earlier = Window.partitionBy("rank").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (table.groupBy("rank", "range").agg(F.sum("block_words").alias("words"))
+              .select("rank", "range", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before_range")))
+    inside = Window.partitionBy("rank", "range").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    return (table.withColumn("before", F.coalesce(F.sum("block_words").over(inside), F.lit(0))).join(ranges, ["rank", "range"])
+            .withColumn("before", F.col("before") + F.col("before_range")).drop("range", "before_range"))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3, source: str = "source",
         block_words: int = BLOCK_WORDS, block_docs: int = BLOCK_DOCS, shard_blocks: int = SHARD_BLOCKS,
-        seed: int = SEED) -> DataFrame:
+        seed: int = SEED, range_blocks: int = RANGE_BLOCKS) -> DataFrame:
     """``docs`` (a source, ``size``, a row hash ``row_hash`` and what is to be carried), source_size, target and ``draws``.
 
     draws: an array of (epoch, shard, order, words) per document; ``words`` is the
@@ -158,11 +179,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
 
     # place of each block in its source's order, and the words before it there
     sums = keyed.groupBy("rank", "block").agg(F.sum("size").alias("block_words"))
-    places = sources.select("rank", "blocks", "full", "rest", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("place"))
-    places = places.withColumn("block", _permuted(F.col("place"), F.col("blocks"), F.col("rank"), seed))
-    in_order = Window.partitionBy("rank").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    table = places.join(sums, ["rank", "block"], "left").withColumn("block_words", F.coalesce("block_words", F.lit(0)))
-    table = table.withColumn("before", F.coalesce(F.sum("block_words").over(in_order), F.lit(0)))
+    table = _before(_places(sources.select("rank", "blocks", "full", "rest"), range_blocks)
+                    .withColumn("block", _permuted(F.col("place"), F.col("blocks"), F.col("rank"), seed))
+                    .join(sums, ["rank", "block"], "left").withColumn("block_words", F.coalesce("block_words", F.lit(0))))
     # of the last pass: the words this block still gives
     gives = F.greatest(F.lit(0), F.least(F.col("block_words"), F.col("rest") - F.col("before")))
     table = written(table.withColumn("gives", gives).withColumn("passes", F.col("full") + (F.col("before") < F.col("rest")).cast("long")), "mix-blocks")

@@ -55,6 +55,12 @@ def test_many_small_blocks(odd_docs, odd_rows):
     assert out.filter(F.size("draws") != F.size(F.array_distinct(F.transform("draws", lambda d: d["epoch"])))).count() == 0
 
 
+def test_ranges_of_places_give_the_same_mix(odd_docs):
+    sizes = odd_docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("row_hash"))
+    one, many = (mixing.mix(sizes, block_words=200, block_docs=2, shard_blocks=3, range_blocks=n) for n in (1 << 16, 3))
+    assert one.columns == many.columns and shape(one) == shape(many)
+
+
 def test_tree_splits_exactly():
     quota = np.array([1000, 3, 0, 477, 20])
     total = np.zeros(5, int)
