@@ -18,7 +18,7 @@ Two passes settle it exactly:
 
 Both passes must see the same ranges. Their size must therefore not follow from
 the set of files or the cores at hand: ``fixed_ranges`` sets that for the
-session. A second pass that meets a range it has no state for stops with an
+session, and keeps them small: a MB of short records takes a third of a second. A second pass that meets a range it has no state for stops with an
 error; it never guesses.
 
 A file with a quote that is never closed is known after the first pass, with
@@ -48,9 +48,21 @@ _KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "bin
 _CLOSE = re.compile(rb'[^"]*+(?:""[^"]*+)*+"')
 
 
+# Ranges are at most this long: records are parsed row by row, and a task is to take seconds.
+MAX_RANGE_BYTES = 8 << 20
+
+
+def _bytes(size: str) -> int:
+    """The bytes of a Spark size setting, such as 134217728b, 32m or 1g."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([a-z]*)\s*", size.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit[:1] or "b")
+
+
 def fixed_ranges(spark: SparkSession) -> None:
-    """Ranges end at multiples of ``spark.sql.files.maxPartitionBytes``, whichever files are read together."""
+    """Ranges end at multiples of ``spark.sql.files.maxPartitionBytes``, ``MAX_RANGE_BYTES`` at most, whichever files are read together."""
     spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    if _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) > MAX_RANGE_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(MAX_RANGE_BYTES))
 
 
 def escape_glob(path: str) -> str:

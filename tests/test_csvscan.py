@@ -149,3 +149,15 @@ def test_parquet_row_numbers(spark, tmp_root):
     spark.range(50).coalesce(1).write.parquet(f"{tmp_root}/p")
     rows = read_drop(spark, tmp_root).df.select("id", RECORD).collect()
     assert sorted((r[0] + 1) for r in rows) == sorted(r[1] for r in rows)
+
+
+def test_ranges_are_small_whatever_the_session_allows(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, kept in (("128m", "8388608"), ("134217728b", "8388608"), ("1g", "8388608"), ("8m", "8m"), ("70", "70")):
+            spark.conf.set(key, given)
+            csvscan.fixed_ranges(spark)
+            assert spark.conf.get(key) == kept
+    finally:
+        spark.conf.set(key, before)
