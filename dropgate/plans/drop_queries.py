@@ -18,6 +18,9 @@ from dropgate.sources.files import OFFSET, RECORD, SOURCE, list_files, read_drop
 from dropgate.sources.publish import Publication
 
 
+PART_ROWS = 1_000_000  # of a file that is dealt out in parts
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
@@ -28,6 +31,13 @@ def _dealt(df: DataFrame, k: str, order: str, path: str, **options: str) -> None
      .options(header="true", sep=";", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **options).csv(path))
 
 
+def _dealt_in_parts(df: DataFrame, k: str, order: str, path: str) -> None:
+    """As ``_dealt``, but a value of ``k`` is as many files as its rows take (``PART_ROWS`` each, about), one after the other."""
+    n = max(2, -(-df.count() // PART_ROWS))
+    (df.repartitionByRange(n, k, order).sortWithinPartitions(k, order).write.partitionBy(k)
+     .options(header="true", sep=";", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path))
+
+
 def _renamed(spark: SparkSession, path: str, names: dict[str, str]) -> str:
     """The files of ``path``/<folder> as files with the given names below another folder."""
     jvm = spark.sparkContext._jvm
@@ -139,7 +149,7 @@ def odd_column_names(spark, sf):
     root = scratch_path(spark, "names")
     li = _t(spark, sf, "lineitem").select(F.col("l_partkey").alias("part.key"), F.col("l_quantity").alias("qty `n`"), F.col("l_extendedprice").alias("unit price"),
                                           F.col("l_returnflag").alias('flag "x".y'), F.col("l_orderkey").alias("o"), F.pmod("l_orderkey", F.lit(2)).alias("k"))
-    _dealt(li, "k", "o", root)
+    _dealt_in_parts(li, "k", "o", root)
     part = _t(spark, sf, "part").select(F.col("p_partkey").alias("p.key"), F.col("p_brand").alias("brand`s"))
     parts = scratch_path(spark, "names-part")
     part.write.parquet(parts)

@@ -198,3 +198,14 @@ def test_transform_fails_only_files_lacking_columns(spark, tmp_root):
     assert t.summary == {"files": 2, "passed": 1, "failed": 1} and t.passed == ["a_sales.csv"]
     out = spark.read.parquet(pb.staging("d") + "/*").collect()
     assert [(r["price"], r["qty"], r["total"]) for r in out] == [(2.0, 3.0, 6.0)]
+
+
+def test_large_drops_are_dealt_in_parts(spark, tmp_root, monkeypatch):
+    from dropgate.plans import drop_queries
+    monkeypatch.setattr(drop_queries, "PART_ROWS", 500)
+    rows = spark.range(4000).select(F.col("id").alias("a.b"), F.when(F.col("id") % 9 != 0, F.col("id") % 2).alias("k"))
+    drop_queries._dealt_in_parts(rows, "k", "`a.b`", f"{tmp_root}/parts")
+    files = spark.read.option("header", "true").option("sep", ";").csv(f"{tmp_root}/parts")
+    named = files.select("k", F.input_file_name().alias("file"))
+    assert named.groupBy("k").agg(F.count_distinct("file").alias("n")).filter("n > 1").count() == 3
+    assert sorted(map(int, (r[0] for r in files.select("`a.b`").collect()))) == list(range(4000))
