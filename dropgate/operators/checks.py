@@ -21,6 +21,7 @@ A check declares, through a ``CheckContext``:
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
 from typing import Any, Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,6 +43,7 @@ RECORD = f"{joins.HIDDEN}record"  # number of a row in its file, from 1
 OFFSET = f"{joins.HIDDEN}offset"  # byte at which a CSV record starts
 HIT = f"{joins.HIDDEN}hit"
 N_SAME = f"{joins.HIDDEN}same"
+_OFFSETS = Decimal(1 << 63)  # more than any byte offset
 
 
 def check(name: str | Callable | None = None):
@@ -422,8 +424,12 @@ def malformed_rows(ctx: CheckContext, params=None):
     text = F.format_string(msg("malformed"), n, parsed, F.lit(data_cols[0] if data_cols else ""))
     if RECORD in ctx.df.columns and OFFSET in ctx.df.columns:
         bad = F.col(CORRUPT).isNotNull()
-        first = ctx.agg(F.min(F.when(bad, F.struct(F.col(RECORD).alias("record"), F.col(OFFSET).alias("offset")))))
-        text = F.concat(text, F.format_string(msg("malformed_at"), first["record"], first["offset"]))
+        # the least (record, offset) as one number: a minimum of structs would have every row sorted by its file
+        both = F.col(RECORD).cast("decimal(19,0)") * F.lit(_OFFSETS) + F.col(OFFSET).cast("decimal(19,0)")
+        first = ctx.agg(F.min(F.when(bad, both.cast("decimal(38,0)"))))
+        offset = (first % F.lit(_OFFSETS)).cast("long")
+        record = ((first - offset) / F.lit(_OFFSETS)).cast("long")
+        text = F.concat(text, F.format_string(msg("malformed_at"), record, offset))
         ctx.sample(None, bad)
     ctx.finding(None, passed=n == 0, n_bad=n, message=F.when(n > 0, text))
 

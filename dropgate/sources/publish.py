@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,22 @@ from dropgate.errors import ConcurrentWriteError
 END = "\n# end\n"  # closing mark of a whole manifest
 
 
+@contextmanager
+def unsorted_partitions(spark: SparkSession, n: int = 8) -> Iterator[None]:
+    """Writes into ``n`` partition folders keep a writer open for each (up to 8) instead of
+    sorting all rows of a task by the partition column, which takes memory with the rows."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(min(max(n, 1), 8)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 class Publication:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")

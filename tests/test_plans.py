@@ -54,3 +54,28 @@ def test_salted_join_when_not_provably_small(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p and "__salt" in p and "xxhash64" in p
+
+
+def test_place_of_the_first_malformed_row_needs_no_sort(spark):
+    from dropgate.operators.checks import run_checks
+    rows = spark.createDataFrame([("f", 1, 9 << 40, (9 << 40) + 7, "x"), ("f", 2, 5, 1 << 50, "y"), ("f", 3, 5, 1 << 49, "z"), ("f", 4, 1, 0, None),
+                                  ("g", 5, 1, 2, None), ("h", 6, (1 << 63) - 1, (1 << 63) - 1, "w")],
+                                 "_source_file string, a int, __dg__record long, __dg__offset long, __dg__corrupt string")
+    from dropgate.operators.joins import HIDDEN
+    rows = rows.toDF(*[c.replace("__dg__", HIDDEN) for c in rows.columns])
+    got = run_checks(rows, {"malformed_rows": None})
+    assert "SortAggregate" not in _plan(got)
+    said = {r["_source_file"]: r["message"] for r in got.collect()}
+    assert said["g"] is None
+    assert re.findall(r"\d+", said["f"])[-2:] == ["5", str(1 << 49)]
+    assert re.findall(r"\d+", said["h"])[-2:] == [str((1 << 63) - 1)] * 2
+
+
+def test_folders_are_written_unsorted(spark):
+    from dropgate.sources.publish import unsorted_partitions
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    for n, kept in ((0, "1"), (3, "3"), (100, "8")):
+        with unsorted_partitions(spark, n):
+            assert spark.conf.get(key) == kept
+    assert spark.conf.get(key) == before
