@@ -159,3 +159,20 @@ def test_top_k_nothing(spark):
     assert topk.op5(none).count() == 0
     one = spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<float>")
     assert topk.op5(one).count() == 0
+
+
+@pytest.mark.parametrize("shard", [400_000, 60])
+def test_boilerplate_inside_marked_articles(spark, shard):
+    rng = np.random.default_rng(10)
+    text = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    share, wire, steps, title = text(18), text(40), text(14), text(8)
+    rows = []
+    for i in range(20):
+        own = text(30)
+        parts = [("h1", title), ("p", own), ("h2", title), ("p", wire), ("ul", f"<li>{steps}</li>")]
+        body = "".join(f"<{t}>{x}</{t}>" for t, x in parts) + f"<div>{share}</div>"
+        rows.append((i, f"http://marked.example/{i}", f"<article>{body}</article>", f"{title} {own} {title} {wire} {steps}"))
+    rows.append((50, "http://other.example/", f"<article><div>{share}</div></article>", share))
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    got = htmltext.main_text(df, shard_tokens=shard)
+    assert shape(got.select("page_id", "text")) == sorted(((i, t) for i, _, _, t in rows), key=repr)
