@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from dropgate.llm import bpe
 
-GROUP_IDS = 8_000_000  # ids of a packing group, about 32 MB
+GROUP_IDS = 8_000_000  # ids of a packing group, at most
+GROUP_IDS_HELD = 1_000_000  # where the group's task holds the ids themselves, several times over
 
 
 class RoomTree:
@@ -102,10 +103,10 @@ def pieces(docs: DataFrame, path: str, window: int, end_id: int, groups: int, id
     return dealt.withColumn("group", F.pmod("hash", F.lit(groups)))
 
 
-def groups_for(docs: DataFrame, text: str = "text") -> int:
-    """Enough groups that each has about GROUP_IDS ids (a text has at most one id per byte)."""
+def groups_for(docs: DataFrame, text: str = "text", group_ids: int = GROUP_IDS) -> int:
+    """Enough groups that each has about half of ``group_ids`` ids (a text has at most one id per byte, mostly one per four)."""
     total = docs.agg(F.sum(F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1)).first()[0] or 0
-    return max(1, -(-int(total) // (2 * GROUP_IDS)))
+    return max(1, -(-int(total) // (2 * group_ids)))
 
 
 def _placed(t: pa.Table, window: int) -> tuple[pa.Table, np.ndarray, np.ndarray]:
@@ -139,7 +140,7 @@ def sequences(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0, p
     shuffled once.
     """
     kind = docs.schema[key].dataType.simpleString()
-    cutted = pieces(docs, path, window, end_id, groups_for(docs, text), True, text, key)
+    cutted = pieces(docs, path, window, end_id, groups_for(docs, text, GROUP_IDS_HELD), True, text, key)
 
     def join(group: tuple, t: pa.Table) -> pa.Table:
         t, where, offset = _placed(t, window)
@@ -149,10 +150,10 @@ def sequences(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0, p
         first = np.flatnonzero(np.diff(where, prepend=-1))
         n_ids = np.add.reduceat(length, first) if len(first) else np.zeros(0, np.int64)
         size = np.where(n_ids & (n_ids - 1) == 0, n_ids, window)
-        ids = np.frombuffer(b"".join(t["ids"].to_pylist()), "<u4").astype(np.int32)
-        full = np.full(size.sum(), pad_id, np.int32)
-        at = np.arange(len(ids)) + np.repeat(np.cumsum(size) - size - (np.cumsum(n_ids) - n_ids), n_ids)
-        full[at] = ids
+        raw, full = t["ids"].to_pylist(), np.full(size.sum(), pad_id, np.int32)
+        upto = np.append(first[1:], len(t))
+        for at, n, lo, hi in zip((np.cumsum(size) - size).tolist(), n_ids.tolist(), first.tolist(), upto.tolist(), strict=True):
+            full[at: at + n] = np.frombuffer(b"".join(raw[lo:hi]), "<u4")
         cuts = np.append(0, np.cumsum(size)).astype(np.int32)
         keys = t["key"].combine_chunks()
         parts = pa.StructArray.from_arrays([keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys,

@@ -135,3 +135,13 @@ def test_ngrams(n):
     h = words._random64(200, 3)
     twice = words.ngrams(np.concatenate([h, h]), n)
     assert len(twice) == 401 - n and (twice[:201 - n] == twice[200:]).all() and len(np.unique(words.ngrams(h, n))) == 201 - n
+
+
+def test_groups_that_hold_ids_are_small(spark):
+    docs = spark.range(600).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 1000) AS text")
+    total = docs.selectExpr("sum(octet_length(text) + 1)").first()[0]
+    held = packing.groups_for(docs, "text", packing.GROUP_IDS_HELD)
+    assert held == -(-total // (2 * packing.GROUP_IDS_HELD)) > packing.groups_for(docs) == 1
+    got = packing.sequences(docs, PATH).selectExpr("shiftright(sequence_id, 32) AS g", "tokens", "n_tokens", "pieces")
+    rows = got.selectExpr("g", "n_tokens", "size(tokens) AS n", "aggregate(pieces, 0L, (a, p) -> a + p.length) AS of").collect()
+    assert len({r.g for r in rows}) == held and all(r.n_tokens == r.of for r in rows)
