@@ -176,3 +176,98 @@ def test_boilerplate_inside_marked_articles(spark, shard):
     df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
     got = htmltext.main_text(df, shard_tokens=shard)
     assert shape(got.select("page_id", "text")) == sorted(((i, t) for i, _, _, t in rows), key=repr)
+
+
+@pytest.mark.parametrize("page,marked,text,rest", [
+    ("<html><head><title>t</title><body><p>all <b>text", False, "all text", ""),         # </head> may be left out
+    ("<head><meta charset=x><style>p{}</style><article><p>x</article>y", True, "x", "y"),
+    ("<head><script>s</script>loose", False, "loose", ""),
+    ("<p class=ad>buy<h2>Title</h2><div>body</div>", False, "Title body", "buy"),         # and </p>, </li>, </dt>, </td>
+    ("<ul><li class=ad>a<li>b</ul><dl><dt class=promo>c<dd>d</dl>", False, "b d", "a c"),
+    ("<table><tr><td class=ad>a<td>b<tr class=ad><td>c<tbody><tr><td>d</table>e", False, "b d e", "a c"),
+    ("<article><svg class=icon/><p>a</p><svg><path d=x><p>b</p></article>", True, "a b", ""),
+    ("<span><article><p>a</span>b</p><p>c</article></span>", True, "ab c", ""),           # a stray end tag ends no block
+    ("<b><article><p>a</b>b</p><p>c</article>", True, "ab c", ""),
+    ("<article><table><tr><td>a</table></td></tr></div><p>c</article>", True, "a c", ""),
+    ("<div class=ad><table><tr><td>a</div><article><p>b</article>", True, "b", "a"),
+    ("<!-->a<!--->b<!-- c --!>d", False, "abd", ""),
+    ("<p title=it's>hello don't stop</p><nav class=it's>n</nav>", False, "hello don't stop", "n"),
+    ("<article><p>a</p><xmp><b>c&amp;</xmp><p>d</article>", True, "a <b>c&amp; d", ""),
+    ("<div class='comments'><p>x</p></div><main><nav>m</nav><p>hi</main><div>out</div>", True, "hi", "x m out"),
+])
+def test_all_text_is_read(page, marked, text, rest):
+    has, parts, other = htmltext._judged_blocks(page)
+    assert (has, " ".join(t for t, _ in parts), other) == (marked, text, rest)
+
+
+@pytest.mark.parametrize("shard", [400_000, 600, 60])
+def test_whole_pages_are_judged(spark, shard):
+    rng = np.random.default_rng(12)
+    text = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    menu, notice, quote, title, few = text(16), text(20), text(20), text(14), text(18)
+    rows = []
+    for i in range(60):
+        own = text(40)
+        parts = [("div" if i in (5, 17, 40, 58) else "nav", menu)]     # the menu of most pages is left out by markup
+        parts += [("aside", title), ("p", notice), ("p", own)]         # every sidebar lists the headline of page 7
+        if i % 2:
+            parts.append(("blockquote", quote))
+        if i in (2, 9, 33):
+            parts.append(("div", few))
+        if i == 7:
+            parts.insert(0, ("h1", title))
+        want = ([title] if i == 7 else []) + [own] + ([quote] if i % 2 else []) + ([few] if i in (2, 9, 33) else [])
+        body = "".join(f"<{t}>{x}</{t}>" for t, x in parts)
+        for host, marked in (("plain", False), ("marked", True)):
+            rows.append((i, f"http://{host}.example/{i}", f"<article>{body}</article>" if marked else body, " ".join(want)))
+    for i in range(20):                                                # too few pages to tell a notice from an article
+        own = text(30)
+        rows.append((i, f"http://small.example/{i}", f"<p>{notice}</p><p>{own}</p>", f"{notice} {own}"))
+    for i in range(40):                                                # most of each page is what all of them have
+        own = text(8)
+        rows.append((i, f"http://series.example/{i}", f"<p>{notice}</p><p>{own}</p>", f"{notice} {own}"))
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    got = htmltext.main_text(df, shard_tokens=shard)
+    assert shape(got.select("url", "text")) == sorted(((u, t) for _, u, _, t in rows), key=repr)
+
+
+def brute_boilerplate(pages, run):
+    """Of distinct pages (words, whether loose, other words): the stretches to cut from loose text."""
+    grams = lambda ws: {tuple(ws[i:i + run]) for i in range(len(ws) - run + 1)}
+    inside, found, judged = [grams(ws) for ws, _, _ in pages], [], set()
+    for (ws, loose, rest), mine in zip(pages, inside, strict=True):
+        found.append(mine | grams(rest))
+        judged |= {tuple(ws[i:i + run]) for i in range(len(ws) - run + 1) if all(loose[i:i + run])}
+    return {g for g in judged if sum(g in x for x in found) >= max(3, -(-len(pages) // 5)) and sum(g in x for x in inside) >= 3}
+
+
+def test_shares_do_not_depend_on_the_cut(spark):
+    """Stretches that about a fifth of a host's pages have: some shards have them on fewer of theirs."""
+    rng = np.random.default_rng(14)
+    text = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    shared, pages = [text(13) for _ in range(60)], []
+    for _ in range(120):
+        has = rng.random(60) < 0.2
+        beside = rng.random(60) < 0.3
+        ws, loose, rest = [], [], []
+        for s in (s for s, x, b in zip(shared, has, beside, strict=True) if x and not b):
+            own = text(3)
+            ws += s + own
+            loose += [True] * 13 + [False] * 3
+        for s in (s for s, x, b in zip(shared, has, beside, strict=True) if x and b):
+            rest += [*text(1), *s]
+        pages.append((ws + text(5), loose + [False] * 5, rest))
+    cut = brute_boilerplate(pages, 12)
+    assert 0 < len({tuple(s) for s in shared if tuple(s[:12]) in cut}) < 60
+    rows, want = [], []
+    for i, (ws, loose, rest) in enumerate(pages):
+        gone = [False] * len(ws)
+        for j in range(len(ws) - 11):
+            if tuple(ws[j:j + 12]) in cut and all(loose[j:j + 12]):
+                gone[j:j + 12] = [True] * 12
+        html_ = "".join(f"<div>{w}</div>" if x else f"<p>{w}</p>" for w, x in zip(ws, loose, strict=True)) + f"<nav>{' '.join(rest)}</nav>"
+        rows.append((i, "http://a.example", f"<article>{html_}</article>"))
+        want.append((i, " ".join(w for w, g in zip(ws, gone, strict=True) if not g)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    for shard in (400_000, 2000, 1000, 60):
+        assert shape(htmltext.main_text(df, shard_tokens=shard).select("page_id", "text")) == sorted(want, key=repr)
